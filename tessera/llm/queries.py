@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import licenses, mixing, packing, pii, warc
+from tessera.llm import collision_search, licenses, minhash, mixing, near_vectors, packing, pii, warc
 from tessera.plans.lineage import new_path
 
 
@@ -19,6 +19,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("pii_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -46,5 +50,16 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_packing, op4_warc, op5_mixing, op8_licenses)}
-ORACLE_SQL = {"op2_pii": pii.PII_SQL, "op4_warc": warc.WARC_SQL, "op5_mixing": mixing.MIX_SQL, "op8_licenses": licenses.LICENSE_SQL}
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
+def op10_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return collision_search.search(rows, rows.where("vec_id % 20 = 0"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_pii, op3_packing, op4_warc, op5_mixing, op8_licenses, op9_minhash, op10_collision_search)}
+ORACLE_SQL = {
+    "op1_near_vectors": near_vectors.NEAR_VECTORS_SQL, "op9_minhash": minhash.NEAR_SQL,
+    "op2_pii": pii.PII_SQL, "op4_warc": warc.WARC_SQL, "op5_mixing": mixing.MIX_SQL, "op8_licenses": licenses.LICENSE_SQL}
