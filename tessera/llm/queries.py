@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import collision_search, licenses, minhash, mixing, near_vectors, packing, pii, warc
+from tessera.llm import collision_search, licenses, minhash, mixing, near_vectors, packing, pii, suffix_tree, toxicity, warc
 from tessera.plans.lineage import new_path
 
 
@@ -46,6 +46,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -59,7 +67,7 @@ def op10_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision_search.search(rows, rows.where("vec_id % 20 = 0"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_pii, op3_packing, op4_warc, op5_mixing, op8_licenses, op9_minhash, op10_collision_search)}
+QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_pii, op3_packing, op4_warc, op5_mixing, op6_suffix_tree, op7_toxicity, op8_licenses, op9_minhash, op10_collision_search)}
 ORACLE_SQL = {
     "op1_near_vectors": near_vectors.NEAR_VECTORS_SQL, "op9_minhash": minhash.NEAR_SQL,
     "op2_pii": pii.PII_SQL, "op4_warc": warc.WARC_SQL, "op5_mixing": mixing.MIX_SQL, "op8_licenses": licenses.LICENSE_SQL}
