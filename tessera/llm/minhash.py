@@ -19,6 +19,7 @@ ROWS, KEYS = 2, 8
 CACHE_WORDS = 500_000
 #: Sets in the sample that orders shingles by frequency (the order decides speed only), and shingles kept from it.
 ORDER_SETS, ORDER_SHINGLES = 4096, 200_000
+FILTER_BITS = 1 << 25
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -90,17 +91,30 @@ def sketch(docs: DataFrame, size: int, seed: int = 17) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
 
 
-def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """Rows (rep, n, s) of (doc_id, text): the whole shingle set."""
+def shingle_sets(docs: DataFrame, met: DataFrame, size: int) -> DataFrame:
+    """Rows (rep, n, s) of those of (doc_id, text) whose id is in ``met``: the whole shingle set.
+
+    A bitmap of FILTER_BITS hashed ids, of one size for any input, lets the scan pass over nearly all other texts, so
+    that texts are not shuffled; the join after it is exact.
+    """
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    marks = met.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+    marks = marks.agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("x")).toPandas()
+    words = np.zeros(FILTER_BITS >> 6, np.int64)
+    words[marks.word.to_numpy(np.int64)] = marks.x.to_numpy(np.int64)
+    held = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHash()
+        known, words = _WordHash(), held.value
         for batch in batches:
+            at = batch.column(2).to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array((words[at >> 6] >> (at & 63)) & 1 == 1))
             sets = [shingle_hashes(t or b"", size, known).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "n", "s"])
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "rep long, n long, s array<long>")
+    d = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("binary").alias("text"), bit.alias("bit"))
+    return d.mapInArrow(run, "rep long, n long, s array<long>").join(met.select(F.col("doc_id").alias("rep")), "rep", "left_semi")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -164,7 +178,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = cut(keys.join(entries, "key").where("rep > a").select("a", F.col("rep").alias("b")).distinct(), "star")
 
     met = star.select(F.col("a").alias("doc_id")).union(star.select("b")).distinct()
-    sets = cut(shingle_sets(d.join(met, "doc_id", "left_semi"), size), "sets")
+    sets = cut(shingle_sets(d, met, size), "sets")
     first = cut(connected_components(verify(star, sets, percent)), "components")
     placed = sets.join(first, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "rep"))
     prefixes = cut(rare_prefixes(placed.select("rep", "comp", "n", "s"), percent), "prefixes")
