@@ -44,7 +44,7 @@ class WordEncoder:
         if any(c in text for c in ODD_SPACE):
             return self._encode([text])[0]
         chunks = text.split()
-        if new := list(set(chunks) - self.known.keys()):
+        if new := [c for c in set(chunks) if c not in self.known]:
             if len(self.known) > CACHE_WORDS:
                 self.known.clear()
                 new = list(set(chunks))
