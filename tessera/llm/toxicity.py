@@ -178,8 +178,8 @@ class Scorer:
         self.model, self.weights, self.beta = model, weights, beta
 
     def cache(self) -> Cached:
-        weights = self.weights
-        return Cached(self.model, lambda f: max((weights[i] for i in f), default=0.0))
+        weight_of = self.weights.tolist().__getitem__
+        return Cached(self.model, lambda f: max(map(weight_of, f), default=0.0))
 
 
 def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
