@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +16,9 @@ MAX_TOKENS = 4096
 END_ID = 2
 #: Characters on whose status as white space Python and the tokenizer may differ; texts with one are encoded in one go.
 ODD_SPACE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85"
-CACHE_WORDS = 400_000
+MARK = "\x01"
+TAIL = ".,;:!?%$#&*|"
+CACHE_WORDS = 600_000
 
 
 def binary_pieces(n: int, limit: int = MAX_TOKENS) -> list[int]:
@@ -23,6 +27,20 @@ def binary_pieces(n: int, limit: int = MAX_TOKENS) -> list[int]:
     return [limit] * (n // limit) + [1 << k for k in range(limit.bit_length(), -1, -1) if rest >> k & 1]
 
 
+def _core_and_tail(chunk: str) -> tuple[str, str]:
+    """A chunk as two parts with the same ids: signs at its end are a token run of their own; case plays no part."""
+    core = chunk.rstrip(TAIL)
+    if not core or not core[-1].isalpha() or "<|" in chunk:
+        return chunk, ""
+    return core.lower() if core.isascii() else core, chunk[len(core) :]
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str) -> WordEncoder:
+    """One per Python worker, so that tasks share what it has kept."""
+    return WordEncoder(path)
+
+
 class WordEncoder:
     """Ids of a text as little-endian unsigned 32-bit bytes.
 
@@ -34,22 +52,41 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else -1  # else chunks are encoded one by one
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [b"".join(i.to_bytes(4, "little") for i in x.ids) for x in found]
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+    def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        """All chunks as one text, with MARK, a token of its own, between them."""
+        odd = [c for c in chunks if MARK in c]
+        plain = [c for c in chunks if MARK not in c]
+        ids = np.frombuffer(self._encode([f" {MARK} ".join([*plain, ""])])[0], "<u4") if plain else np.empty(0, "<u4")
+        ends = np.flatnonzero(ids == self.mark)
+        if len(ends) != len(plain):
+            odd, plain = chunks, []
+        raw, at, out = ids.tobytes(), 0, dict(zip(odd, self._encode(odd), strict=True))
+        for chunk, end in zip(plain, ends.tolist(), strict=False):
+            out[chunk] = raw[4 * at : 4 * end]
+            at = end + 1
+        return out
 
     def __call__(self, text: str) -> bytes:
         if any(c in text for c in ODD_SPACE):
             return self._encode([text])[0]
-        chunks = text.split()
-        if new := [c for c in set(chunks) if c not in self.known]:
-            if len(self.known) > CACHE_WORDS:
-                self.known.clear()
+        chunks, known = text.split(), self.known
+        if new := [c for c in set(chunks) if c not in known]:
+            if len(known) > CACHE_WORDS:
+                known.clear()
+                known[""] = b""
                 new = list(set(chunks))
-            self.known.update(zip(new, self._encode(new), strict=True))
-        return b"".join(map(self.known.__getitem__, chunks))
+            parts = {c: _core_and_tail(c) for c in new}
+            known.update(self._encode_chunks([x for x in {x for p in parts.values() for x in p} if x not in known]))
+            known.update((c, known[core] + known[tail]) for c, (core, tail) in parts.items())
+        return b"".join(map(known.__getitem__, chunks))
 
 
 def pack(
@@ -72,7 +109,7 @@ def pack(
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(tokenizer_path)
+        encode = encoder(tokenizer_path)
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
