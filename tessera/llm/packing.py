@@ -19,6 +19,8 @@ ODD_SPACE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85"
 MARK = "\x01"
 TAIL = ".,;:!?%$#&*|"
 CACHE_WORDS = 600_000
+#: Texts whose unknown chunks are encoded in one call.
+TOGETHER = 64
 
 
 def binary_pieces(n: int, limit: int = MAX_TOKENS) -> list[int]:
@@ -68,25 +70,24 @@ class WordEncoder:
         ends = np.flatnonzero(ids == self.mark)
         if len(ends) != len(plain):
             odd, plain = chunks, []
-        raw, at, out = ids.tobytes(), 0, dict(zip(odd, self._encode(odd), strict=True))
+        raw, at, out = ids.tobytes(), 0, dict(zip(odd, self._encode(odd) if odd else [], strict=True))
         for chunk, end in zip(plain, ends.tolist(), strict=False):
             out[chunk] = raw[4 * at : 4 * end]
             at = end + 1
         return out
 
-    def __call__(self, text: str) -> bytes:
-        if any(c in text for c in ODD_SPACE):
-            return self._encode([text])[0]
-        chunks, known = text.split(), self.known
-        if new := [c for c in set(chunks) if c not in known]:
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        split = [None if any(c in t for c in ODD_SPACE) else t.split() for t in texts]
+        known, distinct = self.known, set().union(*(x for x in split if x))
+        if new := [c for c in distinct if c not in known]:
             if len(known) > CACHE_WORDS:
                 known.clear()
                 known[""] = b""
-                new = list(set(chunks))
+                new = list(distinct)
             parts = {c: _core_and_tail(c) for c in new}
             known.update(self._encode_chunks([x for x in {x for p in parts.values() for x in p} if x not in known]))
             known.update((c, known[core] + known[tail]) for c, (core, tail) in parts.items())
-        return b"".join(map(known.__getitem__, chunks))
+        return [self._encode([t])[0] if x is None else b"".join(map(known.__getitem__, x)) for t, x in zip(texts, split, strict=True)]
 
 
 def pack(
@@ -112,8 +113,10 @@ def pack(
         encode = encoder(tokenizer_path)
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(text or "") + end
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            encoded = (ids for at in range(0, len(texts), TOGETHER) for ids in encode(texts[at : at + TOGETHER]))
+            for doc, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                ids += end
                 start, total = 0, len(ids) // 4
                 for n in binary_pieces(total, limit):
                     piece = ids[4 * start : 4 * (start + n)]
