@@ -561,12 +561,12 @@ def seg_border_removal(v):
 
 @query()
 def cc_label(v):
-    return P.label_components(v("pixels").where("image_id = 'AF' and v > 400").select("r", "c"), 150)
+    return P.label_components(v("pixels").where("image_id = 'AF' and v % 5 < 2").select("r", "c"), 150)
 
 
 @query()
 def cc_filter_small(v):
-    return P.drop_small_components(P.label_components(v("pixels").where("image_id = 'AF' and v > 600").select("r", "c"), 150), 5)
+    return P.drop_small_components(P.label_components(v("pixels").where("image_id = 'AF' and v % 5 < 2").select("r", "c"), 150), 5)
 
 
 @query("""WITH n AS (SELECT image_id, count(*) FILTER (v <> 0) AS n FROM pixels GROUP BY 1), b AS (SELECT image_id AS best FROM n ORDER BY n DESC, image_id LIMIT 1)
