@@ -148,3 +148,59 @@ def merge_versions(px: DataFrame) -> DataFrame:
     own = F.max(F.when(F.col("image_id") == F.col("_best"), F.col("v")))
     other = F.avg(F.when((F.col("image_id") != F.col("_best")) & (F.col("v") != 0), F.col("v")))
     return j.groupBy(*AT).agg(own.alias("a"), other.alias("b")).select(*AT, F.coalesce(F.nullif("a", F.lit(0.0)), "b", F.lit(0.0)).alias("v"))
+
+
+def background_medians(px: DataFrame, mask: DataFrame) -> DataFrame:
+    """Median of positive pixels outside of the mask per image, the median of medians where there are none."""
+    m = px.join(mask.select(*AT).distinct(), list(AT), "left_anti").where("v > 0").groupBy("image_id").agg(F.percentile("v", F.lit(0.5)).alias("m"))
+    every = px.select("image_id").distinct().join(m, "image_id", "left").join(F.broadcast(m.agg(F.percentile("m", F.lit(0.5)).alias("_all"))))  # one row
+    return every.select("image_id", F.coalesce("m", "_all").alias("median"))
+
+
+def vignette(px: DataFrame, medians: DataFrame) -> DataFrame:
+    j = px.join(medians, "image_id")
+    return j.groupBy(*AT).agg(F.percentile(F.col("v") / F.col("median"), F.lit(0.5)).alias("vig"))
+
+
+def halo_tiles(px: DataFrame, core: int, margin: int) -> DataFrame:
+    """Every pixel once for each window whose core plus margin holds it: at most four windows while 2 * margin <= core."""
+    near = lambda c: F.array_distinct(F.array(*(F.floor((F.col(c) + d) / core).cast("int") for d in (-margin, 0, margin))))
+    d = px.withColumn("wr", F.explode(near("r"))).withColumn("wc", F.explode(near("c"))).where("wr >= 0 and wc >= 0")
+    return d.withColumn("lr", F.col("r") - F.col("wr") * core + margin).withColumn("lc", F.col("c") - F.col("wc") * core + margin)
+
+
+def keep_centres(windows: DataFrame, core: int, margin: int) -> DataFrame:
+    """The image again from its windows, each giving its core."""
+    inside = F.col("lr").between(margin, margin + core - 1) & F.col("lc").between(margin, margin + core - 1)
+    return windows.where(inside).select("image_id", *AT, "v")
+
+
+def high_percentile(px: DataFrame, by: list[str], q: float = 0.99) -> DataFrame:
+    return px.groupBy(*by).agg(F.percentile("v", F.lit(q)).alias("p"))
+
+
+def minmax_stack(px: DataFrame) -> DataFrame:
+    """Each image to 0..1 by its least and largest value."""
+    s = px.groupBy("image_id").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    scaled = F.when(F.col("hi") > F.col("lo"), (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.0)
+    return px.join(s, "image_id").select("image_id", *AT, scaled.alias("v"))
+
+
+def layer_priority(px: DataFrame, scores: DataFrame) -> DataFrame:
+    """Aligned layers in one: at each place the non-zero value of the layer of highest score."""
+    j = px.where("v <> 0").join(scores, "image_id")
+    return j.groupBy(*AT).agg(F.max_by("v", F.struct("score", "image_id")).alias("v"))
+
+
+def cells_to_objects(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """The label under each cell's position; outside or without one 0."""
+    c = cells.withColumn("c", F.floor("X").cast("int")).withColumn("r", F.floor("Y").cast("int"))
+    return c.join(labels.select(*AT, F.col("OID").alias("object")), list(AT), "left").withColumn("object", F.coalesce("object", F.lit(0)))
+
+
+def window_means(px: DataFrame, radius: int = 3) -> DataFrame:
+    """Mean over the square around each pixel, in two separable passes; at the border over what is there."""
+    row = Window.partitionBy("image_id", "r").orderBy("c").rangeBetween(-radius, radius)
+    col = Window.partitionBy("image_id", "c").orderBy("r").rangeBetween(-radius, radius)
+    d = px.withColumn("_s", F.sum("v").over(row)).withColumn("_n", F.count("v").over(row))
+    return d.select("image_id", *AT, (F.sum("_s").over(col) / F.sum("_n").over(col)).alias("v"))

@@ -11,6 +11,7 @@ from tessera.fixtures import view, with_views
 from tessera.operators import cells as C
 from tessera.operators import neighbours as N
 from tessera.operators import pixels as P
+from tessera.operators import quality as Q
 from tessera.operators import summaries as S
 from tessera.operators import tiles as T
 
@@ -573,3 +574,138 @@ def cc_filter_small(v):
   SELECT r, c, coalesce(nullif(max(v) FILTER (image_id = best), 0), avg(v) FILTER (image_id <> best AND v <> 0), 0) AS v FROM pixels, b GROUP BY 1, 2""")
 def merge_versions_pick(v):
     return P.merge_versions(v("pixels"))
+
+
+# further table operators ------------------------------------------------------------------------------------------
+
+@query("SELECT DISTINCT sample_id, cl_method, cluster FROM clusters")
+def distinct(v):
+    return v("clusters").select("sample_id", "cl_method", "cluster").distinct()
+
+
+@query("SELECT OID, CAST(QTY AS DOUBLE) AS x FROM cells UNION ALL SELECT OID, CAST(X AS DOUBLE) FROM cells")
+def union_relaxed(v):
+    c = v("cells")
+    return c.select("OID", F.col("QTY").alias("x")).unionByName(c.select("OID", F.col("X").cast("int").alias("x")))
+
+
+@query("SELECT OID FROM cells WHERE QTY > 25 INTERSECT SELECT OID FROM cells WHERE TAX > 0.04")
+def intersect_keys(v):
+    c = v("cells")
+    return c.where("QTY > 25").select("OID").intersect(c.where("TAX > 0.04").select("OID"))
+
+
+@query("SELECT OID FROM cells WHERE QTY > 25 EXCEPT SELECT OID FROM cells WHERE TAX > 0.04")
+def except_sets(v):
+    c = v("cells")
+    return c.where("QTY > 25").select("OID").exceptAll(c.where("TAX > 0.04").select("OID")).distinct()
+
+
+@query("""SELECT sample_id, OID, max(cluster) FILTER (cl_method = 'kmeans') AS kmeans, max(cluster) FILTER (cl_method = 'phenograph') AS phenograph, max(cluster) FILTER (cl_method = 'som') AS som
+  FROM clusters GROUP BY 1, 2""")
+def join_multi_method_wide(v):
+    return v("clusters").groupBy("sample_id", "OID").pivot("cl_method", ["kmeans", "phenograph", "som"]).agg(F.max("cluster")).na.drop("any")
+
+
+@query("SELECT count(DISTINCT cluster) AS k, cl_method FROM clusters GROUP BY 2")
+def clusters_k(v):
+    return v("clusters").groupBy("cl_method").agg(F.countDistinct("cluster").alias("k"))
+
+
+@query("""WITH m AS (SELECT slide_id, avg(QTY) AS QTY, avg(DISC) AS DISC, avg(TAX) AS TAX FROM cells GROUP BY 1), u AS (SELECT slide_id, 'QTY' AS marker, QTY AS mean FROM m UNION ALL SELECT slide_id, 'DISC', DISC FROM m UNION ALL SELECT slide_id, 'TAX', TAX FROM m)
+  SELECT slide_id, marker, round(mean, 6) AS mean, CAST(row_number() OVER (PARTITION BY slide_id ORDER BY mean DESC, marker) AS INT) AS rank FROM u QUALIFY rank <= 2""")
+def rank_top_n_per_group(v):
+    from pyspark.sql import Window
+
+    long = C.unpivot_markers(v("cells"), ("slide_id",), ("QTY", "DISC", "TAX")).groupBy("slide_id", "marker").agg(F.avg("value").alias("mean"))
+    return long.withColumn("rank", F.row_number().over(Window.partitionBy("slide_id").orderBy(F.desc("mean"), "marker"))).where("rank <= 2")
+
+
+@query("""SELECT OID, round(asinh(PRICE), 6) AS a, round(log2(1 + PRICE), 6) AS b, round(ln(1 + QTY), 6) AS c, round(atan2(X, Y), 6) AS d, upper(sample_id) AS e, sha1(OID) AS f,
+  length(OID) - length(replace(OID, '-', '')) AS g, lpad(slide_id, 4, '0') AS h, CAST(QTY AS INT) << 4 AS i FROM cells""")
+def scalar_kit(v):
+    return v("cells").select(
+        "OID", F.asinh("PRICE").alias("a"), F.log2(1 + F.col("PRICE")).alias("b"), F.log1p("QTY").alias("c"), F.atan2("X", "Y").alias("d"), F.upper("sample_id").alias("e"),
+        F.sha1("OID").alias("f"), (F.length("OID") - F.length(F.replace("OID", F.lit("-"), F.lit("")))).cast("long").alias("g"), F.lpad("slide_id", 4, "0").alias("h"), F.shiftleft(F.col("QTY").cast("int"), 4).alias("i"))
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT slide) AS n_slide, count(DISTINCT channel) AS n_channel, count(DISTINCT tile) AS n_tile FROM tiles")
+def manifest_summary(v):
+    return Q.manifest_summary(v("tiles"), ("slide", "channel", "tile"))
+
+
+@query("WITH s AS (SELECT DISTINCT slide_id FROM acquisitions), m AS (SELECT DISTINCT marker_id FROM acquisitions) SELECT slide_id, marker_id FROM s CROSS JOIN m EXCEPT SELECT slide_id, marker_id FROM acquisitions")
+def qc_same_channels(v):
+    return Q.set_differences(v("acquisitions"), "slide_id", "marker_id")
+
+
+@query("WITH n AS (SELECT slide_id, count(DISTINCT round_n) AS n FROM acquisitions GROUP BY 1) SELECT slide_id, n, (SELECT max(n) FROM n) AS most FROM n WHERE n < (SELECT max(n) FROM n)")
+def qc_structure(v):
+    return Q.coverage_gaps(v("acquisitions"), "slide_id", "round_n")
+
+
+@query("""WITH s AS (SELECT string_split(replace(slide, '#', '') || '_R' || tile || '_V1_p_' || split_part(channel, ' ', 1), '_') AS p FROM tiles)
+  SELECT 'fields' AS "check", count(*) FILTER (len(p) <> 5) AS n_failed FROM s UNION ALL SELECT 'round', count(*) FILTER (NOT regexp_matches(p[2], '^R\\d{1,2}$')) FROM s
+  UNION ALL SELECT 'version', count(*) FILTER (NOT regexp_matches(p[3], '^V\\d{1,2}$')) FROM s UNION ALL SELECT 'channel', count(*) FILTER (upper(p[5]) NOT IN ('PROMO', 'SMALL', 'LARGE')) FROM s""")
+def qc_naming(v):
+    stem = F.concat(F.translate("slide", "#", ""), F.lit("_R"), F.col("tile").cast("string"), F.lit("_V1_p_"), F.split("channel", " ")[0])
+    return Q.naming_report(v("tiles").select(stem.alias("stem")), "stem", ("PROMO", "SMALL", "LARGE"))
+
+
+@query("SELECT slide, channel, count(*) AS n FROM tiles GROUP BY 1, 2 HAVING count(*) <> 1")
+def qc_channel_count(v):
+    return Q.not_exactly_one(v("tiles"), ["slide", "channel"])
+
+
+@query("""WITH b AS (SELECT OID, min(r) AS minr, min(c) AS minc, max(r) + 1 AS maxr, max(c) + 1 AS maxc FROM label_pixels WHERE OID <> 0 GROUP BY 1)
+  SELECT OID, greatest(maxr - 40, maxc - 100, -minr, -minc) AS overshoot FROM b WHERE greatest(maxr - 40, maxc - 100, -minr, -minc) > 25""")
+def qc_bbox_overshoot(v):
+    return Q.overshoot(P.boxes(v("label_pixels")), 40, 100).select("OID", "overshoot")
+
+
+@query("""WITH m AS (SELECT image_id, quantile_cont(v, 0.5) AS median FROM pixels p WHERE v > 0 AND NOT EXISTS (SELECT 1 FROM label_pixels l WHERE l.r = p.r AND l.c = p.c AND OID <> 0) GROUP BY 1) SELECT * FROM m""")
+def ffc_background_median(v):
+    return P.background_medians(v("pixels"), v("label_pixels").where("OID <> 0"))
+
+
+@query("""WITH m AS (SELECT image_id, quantile_cont(v, 0.5) AS m FROM pixels p WHERE v > 0 AND NOT EXISTS (SELECT 1 FROM label_pixels l WHERE l.r = p.r AND l.c = p.c AND OID <> 0) GROUP BY 1)
+  SELECT r, c, round(quantile_cont(v / m, 0.5), 6) AS vig FROM pixels JOIN m USING (image_id) GROUP BY 1, 2""")
+def ffc_vignette(v):
+    return P.vignette(v("pixels"), P.background_medians(v("pixels"), v("label_pixels").where("OID <> 0")))
+
+
+@query("""WITH w AS (SELECT image_id, r, c, v, wr, wc FROM pixels, (SELECT unnest(range(0, 3000)) AS wr) a, (SELECT unnest(range(0, 6)) AS wc) b WHERE r >= wr * 32 - 4 AND r < wr * 32 + 36 AND c >= wc * 32 - 4 AND c < wc * 32 + 36)
+  SELECT image_id, r, c, v, CAST(wr AS INT) AS wr, CAST(wc AS INT) AS wc, CAST(r - wr * 32 + 4 AS INT) AS lr, CAST(c - wc * 32 + 4 AS INT) AS lc FROM w""")
+def halo_tiles(v):
+    return P.halo_tiles(v("pixels"), 32, 4)
+
+
+@query("SELECT image_id, r, c, v FROM pixels")
+def patch_stitch_center(v):
+    return P.keep_centres(P.halo_tiles(v("pixels"), 32, 4), 32, 4)
+
+
+@query("SELECT image_id, round(quantile_cont(v, 0.99), 6) AS p FROM pixels GROUP BY 1")
+def round_p99(v):
+    return P.high_percentile(v("pixels"), ["image_id"])
+
+
+@query("WITH s AS (SELECT image_id, min(v) AS lo, max(v) AS hi FROM pixels GROUP BY 1) SELECT image_id, r, c, round((v - lo) / (hi - lo), 6) AS v FROM pixels JOIN s USING (image_id)")
+def px_minmax_stack(v):
+    return P.minmax_stack(v("pixels"))
+
+
+@query("SELECT r, c, coalesce(nullif(max(v) FILTER (image_id = 'AF'), 0), max(v) FILTER (image_id = 'MS')) AS v FROM pixels GROUP BY 1, 2 HAVING max(v) > 0")
+def layer_priority(v):
+    px = v("pixels")
+    return P.layer_priority(px, px.select("image_id").distinct().withColumn("score", F.when(F.col("image_id") == "AF", 2.0).otherwise(1.0)))
+
+
+@query("SELECT c.sample_id, c.OID, coalesce(l.OID, 0) AS object FROM cells c LEFT JOIN label_pixels l ON l.c = CAST(floor(c.X) AS INT) AND l.r = CAST(floor(c.Y) AS INT)")
+def cell_to_object(v):
+    return P.cells_to_objects(v("cells"), v("label_pixels")).select("sample_id", "OID", "object")
+
+
+@query("""SELECT p.image_id, p.r, p.c, round(avg(q.v), 6) AS v FROM pixels p JOIN pixels q ON p.image_id = q.image_id AND q.r BETWEEN p.r - 2 AND p.r + 2 AND q.c BETWEEN p.c - 2 AND p.c + 2 WHERE p.image_id = 'AF' AND p.r < 40 GROUP BY 1, 2, 3""")
+def box_filter(v):
+    return P.window_means(v("pixels").where("image_id = 'AF' and r < 43"), 2).where("r < 40")
