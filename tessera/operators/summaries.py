@@ -18,7 +18,8 @@ def _cells() -> Column:
 def confusion_matrix(clusters: DataFrame) -> DataFrame:
     """Dense label x sample grid per method: N distinct cells, Jaccard and Dice (0 where nothing is there)."""
     n = clusters.groupBy("cl_method", "cluster", "sample_id").agg(F.countDistinct(_cells()).alias("N"))
-    labels = clusters.groupBy("cl_method", "cluster").agg(F.countDistinct(_cells()).alias("n_label"))
+    # a cell's key holds its sample, so a label's distinct cells add up over samples
+    labels = n.groupBy("cl_method", "cluster").agg(F.sum("N").alias("n_label"))
     samples = clusters.groupBy("cl_method", "sample_id").agg(F.countDistinct(_cells()).alias("n_sample"))
     grid = labels.join(samples, "cl_method").join(n, ["cl_method", "cluster", "sample_id"], "left").fillna(0, ["N"])
     union, both = F.col("n_label") + F.col("n_sample") - F.col("N"), F.col("n_label") + F.col("n_sample")
