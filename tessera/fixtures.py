@@ -29,8 +29,18 @@ VIEWS = {
         SELECT r, c, CAST(floor(r / 10) AS INT) * 15 + CAST(floor(c / 10) AS INT) AS k FROM pixels WHERE image_id = 'MS') b""",
     "predictions": """SELECT sample_id, OID, CASE WHEN QTY < 10 THEN 'T' WHEN QTY < 30 THEN 'B' ELSE 'NK' END AS CellType,
         CAST(1 - DISC * 8.37 AS DOUBLE) AS prediction_confidence FROM cells""",
+    "images": """SELECT 'u' || CAST(user_id AS VARCHAR(20)) AS slide_id, 'S' || CAST(event_id % 2 AS VARCHAR(20)) AS scene_id, 'C' || CAST(event_id % 3 AS VARCHAR(20)) AS channel_id,
+        CAST(1 + floor(event_id / 7) % 9 AS INT) AS round_n, 'V0' || CAST(1 + CAST(floor(event_id / 63) AS INT) % 2 AS VARCHAR(20)) AS version,
+        CASE WHEN event_type = 'view' THEN 'AF' ELSE upper(event_type) END AS marker_id, CAST(CASE WHEN event_id % 11 = 0 THEN 1 + user_id % 9 END AS INT) AS ref_round_af,
+        CAST(CASE WHEN event_id % 13 = 0 THEN 0 ELSE 1 END AS INT) AS QC_include, 'f' || lpad(CAST(event_id AS VARCHAR(20)), 12, '0') AS file_name FROM events""",
+    "estimates": """SELECT l_orderkey AS pair, CASE l_linenumber WHEN 1 THEN 'features' WHEN 2 THEN 'phase' WHEN 3 THEN 'template' ELSE 'grid' END AS method,
+        max(CASE WHEN l_discount > 0.02 THEN l_discount END) AS score, min(l_quantity) AS dx, min(100 * l_tax) AS dy, max(l_extendedprice) AS area FROM lineitem GROUP BY 1, 2""",
+    "tile_boxes": """SELECT p_brand AS slide, p_type AS region, min((p_partkey % 40) * 1836.0) AS x0, min(floor(p_partkey / 40) * 1836.0) AS y0,
+        min((p_partkey % 40) * 1836.0) + 20000 AS x1, min(floor(p_partkey / 40) * 1836.0) + 20000 AS y1 FROM part GROUP BY 1, 2""",
+    "class_scores": """SELECT r, c, CAST(r % 16 AS INT) AS lr, CAST(c % 16 AS INT) AS lc, CAST(CASE WHEN image_id = 'AF' THEN 1 ELSE 2 END AS INT) AS class, v / (v + 500) AS p FROM pixels
+        UNION ALL SELECT r, c, CAST((r + 8) % 16 AS INT), CAST((c + 8) % 16 AS INT), CAST(CASE WHEN image_id = 'AF' THEN 1 ELSE 2 END AS INT), v / (v + 700) FROM pixels""",
 }
-NEEDS = {"clusters": ("cells",), "annotation_dictionary": ("clusters",), "label_pixels": ("pixels",), "predictions": ("cells",)}
+NEEDS = {"clusters": ("cells",), "annotation_dictionary": ("clusters",), "label_pixels": ("pixels",), "predictions": ("cells",), "class_scores": ("pixels",)}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -204,3 +204,105 @@ def window_means(px: DataFrame, radius: int = 3) -> DataFrame:
     col = Window.partitionBy("image_id", "c").orderBy("r").rangeBetween(-radius, radius)
     d = px.withColumn("_s", F.sum("v").over(row)).withColumn("_n", F.count("v").over(row))
     return d.select("image_id", *AT, (F.sum("_s").over(col) / F.sum("_n").over(col)).alias("v"))
+
+
+def rescale_masked(px: DataFrame, mask: DataFrame, q: float = 0.99) -> DataFrame:
+    """As :func:`rescale`, with the percentiles of pixels under the mask; where the high one is 0, those of positive pixels with 0 as low one."""
+    under = px.join(mask.select(*AT).distinct(), list(AT), "left_semi")
+    both = lambda c: F.percentile(c, F.array(F.lit(1 - q), F.lit(q)))
+    positive = F.when(F.col("v") > 0, F.col("v"))
+    s = under.groupBy("image_id").agg(F.count("*").alias("n"), both("v").alias("a"), F.count(positive).alias("m"), both(positive).alias("b"))
+    again = (F.col("a")[1] == 0) & (F.col("m") > 10)
+    s = s.select("image_id", "n", F.when(again, 0.0).otherwise(F.col("a")[0]).alias("lo"), F.when(again, F.col("b")[1]).otherwise(F.col("a")[1]).alias("hi"))
+    scaled = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))))
+    v = F.when(F.coalesce("n", F.lit(0)) <= 10, F.col("v")).when(F.col("hi") > F.col("lo"), scaled).otherwise(0.0)
+    return px.join(s, "image_id", "left").select("image_id", *AT, v.alias("v"))
+
+
+def frame(px: DataFrame, border: int) -> DataFrame:
+    """Pixels further than ``border`` from the image's edge become 0."""
+    size = px.groupBy("image_id").agg(F.max("r").alias("_r"), F.max("c").alias("_c"))
+    edge = F.least("r", "c", F.col("_r") - F.col("r"), F.col("_c") - F.col("c"))
+    return px.join(size, "image_id").select("image_id", *AT, F.when(edge < border, F.col("v")).otherwise(0.0).alias("v"))
+
+
+def align(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two images on one canvas: (r, c, va, vb), 0 where one of them ends."""
+    one = lambda px, name: px.select(*AT, F.col("v").alias(name))
+    return one(a, "va").join(one(b, "vb"), list(AT), "full").select(*AT, F.coalesce("va", F.lit(0.0)).alias("va"), F.coalesce("vb", F.lit(0.0)).alias("vb"))
+
+
+def place_tiles(px: DataFrame, positions: DataFrame) -> DataFrame:
+    """Pixels of tiles (tile, r, c, v) on the canvas at (tile, r0, c0); the tile of the larger number wins."""
+    moved = px.join(positions, "tile").select((F.col("r") + F.col("r0")).alias("r"), (F.col("c") + F.col("c0")).alias("c"), "tile", "v")
+    return moved.groupBy(*AT).agg(F.max_by("v", "tile").alias("v"), F.max("tile").alias("tile"))
+
+
+def structural_similarity(px: DataFrame, a: str, b: str, radius: int = 3, data_range: float = 1.0) -> DataFrame:
+    """Structural similarity of two dense images over squares, borders reflected: (r, c, v).
+
+    Five products are averaged in two separable passes of windows over one row and one column of the image.
+    """
+    k1, k2 = 0.01, 0.03  # fixed values of the measure
+    n = (2 * radius + 1) ** 2
+    size = px.where(F.col("image_id").isin(a, b)).agg(F.max("r").alias("_r"), F.max("c").alias("_c"))
+    of = lambda name: F.max(F.when(F.col("image_id") == name, F.col("v")))
+    d = px.where(F.col("image_id").isin(a, b)).groupBy(*AT).agg(of(a).alias("x"), of(b).alias("y")).where("x is not null and y is not null").join(F.broadcast(size))  # one row
+    for at, end in (("r", "_r"), ("c", "_c")):
+        places = F.array(F.col(at), F.when(F.col(at) < radius, -1 - F.col(at)), F.when(F.col(at) > F.col(end) - radius, 2 * F.col(end) + 1 - F.col(at)))
+        d = d.withColumn(at, F.explode(F.array_compact(places)))
+    parts = {"x": F.col("x"), "y": F.col("y"), "xx": F.col("x") * F.col("x"), "yy": F.col("y") * F.col("y"), "xy": F.col("x") * F.col("y")}
+    row, col = (Window.partitionBy(p).orderBy(o).rangeBetween(-radius, radius) for p, o in (("r", "c"), ("c", "r")))
+    d = d.select(*AT, "_r", "_c", *(F.sum(e).over(row).alias(k) for k, e in parts.items()))
+    d = d.select(*AT, "_r", "_c", *((F.sum(k).over(col) / n).alias(k) for k in parts)).where("r between 0 and _r and c between 0 and _c")
+    e = {k: F.col(k) for k in parts}
+    f, c1, c2 = n / (n - 1), (k1 * data_range) ** 2, (k2 * data_range) ** 2
+    vx, vy, vxy = f * (e["xx"] - e["x"] * e["x"]), f * (e["yy"] - e["y"] * e["y"]), f * (e["xy"] - e["x"] * e["y"])
+    top = (2 * e["x"] * e["y"] + c1) * (2 * vxy + c2)
+    return d.select(*AT, (top / ((e["x"] * e["x"] + e["y"] * e["y"] + c1) * (vx + vy + c2))).alias("v"))
+
+
+def angle_histogram(angle: DataFrame, width: float = 0.01, bins: int = 157, reach: int = 2, block: int = 4096) -> DataFrame:
+    """Histogram, normed to 100, of the moving mean of ``phi`` along (r, c); at the ends over what is there.
+
+    Positions in raster order come from the counts of rows, so that the mean is taken in blocks with a margin and no window spans the image.
+    """
+    rows = angle.groupBy("r").agg(F.count("*").alias("n"))
+    before = rows.select("r", (F.sum("n").over(Window.orderBy("r")) - F.col("n")).alias("before"))  # one row per image row
+    d = angle.join(before, "r").withColumn("i", F.col("before") + F.row_number().over(Window.partitionBy("r").orderBy("c")) - 1)
+    near = F.array_distinct(F.array(*(F.floor((F.col("i") + k) / block) for k in (-reach, 0, reach))))
+    d = d.select("i", "phi", F.explode(near).alias("b"))
+    d = d.withColumn("m", F.avg("phi").over(Window.partitionBy("b").orderBy("i").rangeBetween(-reach, reach))).where(F.floor(F.col("i") / block) == F.col("b"))
+    h = d.where((F.col("m") >= 0) & (F.col("m") <= width * bins)).groupBy(F.least(F.floor(F.col("m") / width), F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    return h.join(F.broadcast(h.agg(F.sum("n").alias("all")))).select("bin", "n", (100 * F.col("n") / F.col("all")).alias("share"))  # one row
+
+
+def blend(predictions: DataFrame, size: int) -> DataFrame:
+    """Of (r, c, lr, lc, class, p) from overlapping tiles the class with the largest mean, weighted by a two-dimensional Hann window."""
+    hann = lambda x: 0.5 - 0.5 * F.cos(2 * F.lit(3.141592653589793) * F.col(x) / (size - 1))
+    d = predictions.withColumn("w", hann("lr") * hann("lc"))
+    mean = d.groupBy(*AT, "class").agg((F.sum(F.col("w") * F.col("p")) / F.greatest(F.sum("w"), F.lit(1e-6))).alias("p"))
+    return mean.groupBy(*AT).agg(F.min_by("class", F.struct(-F.col("p"), "class")).alias("class"), F.max("p").alias("p"))
+
+
+def recode_classes(best: DataFrame, codes: dict[int, int], least: float = 0.5) -> DataFrame:
+    """Classes below ``least`` become 0, the others what ``codes`` says, or stay."""
+    code = F.coalesce(F.create_map(*(F.lit(x) for kv in codes.items() for x in kv))[F.col("class")], F.col("class"))
+    return best.select(*AT, F.when(F.col("p") < least, 0).otherwise(code).alias("class"))
+
+
+def largest_component(parts: DataFrame) -> DataFrame:
+    """Pixels of the component with most pixels; the smaller label wins ties."""
+    best = parts.groupBy("component").agg(F.count("*").alias("n")).agg(F.min_by("component", F.struct(-F.col("n"), "component")).alias("component"))
+    return parts.join(F.broadcast(best), "component", "left_semi")  # one row
+
+
+def paint(labels: DataFrame, colours: DataFrame) -> DataFrame:
+    """Labels grown by one pixel (the larger label wins), with their colour; pixels with another label beside them are black."""
+    offsets = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    spread = labels.where("OID <> 0").withColumn("o", F.explode(offsets)).select((F.col("r") + F.col("o.i")).alias("r"), (F.col("c") + F.col("o.j")).alias("c"), "OID")
+    grown = spread.groupBy(*AT).agg(F.max("OID").alias("OID"))
+    cross = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 0), (0, 1), (0, -1), (1, 0), (-1, 0))))
+    seen = grown.withColumn("o", F.explode(cross)).select((F.col("r") + F.col("o.i")).alias("r"), (F.col("c") + F.col("o.j")).alias("c"), "OID", (F.expr("o.i = 0 and o.j = 0")).alias("own"))
+    edge = seen.groupBy(*AT).agg(F.max(F.when(F.col("own"), F.col("OID"))).alias("OID"), (F.min("OID") != F.max("OID")).alias("edge")).where("OID is not null")
+    return edge.join(colours, "OID", "left").select(*AT, "OID", F.when(F.col("edge"), "black").otherwise(F.coalesce("colour", F.lit("grey"))).alias("colour"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -197,3 +198,58 @@ def size_rank_labels(df: DataFrame, label: str, least: int = 10) -> DataFrame:
     """Labels renumbered by falling size from 0; those of at most ``least`` rows become -1."""
     n = df.groupBy(label).agg(F.count("*").alias("n"))
     return n.withColumn("new_label", F.when(F.col("n") <= least, -1).otherwise(F.row_number().over(Window.orderBy(F.desc("n"), label)) - 1))
+
+
+def annotation_sample_counts(counts: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Counts of (sample_id, cl_method, cluster, Ncells, mean_confidence, fraction_high, source) by annotation; shares weighted by cells."""
+    d = counts.join(dictionary.select("cl_method", "cluster", "annotation"), ["cl_method", "cluster"], "left").withColumn("annotation", F.coalesce("annotation", "cluster"))
+    weighted = lambda c: (F.sum(F.col(c) * F.col("Ncells")) / F.sum("Ncells")).alias(c)
+    return d.groupBy("sample_id", "cl_method", "annotation").agg(
+        F.sum("Ncells").alias("Ncells"), F.array_join(F.array_sort(F.collect_set("cluster")), ",").alias("clusters_merged"),
+        weighted("mean_confidence"), weighted("fraction_high"), F.min("source").alias("source"))
+
+
+def annotation_state(dictionary: DataFrame) -> DataFrame:
+    """One row ``state``: the dictionary's records and their mapping as JSON. A dictionary holds the clusters of a few methods."""
+    r = F.array_sort(F.collect_list(F.struct("cl_method", "cluster", "annotation")))
+    entries = F.transform("r", lambda x: F.struct(F.concat(x["cl_method"], F.lit("|"), x["cluster"]), x["annotation"]))
+    return dictionary.agg(r.alias("r")).select(F.to_json(F.struct(F.col("r").alias("clusters"), F.map_from_entries(entries).alias("mapping"))).alias("state"))
+
+
+def plot_quotas(df: DataFrame, most: int, by: str = "cluster") -> DataFrame:
+    """Rows to draw per label: proportional, rounded half to even, at least one, at most all."""
+    n = df.groupBy(by).agg(F.count("*").alias("n"))
+    total = n.agg(F.sum("n").alias("total"))
+    k = F.least(F.col("n"), F.greatest(F.lit(1), F.bround(most * (F.col("n") / F.col("total"))).cast("long")))
+    return n.join(F.broadcast(total)).select(by, "n", F.when(F.col("total") <= most, F.col("n")).otherwise(k).alias("k"))  # one row
+
+
+def plot_sample(df: DataFrame, most: int, by: str = "cluster", ids: Sequence[str] = ("sample_id", "OID"), seed: int = 1234) -> DataFrame:
+    """The rows of :func:`plot_quotas` in hash order, trimmed to ``most``."""
+    d = df.join(F.broadcast(plot_quotas(df, most, by).select(by, "k")), by).withColumn("_h", F.xxhash64(F.lit(seed), *ids))
+    d = d.withColumn("_i", F.row_number().over(Window.partitionBy(by).orderBy("_h", *ids))).where("_i <= k")
+    return d.orderBy("_h", *ids).limit(most).drop("_h", "_i", "k")
+
+
+def columns_by_mean(df: DataFrame, markers: Sequence[str]) -> DataFrame:
+    """Markers and their means, largest first."""
+    long = df.agg(*(F.avg(m).alias(m) for m in markers)).unpivot([], list(markers), "marker", "mean")
+    return long.orderBy(F.desc("mean"), "marker")
+
+
+def smooth_density(density: DataFrame, bins: int, sigma: float = 1.0, reach: int = 3) -> DataFrame:
+    """Gaussian smoothing of (ix, iy, n); beyond the border the nearest bin counts.
+
+    Each bin gives its count to the bins around it; a bin at the border gives also what the copies of it beyond would give.
+    """
+    weights = [math.exp(-k * k / (2 * sigma * sigma)) for k in range(-reach, reach + 1)]
+    total = sum(weights)
+
+    def spread(d: DataFrame, at: str) -> DataFrame:
+        copies = F.filter(F.sequence(F.lit(-reach), F.lit(bins - 1 + reach)), lambda x: F.least(F.greatest(x, F.lit(0)), F.lit(bins - 1)) == F.col(at))
+        d = d.withColumn("_x", F.explode(copies)).withColumn("_k", F.explode(F.sequence(F.lit(-reach), F.lit(reach))))
+        w = F.element_at(F.array(*(F.lit(x / total) for x in weights)), F.col("_k") + reach + 1)
+        d = d.withColumn("n", F.col("n") * w).withColumn(at, F.col("_x") + F.col("_k")).where(F.col(at).between(0, bins - 1))
+        return d.groupBy("ix", "iy").agg(F.sum("n").alias("n"))
+
+    return spread(spread(density.select("ix", "iy", F.col("n").cast("double").alias("n")), "ix"), "iy")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tessera.fixtures import view, with_views
 from tessera.operators import cells as C
+from tessera.operators import learning as L
 from tessera.operators import neighbours as N
+from tessera.operators import pairing as R
 from tessera.operators import pixels as P
 from tessera.operators import quality as Q
 from tessera.operators import summaries as S
@@ -706,6 +708,229 @@ def cell_to_object(v):
     return P.cells_to_objects(v("cells"), v("label_pixels")).select("sample_id", "OID", "object")
 
 
-@query("""SELECT p.image_id, p.r, p.c, round(avg(q.v), 6) AS v FROM pixels p JOIN pixels q ON p.image_id = q.image_id AND q.r BETWEEN p.r - 2 AND p.r + 2 AND q.c BETWEEN p.c - 2 AND p.c + 2 WHERE p.image_id = 'AF' AND p.r < 40 GROUP BY 1, 2, 3""")
+@query("""WITH o AS (SELECT p.image_id, p.r, p.c, p.r + i AS qr, p.c + j AS qc FROM pixels p, (SELECT unnest(range(-2, 3)) AS i) a, (SELECT unnest(range(-2, 3)) AS j) b)
+  SELECT o.image_id, o.r, o.c, round(avg(q.v), 6) AS v FROM o JOIN pixels q ON q.image_id = o.image_id AND q.r = o.qr AND q.c = o.qc GROUP BY 1, 2, 3""")
 def box_filter(v):
-    return P.window_means(v("pixels").where("image_id = 'AF' and r < 43"), 2).where("r < 40")
+    return P.window_means(v("pixels"), 2)
+
+
+# references and pairs ---------------------------------------------------------------------------------------------
+
+_SAME = "(a.slide_id = b.slide_id AND a.scene_id = b.scene_id AND a.channel_id = b.channel_id)"
+
+
+@query(f"""WITH e AS (SELECT a.file_name, min(b.file_name) AS f FROM images a JOIN images b ON {_SAME} AND b.round_n = a.ref_round_af GROUP BY 1),
+  n AS (SELECT a.file_name, b.file_name AS f FROM images a JOIN images b ON {_SAME} WHERE b.marker_id = 'AF' AND b.QC_include = 1
+        QUALIFY row_number() OVER (PARTITION BY a.file_name ORDER BY abs(a.round_n - b.round_n), b.round_n, b.file_name) = 1),
+  s AS (SELECT a.file_name, min(b.file_name) AS f FROM images a JOIN images b ON {_SAME} GROUP BY 1)
+  SELECT i.file_name, coalesce(e.f, n.f, s.f) AS af_file, CASE WHEN e.f IS NOT NULL THEN 'named' WHEN n.f IS NOT NULL THEN 'nearest' ELSE 'channel' END AS how
+  FROM images i LEFT JOIN e USING (file_name) LEFT JOIN n USING (file_name) LEFT JOIN s USING (file_name)
+  WHERE QC_include = 1 AND marker_id NOT IN ('AF', 'BLANK', 'DAPI', 'NA') AND upper(marker_id) <> upper(channel_id)""")
+def af_pairing(v):
+    return R.pair_backgrounds(v("images"))
+
+
+_RESOLVED = """o AS (SELECT slide_id, 'S0' AS scene_id, CAST(2 AS INT) AS round_o, CASE WHEN slide_id LIKE '%1' THEN 'V02' END AS version_o FROM images WHERE slide_id LIKE '%1' OR slide_id LIKE '%2' GROUP BY 1
+        UNION ALL SELECT DISTINCT slide_id, 'S9', CAST(1 AS INT), 'V01' FROM images WHERE slide_id LIKE '%3'),
+  w AS (SELECT s.slide_id, s.scene_id, coalesce(round_o, 1) AS round_n, version_o FROM (SELECT DISTINCT slide_id, scene_id FROM images) s LEFT JOIN o USING (slide_id, scene_id)),
+  h AS (SELECT slide_id, scene_id, round_n, list(DISTINCT version) AS vs FROM images GROUP BY 1, 2, 3),
+  t AS (SELECT slide_id, scene_id, round_n, version_o, vs, CASE WHEN vs IS NULL THEN 'no_round' WHEN version_o IS NULL AND len(vs) > 1 THEN 'ambiguous_version'
+        WHEN version_o IS NOT NULL AND NOT list_contains(vs, version_o) THEN 'no_version' ELSE 'ok' END AS status FROM w LEFT JOIN h USING (slide_id, scene_id, round_n)),
+  res AS (SELECT slide_id, scene_id, round_n, CASE WHEN status = 'ok' THEN coalesce(version_o, vs[1]) END AS version, status FROM t
+        UNION ALL SELECT slide_id, scene_id, round_o, version_o, 'unused_override' FROM o WHERE scene_id = 'S9')"""
+
+
+def _resolved(v) -> DataFrame:
+    s = v("images").select("slide_id").distinct()
+    end = F.substring("slide_id", -1, 1)
+    some = s.where(end.isin("1", "2")).select("slide_id", F.lit("S0").alias("scene_id"), F.lit(2).alias("round_o"), F.when(end == "1", "V02").alias("version_o"))
+    lost = s.where(end == "3").select("slide_id", F.lit("S9"), F.lit(1), F.lit("V01"))
+    return R.resolve_references(v("images"), 1, overrides=some.union(lost))
+
+
+@query(f"WITH {_RESOLVED} SELECT * FROM res")
+def resolve_reference(v):
+    return _resolved(v)
+
+
+@query(f"WITH {_RESOLVED} SELECT file_name, EXISTS (SELECT 1 FROM res r WHERE r.status = 'ok' AND r.slide_id = i.slide_id AND r.scene_id = i.scene_id AND r.round_n = i.round_n AND r.version = i.version) AS is_reference FROM images i")
+def ref_pairing(v):
+    return R.mark_references(v("images"), _resolved(v)).select("file_name", "is_reference")
+
+
+@query(f"""WITH {_RESOLVED}, k AS (SELECT b.slide_id, b.scene_id, b.channel_id, min(file_name) FILTER (b.version = r.version) AS one, min(file_name) AS any_ FROM images b JOIN res r
+        ON r.status = 'ok' AND r.slide_id = b.slide_id AND r.scene_id = b.scene_id AND r.round_n = b.round_n GROUP BY 1, 2, 3)
+  SELECT file_name, coalesce(one, any_) AS ref_file, one IS NOT NULL AS exact FROM images LEFT JOIN k USING (slide_id, scene_id, channel_id)""")
+def ref_counterpart(v):
+    return R.counterparts(v("images"), _resolved(v))
+
+
+@query("SELECT file_name, slide_id, channel_id, round_n, n FROM images LEFT JOIN (SELECT slide_id, channel_id, round_n, count(*) AS n FROM images WHERE marker_id = 'AF' GROUP BY 1, 2, 3) d USING (slide_id, channel_id, round_n)")
+def join_natural_left(v):
+    i = v("images")
+    return R.natural_left(i.select("file_name", "slide_id", "channel_id", "round_n"), i.where("marker_id = 'AF'").groupBy("slide_id", "channel_id", "round_n").agg(F.count("*").alias("n")))
+
+
+@query("""WITH one AS (SELECT slide_id, scene_id, 'R' || CAST(round_n AS VARCHAR) || '/' || version AS k, min(file_name) AS f FROM images GROUP BY 1, 2, 3)
+  SELECT slide_id, scene_id, string_agg(k || '=' || f, ',' ORDER BY k) AS scans FROM one GROUP BY 1, 2""")
+def scan_by_round_version(v):
+    s = R.scans(v("images"))
+    return s.withColumn("scans", F.array_join(F.transform(F.array_sort(F.map_entries("scans")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ","))
+
+
+@query("SELECT s.slide_id, r.round_n, r.version FROM (SELECT DISTINCT slide_id FROM images) s CROSS JOIN (SELECT DISTINCT round_n, version FROM images) r")
+def join_cross_slides(v):
+    return R.every_round(v("images"))
+
+
+@query("SELECT pair, method, coalesce(score, 0.0) AS score, dx, round(dy, 6) AS dy, area FROM estimates QUALIFY row_number() OVER (PARTITION BY pair ORDER BY coalesce(score, 0.0) DESC, method) = 1")
+def best_transform(v):
+    return R.best_estimates(v("estimates"))
+
+
+@query("""WITH m AS (SELECT *, CASE method WHEN 'features' THEN 1 WHEN 'phase' THEN 2 WHEN 'template' THEN 3 ELSE 4 END AS i FROM estimates),
+  g AS (SELECT a.* FROM m a JOIN m b ON a.pair = b.pair AND a.i < b.i AND greatest(a.dx - b.dx, a.dy - b.dy) < 5 QUALIFY row_number() OVER (PARTITION BY a.pair ORDER BY a.i) = 1)
+  SELECT p.pair, g.method, g.dx, round(g.dy, 6) AS dy FROM (SELECT DISTINCT pair FROM estimates) p LEFT JOIN g USING (pair)""")
+def priority_agreement(v):
+    return R.first_agreement(v("estimates"), ("features", "phase", "template", "grid"))
+
+
+@query("SELECT channel, tile, stage_x - min(stage_x) OVER (PARTITION BY channel) AS x, stage_y - min(stage_y) OVER (PARTITION BY channel) AS y FROM tiles")
+def tile_coords(v):
+    return R.stage_coordinates(v("tiles"))
+
+
+_LEVELS = "(SELECT slide, {c}, dense_rank() OVER (PARTITION BY slide ORDER BY {c}) AS k FROM tiles)"
+
+
+@query(f"""WITH x AS (SELECT slide, 1 - (max({{c}}) FILTER (k = 2) - max({{c}}) FILTER (k = 1)) / 2040 AS o FROM {_LEVELS} GROUP BY 1), """.replace("{c}", "stage_x")
+       + f"""y AS (SELECT slide, 1 - (max({{c}}) FILTER (k = 2) - max({{c}}) FILTER (k = 1)) / 2040 AS o FROM {_LEVELS} GROUP BY 1) """.replace("{c}", "stage_y")
+       + "SELECT slide, round(x.o, 6) AS overlap_x, round(y.o, 6) AS overlap_y, round((x.o + y.o) / 2, 6) AS overlap FROM x JOIN y USING (slide) WHERE x.o IS NOT NULL AND y.o IS NOT NULL")
+def tile_overlap_pct(v):
+    return R.overlap_share(v("tiles"))
+
+
+@query("""WITH j AS (SELECT t.slide, t.tile, b.region FROM tiles t JOIN tile_boxes b ON t.slide = b.slide AND stage_x < x1 AND stage_x + width_px > x0 AND stage_y < y1 AND stage_y + height_px > y0),
+  n AS (SELECT slide, region, count(*) AS n FROM j GROUP BY 1, 2) SELECT slide, region, tile FROM j JOIN n USING (slide, region) QUALIFY n = max(n) OVER (PARTITION BY slide)""")
+def join_tile_bbox_overlap(v):
+    return T.largest_subgroup(R.tiles_in_boxes(v("tiles"), v("tile_boxes")), "slide", "region").select("slide", "region", "tile")
+
+
+# further summaries ------------------------------------------------------------------------------------------------
+
+@query(f"""WITH {_MAPPED}, k AS (SELECT sample_id, cl_method, cluster, count(*) AS n, avg(confidence) AS c, avg(CASE WHEN status = 'high_confidence' THEN 1.0 ELSE 0.0 END) AS h FROM m GROUP BY 1, 2, 3)
+  SELECT sample_id, cl_method, coalesce(annotation, cluster) AS annotation, CAST(sum(n) AS BIGINT) AS Ncells, string_agg(DISTINCT cluster, ',' ORDER BY cluster) AS clusters_merged,
+  round(sum(c * n) / sum(n), 6) AS mean_confidence, round(sum(h * n) / sum(n), 6) AS fraction_high, 'full' AS source
+  FROM k LEFT JOIN annotation_dictionary USING (cl_method, cluster) GROUP BY 1, 2, 3""")
+def annotation_sample_counts(v):
+    return S.annotation_sample_counts(S.cluster_sample_counts(_mapped(v)), v("annotation_dictionary"))
+
+
+@query("""WITH n AS (SELECT cluster, count(*) AS n FROM clusters GROUP BY 1), t AS (SELECT sum(n) AS t FROM n)
+  SELECT cluster, n, CAST(least(n, greatest(1, round_even(2500 * (n / t), 0))) AS BIGINT) AS k FROM n, t WHERE t > 2500 UNION ALL SELECT cluster, n, n FROM n, t WHERE t <= 2500""")
+def plot_sample(v):
+    return S.plot_quotas(v("clusters"), 2500)
+
+
+@query("SELECT 'QTY' AS marker, round(avg(QTY), 6) AS mean FROM cells UNION ALL SELECT 'PRICE', round(avg(PRICE), 6) FROM cells UNION ALL SELECT 'DISC', round(avg(DISC), 6) FROM cells UNION ALL SELECT 'TAX', round(avg(TAX), 6) FROM cells")
+def cols_by_mean(v):
+    return S.columns_by_mean(v("cells"), MARKERS)
+
+
+@query("""WITH d AS (SELECT CAST(least(floor(X / 2000 * 24), 23) AS INT) AS ix, CAST(least(floor(PRICE / 100000 * 24), 23) AS INT) AS iy, count(*) AS n FROM cells WHERE X BETWEEN 0 AND 2000 AND PRICE BETWEEN 0 AND 100000 GROUP BY 1, 2),
+  w AS (SELECT k, exp(-k * k / 2.0) / (SELECT sum(exp(-j * j / 2.0)) FROM (SELECT unnest(range(-3, 4)) AS j) b) AS w FROM (SELECT unnest(range(-3, 4)) AS k) a), g AS (SELECT unnest(range(0, 24)) AS x),
+  s AS (SELECT gx.x AS ix, gy.x AS iy, sum(wx.w * wy.w * n) AS n FROM g gx CROSS JOIN g gy CROSS JOIN w wx CROSS JOIN w wy JOIN d ON d.ix = least(23, greatest(0, gx.x + wx.k)) AND d.iy = least(23, greatest(0, gy.x + wy.k)) GROUP BY 1, 2)
+  SELECT CAST(ix AS INT) AS ix, CAST(iy AS INT) AS iy, round(n, 6) AS n FROM s""")
+def density_smooth(v):
+    d = S.density2d(v("cells"), "X", "PRICE", (0.0, 2000.0), (0.0, 100000.0), 24)
+    return S.smooth_density(d, 24).withColumn("ix", F.col("ix").cast("int")).withColumn("iy", F.col("iy").cast("int"))
+
+
+# further pixel operators ------------------------------------------------------------------------------------------
+
+@query("""WITH u AS (SELECT p.* FROM pixels p WHERE EXISTS (SELECT 1 FROM label_pixels l WHERE l.r = p.r AND l.c = p.c AND l.OID <> 0)), s AS (SELECT image_id, quantile_cont(v, 0.01) AS lo, quantile_cont(v, 0.99) AS hi FROM u GROUP BY 1)
+  SELECT image_id, r, c, round(least(1.0, greatest(0.0, (v - lo) / (hi - lo))), 6) + 0.0 AS v FROM pixels JOIN s USING (image_id)""")
+def px_rescale_mask(v):
+    return P.rescale_masked(v("pixels"), v("label_pixels").where("OID <> 0"))
+
+
+@query("WITH s AS (SELECT image_id, max(r) AS mr, max(c) AS mc FROM pixels GROUP BY 1) SELECT image_id, r, c, CASE WHEN least(r, c, mr - r, mc - c) < 4 THEN v ELSE 0.0 END AS v FROM pixels JOIN s USING (image_id)")
+def px_frame(v):
+    return P.frame(v("pixels"), 4)
+
+
+@query("""SELECT coalesce(a.r, b.r) AS r, coalesce(a.c, b.c) AS c, coalesce(a.v, 0.0) AS va, coalesce(b.v, 0.0) AS vb FROM (SELECT * FROM pixels WHERE image_id = 'MS') a
+  FULL JOIN (SELECT CAST(r + 3 AS INT) AS r, c, v FROM pixels WHERE image_id = 'AF') b ON a.r = b.r AND a.c = b.c""")
+def px_align(v):
+    px = v("pixels")
+    return P.align(px.where("image_id = 'MS'"), px.where("image_id = 'AF'").withColumn("r", F.col("r") + 3))
+
+
+@query("""WITH m AS (SELECT CAST(floor(r / 16) AS INT) AS tile, CAST(r % 16 + floor(r / 16) * 12 AS INT) AS r, c, v FROM pixels WHERE image_id = 'MS')
+  SELECT r, c, v, tile FROM m QUALIFY row_number() OVER (PARTITION BY r, c ORDER BY tile DESC) = 1""")
+def stitch_place(v):
+    px = v("pixels").where("image_id = 'MS'").select(F.floor(F.col("r") / 16).cast("int").alias("tile"), (F.col("r") % 16).alias("r"), "c", "v")
+    positions = px.select("tile").distinct().select("tile", (F.col("tile") * 12).alias("r0"), F.lit(0).alias("c0"))
+    return P.place_tiles(px, positions)
+
+
+@query("""WITH p AS (SELECT m.r, m.c, m.v / 60000 AS x, a.v / 1000 AS y FROM pixels m JOIN pixels a ON m.r = a.r AND m.c = a.c WHERE m.image_id = 'MS' AND a.image_id = 'AF'),
+  s AS (SELECT max(r) AS mr, max(c) AS mc FROM p), k AS (SELECT unnest(range(-3, 4)) AS k),
+  o AS (SELECT r, c, r + i.k AS qr, c + j.k AS qc, mr, mc FROM p, s, k i, k j),
+  q AS (SELECT r, c, CASE WHEN qr < 0 THEN -1 - qr WHEN qr > mr THEN 2 * mr + 1 - qr ELSE qr END AS qr, CASE WHEN qc < 0 THEN -1 - qc WHEN qc > mc THEN 2 * mc + 1 - qc ELSE qc END AS qc FROM o),
+  b AS (SELECT q.r, q.c, sum(x) / 49 AS ux, sum(y) / 49 AS uy, sum(x * x) / 49 AS xx, sum(y * y) / 49 AS yy, sum(x * y) / 49 AS xy FROM q JOIN p ON p.r = q.qr AND p.c = q.qc GROUP BY 1, 2)
+  SELECT r, c, round((2 * ux * uy + 0.0001) * (2 * 49 / 48.0 * (xy - ux * uy) + 0.0009) / ((ux * ux + uy * uy + 0.0001) * (49 / 48.0 * (xx - ux * ux + yy - uy * uy) + 0.0009)), 6) AS v FROM b""")
+def ssim_map(v):
+    px = v("pixels").withColumn("v", F.when(F.col("image_id") == "MS", F.col("v") / 60000).otherwise(F.col("v") / 1000))
+    return P.structural_similarity(px, "MS", "AF")
+
+
+@query(f"""WITH {_ANGLES}, m AS (SELECT avg(phi) OVER (ORDER BY r, c ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS m FROM a),
+  h AS (SELECT CAST(least(floor(m / 0.01), 156) AS INT) AS bin, count(*) AS n FROM m WHERE m BETWEEN 0 AND 0.01 * 157 GROUP BY 1) SELECT bin, n, round(100.0 * n / sum(n) OVER (), 6) AS share FROM h""")
+def afs_histogram(v):
+    return P.angle_histogram(P.angles(v("pixels")))
+
+
+_BLEND = """h AS (SELECT *, (0.5 - 0.5 * cos(2 * pi() * lr / 15)) * (0.5 - 0.5 * cos(2 * pi() * lc / 15)) AS w FROM class_scores), mean AS (SELECT r, c, class, sum(w * p) / greatest(sum(w), 1e-6) AS p FROM h GROUP BY 1, 2, 3),
+  best AS (SELECT * FROM mean QUALIFY row_number() OVER (PARTITION BY r, c ORDER BY p DESC, class) = 1)"""
+
+
+@query(f"WITH {_BLEND} SELECT r, c, class, round(p, 6) AS p FROM best")
+def blend_predictions(v):
+    return P.blend(v("class_scores"), 16)
+
+
+@query(f"WITH {_BLEND} SELECT r, c, CAST(CASE WHEN p < 0.5 THEN 0 WHEN class = 2 THEN 7 ELSE class END AS INT) AS class FROM best")
+def class_threshold_map(v):
+    return P.recode_classes(P.blend(v("class_scores"), 16), {2: 7})
+
+
+@query("""WITH g AS (SELECT r + i AS r, c + j AS c, max(OID) AS OID FROM label_pixels, (SELECT unnest(range(-1, 2)) AS i) a, (SELECT unnest(range(-1, 2)) AS j) b WHERE OID <> 0 GROUP BY 1, 2),
+  e AS (SELECT g.r, g.c, bool_or(n.OID <> g.OID) AS edge FROM g JOIN (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) AS o(i, j) ON true JOIN g n ON n.r = g.r + o.i AND n.c = g.c + o.j GROUP BY 1, 2)
+  SELECT g.r, g.c, g.OID, CASE WHEN edge THEN 'black' WHEN g.OID % 3 = 0 THEN 'red' WHEN g.OID % 3 = 1 THEN 'blue' ELSE 'grey' END AS colour FROM g LEFT JOIN e USING (r, c)""")
+def paint_cells(v):
+    l = v("label_pixels")  # noqa: E741
+    colours = l.where("OID % 3 <> 2").select("OID", F.when(F.col("OID") % 3 == 0, "red").otherwise("blue").alias("colour")).distinct()
+    return P.paint(l, colours)
+
+
+@query()
+def cc_largest(v):
+    return P.largest_component(P.label_components(v("pixels").where("image_id = 'AF' and v % 5 < 2").select("r", "c"), 150))
+
+
+# learning ---------------------------------------------------------------------------------------------------------
+
+@query()
+def pca2(v):
+    return L.pca2(v("cells"), MARKERS, ("sample_id", "OID"))
+
+
+@query()
+def kmeans(v):
+    return L.kmeans(v("cells"), MARKERS, ("sample_id", "OID"), 5)
+
+
+@query()
+def gmm_threshold(v):
+    return L.mixture_threshold(P.angles(v("pixels")), "phi")
