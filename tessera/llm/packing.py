@@ -57,11 +57,31 @@ class WordEncoder:
         self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else -1  # else chunks are encoded one by one
+        vocabulary, suffix = self.tokenizer.get_vocab(with_added_tokens=True), getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Chunks of letters only as one text; each is one word of the tokenizer's, whose last token says that it ends a word."""
+        ids = np.frombuffer(self._encode([" ".join(words)])[0], "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):  # no such tokens, or a letter's lower case may hold more than letters
+            return self._encode_chunks(words)
+        raw, at, out = ids.tobytes(), 0, {}
+        for word, end in zip(words, ends.tolist(), strict=True):
+            out[word] = raw[4 * at : 4 * end]
+            at = end
+        return out
+
+    def _encode_new(self, chunks: list[str]) -> dict[str, bytes]:
+        words = [c for c in chunks if c.isalpha()]
+        others = [c for c in chunks if not c.isalpha()]
+        return {**(self._encode_words(words) if words else {}), **(self._encode_chunks(others) if others else {})}
+
     def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
         """All chunks as one text, with MARK, a token of its own, between them."""
         odd = [c for c in chunks if MARK in c]
@@ -85,7 +105,7 @@ class WordEncoder:
                 known[""] = b""
                 new = list(distinct)
             parts = {c: _core_and_tail(c) for c in new}
-            known.update(self._encode_chunks([x for x in {x for p in parts.values() for x in p} if x not in known]))
+            known.update(self._encode_new([x for x in {x for p in parts.values() for x in p} if x not in known]))
             known.update((c, known[core] + known[tail]) for c, (core, tail) in parts.items())
         return [self._encode([t])[0] if x is None else b"".join(map(known.__getitem__, x)) for t, x in zip(texts, split, strict=True)]
 

@@ -311,3 +311,14 @@ def test_pipeline_stages(spark):
     words = lambda t: t.select(mixing.count_words(F.col("text")).alias("n")).agg(F.sum("n")).first()[0]
     assert abs(words(seen["mixing"][1]) - 1.5 * words(seen["mixing"][0])) <= 20
     assert seen["packing"][1].select("doc_id", "start").count() > 0
+
+
+def test_packing_words_of_letters_equal_whole_encoding():
+    from tokenizers import Tokenizer
+
+    from tessera.llm.queries import tokenizer_path
+
+    texts = ["İstanbul iß ΣΑΣ Σ áb ́x 가 ǅ ﬁ Ⅷ x² 中文 字a don't I'M <|endoftext|> a\x01b \x01", "plain words only", "", "x\x1cy z", "aİ b"]
+    whole = Tokenizer.from_file(tokenizer_path())
+    want = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert packing.WordEncoder(tokenizer_path())(texts) == want
