@@ -2,12 +2,13 @@
 
 A state is a context of up to two words. It is kept when its next-word counts diverge enough from what its
 suffix predicts; its distribution is smoothed towards the suffix's; a word is scored by the longest kept suffix of what precedes it.
-The root is the unigram distribution, whose table may be of any size and is joined; what tasks hold of
-the states has a bound of its own, as states and entries below a fixed share of all tokens are left to the suffix.
+The root is the unigram distribution. Root and states are tables that grow with the corpus and are joined; tasks hold
+the most frequent words and states only to spare the join their rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -19,16 +20,17 @@ from pyspark.sql import functions as F
 
 from tessera.plans.lineage import cut, discard
 
-#: Least shares of all training tokens: of words that tasks hold (so at most 2^19), of words that are contexts of one and of two
-#: words (2^13, 2^9), of next words (2^15), and of entries (context, next word) (2^20).
-HELD, CONTEXT_1, CONTEXT_2, NEXT, ENTRY = 2**-19, 2**-13, 2**-9, 2**-15, 2**-20
+#: Least share of all training tokens of words that tasks hold (so at most 2^19), and most values of states that they hold.
+#: Both save shuffles and do not enter the result.
+HELD, CACHE = 2**-19, 2**20
+#: Bits of the maps by which tasks pass over keys that no table has.
+BITS = 24
 LEAST_COUNT = 3
 #: Nats of likelihood that a state must gain over its suffix for each of its entries.
 DIVERGENCE = 2.0
 #: Weight of the suffix's distribution, in tokens.
 SMOOTHING = 20.0
 END = b""  # the end of a text as a word; no other word is empty
-SHIFT = 20
 FLUSH = 1_000_000
 
 
@@ -61,70 +63,94 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
+def word_hash(word: bytes) -> int:
+    """64 bits that stand for a word in grams, never 0."""
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") or 1
+
+
+def pair(x: np.ndarray, y: np.ndarray | np.uint64) -> np.ndarray:
+    """64 bits that stand for x followed by y."""
+    z = x * np.uint64(0x9E3779B97F4A7C15) + y
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def one_word(a: np.ndarray) -> np.ndarray:
+    return pair(a, np.uint64(1))
+
+
+def two_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return pair(pair(a, np.uint64(2)), b)
+
+
+def bit_map(keys: DataFrame) -> np.ndarray:
+    """2^BITS bits, set at the low bits of each (key)."""
+    low = keys.select(F.col("key").bitwiseAND(F.lit((1 << BITS) - 1)).alias("k"))
+    rows = low.groupBy(F.shiftright("k", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(k & 63 AS int))")).alias("x")).toArrow()
+    out = np.zeros(1 << (BITS - 6), np.uint64)
+    out[rows.column("i").to_numpy()] = rows.column("x").to_numpy().view(np.uint64)
+    return out
+
+
+def in_map(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    at = key & np.uint64((1 << BITS) - 1)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
 @dataclass
 class Tree:
-    """States and entries as sorted arrays; differences are of log10 probabilities, to the root's."""
+    """What tasks hold: frequent words, the values of frequent states and entries, and a map of the keys of the others.
+
+    The gain at a word is the sum of its contexts' values and of its entries' values, each 0 where there is none: a
+    state's value is what a word without an entry gets, an entry's is what it gets more than that (log10, to the suffix).
+    """
 
     words: list[bytes]
     log_p: np.ndarray  # by id; 0 stands for words that are not held
+    hashes: np.ndarray  # by id
     n: int
     v: int
-    contexts_1: int
-    contexts_2: int
-    nexts: int
-    kept: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, bool)] * 2)  # by state
-    other: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0)] * 2)  # for words without an entry, to the suffix
-    keys: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, np.int64)] * 2)
-    diff: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0)] * 2)
-
-    def grams(self, t: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For one and two words of context: positions in t, and the states that stand there."""
-        end = self.words.index(END) + 1 if END in self.words else -1
-        is_1 = (t > 0) & (t <= self.contexts_1) & (t != end)
-        is_2 = is_1 & (t <= self.contexts_2)
-        one = np.flatnonzero(is_1[:-1]) + 1
-        two = np.flatnonzero(is_2[:-2] & is_2[1:-1]) + 2
-        return [(one, t[one - 1]), (two, (t[two - 2] << 10) + t[two - 1])]
-
-    def look_up(self, level: int, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys, key = self.keys[level], (state << SHIFT) + word
-        at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-        hit = (keys[at] == key) if len(keys) else np.zeros(len(key), bool)
-        return hit, self.diff[level][at] if len(keys) else np.zeros(len(key))
+    kept: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, bool)] * 2)  # of held states, by level
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    values: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    others: np.ndarray | None = None
+    table: DataFrame | None = None  # (key, value) of all
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"table": None}
+
+    def hashed(self, t: np.ndarray, words: list[bytes]) -> np.ndarray:
+        h = self.hashes[t]
+        for i in np.flatnonzero(t == 0):
+            h[i] = word_hash(words[i])
+        return h
+
+    def look_up(self, key: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """The sum of the values held, whether a key may have a value, and whether that is to be joined."""
+        hit = np.zeros(len(key), bool)
+        total = 0.0
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[at] == key
+            total = float(self.values[at[hit]].sum())
+        join = ~hit & in_map(self.others, key) if self.others is not None else np.zeros(len(key), bool)
+        return total, hit | join, join
+
+    def gains(self, h: np.ndarray) -> tuple[float, np.ndarray]:
+        """By how much held states raise the log10 probability of one text's words over the root's, and the keys to join."""
+        total, rest = 0.0, []
+        for state, word in ((one_word(h[:-1]), h[1:]), (two_words(h[:-2], h[1:-1]), h[2:])):
+            plus, some, join = self.look_up(state)
+            rest.append(state[join])
+            entry = pair(state[some], word[some])
+            more, _, join = self.look_up(entry)
+            rest.append(entry[join])
+            total += plus + more
+        return total, np.concatenate(rest)
 
     def gain(self, t: np.ndarray) -> float:
-        """By how much the states raise the log10 probability of the words t over the root's."""
-        total = np.zeros(len(t))
-        for level, (at, state) in enumerate(self.grams(t)):
-            kept = self.kept[level][state] if len(self.kept[level]) else np.zeros(len(state), bool)
-            at, state = at[kept], state[kept]
-            hit, diff = self.look_up(level, state, t[at])
-            total[at] = np.where(hit, diff, self.other[level][state] + total[at])
-        return float(total.sum())
-
-    def grow(self, level: int, key: np.ndarray, n: np.ndarray, sizes: np.ndarray) -> None:
-        """Add the states of a level: entries (key, n) and each state's tokens, ``sizes``."""
-        order = np.argsort(key)
-        key, n = key[order], n[order].astype(float)
-        state, word = key >> SHIFT, key & ((1 << SHIFT) - 1)
-        up = np.zeros(len(key))
-        if level:
-            suffix = state & 1023
-            hit, diff = self.look_up(0, suffix, word)
-            up = np.where(self.kept[0][suffix], np.where(hit, diff, self.other[0][suffix]), 0.0)
-        parent = 10.0 ** (self.log_p[word] + up)
-        total = sizes[state].astype(float)
-        p = (n + SMOOTHING * parent) / (total + SMOOTHING)
-        m = len(sizes)
-        sums = lambda x: np.bincount(state, x, m)
-        rest_n, rest_p = np.maximum(sizes - sums(n), 0), np.maximum(1 - sums(parent), 1e-9)
-        rest = (rest_n / rest_p + SMOOTHING) / (sizes + SMOOTHING)
-        gained = sums(n * np.log(p / parent)) + rest_n * np.log(rest)
-        entries = np.bincount(state, minlength=m)
-        self.kept[level] = (entries > 0) & (gained >= DIVERGENCE * (entries + 1))
-        self.other[level] = np.log10(rest)
-        keep = self.kept[level][state]
-        self.keys[level], self.diff[level] = key[keep], (np.log10(p) - self.log_p[word])[keep]
+        return self.gains(self.hashes[t])[0]
 
 
 def _encoder(tree: Tree):
@@ -132,54 +158,138 @@ def _encoder(tree: Tree):
     return lambda words: np.fromiter((ids.get(w, 0) for w in words), np.int64, len(words))
 
 
-def gram_counts(docs: DataFrame, tree: Tree) -> DataFrame:
-    """Rows (level, key, n): counts of (state, next word) over all of (text binary), summed per task before the shuffle."""
-    held = docs.sparkSession.sparkContext.broadcast(tree)
+def gram_counts(docs: DataFrame, tree: Tree, size: int, frequent: np.ndarray | None = None) -> DataFrame:
+    """Rows (g1, .., n): counts of runs of ``size`` words over all of (text binary) seen LEAST_COUNT times or more.
+
+    Summed per task before the shuffle. Of three words only those go there whose pairs may be in the map ``frequent``;
+    the others cannot be seen often enough.
+    """
+    held = docs.sparkSession.sparkContext.broadcast((tree, frequent))
+    names = [f"g{k}" for k in range(1, size + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = held.value
+        tree, frequent = held.value
         encode = _encoder(tree)
-        parts, size = [], 0
+        parts, length = [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                parts += [encode(words_of(text)), np.zeros(2, np.int64)]  # zeros are no context, so texts stay apart
-                size += len(parts[-2])
-                if size > FLUSH:
-                    yield from rows(tree, np.concatenate(parts))
-                    parts, size = [], 0
+                words = words_of(text)
+                parts += [tree.hashed(encode(words), words), np.zeros(1, np.uint64)]  # zeros are no word, so texts stay apart
+                length += len(words)
+                if length > FLUSH:
+                    yield rows(np.concatenate(parts), frequent)
+                    parts, length = [], 0
         if parts:
-            yield from rows(tree, np.concatenate(parts))
+            yield rows(np.concatenate(parts), frequent)
+
+    def rows(h: np.ndarray, frequent: np.ndarray | None) -> pa.RecordBatch:
+        g = [h[k : len(h) - size + 1 + k] for k in range(size)]
+        good = np.logical_and.reduce([x != 0 for x in g]) if len(g[0]) else np.zeros(0, bool)
+        if frequent is not None:
+            for a, b in zip(g, g[1:]):
+                good[good] = in_map(frequent, pair(one_word(a[good]), b[good]))
+        g = [x[good] for x in g]
+        _, at, n = np.unique(two_words(g[0], g[1]) if size == 2 else pair(two_words(g[0], g[1]), g[2]), return_index=True, return_counts=True)
+        order = np.lexsort((g[1][at], g[0][at]))  # rows alike stand together, which compresses
+        at, n = at[order], n[order]
+        return pa.RecordBatch.from_arrays([*(pa.array(x[at].view(np.int64)) for x in g), pa.array(n.astype(np.int64))], names=[*names, "n"])
+
+    out = docs.select("text").mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
+    return out.groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+
+
+def with_keys(grams: DataFrame) -> DataFrame:
+    """Adds key and state, and for three words first_pair and last_pair, the keys of their pairs."""
+    size = len(grams.columns) - 1
+    more = ["key", "state", "first_pair", "last_pair"][: 2 * size - 2]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            g = [np.asarray(batch.column(k)).view(np.uint64) for k in range(size)]
+            state = one_word(g[0]) if size == 2 else two_words(g[0], g[1])
+            out = [pair(state, g[-1]), state]
+            if size == 3:
+                out += [pair(one_word(g[0]), g[1]), pair(one_word(g[1]), g[2])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x.view(np.int64)) for x in out)], names=[*batch.schema.names, *more])
+
+    return grams.mapInArrow(run, ", ".join(f"{c} long" for c in [*grams.columns, *more]))
 
-    def rows(tree: Tree, t: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for level, (at, state) in enumerate(tree.grams(t)):
-            word = t[at]
-            some = (word > 0) & (word <= tree.nexts)
-            key, n = np.unique((state[some] << SHIFT) + word[some], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), level)), pa.array(key), pa.array(n)], names=["level", "key", "n"])
 
-    return docs.select("text").mapInArrow(run, "level long, key long, n long").groupBy("level", "key").agg(F.sum("n").alias("n"))
+def grow(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of (key, state, n, total, parent): the kept states (state, total, other), and the entries with log_new, their log10 probability there.
+
+    ``total``: the state's tokens; ``parent``: log10 of what the suffix gives; ``other``: log10 of the factor for words without an entry.
+    """
+    e = entries.withColumn("q", F.pow(F.lit(10.0), F.col("parent")))
+    e = e.withColumn("p", (F.col("n") + SMOOTHING * F.col("q")) / (F.col("total") + SMOOTHING))
+    s = e.groupBy("state").agg(
+        F.max("total").alias("total"), F.count("*").alias("entries"), F.sum("n").alias("n"), F.sum("q").alias("q"),
+        F.sum(F.col("n") * F.log(F.col("p") / F.col("q"))).alias("gained"))
+    rest_n = F.greatest(F.col("total") - F.col("n"), F.lit(0))
+    s = s.withColumn("rest", (rest_n / F.greatest(1 - F.col("q"), F.lit(1e-9)) + SMOOTHING) / (F.col("total") + SMOOTHING))
+    s = s.where(F.col("gained") + rest_n * F.log("rest") >= DIVERGENCE * (F.col("entries") + 1))
+    return s.select("state", "total", F.log10("rest").alias("other")), e.withColumn("log_new", F.log10("p"))
+
+
+def hashed_counts(counts: DataFrame) -> DataFrame:
+    """Rows (h, c) of the words that can be in a gram."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = np.array([word_hash(w) for w in batch.column(0).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(1)], names=["h", "c"])
+
+    return counts.where(F.col("c") >= LEAST_COUNT).select("w", "c").mapInArrow(run, "h long, c long")
 
 
 def learn(train: DataFrame, counts: DataFrame) -> Tree:
-    """The tree of (text binary), given all word counts. The driver gets what has the shares above, and no more."""
+    """The tree of (text binary), given all word counts. All states are in its table; the driver gets what tasks hold."""
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    rows = counts.where(F.col("c") >= HELD * n).orderBy(F.desc("c"), "w").collect()
-    c = np.array([r["c"] for r in rows], float)
+    rows = counts.where(F.col("c") >= HELD * n).orderBy(F.desc("c"), "w").select("w", "c").toArrow()
+    c = rows.column("c").to_numpy().astype(float)
     log_p = np.concatenate(([0.0], np.log10((c + 0.5) / (n + 0.5 * (v + 1))))) if len(c) else np.zeros(1)
-    of = lambda share: int((c >= share * n).sum())  # noqa: E731  ids follow the counts
-    tree = Tree([bytes(r["w"]) for r in rows], log_p, n, v, of(CONTEXT_1), min(of(CONTEXT_2), 1023), of(NEXT))
+    words = rows.column("w").to_pylist()
+    del rows
+    tree = Tree(words, log_p, np.array([0, *map(word_hash, words)], np.uint64), n, v)
     if not len(c):
         return tree
-    grams = gram_counts(train, tree).where(F.col("n") >= max(LEAST_COUNT, ENTRY * n)).toPandas()
-    first, second = (grams[grams.level == k] for k in (0, 1))
-    sizes = np.concatenate(([0.0], c[: tree.contexts_1]))
-    tree.grow(0, first.key.to_numpy(), first.n.to_numpy(), sizes)
-    pairs = np.zeros(1 << SHIFT)
-    a, b = first.key.to_numpy() >> SHIFT, first.key.to_numpy() & ((1 << SHIFT) - 1)
-    both = (a <= tree.contexts_2) & (b <= tree.contexts_2)
-    pairs[(a[both] << 10) + b[both]] = first.n.to_numpy()[both]
-    second = second[pairs[second.key.to_numpy() >> SHIFT] > 0]
-    tree.grow(1, second.key.to_numpy(), second.n.to_numpy(), pairs)
+    h = cut(hashed_counts(counts), "hashes")
+    first = with_keys(gram_counts(train, tree, 2))
+    first = first.join(h.select(F.col("h").alias("g2"), F.log10((F.col("c") + 0.5) / F.lit(n + 0.5 * (v + 1))).alias("parent")), "g2")
+    first = cut(first.join(h.select(F.col("h").alias("g1"), F.col("c").alias("total")), "g1").select("key", "state", "n", "total", "parent"), "pairs")
+    states_1, entries_1 = grow(first)
+    states_1 = cut(states_1, "states")
+    entries_1 = entries_1.join(states_1.select("state", "other"), "state", "left")
+    after = entries_1.select(F.col("key").alias("last_pair"), F.when(F.col("other").isNull(), F.col("parent")).otherwise(F.col("log_new")).alias("parent"))
+    second = with_keys(gram_counts(train, tree, 3, bit_map(first)))
+    second = second.join(after, "last_pair").join(first.select(F.col("key").alias("first_pair"), F.col("n").alias("total")), "first_pair")
+    second = cut(second.select("key", "state", "n", "total", "parent"), "triples")
+    states_2, entries_2 = grow(second)
+    entries_2 = entries_2.join(states_2.select("state", "other"), "state")
+    row = lambda level, d, key, n, value: d.select(F.lit(level).alias("level"), F.col(key).alias("key"), F.col(n).alias("n"), value.alias("value"))
+    table = None
+    for level, states, entries in ((0, states_1, entries_1.where("other is not null")), (1, states_2, entries_2)):
+        both = row(level, states, "state", "total", F.col("other")).union(row(level + 2, entries, "key", "n", F.col("log_new") - F.col("parent") - F.col("other")))
+        table = both if table is None else table.union(both)
+    table = cut(table, "tree")
+    discard(h, first, states_1, second)
+    # whole powers of two of counts, from the largest on, as far as they fit
+    sizes = {r["b"]: r["k"] for r in table.groupBy(F.floor(F.log2("n")).alias("b")).agg(F.count("*").alias("k")).collect()}
+    least, fit = 64, 0
+    for b in sorted(sizes, reverse=True):
+        fit += sizes[b]
+        if fit > CACHE:
+            break
+        least = b
+    frequent = F.floor(F.log2("n")) >= least
+    top = table.where(frequent).select("level", "key", "value").toArrow()
+    key = top.column("key").to_numpy().view(np.uint64)
+    level, order = top.column("level").to_numpy(), np.argsort(key)
+    tree.keys, tree.values = key[order], top.column("value").to_numpy()[order]
+    tree.kept = [np.ones(int((level == k).sum()), bool) for k in (0, 1)]
+    if len(key) < sum(sizes.values()):
+        tree.table = table.where(~frequent).select("key", "value")
+        tree.others = bit_map(tree.table)
     return tree
 
 
@@ -187,8 +297,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the documents that are not held out. ``base_score`` is the unigram model's log10 probability, ``score``
-    the tree's. Words that tasks hold are summed where the text is read; the others (each a tiny share of the tokens)
-    are joined with the whole count table.
+    the tree's. Words and states that tasks hold are summed where the text is read; the others (each a tiny share of the
+    tokens) are joined with the tables of all words and states. Grams are told apart by 64-bit hashes.
 
     Null and empty texts hold their end only. Rows with a null id are trained on. Repeated rows count and are scored each.
     Extra columns are not read. Without any training text every token has probability 1.
@@ -203,21 +313,23 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         tree = held.value
         encode = _encoder(tree)
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(8)]
             for text in batch.column(1).to_pylist():
                 words = words_of(text)
                 t = encode(words)
                 rare = Counter(words[i] for i in np.flatnonzero(t == 0))
-                row = len(words), int((t > 0).sum()), float(tree.log_p[t].sum()), tree.gain(t), list(rare), list(rare.values())
+                gain, keys = tree.gains(tree.hashed(t, words))
+                keys, times = np.unique(keys, return_counts=True)
+                row = len(words), int((t > 0).sum()), float(tree.log_p[t].sum()), gain, list(rare), list(rare.values()), keys.view(np.int64), times
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), *[pa.list_(pa.int64())] * 3)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), *map(pa.array, out, kinds)],
-                names=["doc_id", "held_out", "n_tokens", "known", "base", "gain", "rare", "times"])
+                names=["doc_id", "held_out", "n_tokens", "known", "base", "gain", "rare", "times", "keys", "key_times"])
 
     kind = dict(d.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, gain double, rare array<binary>, times array<long>"
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, gain double, rare array<binary>, times array<long>, keys array<long>, key_times array<long>"
     read = cut(d.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = read.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("w"), F.col("x.times").alias("k"))
     c = F.coalesce("c", F.lit(0))
@@ -225,6 +337,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rare = rare.join(counts.where(F.col("c") < HELD * tree.n), "w", "left").groupBy("row").agg(
         F.sum(F.col("k") * log_p).alias("rare_base"), F.sum(F.when(c > 0, F.col("k")).otherwise(F.lit(0))).alias("rare_known"))
     out = read.join(rare, "row", "left").withColumn("base_score", F.col("base") + F.coalesce("rare_base", F.lit(0.0)))
+    if tree.table is not None:
+        more = read.select("row", F.explode(F.arrays_zip("keys", "key_times")).alias("x")).select("row", F.col("x.keys").alias("key"), F.col("x.key_times").alias("k"))
+        more = more.join(tree.table, "key").groupBy("row").agg(F.sum(F.col("k") * F.col("value")).alias("more"))
+        out = out.join(more, "row", "left").withColumn("gain", F.col("gain") + F.coalesce("more", F.lit(0.0)))
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(tree.n).cast("long").alias("train_tokens"), "base_score", (F.col("base_score") + F.col("gain")).alias("score"))

@@ -194,6 +194,22 @@ def test_suffix_tree_distributions_sum_to_one(spark):
             assert abs(sum(10**x for x in [*at, unknown]) - 1) < 1e-6
 
 
+def test_suffix_tree_keeps_states_by_evidence_whatever_the_corpus(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choice(words, 400)) for _ in range(250)]
+    for i in range(8):  # each of these words is below 2^-13 of all tokens
+        texts[i * 30] += " seldom seen pair"
+    texts += ["seldom seen pair"] * 2
+    d = docs(spark, texts)
+    got = {r.doc_id: (r.base_score, r.score) for r in suffix_tree.score(d).collect()}
+    assert got[250][1] > got[250][0] + 1.5
+    for cache in (0, 2):  # what tasks hold does not enter the result
+        monkeypatch.setattr(suffix_tree, "CACHE", cache)
+        some = {r.doc_id: (r.base_score, r.score) for r in suffix_tree.score(d).collect()}
+        assert all(abs(a - b) < 1e-6 for i in got for a, b in zip(got[i], some[i], strict=True))
+
+
 # 7 ----------------------------------------------------------------------------------------------------------------
 
 def test_restoring_disguised_words(spark):
