@@ -33,7 +33,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 THRESHOLD = 0.8
-#: Blocks are lines; longer ones are cut into windows that overlap by half, so that no notice falls between.
+#: Blocks are lines, and the words of the whole text, for notices that wrap; longer ones are cut into windows that overlap by
+#: half, so that no notice falls between. Windows are longer where a template has more than half as many words.
 WINDOW = 64
 
 
@@ -68,7 +69,7 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    Base places are where a phrase's words stand one after the other. For the method's labels blocks (lines, or windows
+    Base places are where a phrase's words stand one after the other. For the method's labels blocks (lines and the whole text, or windows
     of long ones) are joined on tokens with the templates' prefixes; the length filter (a block needs as many distinct
     words as the template asks for) and the positional filter (what stands after the matched token in the template
     must suffice, and the match must be the first of the prefix) leave the blocks whose containment is computed. ``score`` is the
@@ -79,19 +80,20 @@ def scan_licenses(
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    window = max(WINDOW, 2 * max((len(t.split()) for texts in templates.values() for t in texts), default=0))
     vocabulary = sorted({w for texts in templates.values() for t in texts for w in t.split()})
     index = prefix_index(templates, token_counts(text, d, vocabulary), threshold)
     rows = d.sparkSession.createDataFrame(
         index, "token string, template string, label string, words array<string>, need int, position int")
 
     lower = F.translate(text, UPPER, LOWER)
-    blocks = d.select("doc_id", F.xxhash64("text").alias("h"), F.explode(F.split(text, "\n")).alias("block"))
+    blocks = d.select("doc_id", F.xxhash64("text").alias("h"), F.explode(F.when(text.contains("\n"), F.concat(F.split(text, "\n"), F.array(text))).otherwise(F.array(text))).alias("block"))
     rare = "|".join(sorted({r[0] for r in index}, key=lambda w: (-len(w), w)))
     blocks = blocks.where(F.col("block").rlike(f"(?i)(?<![a-z0-9])(?:{rare})(?![a-z0-9])"))
     words = F.regexp_extract_all(F.translate("block", UPPER, LOWER), F.lit(WORD), 0)
     blocks = blocks.select("doc_id", "h", words.alias("w"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("w") - WINDOW // 2, F.lit(1)), F.lit(WINDOW // 2))
-    blocks = blocks.select("doc_id", "h", F.explode(F.transform(starts, lambda s: F.array_distinct(F.slice(F.col("w"), s, WINDOW)))).alias("b"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("w") - window // 2, F.lit(1)), F.lit(window // 2))
+    blocks = blocks.select("doc_id", "h", F.explode(F.transform(starts, lambda s: F.array_distinct(F.slice(F.col("w"), s, window)))).alias("b"))
     tokens = F.array(*(F.lit(w) for w in sorted({r[0] for r in index})))
     found = blocks.select("doc_id", "h", "b", F.explode(F.array_intersect("b", tokens)).alias("token")).join(F.broadcast(rows), "token")
     found = found.where((F.size("b") >= F.col("need")) & (F.size("words") - F.col("position") >= F.col("need")))

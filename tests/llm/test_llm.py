@@ -245,6 +245,20 @@ def test_licenses(spark):
     assert got[4].n_words == 0 and "apache" in got[5].labels
 
 
+def test_licenses_that_wrap_over_lines_and_long_templates(spark):
+    texts = [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files",
+        "Redistribution and use in source and binary forms,\n# with or without\n# modification, are permitted",
+        "This program is free software: you can redistribute it\nand/or modify it under the terms of\nthe GNU General\nPublic License",
+        "pad\n" * 90 + "This Source Code Form is subject\nto the terms\nof the Mozilla\nPublic License",
+    ]
+    got = [r.labels.split(",") for r in licenses.scan_licenses(docs(spark, texts)).orderBy("doc_id").collect()]
+    assert all(x in y for x, y in zip(("mit", "bsd", "gpl", "mpl"), got, strict=True))
+    long = " ".join(f"t{i}" for i in range(100))
+    d = docs(spark, ["pad " * 70 + long + " pad" * 70, "pad\n" * 55 + long.replace(" ", "\n"), long[:200]])
+    assert [r.labels for r in licenses.scan_licenses(d, templates={"own": (long,)}).orderBy("doc_id").collect()] == ["own", "own", ""]
+
+
 # 9 ----------------------------------------------------------------------------------------------------------------
 
 def brute_groups(texts, size, percent):
