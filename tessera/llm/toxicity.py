@@ -26,12 +26,10 @@ BETWEEN = "._*~^#-"
 #: Costs in nats: of reading a sign as a letter, of dropping a sign, of each way to read a run.
 SIGN_COST, DROP_COST, RUN_COST = 1.0, 1.0, 0.7
 BEAM = 48
-#: Longer tokens (digests, addresses) are no disguised words and stay as they are.
-LONGEST = 40
 
 EDGE = re.compile(r"^[^\w@$!|+]+|[^\w@$]+$|[^\w]{2,}$|^[^\w]{2,}")
-ODD = re.compile(r"[^\W\d_](?:.*[0-9@$!|+._*~^#])|[0-9@$!|+].*[^\W\d_]|(.)\1\1")
-SPACED = re.compile(r"(?<!\S)(?:\S[ ._*-]{1,2}){2,}\S(?!\S)")
+ODD = re.compile(r"[^\W\d_](?:.*[0-9@$!|+._*~^#-])|[0-9@$!|+].*[^\W\d_]|(.)\1\1")
+SPACED = re.compile(r"(?<!\S)(?:\S[ ._*-]{1,2}){2,}\S(?=[^\w\s]*(?!\S))")
 _CODE = np.array([k - 96 if 97 <= k <= 122 else k - 64 if 65 <= k <= 90 else 0 if k in b" \t\r\n" else 27 + k % 5 for k in range(256)], np.int32)
 
 
@@ -52,7 +50,7 @@ class CharModel:
 
     def decode(self, token: str) -> str:
         """The likeliest word behind a token: Viterbi over its runs, each with all its readings."""
-        paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}  # words as links to what stands before: time in proportion to the runs
         for run in re.finditer(r"(.)\1*", token):
             sign, long = run[1], len(run[0]) > 1
             letters = [sign] if sign.isalpha() else list(STANDS_FOR.get(sign, ""))
@@ -64,21 +62,26 @@ class CharModel:
                 ways.append(("", DROP_COST))
             if not sign.isalpha():
                 ways.append((run[0], 3 * SIGN_COST))
-            new: dict[tuple[int, int], tuple[float, str]] = {}
+            new: dict[tuple[int, int], tuple[float, tuple]] = {}
             for state, (sofar, word) in paths.items():
                 for letters_, price in ways:
                     step, to = self.step(state, letters_)
                     total = sofar + step + price
                     if to not in new or total < new[to][0]:
-                        new[to] = total, word + letters_
-            paths = dict(sorted(new.items(), key=lambda x: x[1])[:BEAM])
-        return min((c + self.cost[s[0], s[1], 0], w) for s, (c, w) in paths.items())[1]
+                        new[to] = total, (word, letters_)
+            paths = dict(sorted(new.items(), key=lambda x: x[1][0])[:BEAM])
+        word = min(((c + self.cost[s[0], s[1], 0], w) for s, (c, w) in paths.items()), key=lambda x: x[0])[1]
+        letters = []
+        while word:
+            word, last = word
+            letters.append(last)
+        return "".join(reversed(letters))
 
 
 def restore(token: str, model: CharModel) -> str:
     """A lower-case token without its edges, decoded if it mixes letters with signs or repeats a letter thrice."""
     word = EDGE.sub("", EDGE.sub("", token))
-    return model.decode(word) if 1 < len(word) <= LONGEST and ODD.search(word) else word
+    return model.decode(word) if len(word) > 1 and ODD.search(word) else word
 
 
 def tokens_of(text: str) -> list[str]:

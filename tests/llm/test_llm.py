@@ -220,6 +220,13 @@ def test_restoring_disguised_words(spark):
     assert toxicity.restore("the,", m) == "the" and "idiot" in toxicity.tokens_of("an i d i o t") and toxicity.restore("", m) == ""
 
 
+def test_restoring_long_runs_hyphens_and_spelling_before_punctuation(spark):
+    text = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    m = toxicity.CharModel(toxicity.char_counts(text))
+    assert toxicity.restore("idi" + 45 * "o" + "t", m) == "idiot" and toxicity.restore("stu-pid", m) == "stupid"
+    assert "idiot" in toxicity.tokens_of("i-d-i-o-t,") and "idiot" in toxicity.tokens_of("you i d i o t.")
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     r = queries.op7_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").select("predicted", "toxic").collect()
