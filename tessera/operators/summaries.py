@@ -104,15 +104,30 @@ def _log_factorial(x: Column) -> Column:
 
 
 def hypergeometric_tail(a: str, label: str, sample: str, total: str) -> Column:
-    """P(X >= a): the first term by logarithms, each next one by its ratio to it."""
+    """P(X >= a): above the mean the upper tail, else 1 less the lower one, each relative to its largest term, whose logarithm is added.
+
+    Terms fall at least as a normal curve's with the same variance or as exp(-3 k / 2), so that after 11 standard
+    deviations and 100 terms none counts in doubles; the sum stops there.
+    """
     K, n, N, x = (F.col(c).cast("double") for c in (label, sample, total, a))
     choose = lambda p, q: _log_factorial(p) - _log_factorial(q) - _log_factorial(p - q)
-    first = choose(K, x) + choose(N - K, n - x) - choose(N, n)
-    steps = F.sequence(F.col(a), F.least(F.col(label), F.col(sample)))
-    def add(acc: Column, k: Column) -> Column:
-        ratio = (K - k) * (n - k) / ((k + 1) * (N - K - n + k + 1))
-        return F.struct((acc["s"] + acc["t"]).alias("s"), (acc["t"] * ratio).alias("t"))
-    tail = F.aggregate(steps, F.struct(F.lit(0.0).alias("s"), F.exp(first).alias("t")), add, lambda acc: acc["s"])
+    log_pmf = lambda k: choose(K, k) + choose(N - K, n - k) - choose(N, n)
+    variance = n * K / N * (1 - K / N) * (N - n) / F.greatest(N - 1, F.lit(1.0))
+    reach = (11 * F.sqrt(F.greatest(variance, F.lit(0.0))) + 100).cast("long")
+    low = F.greatest(F.lit(0).cast("long"), F.col(sample) + F.col(label) - F.col(total))
+    up = lambda k: (K - k) * (n - k) / ((k + 1) * (N - K - n + k + 1))
+    down = lambda k: k * (N - K - n + k) / ((K - k + 1) * (n - k + 1))
+
+    def log_sum(start: Column, end: Column, step: int, ratio) -> Column:
+        def add(acc: Column, k: Column) -> Column:
+            return F.struct((acc["s"] + acc["t"]).alias("s"), (acc["t"] * ratio(k)).alias("t"))
+        terms = F.aggregate(F.sequence(start, end, F.lit(step).cast("long")), F.struct(F.lit(0.0).alias("s"), F.lit(1.0).alias("t")), add, lambda acc: acc["s"])
+        return log_pmf(start.cast("double")) + F.log(terms)
+
+    at = F.col(a).cast("long")
+    upper = F.exp(log_sum(at, F.least(F.col(label), F.col(sample), at + reach), 1, up))
+    lower = F.exp(log_sum(at - 1, F.greatest(low, at - 1 - reach), -1, down))
+    tail = F.when(at <= low, 1.0).when(x > n * K / N, upper).otherwise(1 - lower)
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), tail))
 
 

@@ -100,3 +100,19 @@ def test_components_of_pixels_and_edges(spark):
 def test_conflict_ties_are_all_kept(spark):
     d = spark.createDataFrame([("s", "1", "A"), ("s", "1", "B"), ("s", "2", "C"), ("s", "3", "C")], "sample_id string, OID string, CellType string")
     assert rows(S.conflicts(d), "OID", "CellType", "conflict_id") == [("1", "A", "A___B"), ("1", "B", "A___B")]
+
+
+def test_hypergeometric_tail_of_large_and_depleted_groups(spark):
+    from fractions import Fraction
+    from math import comb
+
+    from tessera.operators.summaries import hypergeometric_tail
+
+    small = [(a, k, n, t) for k, n, t in ((7, 9, 20), (15, 12, 20), (40, 300, 1000), (1, 1, 2), (5, 5, 5)) for a in range(1, min(k, n) + 1)]
+    large = [(65_000, 300_000, 300_000, 1_200_000), (75_000, 300_000, 300_000, 1_200_000), (85_000, 300_000, 300_000, 1_200_000)]
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(small + large)], "i int, a long, k long, n long, t long")
+    got = [r.p for r in df.select("i", hypergeometric_tail("a", "k", "n", "t").alias("p")).orderBy("i").collect()]
+    for (a, k, n, t), p in zip(small, got):
+        want = float(Fraction(sum(comb(k, x) * comb(t - k, n - x) for x in range(a, min(k, n) + 1) if n - x <= t - k), comb(t, n)))
+        assert abs(p - want) <= 1e-7 * want
+    assert got[-3] == 1.0 and abs(got[-2] - 0.5) < 0.01 and got[-1] < 1e-300
