@@ -39,7 +39,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write_warc(warc.to_records(table(spark, sf_dir, "pages")), path)
     columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-    return warc.read_warc(spark, path, columns).select(*columns)
+    return warc.read_warc(spark, path, columns, verify=True).where(F.col("record_type").isin("response", "revisit")).select(*columns)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators for training data: edge cases, and brute force where SQL cannot follow."""
 
 import base64
+import gzip
 import hashlib
 import math
 import zlib
@@ -120,16 +121,52 @@ def test_warc_round_trip_with_pushdown(spark):
     html = {1: "same", 2: "same", 3: None, 4: "", 5: "é WARC/1.1\r\n\r\nWARC-Type: x", 6: "y" * 3_000_000, 7: "same", 8: "\r\n\r\n"}
     pages = spark.createDataFrame([(i, f"http://a/{i}\r\nX: y", h, 1) for i, h in html.items()], "page_id long, url string, html string, digest int")
     path = new_path(spark, "test")
-    warc.write_warc(warc.to_records(pages), path, records_per_file=3)
-    rows = {r.page_id: r for r in warc.read_warc(spark, path).collect()}
+    warc.write_warc(warc.to_records(pages), path, bytes_per_file=300)
+    rows = {r.page_id: r for r in warc.read_warc(spark, path, verify=True).where("record_type <> 'warcinfo'").collect()}
     for i, h in html.items():
         data = (h or "").encode()
         later = [j for j, g in html.items() if (g or "") == (h or "") and j > i]
         assert rows[i].payload_digest == base64.b32encode(hashlib.sha1(data).digest()).decode() and rows[i].payload_bytes == len(data)
         assert (rows[i].record_type, rows[i].refers_to) == (("revisit", max(later)) if later else ("response", None))
-        assert rows[i].payload == (None if later else data)
+        assert rows[i].payload == (None if later else data) and rows[i].target_uri == f"http://a/{i}  X: y"
     some = warc.read_warc(spark, path, ("page_id", "record_type")).where("record_type = 'revisit'")
     assert "revisit" in some._jdf.queryExecution().toString() and sorted(r.page_id for r in some.collect()) == [1, 2, 3]
+    assert warc.read_warc(spark, path).where("record_type = 'warcinfo'").count() >= 2
+
+
+def test_warc_repeated_and_null_ids(spark):
+    rows = [(1, "same"), (1, "same"), (2, "same"), (2, "same"), (None, "same"), (3, "short")]
+    pages = spark.createDataFrame([(i, None, h) for i, h in rows], "page_id long, url string, html string")
+    kinds = lambda least: sorted((r.page_id or 0, r.record_type, r.refers_to) for r in warc.to_records(pages, least_bytes=least).collect())
+    assert kinds(0) == [(0, "response", None), (1, "revisit", 2), (1, "revisit", 2), (2, "response", None), (2, "response", None), (3, "response", None)]
+    assert {k for _, k, _ in kinds(5)} == {"response"}
+
+
+def test_warc_archives_of_others(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<html>"
+    def record(version, headers, block):
+        return f"WARC/{version}\r\n{headers}content-length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+    records = [
+        record("1.0", "WARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:1>\r\n", b"software: y\r\n"),
+        record("1.0", "warc-type: request\r\nWARC-Record-ID: <urn:uuid:2>\r\n", b"GET / HTTP/1.1\r\n\r\n"),
+        record("1.0", "WARC-Type: response\r\nWARC-Record-ID: <urn:uuid:3>\r\nWARC-Target-URI: http://a/\r\n b\r\nContent-Type: application/http; msgtype=response\r\n", http),
+        record("1.1", "WARC-Type: resource\r\nWARC-Record-ID: <urn:uuid:4>\r\n", b"z" * 2_500_000),
+        record("1.1", "WARC-Type: revisit\r\nWARC-Record-ID: <urn:uuid:5>\r\nWARC-Refers-To: <urn:uuid:3>\r\n", b""),
+    ]
+    for name, data in (("plain", b"".join(records)), ("members", b"".join(map(gzip.compress, records))), ("whole", gzip.compress(b"".join(records)))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.warc").write_bytes(data)
+        got = {r.record_id[-2]: r for r in warc.read_warc(spark, f"file://{tmp_path}/{name}").collect()}
+        assert [got[k].record_type for k in "12345"] == ["warcinfo", "request", "response", "resource", "revisit"]
+        assert got["3"].payload == b"<html>" and got["3"].target_uri == "http://a/ b" and got["3"].page_id is None and got["3"].payload_bytes == 6
+        assert got["3"].payload_digest == base64.b32encode(hashlib.sha1(b"<html>").digest()).decode() and len(got["4"].payload) == 2_500_000
+        assert got["5"].refers_to_id == "<urn:uuid:3>" and got["5"].payload is None
+        few = warc.read_warc(spark, f"file://{tmp_path}/{name}", ("record_id",)).where("record_id = '<urn:uuid:5>'").collect()
+        assert [r.record_id for r in few] == ["<urn:uuid:5>"]
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "a.warc.gz").write_bytes(gzip.compress(b"".join(records))[:-400])
+    with pytest.raises(Exception, match="breaks off"):
+        warc.read_warc(spark, f"file://{tmp_path}/bad").collect()
 
 
 def test_warc_of_no_pages(spark):
@@ -181,33 +218,102 @@ def test_suffix_tree_base_and_gain(spark):
     assert all(got[i].score > got[i].base_score + 10 for i in range(200))
 
 
-def test_suffix_tree_distributions_sum_to_one(spark):
-    d = docs(spark, ["a b a b c a b", "b a c a b a b"] * 30).select(F.col("text").cast("binary").alias("text"))
-    tree = suffix_tree.learn(d, suffix_tree.word_counts(d))
-    ids = {w: i for i, w in enumerate(tree.words, 1)}
-    assert tree.kept[0].any()
-    for a in (b"a", b"b"):
-        for b in (b"a", b"b"):
-            before = np.array([ids[a], ids[b]])
-            at = [tree.gain(np.append(before, i)) - tree.gain(before) + tree.log_p[i] for i in ids.values()]
-            unknown = tree.gain(np.append(before, 0)) - tree.gain(before) + math.log10(0.5 / (tree.n + 0.5 * (tree.v + 1)))
-            assert abs(sum(10**x for x in [*at, unknown]) - 1) < 1e-6
-
-
-def test_suffix_tree_keeps_states_by_evidence_whatever_the_corpus(spark, monkeypatch):
+def brute_tree(texts):
+    """States {context: factor} and entries {(context, word): gain}, log10, from plain counts."""
+    s = suffix_tree
+    words = [[*t.lower().split(), ""] for t in texts]
+    count = Counter(w for ws in words for w in ws)
+    n, v = sum(count.values()), len(count)
+    root = lambda w: math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1)))
+    before, states, entries = {(w,): root(w) for w, c in count.items() if c >= s.LEAST_COUNT}, {}, {}
+    for d in range(1, s.DEPTH + 1):
+        seen, total = Counter(), Counter()
+        for ws in words:
+            for i in range(len(ws) - d):
+                total[tuple(ws[i : i + d])] += 1
+                seen[tuple(ws[i : i + d + 1])] += 1
+        found, now = defaultdict(list), {}
+        for g, k in seen.items():
+            if k >= s.LEAST_COUNT and total[g[:-1]] >= s.LEAST_STATE and g[1:] in before:
+                q = 10 ** before[g[1:]]
+                p = (k + s.SMOOTHING * q) / (total[g[:-1]] + s.SMOOTHING)
+                found[g[:-1]].append((g, k, q, p, k * math.log(p / q)))
+        for ctx, rows in found.items():
+            some = [r for r in rows if r[4] >= s.DIVERGENCE]
+            rest_n, q = total[ctx] - sum(r[1] for r in some), sum(r[2] for r in some)
+            rest = (rest_n / max(1 - q, 1e-9) + s.SMOOTHING) / (total[ctx] + s.SMOOTHING)
+            kept = some and sum(r[4] for r in some) + rest_n * math.log(rest) >= s.DIVERGENCE * (len(some) + 1)
+            if kept:
+                states[ctx] = math.log10(rest)
+            for g, k, q, p, gain in rows:
+                parent = before[g[1:]]
+                if kept and gain >= s.DIVERGENCE:
+                    now[g] = math.log10(p)
+                    entries[g] = now[g] - parent - states[ctx]
+                else:
+                    now[g] = parent + (states[ctx] if kept else 0.0)
+        before = now
+    def score(text):
+        ws = [*text.lower().split(), ""] if isinstance(text, str) else text
+        out = sum(map(root, ws))
+        for d in range(1, s.DEPTH + 1):
+            out += sum(states.get(tuple(ws[i : i + d]), 0.0) + entries.get(tuple(ws[i : i + d + 1]), 0.0) for i in range(len(ws) - d))
+        return out
+    return score, states, count
+
+
+def phrases(seed, n):
+    rng = np.random.default_rng(seed)
+    words = [f"w{i}" for i in range(60)]
+    some = [" ".join(rng.choice(words, 7)) for _ in range(12)]
+    return [" ".join([some[rng.integers(12)] if rng.random() < 0.4 else words[min(59, int(rng.exponential(12)))] for _ in range(40)]) for _ in range(n)]
+
+
+def test_suffix_tree_against_brute_force(spark, monkeypatch):
+    texts = phrases(6, 150) + ["", "never seen w1 w2"]
+    train = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1]
+    score, states, _ = brute_tree(train)
+    assert {len(c) for c in states} >= {1, 2, 3}
+    d = docs(spark, texts)
+    for words, cache, hot in ((1 << 20, 1 << 20, 1 << 18), (3, 2, 50), (0, 0, 1 << 18)):  # what tasks hold does not enter the result
+        monkeypatch.setattr(suffix_tree, "CACHE_WORDS", words)
+        monkeypatch.setattr(suffix_tree, "CACHE", cache)
+        monkeypatch.setattr(suffix_tree, "HOT", hot)
+        monkeypatch.setattr(suffix_tree, "BUCKET", 500)
+        got = {r.doc_id: r.score for r in suffix_tree.score(d).collect()}
+        assert all(abs(got[i] - score(t)) < 1e-6 for i, t in enumerate(texts))
+
+
+def test_suffix_tree_distributions_sum_to_one():
+    score, states, count = brute_tree(phrases(7, 150))
+    for ctx in list(states)[:40]:
+        before = score(list(ctx))
+        after = [10 ** (score([*ctx, w]) - before) for w in [*count, "unknown"]]
+        assert abs(sum(after) - 1) < 1e-6
+
+
+def test_tokens_and_hashes_follow_white_space(monkeypatch):
+    texts = [b"", b"One  two\x0bONE\x1ctwo", b" \t", "é w\u00a0x".encode(), b"z" * 10_000 + b" y"]
+    for chunk in (1, 7, 1 << 20):
+        monkeypatch.setattr(suffix_tree, "CHUNK", chunk)
+        h, ends = suffix_tree.tokens(texts)
+        words = [[*t.lower().split(), None] for t in texts]
+        assert ends.tolist() == np.cumsum([len(w) for w in words]).tolist()
+        seen = {}
+        for w, x in zip([w for ws in words for w in ws], h.tolist(), strict=True):
+            assert seen.setdefault(w, x) == x
+        assert len(set(seen.values())) == len(seen) and seen[None] == 1
+
+
+def test_suffix_tree_keeps_states_by_evidence_whatever_the_corpus(spark):
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(3000)]
     texts = [" ".join(rng.choice(words, 400)) for _ in range(250)]
-    for i in range(8):  # each of these words is below 2^-13 of all tokens
-        texts[i * 30] += " seldom seen pair"
+    for i in range(24):  # each of these words is a small share of all tokens
+        texts[i * 10] += " seldom seen pair"
     texts += ["seldom seen pair"] * 2
-    d = docs(spark, texts)
-    got = {r.doc_id: (r.base_score, r.score) for r in suffix_tree.score(d).collect()}
+    got = {r.doc_id: (r.base_score, r.score) for r in suffix_tree.score(docs(spark, texts)).collect()}
     assert got[250][1] > got[250][0] + 1.5
-    for cache in (0, 2):  # what tasks hold does not enter the result
-        monkeypatch.setattr(suffix_tree, "CACHE", cache)
-        some = {r.doc_id: (r.base_score, r.score) for r in suffix_tree.score(d).collect()}
-        assert all(abs(a - b) < 1e-6 for i in got for a, b in zip(got[i], some[i], strict=True))
 
 
 # 7 ----------------------------------------------------------------------------------------------------------------
