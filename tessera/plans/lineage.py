@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -39,9 +40,15 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete what :func:`cut` wrote for ``tables``, once nothing reads them any more."""
+    """Delete what :func:`cut` wrote for ``tables``, once nothing reads them any more.
+
+    Spark deletes the shuffle files of plans that are gone when the driver's heap is collected, so that is asked for, too.
+    """
     for t in tables:
         remove(t.sparkSession, t._tessera_path)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def remove(spark: SparkSession, path: str) -> None:
