@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -12,29 +13,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.hashes import FOLDED, byte_set, split
+
 MAX_TOKENS = 4096
 END_ID = 2
-#: Characters on whose status as white space Python and the tokenizer may differ; texts with one are encoded in one go.
-ODD_SPACE = "\x0b\x0c\x1c\x1d\x1e\x1f\x85"
+#: White space between chunks; what else the tokenizer may take for white space stays inside a chunk.
+SPACES = byte_set(b" \t\n\r")
 MARK = "\x01"
-TAIL = ".,;:!?%$#&*|"
-CACHE_WORDS = 600_000
-#: Texts whose unknown chunks are encoded in one call.
-TOGETHER = 64
+TAIL = byte_set(b".,;:!?%$#&*|")
+LETTER = byte_set(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+CACHE_WORDS = 1_500_000
+#: Bytes of text that are encoded together.
+TOGETHER = 1 << 22
 
 
 def binary_pieces(n: int, limit: int = MAX_TOKENS) -> list[int]:
     """Lengths that sum to n: full pieces of ``limit`` and then the powers of two of the rest, falling."""
-    rest = n % limit
-    return [limit] * (n // limit) + [1 << k for k in range(limit.bit_length(), -1, -1) if rest >> k & 1]
+    return [limit] * (n // limit) + _powers(n % limit, limit)
+
+
+@lru_cache(maxsize=8192)
+def _powers(rest: int, limit: int) -> list[int]:
+    return [1 << k for k in range(limit.bit_length(), -1, -1) if rest >> k & 1]
+
 
+def _cores_and_tails(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cut the signs off chunks that end in an ASCII letter and signs: to the tokenizer they are a run of their own."""
+    last = np.maximum.accumulate(np.where(TAIL[b], 0, np.arange(len(b))))[ends - 1] + 1
+    cut = np.flatnonzero((last < ends) & (last > starts) & LETTER[b[last - 1]])
+    middle = last[cut]
+    return np.insert(starts, cut + 1, middle), np.insert(ends, cut, middle)
 
-def _core_and_tail(chunk: str) -> tuple[str, str]:
-    """A chunk as two parts with the same ids: signs at its end are a token run of their own; case plays no part."""
-    core = chunk.rstrip(TAIL)
-    if not core or not core[-1].isalpha() or "<|" in chunk:
-        return chunk, ""
-    return core.lower() if core.isascii() else core, chunk[len(core) :]
+
+def _knows_chunks(tokenizer) -> bool:
+    """Whether a tokenizer lower-cases, drops white space and splits runs of letters and of signs: then chunks between
+    white space have ids of their own, whatever their case. Others encode whole texts."""
+    config = json.loads(tokenizer.to_str())
+    kinds = {x["type"] for x in (config["normalizer"] or {}).get("normalizers", [])}
+    first = ((config["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+    pattern = first.get("pattern", {}).get("Regex", "")
+    runs = pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+") and first.get("invert") and first.get("behavior") == "Removed"
+    return "Lowercase" in kinds and kinds <= {"NFC", "Replace", "Lowercase"} and bool(runs)
 
 
 @lru_cache(maxsize=4)
@@ -44,22 +63,37 @@ def encoder(path: str) -> WordEncoder:
 
 
 class WordEncoder:
-    """Ids of a text as little-endian unsigned 32-bit bytes.
+    """Ids of texts in UTF-8 as little-endian unsigned 32-bit numbers.
 
-    The tokenizer never joins characters across white space, so ids are found once per
-    distinct chunk between white space and kept, up to ``CACHE_WORDS`` chunks.
+    The tokenizer never joins characters across white space, so ids are found once per distinct chunk between white
+    space and kept, up to ``CACHE_WORDS`` chunks. Chunks are told apart by 64-bit hashes.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.by_chunk = _knows_chunks(self.tokenizer)
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else -1  # else chunks are encoded one by one
         vocabulary, suffix = self.tokenizer.get_vocab(with_added_tokens=True), getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.first, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _learn(self, keys: np.ndarray, chunks: list[str]) -> None:
+        """Keep the ids of new chunks (keys sorted)."""
+        ids = self._encode_new(chunks)
+        found = [ids[c] for c in chunks]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        at = np.searchsorted(self.keys, keys)
+        self.first = np.insert(self.first, at, len(self.ids) + np.cumsum(size) - size)
+        self.size, self.keys = np.insert(self.size, at, size), np.insert(self.keys, at, keys)
+        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(found), "<u4")))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -96,18 +130,43 @@ class WordEncoder:
             at = end + 1
         return out
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [None if any(c in t for c in ODD_SPACE) else t.split() for t in texts]
-        known, distinct = self.known, set().union(*(x for x in split if x))
-        if new := [c for c in distinct if c not in known]:
-            if len(known) > CACHE_WORDS:
-                known.clear()
-                known[""] = b""
-                new = list(distinct)
-            parts = {c: _core_and_tail(c) for c in new}
-            known.update(self._encode_new([x for x in {x for p in parts.values() for x in p} if x not in known]))
-            known.update((c, known[core] + known[tail]) for c, (core, tail) in parts.items())
-        return [self._encode([t])[0] if x is None else b"".join(map(known.__getitem__, x)) for t, x in zip(texts, split, strict=True)]
+    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+        if not self.by_chunk:
+            return [np.frombuffer(x, "<u4") for x in self._encode([t.decode("utf-8", "replace") for t in texts])]
+        if any(b"<|" in t for t in texts):  # special tokens have a case
+            some = [b"<|" in t for t in texts]
+            whole = iter(self._encode([t.decode("utf-8", "replace") for t, odd in zip(texts, some, strict=True) if odd]))
+            plain = iter(self([t for t, odd in zip(texts, some, strict=True) if not odd]))
+            return [np.frombuffer(next(whole), "<u4") if odd else next(plain) for odd in some]
+        if not texts:
+            return []
+        raw, starts, ends, h, words = split(texts, SPACES, FOLDED, _cores_and_tails)
+        distinct, place, which = np.unique(h, return_index=True, return_inverse=True)
+        if len(self.keys) > CACHE_WORDS:
+            self._forget()
+        at = np.searchsorted(self.keys, distinct)
+        new = np.append(self.keys, 0)[at] != distinct
+        if new.any():
+            chunks = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[place[new]].tolist(), ends[place[new]].tolist(), strict=True)]
+            self._learn(distinct[new], chunks)
+            at = np.searchsorted(self.keys, distinct)
+        first, size = self.first[at][which], self.size[at][which]
+        stop = np.cumsum(size)
+        ids = self.ids[np.repeat(first - stop + size, size) + np.arange(stop[-1] if len(stop) else 0)]
+        return np.split(ids, np.append(0, stop)[words[:-1]])
+
+
+def _encoded(encode: WordEncoder, column: pa.Array) -> Iterator[np.ndarray]:
+    """Ids of each of a column's texts, some TOGETHER bytes at a time."""
+    texts, size = [], 0
+    for t in column.to_pylist():
+        texts.append(t or b"")
+        size += len(texts[-1])
+        if size >= TOGETHER:
+            yield from encode(texts)
+            texts, size = [], 0
+    if texts:
+        yield from encode(texts)
 
 
 def pack(
@@ -132,23 +191,29 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            encoded = (ids for at in range(0, len(texts), TOGETHER) for ids in encode(texts[at : at + TOGETHER]))
-            for doc, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
-                ids += end
-                start, total = 0, len(ids) // 4
-                for n in binary_pieces(total, limit):
-                    piece = ids[4 * start : 4 * (start + n)]
-                    for column, value in zip(out, (doc, start, n, zlib.crc32(piece), total, n.bit_length() - 1, piece), strict=True):
-                        column.append(value)
-                    start += n
-            arrays = [pa.array(x, pa.int64()) for x in out[:6]]
-            yield pa.RecordBatch.from_arrays(arrays + [pa.array(out[6], pa.binary())] * with_ids, names=names)
+            pieces, totals, lengths, sums, ids = [], [], [], [], []
+            for raw in _encoded(encode, batch.column(1)):
+                raw = raw.tobytes() + end
+                some, first = binary_pieces(len(raw) // 4, limit), 0
+                pieces.append(len(some))
+                totals.append(len(raw) // 4)
+                lengths += some
+                for n in some:
+                    piece = raw[first : first + 4 * n]
+                    sums.append(zlib.crc32(piece))
+                    first += 4 * n
+                    if with_ids:
+                        ids.append(piece)
+            pieces, totals, lengths = np.array(pieces, np.int64), np.array(totals, np.int64), np.array(lengths, np.int64)
+            starts = np.cumsum(lengths) - lengths - np.repeat(np.cumsum(totals) - totals, pieces)
+            columns = [
+                batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), pieces))), pa.array(starts), pa.array(lengths), pa.array(sums, pa.int64()),
+                pa.array(np.repeat(totals, pieces)), pa.array(np.log2(lengths).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * with_ids, names=names)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bucket long" + ", ids binary" * with_ids
     names = [x.split()[0] for x in schema.split(", ")]
-    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
     return pieces.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
 
 
