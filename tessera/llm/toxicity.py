@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,23 +11,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.hashes import CHUNK, FOLDED, LETTERS, byte_set, mix, powers, split
+
 #: Labelled rows that the classifier is fitted on, at most: those with the smallest digests of their ids. The character
 #: model is counted over all texts.
 FIT_ROWS = 30_000
 THRESHOLD = 0.3
 BUCKETS = 1 << 18
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_500_000
+#: Bytes of text, and restored words, that are worked on together.
+TOGETHER, WORDS = 1 << 22, 50_000
 
 #: What a sign may stand for, and signs that are put between letters.
 STANDS_FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 BETWEEN = "._*~^#-"
-#: Costs in nats: of reading a sign as a letter, of dropping a sign, of each way to read a run.
+#: Costs in nats: of reading a sign as a letter, of dropping a sign or a space, of each way to read a run.
 SIGN_COST, DROP_COST, RUN_COST = 1.0, 1.0, 0.7
-BEAM = 48
 
 EDGE = re.compile(r"^[^\w@$!|+]+|[^\w@$]+$|[^\w]{2,}$|^[^\w]{2,}")
 ODD = re.compile(r"[^\W\d_](?:.*[0-9@$!|+._*~^#-])|[0-9@$!|+].*[^\W\d_]|(.)\1\1")
 SPACED = re.compile(r"(?<!\S)(?:\S[ ._*-]{1,2}){2,}\S(?=[^\w\s]*(?!\S))")
+_SEPARATOR = byte_set(b"._*-")
+_WIDTH = np.array([1] * 192 + [2] * 32 + [3] * 16 + [4] * 16, np.int64)  # bytes of a character, by its first
 _CODE = np.array([k - 96 if 97 <= k <= 122 else k - 64 if 65 <= k <= 90 else 0 if k in b" \t\r\n" else 27 + k % 5 for k in range(256)], np.int32)
 
 
@@ -38,30 +41,37 @@ class CharModel:
 
     def __init__(self, counts: np.ndarray):
         n = counts.reshape(32, 32, 32).astype(float)
-        self.cost = -np.log((n + 0.1) / (n.sum(axis=2, keepdims=True) + 3.2))
+        self.cost = (-np.log((n + 0.1) / (n.sum(axis=2, keepdims=True) + 3.2))).tolist()
 
     def step(self, state: tuple[int, int], letters: str) -> tuple[float, tuple[int, int]]:
         cost, (a, b) = 0.0, state
         for x in letters:
-            c = ord(x) - 96 if "a" <= x <= "z" else 27 + ord(x) % 5
-            cost += self.cost[a, b, c]
+            c = ord(x) - 96 if "a" <= x <= "z" else 0 if x == " " else 27 + ord(x) % 5
+            cost += self.cost[a][b][c]
             a, b = b, c
         return cost, (a, b)
 
     def decode(self, token: str) -> str:
-        """The likeliest word behind a token: Viterbi over its runs, each with all its readings."""
-        paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}  # words as links to what stands before: time in proportion to the runs
-        for run in re.finditer(r"(.)\1*", token):
-            sign, long = run[1], len(run[0]) > 1
-            letters = [sign] if sign.isalpha() else list(STANDS_FOR.get(sign, ""))
-            cost = 0.0 if sign.isalpha() else SIGN_COST
-            ways = [(x, cost) for x in letters]
-            if long:
-                ways = [(x, c + RUN_COST) for x, c in ways] + [(x + x, c + RUN_COST) for x, c in ways]
-            if sign in BETWEEN:
-                ways.append(("", DROP_COST))
-            if not sign.isalpha():
-                ways.append((run[0], 3 * SIGN_COST))
+        """The likeliest words behind a token or a row of spelled letters: Viterbi over its runs, each with all its readings.
+
+        A space may stand or go, as words are likelier with it or without; states are the last two symbols, all of which
+        are followed, so time is in proportion to the runs.
+        """
+        paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}  # words as links to what stands before
+        for run in re.finditer(r" +|(.)\1*", token, re.DOTALL):
+            sign, long = run[0][0], len(run[0]) > 1
+            if sign == " ":
+                ways = [(" ", 0.0), ("", DROP_COST)]
+            else:
+                letters = [sign] if sign.isalpha() else list(STANDS_FOR.get(sign, ""))
+                cost = 0.0 if sign.isalpha() else SIGN_COST
+                ways = [(x, cost) for x in letters]
+                if long:
+                    ways = [(x, c + RUN_COST) for x, c in ways] + [(x + x, c + RUN_COST) for x, c in ways]
+                if sign in BETWEEN:
+                    ways.append(("", DROP_COST))
+                if not sign.isalpha():
+                    ways.append((run[0], 3 * SIGN_COST))
             new: dict[tuple[int, int], tuple[float, tuple]] = {}
             for state, (sofar, word) in paths.items():
                 for letters_, price in ways:
@@ -69,8 +79,8 @@ class CharModel:
                     total = sofar + step + price
                     if to not in new or total < new[to][0]:
                         new[to] = total, (word, letters_)
-            paths = dict(sorted(new.items(), key=lambda x: x[1][0])[:BEAM])
-        word = min(((c + self.cost[s[0], s[1], 0], w) for s, (c, w) in paths.items()), key=lambda x: x[0])[1]
+            paths = new
+        word = min(((c + self.cost[s[0]][s[1]][0], w) for s, (c, w) in paths.items()), key=lambda x: x[0])[1]
         letters = []
         while word:
             word, last = word
@@ -80,37 +90,83 @@ class CharModel:
 
 def restore(token: str, model: CharModel) -> str:
     """A lower-case token without its edges, decoded if it mixes letters with signs or repeats a letter thrice."""
-    word = EDGE.sub("", EDGE.sub("", token))
+    word = token if token.isalpha() else EDGE.sub("", EDGE.sub("", token))
     return model.decode(word) if len(word) > 1 and ODD.search(word) else word
 
 
-def tokens_of(text: str) -> list[str]:
-    """Distinct tokens, and what runs of single characters spell."""
-    text = text.lower()
-    found = set(text.split())
-    found.update("".join(c for c in m[0] if c not in " ._*-") for m in SPACED.finditer(text))
-    return list(found)
-
-
-def features(word: str) -> list[int]:
-    """Buckets of the word, its beginnings and its inner pieces."""
-    pieces = [f"={word}", *(f"^{word[:k]}" for k in (3, 4, 5, 6) if len(word) > k), *(word[k : k + 5] for k in range(1, len(word) - 4))]
-    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in pieces]
-
-
-class Cached(dict):
-    """token -> value of its restored word, for at most CACHE_WORDS tokens."""
-
-    def __init__(self, model: CharModel, value):
-        super().__init__()
-        self.model, self.value = model, value
-
-    def __missing__(self, token: str):
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        word = restore(token, self.model)
-        got = self[token] = self.value(features(word)) if word else self.value([])
-        return got
+def spelled(text: str, model: CharModel) -> list[str]:
+    """The words that runs of single characters spell; a run's first or last may be a word of one letter beside it, so
+    runs are read without these, too."""
+    out: dict[str, None] = {}
+    for m in SPACED.finditer(text.lower()):
+        run = m[0]
+        for part in (run, run[1:].lstrip(" ._*-"), run[:-1].rstrip(" ._*-")):
+            out.update(dict.fromkeys(model.decode(part).split()))
+    return list(out)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For many words: (word, bucket) of each word whole, of its beginnings and of its inner pieces, all in bytes."""
+    owners, buckets = [], []
+    for at in range(0, len(words), WORDS):
+        some = [w.encode("utf-8", "surrogatepass") for w in words[at : at + WORDS]]
+        length = np.fromiter(map(len, some), np.int64, len(some))
+        first = np.cumsum(length) - length
+        data = np.frombuffer(b"".join(some), np.uint8)
+        up, down = powers(1 << max(CHUNK.bit_length(), len(data).bit_length()))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(LETTERS[data] * up[: len(data)])))
+
+        def add(owner: np.ndarray, start: np.ndarray, stop: np.ndarray, kind: int) -> None:
+            x = (sums[stop] - sums[start]) * down[start] + np.uint64(kind)
+            owners.append(owner + at)
+            buckets.append((mix(x * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(BUCKETS)).astype(np.int64))
+
+        real = np.flatnonzero(length)
+        add(real, first[real], first[real] + length[real], 1)
+        for k in (3, 4, 5, 6):
+            some_ = np.flatnonzero(length > k)
+            add(some_, first[some_], first[some_] + k, 2)
+        inner = np.maximum(length - 5, 0)
+        owner = np.repeat(np.arange(len(length)), inner)
+        start = first[owner] + 1 + np.arange(len(owner)) - np.repeat(np.cumsum(inner) - inner, inner)
+        add(owner, start, start + 5, 3)
+    if not owners:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(owners), np.concatenate(buckets)
+
+
+class Words:
+    """The distinct words of a block of texts: per (text, word) pair ``text`` and ``word``, the words' ``keys`` in order, and
+    the words that texts spell letter by letter."""
+
+    def __init__(self, texts: list[bytes], model: CharModel):
+        self.raw, starts, ends, h, stand = split(texts, letters=FOLDED)
+        text = np.repeat(np.arange(len(texts)), np.diff(stand, prepend=0))
+        self.keys, place, which = np.unique(h, return_index=True, return_inverse=True)
+        self.starts, self.ends = starts[place], ends[place]
+        code = np.unique(text * max(len(self.keys), 1) + which)
+        self.text, self.word = code // max(len(self.keys), 1), code % max(len(self.keys), 1)
+        b = np.frombuffer(self.raw, np.uint8)
+        width = _WIDTH[b[starts]]
+        short = (ends - starts <= width) | _SEPARATOR[b[np.minimum(starts + width, len(b) - 1)]]
+        several = short[1:] & short[:-1] & (text[1:] == text[:-1])
+        self.spelled = [(i, w) for i in np.unique(text[1:][several]).tolist() for w in spelled(texts[i].decode("utf-8", "replace"), model)]
+
+    def restored(self, which: np.ndarray, model: CharModel) -> list[str]:
+        return [restore(self.raw[a:b].decode("utf-8", "replace").lower(), model) for a, b in zip(self.starts[which].tolist(), self.ends[which].tolist(), strict=True)]
+
+
+def blocks(texts) -> Iterator[list[bytes]]:
+    """Texts by TOGETHER bytes; a longer one is a block of its own."""
+    out, size = [], 0
+    for t in texts:
+        out.append(t or b"")
+        size += len(out[-1])
+        if size >= TOGETHER:
+            yield out
+            out, size = [], 0
+    if out:
+        yield out
 
 
 def char_counts(texts: DataFrame) -> np.ndarray:
@@ -140,14 +196,26 @@ def fold(id_: Column) -> Column:
 
 
 def _bucket_counts(fit: DataFrame, model: CharModel) -> np.ndarray:
-    """For each bucket the toxic and the other documents of (text, toxic) that hold it."""
+    """For each bucket the toxic and the other documents of (text binary, toxic) that hold it."""
 
     def run(batches):
-        counts, known = np.zeros((2, BUCKETS), np.int64), Cached(model, lambda f: np.array(f, np.int64))
+        counts = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = [known[w] for w in tokens_of(text or "")]
-                counts[toxic, np.unique(np.concatenate(found)) if found else []] += 1
+            toxic, at = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), 0
+            for texts in blocks(batch.column(0).to_pylist()):
+                words = Words(texts, model)
+                every = words.restored(np.arange(len(words.keys)), model) + [w for _, w in words.spelled]
+                owner, bucket = features(every)
+                text = np.concatenate((words.text, np.array([i for i, _ in words.spelled], np.int64)))
+                word = np.concatenate((words.word, len(words.keys) + np.arange(len(words.spelled))))
+                order = np.argsort(owner, kind="stable")  # the buckets of a word stand together
+                bucket, n = bucket[order], np.bincount(owner, minlength=len(every))
+                first, n = (np.cumsum(n) - n)[word], n[word]
+                of = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                code = np.unique(np.repeat(text, n) * BUCKETS + bucket[of])
+                for k in (0, 1):
+                    counts[k] += np.bincount(code[toxic[at + code // BUCKETS] == k] % BUCKETS, minlength=BUCKETS)
+                at += len(texts)
         i = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(counts[1, i]), pa.array(counts[0, i])], names=["i", "t", "c"])
 
@@ -157,13 +225,6 @@ def _bucket_counts(fit: DataFrame, model: CharModel) -> np.ndarray:
     return out
 
 
-def _summary(text: str | None, known: Cached) -> list[float]:
-    z = np.fromiter((known[w] for w in tokens_of(text or "")), float)
-    top = np.sort(z[z > 0])[::-1][:8] if len(z) else z
-    top = np.concatenate((top, np.zeros(8 - len(top))))
-    return [1.0, top[0], top[:3].mean(), top.mean(), math.log1p((z > 3).sum()), math.log1p((z > 4.5).sum()), (z > 3).mean() if len(z) else 0.0]
-
-
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Coefficients with a small ridge, by Newton's method."""
     beta = np.zeros(x.shape[1])
@@ -175,14 +236,43 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    """Everything a task needs: 1 MB of weights, the character model and seven coefficients."""
+    """Everything a task needs: 1 MB of weights, the character model and seven coefficients. Keeps words' values while it lives."""
 
     def __init__(self, model: CharModel, weights: np.ndarray, beta: np.ndarray):
         self.model, self.weights, self.beta = model, weights, beta
-
-    def cache(self) -> Cached:
-        weight_of = self.weights.tolist().__getitem__
-        return Cached(self.model, lambda f: max(map(weight_of, f), default=0.0))
+        self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0)
+
+    def value(self, words: list[str]) -> np.ndarray:
+        """The largest weight of each word's features."""
+        out = np.zeros(len(words))
+        owner, bucket = features(words)
+        np.maximum.at(out, owner, self.weights[bucket])
+        return out
+
+    def summaries(self, texts: list[bytes]) -> np.ndarray:
+        """Seven numbers for each text: one, and its words' largest values and how many are large."""
+        words = Words(texts, self.model)
+        if len(self.keys) > CACHE_WORDS:
+            self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0)
+        new = np.append(self.keys, 0)[np.searchsorted(self.keys, words.keys)] != words.keys
+        if new.any():
+            at = np.searchsorted(self.keys, words.keys[new])
+            value = self.value(words.restored(np.flatnonzero(new), self.model))
+            self.keys, self.values = np.insert(self.keys, at, words.keys[new]), np.insert(self.values, at, value)
+        z = self.values[np.searchsorted(self.keys, words.keys)][words.word]
+        text = np.concatenate((words.text, np.array([i for i, _ in words.spelled], np.int64)))
+        z = np.concatenate((z, self.value([w for _, w in words.spelled])))
+        n = len(texts)
+        some = np.flatnonzero(z > 0)
+        some = some[np.lexsort((-z[some], text[some]))]
+        rank = np.arange(len(some)) - np.searchsorted(text[some], text[some])
+        top = np.zeros((n, 8))
+        few = rank < 8
+        top[text[some[few]], rank[few]] = z[some[few]]
+        above = lambda least: np.bincount(text[z > least], minlength=n)
+        return np.column_stack((
+            np.ones(n), top[:, 0], top[:, :3].mean(axis=1), top.mean(axis=1), np.log1p(above(3)), np.log1p(above(4.5)),
+            above(3) / np.maximum(np.bincount(text, minlength=n), 1)))
 
 
 def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
@@ -195,7 +285,7 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Score
     one = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~fold(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     one = one.select(F.col("doc_id").alias("l_id"), (F.col("toxic") > 0).cast("int").alias("toxic"), F.xxhash64("doc_id").alias("h"))
     one = one.orderBy("h", "l_id").limit(fit_rows)
-    fit = docs.join(F.broadcast(one), F.col("doc_id") == F.col("l_id")).select("text", "toxic", (F.pmod("h", F.lit(2)) == 0).alias("first"))
+    fit = docs.join(F.broadcast(one), F.col("doc_id") == F.col("l_id")).select(F.col("text").cast("binary").alias("text"), "toxic", (F.pmod("h", F.lit(2)) == 0).alias("first"))
     t, c = _bucket_counts(fit.where("first"), model)
     n_t, n_c = fit.where("first").agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
     n_c -= n_t
@@ -204,9 +294,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Score
     scorer = Scorer(model, weights, np.zeros(7))
 
     def run(batches):
-        known = scorer.cache()
         for batch in batches:
-            x = [_summary(t, known) for t in batch.column(0).to_pylist()]
+            x = [row for texts in blocks(batch.column(0).to_pylist()) for row in scorer.summaries(texts).tolist()]
             yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int64()), pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
 
     rows = fit.where("not first").select("text", "toxic").mapInArrow(run, "y long, x array<double>").toPandas()
@@ -220,12 +309,11 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Score
 def score_column(scorer: Scorer, text: Column) -> Column:
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = scorer.cache()
         for texts in batches:
-            x = np.array([_summary(t, known) for t in texts]).reshape(len(texts), 7)
+            x = np.concatenate([np.zeros((0, 7)), *map(scorer.summaries, blocks(texts))])
             yield pd.Series(1 / (1 + np.exp(-np.clip(x @ scorer.beta, -30, 30))))
 
-    return score(text)
+    return score(text.cast("binary"))
 
 
 def score_toxicity(
