@@ -1,87 +1,99 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-A state is a context of up to two words. It is kept when its next-word counts diverge enough from what its
-suffix predicts; its distribution is smoothed towards the suffix's; a word is scored by the longest kept suffix of what precedes it.
-The root is the unigram distribution. Root and states are tables that grow with the corpus and are joined; tasks hold
-the most frequent words and states only to spare the join their rows.
+A state is a context of up to ``DEPTH`` words. It is kept when the next words seen often enough after it diverge enough
+from what its suffix predicts; its distribution is smoothed towards the suffix's; a word is scored by the longest kept
+states of what precedes it. The root is the unigram distribution. Words, states and entries are tables that grow with the
+corpus, by absolute evidence; tasks hold the most frequent ones only to spare the join their rows.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.hashes import mix, split
 from tessera.plans.lineage import cut, discard
 
-#: Least share of all training tokens of words that tasks hold (so at most 2^19), and most values of states that they hold.
-#: Both save shuffles and do not enter the result.
-HELD, CACHE = 2**-19, 2**20
+#: Most words, and most states and entries, that tasks hold. Both save shuffles and do not enter the result.
+CACHE_WORDS, CACHE = 1 << 21, 3 << 20
 #: Bits of the maps by which tasks pass over keys that no table has.
-BITS = 24
-LEAST_COUNT = 3
-#: Nats of likelihood that a state must gain over its suffix for each of its entries.
-DIVERGENCE = 2.0
+BITS = 26
+#: How often an entry and a state must have been seen.
+LEAST_COUNT, LEAST_STATE = 4, 16
+#: Nats of likelihood that an entry must gain over the suffix, and a state for each of its entries: about what it takes to
+#: write an entry down (half the logarithm of 10^9 tokens), so that what chance brings together is no entry.
+DIVERGENCE = 10.0
 #: Weight of the suffix's distribution, in tokens.
 SMOOTHING = 20.0
-END = b""  # the end of a text as a word; no other word is empty
-FLUSH = 1_000_000
+#: Most words of a context. Levels end earlier where no state diverges.
+DEPTH = 3
+#: Text bytes read at a time, tokens counted at a time, and tokens behind a bucket of counts.
+BLOCK, FLUSH, BUCKET = 1 << 23, 1 << 21, 1 << 20
+#: A context seen so often has its counts dealt out by what follows it.
+HOT = 1 << 18
+
+END = np.uint64(1)  # the end of a text as a word
+STATE = np.uint64(0x5851F42D4C957F2D)  # told apart from a gram's key
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """Lower-cased (A-Z) words and the end. Byte strings split at exactly the white space that counts."""
-    return [*(text or b"").lower().split(), END]
+def pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """64 bits that stand for two grams that overlap in all but their ends, or for two words."""
+    return mix(x * _ODD + y)
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """Rows (w, c) of all words of (text binary), summed per task before the shuffle."""
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of texts, an END after each text's, and where each text ends."""
+    *_, h, words = split(texts)
+    return np.insert(h, words, END), words + np.arange(1, len(texts) + 1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(words_of(text))
-                if len(counts) > FLUSH:
-                    yield rows(counts)
-                    counts.clear()
-        if counts:
-            yield rows(counts)
 
-    def rows(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["w", "c"])
+def blocks(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of batches of about BLOCK bytes of text with their tokens; a longer text is a slice of its own."""
+    for batch in batches:
+        texts = [t or b"" for t in batch.column(column).to_pylist()]
+        size, first = 0, 0
+        for k, t in enumerate(texts):
+            size += len(t) + 1
+            if size >= BLOCK or k == len(texts) - 1:
+                yield batch.slice(first, k + 1 - first), *tokens(texts[first : k + 1])
+                size, first = 0, k + 1
 
-    return docs.select("text").mapInArrow(run, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
+def flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    parts, n = [], 0
+    for _, h, _ in blocks(batches):
+        parts.append(h)
+        n += len(h)
+        if n >= FLUSH:
+            yield np.concatenate(parts)
+            parts, n = [], 0
+    if parts:
+        yield np.concatenate(parts)
 
-def word_hash(word: bytes) -> int:
-    """64 bits that stand for a word in grams, never 0."""
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") or 1
 
+def longs(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
 
-def pair(x: np.ndarray, y: np.ndarray | np.uint64) -> np.ndarray:
-    """64 bits that stand for x followed by y."""
-    z = x * np.uint64(0x9E3779B97F4A7C15) + y
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
 
+def word_counts(docs: DataFrame) -> DataFrame:
+    """Rows (key, n) of all words of (text binary), summed per task before the shuffle."""
 
-def one_word(a: np.ndarray) -> np.ndarray:
-    return pair(a, np.uint64(1))
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h in flushes(batches):
+            h, n = np.unique(h, return_counts=True)
+            yield pa.RecordBatch.from_arrays([longs(h), pa.array(n.astype(np.int64))], names=["key", "n"])
 
-def two_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return pair(pair(a, np.uint64(2)), b)
+    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def bit_map(keys: DataFrame) -> np.ndarray:
@@ -98,198 +110,246 @@ def in_map(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-@dataclass
-class Tree:
-    """What tasks hold: frequent words, the values of frequent states and entries, and a map of the keys of the others.
+def find(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of x in sorted keys, and whether they are there."""
+    if not len(keys):
+        return np.zeros(len(x), int), np.zeros(len(x), bool)
+    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+    return at, keys[at] == x
 
-    The gain at a word is the sum of its contexts' values and of its entries' values, each 0 where there is none: a
-    state's value is what a word without an entry gets, an entry's is what it gets more than that (log10, to the suffix).
-    """
 
-    words: list[bytes]
-    log_p: np.ndarray  # by id; 0 stands for words that are not held
-    hashes: np.ndarray  # by id
-    n: int
-    v: int
-    kept: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, bool)] * 2)  # of held states, by level
-    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    values: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    others: np.ndarray | None = None
-    table: DataFrame | None = None  # (key, value) of all
+def grams(h: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each level: contexts of that many words, the grams one place on, and the places whose context crosses no end."""
+    g, good = h, h != END
+    for d in range(1, depth + 1):
+        if len(g) < 2:
+            return
+        yield g[:-1], g[1:], np.flatnonzero(good[: len(g) - 1])
+        g, good = pair(g[:-1], g[1:]), good[: len(g) - 1] & (h[d : d + len(g) - 1] != END)
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"table": None}
 
-    def hashed(self, t: np.ndarray, words: list[bytes]) -> np.ndarray:
-        h = self.hashes[t]
-        for i in np.flatnonzero(t == 0):
-            h[i] = word_hash(words[i])
-        return h
-
-    def look_up(self, key: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """The sum of the values held, whether a key may have a value, and whether that is to be joined."""
-        hit = np.zeros(len(key), bool)
-        total = 0.0
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[at] == key
-            total = float(self.values[at[hit]].sum())
-        join = ~hit & in_map(self.others, key) if self.others is not None else np.zeros(len(key), bool)
-        return total, hit | join, join
-
-    def gains(self, h: np.ndarray) -> tuple[float, np.ndarray]:
-        """By how much held states raise the log10 probability of one text's words over the root's, and the keys to join."""
-        total, rest = 0.0, []
-        for state, word in ((one_word(h[:-1]), h[1:]), (two_words(h[:-2], h[1:-1]), h[2:])):
-            plus, some, join = self.look_up(state)
-            rest.append(state[join])
-            entry = pair(state[some], word[some])
-            more, _, join = self.look_up(entry)
-            rest.append(entry[join])
-            total += plus + more
-        return total, np.concatenate(rest)
-
-    def gain(self, t: np.ndarray) -> float:
-        return self.gains(self.hashes[t])[0]
-
-
-def _encoder(tree: Tree):
-    ids = {w: i for i, w in enumerate(tree.words, 1)}
-    return lambda words: np.fromiter((ids.get(w, 0) for w in words), np.int64, len(words))
-
-
-def gram_counts(docs: DataFrame, tree: Tree, size: int, frequent: np.ndarray | None = None) -> DataFrame:
-    """Rows (g1, .., n): counts of runs of ``size`` words over all of (text binary) seen LEAST_COUNT times or more.
-
-    Summed per task before the shuffle. Of three words only those go there whose pairs may be in the map ``frequent``;
-    the others cannot be seen often enough.
-    """
-    held = docs.sparkSession.sparkContext.broadcast((tree, frequent))
-    names = [f"g{k}" for k in range(1, size + 1)]
+def gram_counts(docs: DataFrame, level: int, maps: tuple[np.ndarray, np.ndarray], hot: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
+    """Rows (ctx, suf, key, n, total): runs of ``level`` + 1 words seen LEAST_COUNT times, over all of (text binary).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, frequent = held.value
-        encode = _encoder(tree)
-        parts, length = [], 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words = words_of(text)
-                parts += [tree.hashed(encode(words), words), np.zeros(1, np.uint64)]  # zeros are no word, so texts stay apart
-                length += len(words)
-                if length > FLUSH:
-                    yield rows(np.concatenate(parts), frequent)
-                    parts, length = [], 0
-        if parts:
-            yield rows(np.concatenate(parts), frequent)
-
-    def rows(h: np.ndarray, frequent: np.ndarray | None) -> pa.RecordBatch:
-        g = [h[k : len(h) - size + 1 + k] for k in range(size)]
-        good = np.logical_and.reduce([x != 0 for x in g]) if len(g[0]) else np.zeros(0, bool)
-        if frequent is not None:
-            for a, b in zip(g, g[1:]):
-                good[good] = in_map(frequent, pair(one_word(a[good]), b[good]))
-        g = [x[good] for x in g]
-        _, at, n = np.unique(two_words(g[0], g[1]) if size == 2 else pair(two_words(g[0], g[1]), g[2]), return_index=True, return_counts=True)
-        order = np.lexsort((g[1][at], g[0][at]))  # rows alike stand together, which compresses
-        at, n = at[order], n[order]
-        return pa.RecordBatch.from_arrays([*(pa.array(x[at].view(np.int64)) for x in g), pa.array(n.astype(np.int64))], names=[*names, "n"])
-
-    out = docs.select("text").mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
-    return out.groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
-
-
-def with_keys(grams: DataFrame) -> DataFrame:
-    """Adds key and state, and for three words first_pair and last_pair, the keys of their pairs."""
-    size = len(grams.columns) - 1
-    more = ["key", "state", "first_pair", "last_pair"][: 2 * size - 2]
+    ``ctx`` stands for all words but the last, ``suf`` for all but the first, ``key`` for the run, ``total`` counts the
+    context. Tasks send sorted distinct runs by ranges of the context's hash, contexts once each; a bucket gets about
+    BUCKET tokens' runs. The runs of ``hot`` contexts (keys, counts) are dealt out by what follows. Only contexts and
+    what follows them that the ``maps`` hold can be frequent enough; other followers are counted together.
+    """
+    held = docs.sparkSession.sparkContext.broadcast((maps, hot))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            g = [np.asarray(batch.column(k)).view(np.uint64) for k in range(size)]
-            state = one_word(g[0]) if size == 2 else two_words(g[0], g[1])
-            out = [pair(state, g[-1]), state]
-            if size == 3:
-                out += [pair(one_word(g[0]), g[1]), pair(one_word(g[1]), g[2])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x.view(np.int64)) for x in out)], names=[*batch.schema.names, *more])
-
-    return grams.mapInArrow(run, ", ".join(f"{c} long" for c in [*grams.columns, *more]))
+        (state_map, entry_map), (hot_keys, _) = held.value
+        for h in flushes(batches):
+            for d, (ctx, suf, at) in enumerate(grams(h, level), 1):
+                if d == level:
+                    at = at[in_map(state_map, ctx[at])]
+                    ctx, suf = ctx[at], suf[at]
+                    del at
+                    suf[~in_map(entry_map, suf)] = 0
+                    u, i = np.unique(ctx, return_inverse=True)
+                    del ctx
+                    v, j = np.unique(suf, return_inverse=True)
+                    del suf
+                    i *= len(v)
+                    i += j
+                    del j
+                    code, n = np.unique(i, return_counts=True)
+                    del i
+                    yield rows(u[code // max(len(v), 1)], v[code % max(len(v), 1)], n, hot_keys)
+
+    def rows(ctx: np.ndarray, suf: np.ndarray, n: np.ndarray, hot_keys: np.ndarray) -> pa.RecordBatch:
+        by = np.where(find(hot_keys, ctx)[1], mix(suf), ctx)
+        bucket = ((by >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        ctx, suf, n, bucket = ctx[order], suf[order], n[order], bucket[order]
+        new = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, int)
+        first = np.flatnonzero(np.concatenate(([True], (ctx[1:] != ctx[:-1]) | (bucket[1:] != bucket[:-1])))) if len(bucket) else np.zeros(0, int)
+        outer = np.append(new, len(bucket)).astype(np.int32)
+        inner = np.searchsorted(first, outer).astype(np.int32)
+        lists = lambda off, x, kind: pa.ListArray.from_arrays(pa.array(off), pa.array(x, kind))
+        return pa.RecordBatch.from_arrays([
+            pa.array(bucket[new]), lists(inner, ctx[first].view(np.int64), pa.int64()),
+            lists(inner, np.diff(np.append(first, len(bucket))).astype(np.int32), pa.int32()),
+            lists(outer, suf.view(np.int64), pa.int64()), lists(outer, n.astype(np.int32), pa.int32())],
+            names=["bucket", "ctx", "times", "suf", "n"])
+
+    def merge(group: pa.Table) -> pa.Table:
+        flat = lambda c: group.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        hot_keys, hot_n = held.value[1]
+        ctx = np.repeat(flat("ctx").view(np.uint64), flat("times"))
+        u, i = np.unique(ctx, return_inverse=True)
+        v, j = np.unique(flat("suf").view(np.uint64), return_inverse=True)
+        n = flat("n").astype(np.int64)
+        total = np.bincount(i, n, len(u)).astype(np.int64)
+        at, is_hot = find(hot_keys, u)
+        total[is_hot] = hot_n[at[is_hot]]
+        code = i * len(v) + j
+        order = np.argsort(code)
+        code, n = code[order], n[order]
+        first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+        code, n = code[first], np.add.reduceat(n, first)
+        i, j = code // len(v), code % len(v)
+        keep = (n >= LEAST_COUNT) & (v[j] != 0) & (total[i] >= LEAST_STATE)
+        i, j = i[keep], j[keep]
+        return pa.table({"ctx": longs(u[i]), "suf": longs(v[j]), "key": longs(pair(u[i], v[j])), "n": n[keep], "total": total[i]})
+
+    out = docs.select("text").mapInArrow(run, "bucket long, ctx array<long>, times array<int>, suf array<long>, n array<int>")
+    return out.groupBy("bucket").applyInArrow(merge, "ctx long, suf long, key long, n long, total long")
 
 
 def grow(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of (key, state, n, total, parent): the kept states (state, total, other), and the entries with log_new, their log10 probability there.
+    """Of (ctx, key, n, total, parent): the kept states (ctx, total, other), and the entries with log_new where they diverge.
 
-    ``total``: the state's tokens; ``parent``: log10 of what the suffix gives; ``other``: log10 of the factor for words without an entry.
+    ``parent``: log10 of what the suffix gives; ``other``: log10 of the factor for words without an entry of their own.
     """
-    e = entries.withColumn("q", F.pow(F.lit(10.0), F.col("parent")))
-    e = e.withColumn("p", (F.col("n") + SMOOTHING * F.col("q")) / (F.col("total") + SMOOTHING))
-    s = e.groupBy("state").agg(
-        F.max("total").alias("total"), F.count("*").alias("entries"), F.sum("n").alias("n"), F.sum("q").alias("q"),
-        F.sum(F.col("n") * F.log(F.col("p") / F.col("q"))).alias("gained"))
+    q = F.pow(F.lit(10.0), F.col("parent"))
+    e = entries.withColumn("q", q).withColumn("p", (F.col("n") + SMOOTHING * F.col("q")) / (F.col("total") + SMOOTHING))
+    e = e.withColumn("gain", F.col("n") * F.log(F.col("p") / F.col("q")))
+    s = e.where(F.col("gain") >= DIVERGENCE).groupBy("ctx").agg(
+        F.max("total").alias("total"), F.count("*").alias("entries"), F.sum("n").alias("n"), F.sum("q").alias("q"), F.sum("gain").alias("gain"))
     rest_n = F.greatest(F.col("total") - F.col("n"), F.lit(0))
     s = s.withColumn("rest", (rest_n / F.greatest(1 - F.col("q"), F.lit(1e-9)) + SMOOTHING) / (F.col("total") + SMOOTHING))
-    s = s.where(F.col("gained") + rest_n * F.log("rest") >= DIVERGENCE * (F.col("entries") + 1))
-    return s.select("state", "total", F.log10("rest").alias("other")), e.withColumn("log_new", F.log10("p"))
+    s = s.where(F.col("gain") + rest_n * F.log("rest") >= DIVERGENCE * (F.col("entries") + 1))
+    new = e.withColumn("log_new", F.when(F.col("gain") >= DIVERGENCE, F.log10("p"))).select("ctx", "key", "n", "parent", "log_new")
+    return s.select("ctx", "total", F.log10("rest").alias("other")), new
+
+
+def most_frequent(table: DataFrame, most: int) -> int:
+    """The least count of which no more than ``most`` rows (n) have that much or more."""
+    step = F.when(F.col("n") < 1024, F.col("n")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("n"))).cast("long"))
+    sizes = {r["s"]: r["k"] for r in table.groupBy(step.alias("s")).agg(F.count("*").alias("k")).collect()}
+    least, fit = 1 << 62, 0
+    for s in sorted(sizes, reverse=True):
+        fit += sizes[s]
+        if fit > most:
+            break
+        least = s
+    return least
 
 
-def hashed_counts(counts: DataFrame) -> DataFrame:
-    """Rows (h, c) of the words that can be in a gram."""
+def sorted_columns(rows: pa.Table, *columns: str) -> list[np.ndarray]:
+    key = rows.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return [key[order], *(rows.column(c).to_numpy()[order] for c in columns)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = np.array([word_hash(w) for w in batch.column(0).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(1)], names=["h", "c"])
 
-    return counts.where(F.col("c") >= LEAST_COUNT).select("w", "c").mapInArrow(run, "h long, c long")
+@dataclass
+class Tree:
+    """What tasks hold: frequent words, the values of frequent states and entries, and maps of the keys of the others.
+
+    The gain at a word is the sum of its contexts' values and of its entries' values, each 0 where there is none: a
+    state's value is what a word without an entry gets, an entry's is what it gets more than that (log10, to the suffix).
+    """
+
+    words: np.ndarray  # sorted hashes
+    counts: np.ndarray
+    n: int
+    v: int
+    keys: np.ndarray
+    values: np.ndarray
+    maps: tuple[np.ndarray | None, np.ndarray | None, np.ndarray | None]  # other words, those seen twice, other keys
+    levels: int
+    table: DataFrame | None = None  # (key, value, word) of all that is not held
+
+    held: np.ndarray | None = None  # map of ``keys``
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"table": None}
+
+    def __post_init__(self) -> None:
+        self.held = np.zeros(1 << (BITS - 6), np.uint64)
+        at = self.keys & np.uint64((1 << BITS) - 1)
+        np.bitwise_or.at(self.held, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+
+    def log_p(self, c: np.ndarray | float) -> np.ndarray | float:
+        return np.log10((c + 0.5) / (self.n + 0.5 * (self.v + 1)))
+
+    def base(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For words in order: their counts, and whether they are in the join table at all, and with a count above one."""
+        at, hit = find(self.words, h)
+        c = np.where(hit, self.counts[at] if len(self.words) else 0, 0)
+        some = [~hit & in_map(m, h) if m is not None else np.zeros(len(h), bool) for m in self.maps[:2]]
+        return c, *some
+
+    def look_up(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in ``key`` of held keys and their values, and places of those to join."""
+        may = np.flatnonzero(in_map(self.held, key))
+        at, hit = find(self.keys, key[may])
+        join = np.flatnonzero(in_map(self.maps[2], key)) if self.maps[2] is not None else np.zeros(0, int)
+        hits, at = may[hit], at[hit]
+        return hits, self.values[at], np.setdiff1d(join, hits, assume_unique=True)
+
+    def gains(self, h: np.ndarray, u: np.ndarray, i: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of all contexts' states and entries: places and values of those held, places and keys of those to join.
+
+        ``u``, ``i``: the distinct words and where each token stands among them.
+        """
+        for level, (ctx, suf, at) in enumerate(grams(h, self.levels), 1):
+            if level == 1:  # each distinct word once
+                hits, found, more = self.look_up(u ^ STATE)
+                value, is_state, to_join = np.zeros(len(u)), np.zeros(len(u), bool), np.zeros(len(u), bool)
+                value[hits], is_state[hits], to_join[more] = found, True, True
+                own = i[at]
+                held, join = np.flatnonzero(is_state[own]), np.flatnonzero(to_join[own])
+                values = value[own[held]]
+            else:
+                held, values, join = self.look_up(ctx[at] ^ STATE)
+            yield at[held], values, at[join], ctx[at[join]] ^ STATE
+            at = at[np.union1d(held, join)]
+            key = pair(ctx[at], suf[at])
+            hits, values, join = self.look_up(key)
+            yield at[hits], values, at[join], key[join]
 
 
 def learn(train: DataFrame, counts: DataFrame) -> Tree:
-    """The tree of (text binary), given all word counts. All states are in its table; the driver gets what tasks hold."""
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    rows = counts.where(F.col("c") >= HELD * n).orderBy(F.desc("c"), "w").select("w", "c").toArrow()
-    c = rows.column("c").to_numpy().astype(float)
-    log_p = np.concatenate(([0.0], np.log10((c + 0.5) / (n + 0.5 * (v + 1))))) if len(c) else np.zeros(1)
-    words = rows.column("w").to_pylist()
-    del rows
-    tree = Tree(words, log_p, np.array([0, *map(word_hash, words)], np.uint64), n, v)
-    if not len(c):
-        return tree
-    h = cut(hashed_counts(counts), "hashes")
-    first = with_keys(gram_counts(train, tree, 2))
-    first = first.join(h.select(F.col("h").alias("g2"), F.log10((F.col("c") + 0.5) / F.lit(n + 0.5 * (v + 1))).alias("parent")), "g2")
-    first = cut(first.join(h.select(F.col("h").alias("g1"), F.col("c").alias("total")), "g1").select("key", "state", "n", "total", "parent"), "pairs")
-    states_1, entries_1 = grow(first)
-    states_1 = cut(states_1, "states")
-    entries_1 = entries_1.join(states_1.select("state", "other"), "state", "left")
-    after = entries_1.select(F.col("key").alias("last_pair"), F.when(F.col("other").isNull(), F.col("parent")).otherwise(F.col("log_new")).alias("parent"))
-    second = with_keys(gram_counts(train, tree, 3, bit_map(first)))
-    second = second.join(after, "last_pair").join(first.select(F.col("key").alias("first_pair"), F.col("n").alias("total")), "first_pair")
-    second = cut(second.select("key", "state", "n", "total", "parent"), "triples")
-    states_2, entries_2 = grow(second)
-    entries_2 = entries_2.join(states_2.select("state", "other"), "state")
-    row = lambda level, d, key, n, value: d.select(F.lit(level).alias("level"), F.col(key).alias("key"), F.col(n).alias("n"), value.alias("value"))
-    table = None
-    for level, states, entries in ((0, states_1, entries_1.where("other is not null")), (1, states_2, entries_2)):
-        both = row(level, states, "state", "total", F.col("other")).union(row(level + 2, entries, "key", "n", F.col("log_new") - F.col("parent") - F.col("other")))
-        table = both if table is None else table.union(both)
-    table = cut(table, "tree")
-    discard(h, first, states_1, second)
-    # whole powers of two of counts, from the largest on, as far as they fit
-    sizes = {r["b"]: r["k"] for r in table.groupBy(F.floor(F.log2("n")).alias("b")).agg(F.count("*").alias("k")).collect()}
-    least, fit = 64, 0
-    for b in sorted(sizes, reverse=True):
-        fit += sizes[b]
-        if fit > CACHE:
+    """The tree of (text binary), given all word counts (key, n). Its tables are whole; the driver gets what tasks hold."""
+    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    least = most_frequent(counts, CACHE_WORDS)
+    words, held = sorted_columns(counts.where(F.col("n") >= least).toArrow(), "n")
+    others = counts.where(F.col("n") < least)
+    maps = [bit_map(others), bit_map(others.where("n > 1"))] if least > 1 else [None, None]
+    log_p = F.log10((F.col("n") + 0.5) / F.lit(n + 0.5 * (v + 1)))
+    before = counts.where(F.col("n") >= LEAST_COUNT).select("key", "n", log_p.alias("after"))
+    tables, written, level = [], [], 0
+    for level in range(1, DEPTH + 1):
+        often = sorted_columns(before.where(F.col("n") >= max(HOT, n >> 20)).select("key", "n").toArrow(), "n")
+        both = bit_map(before.where(F.col("n") >= LEAST_STATE)), bit_map(before)
+        if not both[0].any():
+            break
+        found = gram_counts(train, level, both, tuple(often), max(1, -(-n // BUCKET)))
+        parents = before.select(F.col("key").alias("suf"), F.col("after").alias("parent"))
+        entries = cut(found.join(parents, "suf").select("ctx", "key", "n", "total", "parent"), "entries")
+        states, new = grow(entries)
+        states = cut(states, "states")
+        new = new.join(states.select("ctx", "other"), "ctx", "left")
+        after = F.when(F.col("other").isNull(), F.col("parent")).otherwise(F.coalesce("log_new", F.col("parent") + F.col("other")))
+        value = F.col("log_new") - F.col("parent") - F.col("other")
+        before = cut(new.select("key", "n", after.alias("after"), value.alias("value")), "grams")
+        discard(entries)
+        written += [states, before]
+        key = F.col("ctx").bitwiseXOR(F.lit(int(STATE.view(np.int64)))).alias("key")
+        tables += [states.select(key, F.col("total").alias("n"), F.col("other").alias("value")), before.where("value is not null").select("key", "n", "value")]
+        if states.isEmpty():
             break
-        least = b
-    frequent = F.floor(F.log2("n")) >= least
-    top = table.where(frequent).select("level", "key", "value").toArrow()
-    key = top.column("key").to_numpy().view(np.uint64)
-    level, order = top.column("level").to_numpy(), np.argsort(key)
-    tree.keys, tree.values = key[order], top.column("value").to_numpy()[order]
-    tree.kept = [np.ones(int((level == k).sum()), bool) for k in (0, 1)]
-    if len(key) < sum(sizes.values()):
-        tree.table = table.where(~frequent).select("key", "value")
-        tree.others = bit_map(tree.table)
+    keys, values, rest = np.zeros(0, np.uint64), np.zeros(0), None
+    if tables:
+        table = tables[0]
+        for t in tables[1:]:
+            table = table.union(t)
+        table = cut(table, "tree")
+        discard(*written)
+        least_n = most_frequent(table, CACHE)
+        keys, values = sorted_columns(table.where(F.col("n") >= least_n).select("key", "value").toArrow(), "value")
+        rest = table.where(F.col("n") < least_n).select("key", "value")
+    maps.append(bit_map(rest) if rest is not None and not rest.isEmpty() else None)
+    tree = Tree(words, held, n, v, keys, values, tuple(maps), level)
+    if maps[0] is not None:
+        more = others.select("key", F.log10((F.col("n") + 0.5) / 0.5).alias("value"), F.lit(True).alias("word"))
+        tree.table = more
+    if maps[2] is not None:
+        rest = rest.withColumn("word", F.lit(False))
+        tree.table = rest if tree.table is None else tree.table.union(rest)
     return tree
 
 
@@ -297,11 +357,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the documents that are not held out. ``base_score`` is the unigram model's log10 probability, ``score``
-    the tree's. Words and states that tasks hold are summed where the text is read; the others (each a tiny share of the
-    tokens) are joined with the tables of all words and states. Grams are told apart by 64-bit hashes.
+    the tree's. Words, states and entries that tasks hold are summed where the text is read; the others (each a tiny
+    share of the tokens) are joined with the tables of all. Words and grams are told apart by 64-bit hashes.
 
     Null and empty texts hold their end only. Rows with a null id are trained on. Repeated rows count and are scored each.
-    Extra columns are not read. Without any training text every token has probability 1.
+    Extra columns are not read. An empty table gives no rows. Without any training text every token has probability 1.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), held_out(F.col(id_col)).alias("held_out"))
     train = d.where(~F.col("held_out"))
@@ -311,36 +371,43 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = held.value
-        encode = _encoder(tree)
-        for batch in batches:
-            out: list[list] = [[] for _ in range(8)]
-            for text in batch.column(1).to_pylist():
-                words = words_of(text)
-                t = encode(words)
-                rare = Counter(words[i] for i in np.flatnonzero(t == 0))
-                gain, keys = tree.gains(tree.hashed(t, words))
-                keys, times = np.unique(keys, return_counts=True)
-                row = len(words), int((t > 0).sum()), float(tree.log_p[t].sum()), gain, list(rare), list(rare.values()), keys.view(np.int64), times
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), *[pa.list_(pa.int64())] * 3)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *map(pa.array, out, kinds)],
-                names=["doc_id", "held_out", "n_tokens", "known", "base", "gain", "rare", "times", "keys", "key_times"])
+        for batch, h, ends in blocks(batches, 1):
+            size, of = len(ends), np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+            trained = ~np.asarray(batch.column(2).to_numpy(zero_copy_only=False), bool)
+            total = lambda at, x: np.bincount(of[at], x, size)
+            u, i = np.unique(h, return_inverse=True)
+            c, some, twice = tree.base(u)
+            once = trained[of] & ((c == 0) & ~twice)[i]  # a word of a training text has been seen
+            c = np.where(once, 1, c[i])
+            join = some[i] & ~once
+            every = np.arange(len(h))
+            base, gain, where, keys = total(every, tree.log_p(c)), np.zeros(size), [of[join]], [h[join]]
+            known = c > 0
+            for at, value, more, key in tree.gains(h, u, i):
+                gain += total(at, value)
+                where.append(of[more])
+                keys.append(key)
+            where, keys = np.concatenate(where), np.concatenate(keys)
+            order = np.argsort(where, kind="stable")
+            offsets = np.searchsorted(where[order], np.arange(size + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(2), pa.array(np.diff(ends, prepend=0)), pa.array(total(every, known).astype(np.int64)),
+                pa.array(base), pa.array(gain), pa.ListArray.from_arrays(pa.array(offsets), longs(keys[order]))],
+                names=["doc_id", "held_out", "n_tokens", "known", "base", "gain", "keys"])
 
     kind = dict(d.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, gain double, rare array<binary>, times array<long>, keys array<long>, key_times array<long>"
-    read = cut(d.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = read.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("w"), F.col("x.times").alias("k"))
-    c = F.coalesce("c", F.lit(0))
-    log_p = F.log10((c + 0.5) / F.lit(tree.n + 0.5 * (tree.v + 1)))
-    rare = rare.join(counts.where(F.col("c") < HELD * tree.n), "w", "left").groupBy("row").agg(
-        F.sum(F.col("k") * log_p).alias("rare_base"), F.sum(F.when(c > 0, F.col("k")).otherwise(F.lit(0))).alias("rare_known"))
-    out = read.join(rare, "row", "left").withColumn("base_score", F.col("base") + F.coalesce("rare_base", F.lit(0.0)))
+    read = d.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, gain double, keys array<long>")
+    out, zero = read, F.lit(0.0)
     if tree.table is not None:
-        more = read.select("row", F.explode(F.arrays_zip("keys", "key_times")).alias("x")).select("row", F.col("x.keys").alias("key"), F.col("x.key_times").alias("k"))
-        more = more.join(tree.table, "key").groupBy("row").agg(F.sum(F.col("k") * F.col("value")).alias("more"))
-        out = out.join(more, "row", "left").withColumn("gain", F.col("gain") + F.coalesce("more", F.lit(0.0)))
+        out = cut(read.withColumn("row", F.monotonically_increasing_id()), "scored")
+        more = out.select("row", F.explode("keys").alias("key")).join(tree.table, "key")
+        more = more.groupBy("row").agg(
+            F.sum(F.when(F.col("word"), F.col("value"))).alias("more_base"), F.count_if("word").alias("more_known"),
+            F.sum(F.when(~F.col("word"), F.col("value"))).alias("more_gain"))
+        out = out.join(more, "row", "left")
+    else:
+        out = out.withColumns({"more_base": zero, "more_known": F.lit(0), "more_gain": zero})
+    base = F.col("base") + F.coalesce("more_base", zero)
     return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(tree.n).cast("long").alias("train_tokens"), "base_score", (F.col("base_score") + F.col("gain")).alias("score"))
+        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
+        F.lit(tree.n).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain") + F.coalesce("more_gain", zero)).alias("score"))
