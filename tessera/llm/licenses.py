@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.plans.lineage import cut
+
 #: The phrases that count as base, and notices in common use by label.
 PHRASES = {"mit": "mit license", "apache": "apache license", "gpl": "general public license"}
 TEMPLATES = {
@@ -33,16 +35,21 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 THRESHOLD = 0.8
-#: Blocks are lines, and the words of the whole text, for notices that wrap; longer ones are cut into windows that overlap by
-#: half, so that no notice falls between. Windows are longer where a template has more than half as many words.
+#: Blocks are windows of the text's words, line ends ignored, that overlap by half: any stretch of half a window and one word more
+#: lies within one, so that no notice falls between. Windows are longer where a template has more than half as many words.
 WINDOW = 64
 
 
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(WORD_ANY_CASE), 0)
+
+
 def token_counts(text: Column, docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     """How often each word of ``vocabulary`` (the templates', so a few hundred at most) occurs in the whole corpus."""
-    words = docs.select(F.explode(F.regexp_extract_all(text, F.lit(WORD_ANY_CASE), 0)).alias("w"))
-    words = words.where(F.length("w") <= max(map(len, vocabulary))).select(F.translate("w", UPPER, LOWER).alias("w"))
-    return {r["w"]: r["n"] for r in words.where(F.col("w").isin(vocabulary)).groupBy("w").agg(F.count("*").alias("n")).collect()}
+    some = F.filter(words_of(text), lambda w: F.lower(w).isin(vocabulary))
+    words = docs.select(F.explode(some).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    words = words.select(F.translate("w", UPPER, LOWER).alias("w"), "n").groupBy("w").agg(F.sum("n").alias("n"))
+    return {r["w"]: r["n"] for r in words.where(F.col("w").isin(vocabulary)).collect()}
 
 
 def needed(size: int, threshold: float) -> int:
@@ -50,17 +57,17 @@ def needed(size: int, threshold: float) -> int:
     return -(-round(threshold * 100) * size // 100)
 
 
-def prefix_index(templates: dict[str, tuple[str, ...]], counts: dict[str, int], threshold: float) -> list[tuple]:
-    """Rows (token, template, label, words, needed, position): for each template its rarest tokens, by global order.
+def prefix_index(templates: dict[str, tuple[str, ...]], rank: dict[str, int], threshold: float) -> list[tuple]:
+    """Rows (token, position, label, ranks, need): each template as ranks of its words, rarest first, under each of its prefix.
 
-    A block with ``needed`` of a template's n tokens holds one of the n - needed + 1 rarest.
+    A block with ``need`` of a template's n words holds one of the n - need + 1 rarest.
     """
     rows = []
     for label, texts in templates.items():
         for text in texts:
-            tokens = sorted(set(text.split()), key=lambda w: (counts.get(w, 0), w))
-            need = needed(len(tokens), threshold)
-            rows += [(w, text, label, tokens, need, i) for i, w in enumerate(tokens[: len(tokens) - need + 1])]
+            ranks = sorted(rank[w] for w in set(text.split()))
+            need = needed(len(ranks), threshold)
+            rows += [(r, i, label, ranks, need) for i, r in enumerate(ranks[: len(ranks) - need + 1])]
     return rows
 
 
@@ -69,56 +76,68 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    Base places are where a phrase's words stand one after the other. For the method's labels blocks (lines and the whole text, or windows
-    of long ones) are joined on tokens with the templates' prefixes; the length filter (a block needs as many distinct
-    words as the template asks for) and the positional filter (what stands after the matched token in the template
-    must suffice, and the match must be the first of the prefix) leave the blocks whose containment is computed. ``score`` is the
-    largest containment met, 1 for a base place, else 0.
+    Base places are where a phrase's words stand one after the other. For the method's labels the words of templates and
+    of blocks (windows of the whole text's words) become ranks in one global order, rarest in the corpus first; a block
+    joins the templates whose prefix holds one of its words. The length filter (a block needs as many template words
+    as the template asks for) and the positional filter (what stands after the matched word, in the template and in the
+    block, must suffice with it; so must what stands before it and after it) leave the blocks whose containment is
+    computed. ``score`` is the largest containment met, 1 for a base place, else 0.
 
-    Null and empty texts have no words. Repeated rows give equal rows. Rows with a null id are scanned, too; results are
-    joined back by id and digest of the text. Other columns are not read. An empty table gives no rows.
+    The texts' words are found once and written, as ranks, for texts with a prefix word only. Null and empty texts have
+    no words. Repeated rows give equal rows, rows with a null id are scanned, too. Other columns are not read. An empty
+    table gives no rows.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     window = max(WINDOW, 2 * max((len(t.split()) for texts in templates.values() for t in texts), default=0))
     vocabulary = sorted({w for texts in templates.values() for t in texts for w in t.split()})
-    index = prefix_index(templates, token_counts(text, d, vocabulary), threshold)
-    rows = d.sparkSession.createDataFrame(
-        index, "token string, template string, label string, words array<string>, need int, position int")
-
-    lower = F.translate(text, UPPER, LOWER)
-    blocks = d.select("doc_id", F.xxhash64("text").alias("h"), F.explode(F.when(text.contains("\n"), F.concat(F.split(text, "\n"), F.array(text))).otherwise(F.array(text))).alias("block"))
-    rare = "|".join(sorted({r[0] for r in index}, key=lambda w: (-len(w), w)))
-    blocks = blocks.where(F.col("block").rlike(f"(?i)(?<![a-z0-9])(?:{rare})(?![a-z0-9])"))
-    words = F.regexp_extract_all(F.translate("block", UPPER, LOWER), F.lit(WORD), 0)
-    blocks = blocks.select("doc_id", "h", words.alias("w"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("w") - window // 2, F.lit(1)), F.lit(window // 2))
-    blocks = blocks.select("doc_id", "h", F.explode(F.transform(starts, lambda s: F.array_distinct(F.slice(F.col("w"), s, window)))).alias("b"))
-    tokens = F.array(*(F.lit(w) for w in sorted({r[0] for r in index})))
-    found = blocks.select("doc_id", "h", "b", F.explode(F.array_intersect("b", tokens)).alias("token")).join(F.broadcast(rows), "token")
-    found = found.where((F.size("b") >= F.col("need")) & (F.size("words") - F.col("position") >= F.col("need")))
-    overlap = F.size(F.array_intersect("words", "b"))
-    found = found.where(overlap >= F.col("need")).select("doc_id", "h", "label", (overlap / F.size("words")).alias("containment"))
-    found = found.groupBy("doc_id", "h").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
-
-    base = d.select("doc_id", F.xxhash64("text").alias("h"), F.regexp_count(text, F.lit(WORD_ANY_CASE)).cast("long").alias("n_words"),
-                    F.when(text.rlike("(?i)license"), F.regexp_extract_all(lower, F.lit(WORD), 0)).alias("w"))
+    counts = token_counts(F.col("text"), d, vocabulary) if vocabulary else {}
+    rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
+    index = prefix_index(templates, rank, threshold)
+    first = sorted({r[0] for r in index})
+    named = {i: w for w, i in rank.items()}
+    spark = d.sparkSession
+    rows = spark.createDataFrame(index, "rank int, position int, label string, words array<int>, need int")
+
+    folded = lambda w: F.translate(w, UPPER, LOWER)
+    w = d.select("doc_id", words_of(F.col("text")).alias("w"))
+    rare, has = [named[i] for i in first], lambda some: F.exists("w", lambda x: F.lower(x).isin(some))
+    w = w.select("doc_id", "w", (has(rare) if rare else F.lit(False)).alias("maybe"), has([p.split()[-1] for p in PHRASES.values()]).alias("base"))
+    w = w.select("doc_id", F.size("w").cast("long").alias("n_words"), "maybe", "base", F.when(F.col("maybe") | F.col("base"), F.transform("w", folded)).alias("w"))
     at = lambda i, k: F.get("w", i + k)
 
-    def place(w: Column, i: Column) -> Column:
+    def place(x: Column, i: Column) -> Column:
         case = None
         for label, phrase in PHRASES.items():
-            first, *rest = phrase.split()
-            test = w == first
-            for k, x in enumerate(rest, 1):
-                test = test & (at(i, k) == x)
+            head, *rest = phrase.split()
+            test = x == head
+            for k, y in enumerate(rest, 1):
+                test = test & (at(i, k) == y)
             case = F.when(test, label) if case is None else case.when(test, label)
         return F.struct(i.cast("long").alias("i"), case.alias("label"))
 
-    base = base.select("doc_id", "h", "n_words", F.coalesce(
-        F.filter(F.transform("w", place), lambda p: p["label"].isNotNull()), F.array().cast("array<struct<i:bigint,label:string>>")).alias("p"))
-    found = found.select(F.col("doc_id").alias("f_id"), F.col("h").alias("f_h"), "more", "best")
-    out = base.join(found, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("h") == F.col("f_h")), "left")
+    places = F.filter(F.transform("w", place), lambda p: p["label"].isNotNull())
+    none = F.array().cast("array<struct<i:bigint,label:string>>")
+    ranks = F.create_map(*(F.lit(x) for pair in rank.items() for x in pair)) if rank else None
+    as_rank = F.transform("w", lambda x: F.when(x.isin(vocabulary), F.element_at(ranks, x)).otherwise(F.lit(-1))) if rank else F.lit(None).cast("array<int>")
+    table = cut(w.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "n_words", F.coalesce(F.when(F.col("base"), places), none).alias("p"),
+        F.when(F.col("maybe"), as_rank).alias("ranks")), "licenses")
+
+    starts = F.sequence(F.lit(1), F.greatest(F.size("ranks") - window // 2, F.lit(1)), F.lit(window // 2))
+    block = lambda s: F.array_sort(F.array_distinct(F.filter(F.slice("ranks", s, window), lambda x: x >= 0)))
+    some = lambda b: F.arrays_overlap(b, F.array(*map(F.lit, first)))
+    blocks = table.where("ranks is not null").select("row", F.explode(F.filter(F.transform(starts, block), some)).alias("b"))
+    found = blocks.select("row", "b", F.posexplode("b").alias("at", "rank")).where(F.col("rank").isin(first)).join(F.broadcast(rows), "rank")
+    after = lambda x, i: F.size(x) - i  # noqa: E731  the word itself and what follows it
+    found = found.where(F.col("need") <= F.size("b"))
+    found = found.where(F.least(F.col("position"), F.col("at")) + F.least(after("words", F.col("position")), after("b", F.col("at"))) >= F.col("need"))
+    overlap = F.size(F.array_intersect("words", "b"))
+    found = found.where(overlap >= F.col("need")).select("row", "label", (overlap / F.size("words")).alias("containment"))
+    found = found.groupBy("row").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
+
+    columns = ["doc_id", "n_words", "p"]
+    out = table.where("ranks is not null").join(found, "row", "left").select(*columns, "more", "best")
+    out = out.unionByName(table.where("ranks is null").select(*columns), allowMissingColumns=True)
     labels = F.array_sort(F.array_distinct(F.col("p")["label"]))
     return out.select(
         "doc_id", "n_words", F.size("p").cast("long").alias("n_base"), F.get("p", F.lit(0))["i"].alias("first_word"),
@@ -146,9 +165,7 @@ p AS (SELECT doc_id, unnest(list_filter(list_transform(range(1, len(w) + 1), lam
          WHEN w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license' THEN 'gpl' END)), lambda x: x.label IS NOT NULL)) AS p FROM w),
 b AS (SELECT doc_id, count(*) AS n_base, CAST(min(p.i) AS BIGINT) AS first_word, CAST(max(p.i) AS BIGINT) AS last_word,
   string_agg(DISTINCT p.label, ',' ORDER BY p.label) AS base_labels FROM p GROUP BY doc_id),
-l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
-lw AS (SELECT doc_id, regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM l),
-bl AS (SELECT doc_id, w[s : s + {WINDOW - 1}] AS b FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {WINDOW // 2}, 1) + 1, {WINDOW // 2})) AS s FROM lw)),
+bl AS (SELECT doc_id, w[s : s + {WINDOW - 1}] AS b FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {WINDOW // 2}, 1) + 1, {WINDOW // 2})) AS s FROM w)),
 f AS (SELECT doc_id, label, len(list_distinct(list_intersect(words, b))) / len(words) AS c
       FROM bl JOIN t ON len(list_distinct(list_intersect(words, b))) >= need),
 a AS (SELECT doc_id, label, c FROM f UNION ALL SELECT doc_id, p.label, 1.0 FROM p),
