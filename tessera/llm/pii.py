@@ -35,6 +35,15 @@ CONTEXT = {
 CONTEXT_CHARS = 40
 BONUS = 0.4
 ACCEPT = 0.6
+#: Lengths of IBANs by country. A match goes on over words in capitals; it is cut to its country's length.
+IBAN_LENGTH = {
+    "AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HU": 28, "IE": 22,
+    "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "TR": 26,
+}
+#: Matches that are put together at a time: work per match stays the same however many a text has.
+GROUP = 128
+#: Matches of context kinds have 11 characters or more, so that four on each side cover CONTEXT_CHARS.
+SIDE = 4
 
 
 def digit_sum(digits: Column) -> Column:
@@ -69,45 +78,95 @@ def holds(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def spans_of(kind: str, text: Column) -> Column:
-    """Array of (kind, start, end, score, value), in order; start and end in code points, end exclusive."""
-    matches = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), 0)
-    gaps = F.split(text, PATTERNS[kind], -1)
-    row = lambda at, m, score: F.struct(
-        F.lit(kind).alias("kind"), at.alias("start"), (at + F.length(m)).alias("end"), score.alias("score"), m.alias("value"))
-    none = F.array().cast("array<struct<kind:string,start:int,end:int,score:double,value:string>>")
-
-    def step(state: Column, pair: Column) -> Column:
-        at, m = state["at"] + F.length(pair["gap"]), pair["m"]
-        score, ok = F.lit(1.0), holds(kind, m)
+def iban_cut(m: Column) -> Column:
+    """The part of a match that has its country's length, or all of it; null where an IBAN would end inside a word."""
+    lengths = F.create_map(*(F.lit(x) for pair in IBAN_LENGTH.items() for x in pair))
+    n = F.element_at(lengths, F.substr(m, F.lit(1), F.lit(2)))
+    part = F.call_function("regexp_extract", m, F.concat(F.lit(r"^(?:[A-Z0-9]\x20?){"), (n - 1).cast("string"), F.lit("}[A-Z0-9]")), F.lit(0))
+    ends = ~F.substr(m, F.length(part) + 1, F.lit(1)).rlike("[A-Z0-9]")
+    return F.when(n.isNull(), m).when((part != "") & ends, part)
+
+
+ITEM = "struct<skip:int,size:int,ok:boolean,score:double,value:string>"
+SPAN = "struct<kind:string,start:int,end:int,score:double,value:string>"
+
+
+def items_of(kind: str, text: Column) -> Column:
+    """All matches of a kind: characters since the last one, and its own; whether it counts, its score, and what counts of it."""
+    matches, gaps = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), 0), F.split(text, PATTERNS[kind], -1)
+    columns = [gaps.alias("gap"), matches.alias("m")]
+    if kind in CONTEXT:
+        for k in range(1, SIDE + 1):
+            nulls = F.array_repeat(F.lit(None).cast("string"), k)
+            columns += [F.concat(nulls, gaps).alias(f"gb{k}"), F.concat(nulls, matches).alias(f"mb{k}")]
+            columns += [F.slice(gaps, k + 1, 1 << 30).alias(f"ga{k}"), F.slice(matches, k + 1, 1 << 30).alias(f"ma{k}")]
+
+    def item(p: Column) -> Column:
+        m = p["m"]
+        value = iban_cut(m) if kind == "iban" else m
+        ok, score = value.isNotNull() & holds(kind, value), F.lit(1.0)
         if kind in CONTEXT:
             base, words, _ = CONTEXT[kind]
-            low = F.greatest(F.lit(1), at + 1 - CONTEXT_CHARS)
-            around = F.substr(text, low, at + F.length(m) + CONTEXT_CHARS - low + 1)
-            score = F.lit(base) + F.when(around.rlike(f"(?i)(?<![a-z])(?:{words})(?![a-z])"), F.lit(BONUS)).otherwise(F.lit(0.0))
-            score = F.least(score, F.lit(1.0))
+            n = F.lit(CONTEXT_CHARS)
+            before = F.right(F.concat_ws("", *(x for k in range(SIDE, 0, -1) for x in (F.right(p[f"gb{k}"], n), p[f"mb{k}"])), F.right(p["gap"], n)), n)
+            rest = F.substr(m, F.length(value) + 1)
+            after = F.left(F.concat_ws("", rest, *(x for k in range(1, SIDE + 1) for x in (F.left(p[f"ga{k}"], n), p[f"ma{k}"]))), n)
+            near = F.concat_ws("", before, value, after).rlike(f"(?i)(?<![a-z])(?:{words})(?![a-z])")
+            score = F.least(F.lit(base) + F.when(near, F.lit(BONUS)).otherwise(F.lit(0.0)), F.lit(1.0))
             ok = ok & (score >= ACCEPT)
-        found = F.when(ok, F.concat(state["found"], F.array(row(at, m, score).cast(item)))).otherwise(state["found"])
-        return F.struct((at + F.length(m)).alias("at"), found.alias("found"))
+        return F.struct(F.length(p["gap"]).alias("skip"), F.length(m).alias("size"), F.coalesce(ok, F.lit(False)).alias("ok"), score.alias("score"), value.alias("value")).cast(ITEM)
+
+    found = F.transform(F.filter(F.arrays_zip(*columns), lambda p: p["m"].isNotNull()), item)
+    return F.when(text.rlike(HINTS[kind]), found).otherwise(F.array().cast(f"array<{ITEM}>"))
+
 
-    item = "struct<kind:string,start:int,end:int,score:double,value:string>"
-    pairs = F.zip_with(gaps, matches, lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
-    pairs = F.filter(pairs, lambda p: p["m"].isNotNull())  # there is one gap more
-    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
-    found = F.aggregate(pairs, start, step, lambda s: s["found"])
-    return F.when(text.rlike(HINTS[kind]), found).otherwise(none)
+def groups_of(items: Column) -> Column:
+    """An array cut into arrays of GROUP."""
+    starts = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(GROUP))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda s: F.slice(items, s, GROUP))
 
 
-def find_pii(docs: DataFrame, text_col: str = "text", kinds: tuple[str, ...] = tuple(PATTERNS)) -> DataFrame:
-    """Add ``pii_spans``: array of (kind, start, end, score, value), by kind as listed, then by start.
+def running(values: Column, first: Column, join) -> Column:
+    """For each of an array's values what ``join`` makes of those before it."""
+    state = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(values, state, lambda s, x: F.struct(join(s["at"], x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+
+def spans_of(kind: str, groups: Column) -> Column:
+    """Array of (kind, start, end, score, value), in order; start and end in code points, end exclusive."""
+    sizes = F.transform(groups, lambda g: F.aggregate(g, F.lit(0), lambda a, p: a + p["skip"] + p["size"]))
+    offsets = running(sizes, F.lit(0), lambda a, x: a + x)
+
+    def step(state: Column, p: Column) -> Column:
+        at = state["at"] + p["skip"]
+        row = F.struct(F.lit(kind).alias("kind"), at.alias("start"), (at + F.length(p["value"])).alias("end"), p["score"].alias("score"), p["value"].alias("value"))
+        found = F.when(p["ok"], F.concat(state["found"], F.array(row.cast(SPAN)))).otherwise(state["found"])
+        return F.struct((at + p["size"]).alias("at"), found.alias("found"))
+
+    start = lambda o: F.struct(o.alias("at"), F.array().cast(f"array<{SPAN}>").alias("found"))
+    return F.flatten(F.zip_with(groups, offsets, lambda g, o: F.aggregate(g, start(o), step, lambda s: s["found"])))
+
+
+def spare_name(docs: DataFrame) -> str:
+    """A beginning that no column's name has."""
+    name = "_pii"
+    while any(c.lower().startswith(name) for c in docs.columns):
+        name = "_" + name
+    return name
+
+
+def find_pii(docs: DataFrame, text_col: str = "text", kinds: tuple[str, ...] = tuple(PATTERNS), out: str = "pii_spans") -> DataFrame:
+    """Add ``out``: array of (kind, start, end, score, value), by kind as listed, then by start; a column of that name is replaced.
 
     Email, ip, card and phone are the base kinds; card is confirmed by Luhn, iban by mod 97, ssn and secret only with a
     context word within ``CONTEXT_CHARS`` characters. Null and empty texts give an empty array. Works row by row, so
-    repeated rows, ties and other columns play no part; the cost follows the text's length.
+    repeated rows and ties play no part, and no other column is read or changed; the cost follows the text's length.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = docs.withColumns({f"pii_{k}": spans_of(k, text) for k in kinds})
-    return docs.withColumn("pii_spans", F.concat(*(F.col(f"pii_{k}") for k in kinds))).drop(*(f"pii_{k}" for k in kinds))
+    text, own = F.coalesce(F.col(f"`{text_col}`"), F.lit("")), spare_name(docs)
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != out]
+    d = docs.withColumns({f"{own}_i_{k}": items_of(k, text) for k in kinds})
+    d = d.withColumns({f"{own}_g_{k}": groups_of(F.col(f"{own}_i_{k}")) for k in kinds})
+    return d.select(*kept, F.concat(*(spans_of(k, F.col(f"{own}_g_{k}")) for k in kinds)).alias(out))
 
 
 def render(spans: Column) -> Column:
@@ -116,17 +175,32 @@ def render(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Replace every span by its kind in angle brackets, overlapping ones as one by the first; null stays null."""
-    d = find_pii(docs, text_col).withColumn(
-        "pii_spans", F.array_sort(F.transform("pii_spans", lambda s: F.struct(s["start"].alias("s"), (-s["end"]).alias("e"), s["kind"].alias("k")))))
+    """Replace every span by its kind in angle brackets, overlapping ones as one by the first; null stays null.
 
-    def step(state: Column, s: Column) -> Column:
-        piece = F.concat(state["out"], F.substr(F.col(text_col), state["at"] + 1, s["s"] - state["at"]), F.lit("<"), F.upper(s["k"]), F.lit(">"))
-        return F.struct(F.greatest(state["at"], -s["e"]).alias("at"), F.when(s["s"] >= state["at"], piece).otherwise(state["out"]).alias("out"))
+    All other columns stay as they are. A text with many spans is put together from groups of them.
+    """
+    own = spare_name(docs)
+    spans, groups, text = F.col(f"{own}_spans"), F.col(f"{own}_groups"), F.col(f"`{text_col}`")
+    d = find_pii(docs, text_col, out=f"{own}_spans")
+    d = d.withColumn(f"{own}_spans", F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("s"), (-s["end"]).alias("e"), s["kind"].alias("k")))))
+    d = d.withColumn(f"{own}_groups", groups_of(spans))
+    # where the text that is not yet done begins, for each group
+    ends = F.transform(groups, lambda g: F.aggregate(g, F.lit(0), lambda a, s: F.greatest(a, -s["e"])))
+    offsets = running(ends, F.lit(0), lambda a, x: F.greatest(a, x))
+
+    def group(g: Column, o: Column) -> Column:
+        last = F.aggregate(g, o, lambda a, s: F.greatest(a, -s["e"]))
+        state = F.struct(o.alias("at"), F.lit("").alias("out"), F.substr(text, o + 1, last - o).alias("t"))
+
+        def step(state: Column, s: Column) -> Column:
+            piece = F.concat(state["out"], F.substr(state["t"], state["at"] - o + 1, s["s"] - state["at"]), F.lit("<"), F.upper(s["k"]), F.lit(">"))
+            return F.struct(F.greatest(state["at"], -s["e"]).alias("at"), F.when(s["s"] >= state["at"], piece).otherwise(state["out"]).alias("out"), state["t"].alias("t"))
 
-    whole = F.aggregate("pii_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                        lambda s: F.concat(s["out"], F.substr(F.col(text_col), s["at"] + 1)))
-    return d.withColumn(text_col, F.when(F.size("pii_spans") > 0, whole).otherwise(F.col(text_col))).drop("pii_spans")
+        return F.aggregate(g, state, step, lambda s: s["out"])
+
+    end = F.aggregate(groups, F.lit(0), lambda a, g: F.aggregate(g, a, lambda b, s: F.greatest(b, -s["e"])))
+    whole = F.concat(F.array_join(F.zip_with(groups, offsets, group), ""), F.substr(text, end + 1))
+    return d.withColumn(text_col, F.when(F.size(spans) > 0, whole).otherwise(text)).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 PII_SQL = r"""
@@ -138,9 +212,11 @@ m AS (SELECT doc_id, t, kind, o, regexp_extract_all(t, pat) AS ms, regexp_split_
 e AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM m),
 p AS (SELECT doc_id, t, kind, o, ms[i] AS v,
   CAST(list_sum(list_transform(gs[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i-1], lambda x: length(x))), 0) AS BIGINT) AS s FROM e),
+c AS (SELECT * REPLACE (CASE WHEN kind = 'iban' AND n IS NOT NULL THEN regexp_extract(v, '^(?:[A-Z0-9]\x20?){' || (n - 1) || '}[A-Z0-9]') ELSE v END AS v) FROM (
+  SELECT *, CASE WHEN kind = 'iban' THEN MAP LENGTHS[substr(v, 1, 2)] END AS n FROM p) WHERE true),
 q AS (SELECT *, s + length(v) AS f, regexp_replace(v, '[^0-9]', '', 'g') AS dig, substr(t, CAST(s AS BIGINT), 1) AS pre,
   substr(t, s + length(v) + 1, 1) AS post, regexp_replace(v, ' ', '', 'g') AS bare,
-  substr(t, greatest(1, s + 1 - 40), s + length(v) + 40 - greatest(1, s + 1 - 40) + 1) AS around FROM p),
+  substr(t, greatest(1, s + 1 - 40), s + length(v) + 40 - greatest(1, s + 1 - 40) + 1) AS around FROM c WHERE v <> ''),
 ok AS (SELECT *, CASE kind WHEN 'email' THEN true
   WHEN 'ip' THEN len(list_filter(string_split(v, '.'), lambda x: NOT regexp_matches(x, '^0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$'))) = 0
   WHEN 'card' THEN length(dig) BETWEEN 16 AND 19 AND CAST(list_sum(list_transform(range(1, length(dig) + 1), lambda j:
@@ -159,4 +235,4 @@ g AS (SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTE
   string_agg(kind || ':' || s || ':' || f, ',' ORDER BY o, s) AS spans FROM ok WHERE good GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)
-"""
+""".replace("LENGTHS", str(IBAN_LENGTH))
