@@ -38,17 +38,18 @@ class _Index:
         self.sorted = np.take_along_axis(h, order, axis=0).T.copy()
         rank = np.empty_like(order)
         np.put_along_axis(rank, order, np.arange(len(points))[:, None], axis=0)
-        self.rank = rank.T.astype(np.uint16).copy()
+        self.rank = rank.T.astype(np.uint16 if len(points) < 1 << 16 else np.uint32).copy()
 
     def collisions(self, h: np.ndarray, width: float) -> np.ndarray:
         """For each query (rows of h) and row the number of windows [h - width, h + width] that hold the row."""
         m, n = self.rank.shape
-        counts, inside, shifted = np.zeros((len(h), n), np.uint8), np.empty((len(h), n), np.uint8), np.empty((len(h), n), np.uint16)
+        kind = self.rank.dtype
+        counts, inside, shifted = np.zeros((len(h), n), np.uint8), np.empty((len(h), n), np.uint8), np.empty((len(h), n), kind)
         for j in range(m):
             low = np.searchsorted(self.sorted[j], h[:, j] - width)
             size = np.searchsorted(self.sorted[j], h[:, j] + width, "right") - low
-            np.subtract(self.rank[j][None, :], low.astype(np.uint16)[:, None], out=shifted)  # below the window it wraps round
-            np.less(shifted, size.astype(np.uint16)[:, None], out=inside.view(bool))
+            np.subtract(self.rank[j][None, :], low.astype(kind)[:, None], out=shifted)  # below the window it wraps round
+            np.less(shifted, size[:, None], out=inside.view(bool))
             counts += inside
         return counts
 
@@ -120,13 +121,15 @@ def search(
     found is near enough (or all rows are verified, so small tables give all candidates). The best of the blocks are merged.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null id, take no part; neither do pairs of
-    different lengths. Ties go to the smaller id; repeated rows count once each. Extra columns are not read.
+    different lengths. Ties go to the smaller id. Rows that repeat an id and its vector count once, as candidates and as queries; of several
+    vectors of one query id the smallest asks. Extra columns are not read. Empty tables give no rows.
     """
     def take(t: DataFrame) -> DataFrame:
         t = t.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
         return t.where(usable(F.col("v")) & F.col("vec_id").isNotNull())
 
-    rows, asked = cut(take(df), "rows"), cut(take(queries), "queries")
+    rows = cut(take(df).distinct(), "rows")
+    asked = cut(take(queries).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     n, most = rows.agg(F.count("*"), F.sqrt(F.max(square))).first()
     n_o, n_q = max(1, ceil(n / data_block)), max(1, ceil(asked.count() / query_block))

@@ -186,9 +186,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     p = prefixes.join(apart, "shingle", "left_semi")
     side = lambda x: p.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "comp", "n", "position")))
     rest = "least(n_a - position_a, n_b - position_b)"
-    pairs = side("a").join(side("b"), "shingle").where(
-        f"rep_a < rep_b and comp_a <> comp_b and least(n_a, n_b) * 100 >= {percent} * greatest(n_a, n_b)"
-        f" and {rest} * {100 + percent} >= {percent} * (n_a + n_b)")
+    # components first, then their members: members of one component never meet
+    comps = p.select("shingle", "comp").distinct()
+    meet = comps.withColumnRenamed("comp", "comp_a").join(comps.withColumnRenamed("comp", "comp_b"), "shingle").where("comp_a < comp_b")
+    pairs = meet.join(side("a"), ["shingle", "comp_a"]).join(side("b"), ["shingle", "comp_b"]).where(
+        f"least(n_a, n_b) * 100 >= {percent} * greatest(n_a, n_b) and {rest} * {100 + percent} >= {percent} * (n_a + n_b)")
     pairs = pairs.select("rep_a", "rep_b").distinct().toDF("a", "b")
     more = verify(pairs, sets, percent)
     comp = lambda x: first.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))

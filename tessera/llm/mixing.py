@@ -53,12 +53,12 @@ def mix(
     source, and only inside the range at the target from documents, so that a source with a third of all rows is
     never sorted in one task.
 
-    Null texts count 0 words; a null source is a source of its own, after all others. Rows with null or repeated
-    ids are ordered by size within their digest; equal ones are interchangeable. An empty table gives no rows.
+    Null texts count 0 words; a null source is a source of its own, after all others. Rows with null ids stand in the order
+    of their texts' digests, rows with equal digests in that of their sizes; equal ones are interchangeable. An empty table gives no rows.
     """
     d = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), count_words(F.col(text_col)).alias("size"),
-        F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("digest"),
+        F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.md5(F.col(text_col)), F.lit("")))).alias("digest"),
         *(F.col(c).alias(f"keep_{c}") for c in keep),
     ).withColumn("part", F.substring("digest", 1, HEX_DIGITS))
     parts = d.groupBy("source", "part").agg(F.sum("size").alias("part_size"))

@@ -123,11 +123,12 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     instead of the pairs, so a group of thousands of near copies costs no more rows than its members.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing; neither do vectors of different
-    lengths, or rows with a null id (component null, kept). Rows that share an id count as one. Extra columns are not read.
+    lengths, or rows with a null id (component null, kept). Rows that repeat an id and its vector count as one vector and each get its row; where an
+    id comes with several vectors, classes of which it is the smallest id count as one, with the links of all of them. Extra columns are not read. An empty table gives no rows.
     """
     d = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
     good = usable(F.col("v")) & F.col("vec_id").isNotNull()
-    classes = cut(d.where(good).groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("cnt")), "vectors")
+    classes = cut(d.where(good).groupBy("v").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("cnt")), "vectors")
     rotations = {n: np.linalg.eigh(s)[1][:, ::-1].copy() for n, s in second_moments(classes).items()}
     width = sqrt(max(0.0, 2 - 2 * threshold)) + MARGIN
 
