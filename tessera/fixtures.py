@@ -37,6 +37,12 @@ VIEWS = {
         max(CASE WHEN l_discount > 0.02 THEN l_discount END) AS score, min(l_quantity) AS dx, min(100 * l_tax) AS dy, max(l_extendedprice) AS area FROM lineitem GROUP BY 1, 2""",
     "tile_boxes": """SELECT p_brand AS slide, p_type AS region, min((p_partkey % 40) * 1836.0) AS x0, min(floor(p_partkey / 40) * 1836.0) AS y0,
         min((p_partkey % 40) * 1836.0) + 20000 AS x1, min(floor(p_partkey / 40) * 1836.0) + 20000 AS y1 FROM part GROUP BY 1, 2""",
+    "tile_files": """SELECT 'SL' || CAST(p_size % 3 AS VARCHAR(20)) || '_R0' || CAST(1 + p_partkey % 3 AS VARCHAR(20)) || '_V0' || CAST(1 + p_size % 2 AS VARCHAR(20)) || '_PRJ_USR' AS folder,
+        'BM_x_S' || CAST(1 + p_size % 2 AS VARCHAR(20)) || 'M' || CAST(p_partkey AS VARCHAR(20)) || '_' || CASE WHEN p_partkey % 7 = 0 THEN 'DAPI' ELSE 'CY5' END || '.tif' AS tile_filename,
+        CAST(1 + p_size % 2 AS VARCHAR(20)) AS S, CAST(p_partkey AS VARCHAR(20)) AS M, '0,0,' || CAST(2040 + p_size % 2 AS VARCHAR(20)) || ',2040' AS Frame, '6.5,6.5' AS ImagePixelSize,
+        CAST(p_partkey % 40 AS VARCHAR(20)) || ',5' AS StageXPosition, CAST(p_size AS VARCHAR(20)) || '.25' AS StageYPosition FROM part""",
+    "round_tiles": """SELECT p_brand AS slide, CASE WHEN p_size % 2 = 0 THEN 'S0' ELSE 'S1' END AS scene, CAST(p_partkey AS INT) AS tile, CAST(p_partkey % 3 AS INT) AS round_n,
+        (p_partkey % 40) * 900.0 AS x0, (p_partkey % 40) * 900.0 + 1000 + p_size AS x1, floor(p_partkey / 200) * 900.0 AS y0, floor(p_partkey / 200) * 900.0 + 1000 + p_size AS y1 FROM part""",
     "class_scores": """SELECT r, c, CAST(r % 16 AS INT) AS lr, CAST(c % 16 AS INT) AS lc, CAST(CASE WHEN image_id = 'AF' THEN 1 ELSE 2 END AS INT) AS class, v / (v + 500) AS p FROM pixels
         UNION ALL SELECT r, c, CAST((r + 8) % 16 AS INT), CAST((c + 8) % 16 AS INT), CAST(CASE WHEN image_id = 'AF' THEN 1 ELSE 2 END AS INT), v / (v + 700) FROM pixels""",
 }

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.plans.lineage import cut, discard
+
 
 def _vectors(df: DataFrame, markers: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(markers), outputCol="_v", handleInvalid="skip").transform(df)
@@ -39,8 +43,8 @@ def mixture_threshold(df: DataFrame, value: str, most: int = 100_000, points: in
 
     The fit reads at most about ``most`` rows, drawn by hash; the grid of ``points`` spans their range.
     """
-    n = df.count()
-    some = df if n <= most else df.where(F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1_000_000)) < int(1_000_000 * most / n))
+    n = max(df.count(), 1)
+    some = df.where(F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1_000_000)) < int(1_000_000 * min(1.0, most / n)))
     d = _vectors(some.select(value), [value])
     model = GaussianMixture(k=2, seed=seed, featuresCol="_v").fit(d)
     (m1, s1), (m2, s2) = ((g.mean[0], g.cov.toArray()[0, 0] ** 0.5) for g in model.gaussians)
@@ -51,3 +55,117 @@ def mixture_threshold(df: DataFrame, value: str, most: int = 100_000, points: in
     a, b = density(model.weights[0], m1, s1), density(model.weights[1], m2, s2)
     ratio = F.when(a != b, (a + b) / F.abs(a - b)).otherwise(0.0)
     return grid.where(F.col("x") > min(m1, m2)).agg(F.max_by("x", F.struct(ratio, -F.col("x"))).alias("threshold"))
+
+
+def som(df: DataFrame, markers: Sequence[str], ids: Sequence[str], k: int, side: int = 10, sigma: float = 1.0, epochs: int = 20, seed: int = 1234) -> DataFrame:
+    """Clusters of a self-organising map of ``side`` x ``side`` nodes, merged to k by Ward's rule, as strings.
+
+    Batch training: each epoch sums the cells nearest to each node, and a node becomes the mean of its neighbourhood's sums, whose width shrinks to ``sigma``. Only the
+    nodes' sums reach the driver, side^2 rows. Rows with a null marker are left out. Nodes start at cells in hash order.
+    """
+    d = df.select(*ids, *(F.col(f"`{m}`").cast("double").alias(m) for m in markers)).dropna("any", subset=list(markers))
+    scale = d.agg(*(f(m).alias(f"{k_}_{i}") for i, m in enumerate(markers) for k_, f in (("m", F.avg), ("s", F.stddev_pop)))).first()
+    mean = np.array([scale[f"m_{i}"] or 0.0 for i in range(len(markers))])
+    spread = np.array([scale[f"s_{i}"] or 1.0 for i in range(len(markers))])
+    nodes = side * side
+    first = d.orderBy(F.xxhash64(F.lit(seed), *ids), *ids).limit(nodes).select(*markers).toPandas().to_numpy(float)
+    if not len(first):
+        return d.select(*ids, F.lit("som").alias("cl_method"), F.lit("0").alias("cluster")).limit(0)
+    book = ((first - mean) / spread)[np.arange(nodes) % len(first)]
+    grid = np.array([(i, j) for i in range(side) for j in range(side)], float)
+    apart = np.square(grid[:, None] - grid[None]).sum(axis=2)
+    width = [sigma + (side / 2 - sigma) * (1 - e / max(epochs - 1, 1)) for e in range(epochs)]
+
+    def nearest(batch: pa.RecordBatch, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = (np.column_stack([batch.column(batch.schema.get_field_index(m)).to_numpy(zero_copy_only=False) for m in markers]) - mean) / spread
+        return x, np.argmin(np.square(book).sum(axis=1)[None] - 2 * x @ book.T, axis=1) if len(x) else np.zeros(0, int)
+
+    names = [f"x{i}" for i in range(len(markers))]
+    for e in range(epochs):
+        now = book
+
+        def sums(batches, now=now):
+            total, count = np.zeros((nodes, len(markers))), np.zeros(nodes)
+            for batch in batches:
+                x, at = nearest(batch, now)
+                np.add.at(total, at, x)
+                count += np.bincount(at, minlength=nodes)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(nodes)), pa.array(count), *(pa.array(c) for c in total.T)], names=["node", "n", *names])
+
+        got = d.select(*markers).mapInArrow(sums, "node long, n double, " + ", ".join(f"{x} double" for x in names)).groupBy("node").agg(F.sum("n").alias("n"), *(F.sum(x).alias(x) for x in names)).toPandas()
+        if not len(got):
+            break
+        got = got.set_index("node").reindex(range(nodes)).fillna(0.0)
+        pull = np.exp(-apart / (2 * width[e] ** 2))
+        weight = pull @ got["n"].to_numpy()
+        book = np.where(weight[:, None] > 1e-9, (pull @ got[names].to_numpy()) / np.maximum(weight, 1e-9)[:, None], book)
+    label = ward(book, k)
+
+    def assign(batches):
+        for batch in batches:
+            _, at = nearest(batch, book)
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(i)) for i in ids), pa.array(label[at].astype(str).tolist(), pa.string())], names=[*ids, "cluster"])
+
+    kinds = dict(d.dtypes)
+    out = d.mapInArrow(assign, ", ".join(f"{i} {kinds[i]}" for i in ids) + ", cluster string")
+    return out.select(*ids, F.lit("som").alias("cl_method"), "cluster")
+
+
+def ward(points: np.ndarray, k: int) -> np.ndarray:
+    """Labels 0..k-1 of a few hundred points: the two clusters whose merger adds least variance are merged until k are left."""
+    groups = [[i] for i in range(len(points))]
+    while len(groups) > k:
+        centre, n = np.array([points[g].mean(axis=0) for g in groups]), np.array([len(g) for g in groups], float)
+        cost = np.square(centre[:, None] - centre[None]).sum(axis=2) * (n[:, None] * n[None]) / (n[:, None] + n[None])
+        np.fill_diagonal(cost, np.inf)
+        i, j = sorted(np.unravel_index(np.argmin(cost), cost.shape))
+        groups[i] += groups.pop(j)
+    label = np.zeros(len(points), int)
+    for at, g in enumerate(sorted(groups, key=min)):
+        label[g] = at
+    return label
+
+
+def communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 8, levels: int = 3, seed: int = 1234) -> DataFrame:
+    """Rows (node, community) of an undirected weighted graph (a, b, weight): local moving and contraction by modularity.
+
+    In a round a seeded half of the nodes may move to the neighbouring community of the largest gain (the smallest name on ties), so that two do not swap for ever. Then
+    communities become nodes. All steps are joins and sums; each round's table is written, so that a lost executor costs a re-read.
+    """
+    e = edges.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), F.col("weight").cast("double").alias("w")).where("w > 0")
+    member = None
+    for level in range(levels):
+        both = cut(e.where("a <> b").select("a", "b", "w").union(e.where("a <> b").select("b", "a", "w")).union(e.where("a = b").select("a", "b", 2 * F.col("w"))), "links")
+        total = both.agg(F.sum("w")).first()[0]
+        if not total:
+            break
+        degree = both.groupBy("a").agg(F.sum("w").alias("k"))
+        label = cut(degree.select(F.col("a").alias("node"), F.col("a").alias("community"), "k"), "communities")
+        moved_any = False
+        for r in range(rounds):
+            mass = label.groupBy("community").agg(F.sum("k").alias("mass"))
+            near = both.where("a <> b").join(label.select(F.col("node").alias("b"), F.col("community").alias("to")), "b").groupBy("a", "to").agg(F.sum("w").alias("w"))
+            own = label.select(F.col("node").alias("a"), "community", "k")
+            stay = own.select("a", F.col("community").alias("to"), F.lit(0.0).alias("w"))
+            j = near.union(stay).groupBy("a", "to").agg(F.sum("w").alias("w")).join(own, "a").join(mass.withColumnRenamed("community", "to"), "to")
+            rest = F.col("mass") - F.when(F.col("to") == F.col("community"), F.col("k")).otherwise(0.0)
+            j = j.withColumn("gain", F.col("w") - resolution * F.col("k") * rest / total)
+            best = j.groupBy("a", "community", "k").agg(
+                F.min_by(F.struct("to", "gain"), F.struct(-F.round("gain", 9), "to")).alias("x"), F.max(F.when(F.col("to") == F.col("community"), F.col("gain"))).alias("now"))
+            half = F.pmod(F.xxhash64("a", F.lit(seed + 31 * r + 977 * level)), F.lit(2)) == 0
+            go = half & (F.col("x.gain") > F.col("now") + 1e-9)
+            new = cut(best.select(F.col("a").alias("node"), F.when(go, F.col("x.to")).otherwise(F.col("community")).alias("community"), "k", go.alias("moved")), "communities")
+            moved = new.where("moved").isEmpty()
+            moved_any = moved_any or not moved
+            discard(label)
+            label = new
+            if moved and r:
+                break
+        step = label.select("node", "community")
+        member = step if member is None else cut(member.select("node", F.col("community").alias("mid")).join(step.select(F.col("node").alias("mid"), "community"), "mid").select("node", "community"), "members")
+        if not moved_any:
+            break
+        named = lambda x, y: step.select(F.col("node").alias(x), F.col("community").alias(y))
+        c = e.join(named("a", "ca"), "a").join(named("b", "cb"), "b")
+        e = cut(c.groupBy(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).agg(F.sum("w").alias("w")), "contracted")
+    return member if member is not None else e.select(F.col("a").alias("node"), F.col("a").alias("community")).limit(0)

@@ -17,15 +17,40 @@ def rescale(px: DataFrame, q: float = 0.01, without_median: bool = False) -> Dat
     """
     values = px.where("v > 0")
     if without_median:
-        mid = px.groupBy("image_id").agg(F.percentile("v", F.lit(0.5)).alias("mid"))
+        mid = exact_quantiles(px, "image_id", "v", (0.5,)).select("image_id", F.col("q")[0].alias("mid"))
         values = values.join(mid, "image_id").where("v <> mid")
-    s = values.groupBy("image_id").agg(F.count("*").alias("n"), F.percentile("v", F.array(F.lit(q), F.lit(1 - q))).alias("q"))
+    s = exact_quantiles(values, "image_id", "v", (q, 1 - q))
     j = px.join(s, "image_id", "left")
     lo, hi = F.col("q")[0], F.col("q")[1]
     scaled = F.when(hi <= lo, 0.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("v") - lo) / F.nullif(hi - lo, F.lit(0.0)))))
     return j.select("image_id", *AT, F.when(F.coalesce("n", F.lit(0)) <= 10, F.col("v")).otherwise(scaled).alias("v"))
 
 
+def exact_quantiles(df: DataFrame, by: str, value: str, qs: tuple[float, ...], bins: int = 4096) -> DataFrame:
+    """Rows (by, n, q): exact quantiles with linear interpolation, without gathering a group's values in one place.
+
+    Values are counted in ``bins`` equal ranges of each group; only the ranges that hold a wanted rank are looked into, where a percentile of
+    their few values gives the order statistics. Nulls do not count; a group without values has no row.
+    """
+    d = df.select(F.col(by).alias("g"), F.col(value).cast("double").alias("x")).where("x is not null")
+    ends = d.groupBy("g").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    width = F.nullif((F.col("hi") - F.col("lo")) / bins, F.lit(0.0))
+    binned = d.join(ends, "g").withColumn("b", F.coalesce(F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1)), F.lit(0)).cast("int"))
+    counts = binned.groupBy("g", "n", "b").agg(F.count("*").alias("k"))
+    before = F.sum("k").over(Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))  # at most ``bins`` rows a group
+    counts = counts.withColumn("before", F.coalesce(before, F.lit(0)))
+    ranks = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(k).alias("upper"), (r(F.lit(q) * (F.col("n") - 1))).cast("long").alias("rank")) for i, q in enumerate(qs) for k, r in ((False, F.floor), (True, F.ceil))))
+    wanted = counts.withColumn("w", F.explode(ranks)).where("w.rank >= before and w.rank < before + k").select("g", "b", "before", "w.i", "w.upper", "w.rank")
+    place = wanted.groupBy("g", "b", "before").agg(F.collect_list(F.struct("i", "upper", "rank")).alias("w"))
+    inside = binned.select("g", "b", "x", "n").join(place, ["g", "b"]).groupBy("g", "b", "before", "n", "w").agg(F.count("*").alias("k"), F.sort_array(F.collect_list("x")).alias("xs"))
+    found = inside.select("g", "n", "before", "xs", F.explode("w").alias("w"))
+    found = found.select("g", "n", "w.i", "w.upper", F.get("xs", (F.col("w.rank") - F.col("before")).cast("int")).alias("x"))
+    flat = found.groupBy("g", "n", "i").agg(F.max(F.when(~F.col("upper"), F.col("x"))).alias("a"), F.max(F.when(F.col("upper"), F.col("x"))).alias("z"))
+    share = F.element_at(F.array(*(F.lit(float(q)) for q in qs)), F.col("i") + 1) * (F.col("n") - 1)
+    flat = flat.withColumn("v", F.col("a") + (share - F.floor(share)) * (F.col("z") - F.col("a")))
+    return flat.groupBy(F.col("g").alias(by), "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("q"))
+
+
 def asinh_stretch(px: DataFrame) -> DataFrame:
     return px.withColumn("v", F.asinh(65536 * F.col("v")))
 
@@ -52,7 +77,7 @@ def flat_field(px: DataFrame) -> DataFrame:
 
     The median is each tile's over positive pixels (the median of medians where there are none), the vignette at (r, c) the median of v / median over tiles.
     """
-    m = px.where("v > 0").groupBy("image_id").agg(F.percentile("v", F.lit(0.5)).alias("m"))
+    m = exact_quantiles(px.where("v > 0"), "image_id", "v", (0.5,)).select("image_id", F.col("q")[0].alias("m"))
     j = px.join(m, "image_id", "left").join(F.broadcast(m.agg(F.percentile("m", F.lit(0.5)).alias("_all"))))  # one row
     j = j.withColumn("m", F.coalesce("m", "_all")).drop("_all")
     vignette = j.groupBy(*AT).agg(F.percentile(F.col("v") / F.col("m"), F.lit(0.5)).alias("vig"))
@@ -86,17 +111,37 @@ def angles(px: DataFrame, signal: str = "MS", background: str = "AF") -> DataFra
     return both.where("s is not null and b is not null").select(*AT, "s", "b", F.atan2("s", "b").alias("phi"))
 
 
-def angle_threshold(angle: DataFrame) -> DataFrame:
-    return angle.agg((F.avg("phi") + 2 * F.stddev_pop("phi")).alias("threshold"))
+def angle_threshold(angle: DataFrame, most: float = 1.57) -> DataFrame:
+    """One row ``threshold``: mean + 2 deviations, or, where that is above ``most``, where two components of a mixture are most alike."""
+    simple = angle.agg((F.avg("phi") + 2 * F.stddev_pop("phi")).alias("threshold"))
+    first = simple.first()
+    if first is not None and first["threshold"] is not None and first["threshold"] > most:
+        from tessera.operators.learning import mixture_threshold
+
+        return mixture_threshold(angle, "phi")
+    return simple
 
 
-def subtract_background(px: DataFrame, signal: str = "MS", background: str = "AF") -> DataFrame:
-    """signal - background * tan(phi), not below 0, rounded half to even; angles above the threshold count as the median of those below."""
+def subtract_background(
+    px: DataFrame, signal: str = "MS", background: str = "AF", mask: DataFrame | None = None, similarity: DataFrame | None = None, most_similar: float = 0.9,
+    threshold: DataFrame | None = None,
+) -> DataFrame:
+    """signal - background * tan(phi), not below 0, rounded half to even; angles above the threshold count as the median of those below.
+
+    Pixels off the ``mask`` (r, c), and those where ``similarity`` (r, c, v) reaches ``most_similar``, are 0. ``threshold`` has one row; without it that of :func:`angle_threshold`.
+    """
     a = angles(px, signal, background)
-    t = a.join(F.broadcast(angle_threshold(a)))  # one row
-    mid = t.where("phi <= threshold").agg(F.percentile("phi", F.lit(0.5)).alias("mid"))
-    t = t.join(F.broadcast(mid)).withColumn("p", F.when(F.col("phi") > F.col("threshold"), F.col("mid")).otherwise(F.col("phi")))
-    return t.select(*AT, F.bround(F.greatest(F.lit(0.0), F.col("s") - F.col("b") * F.tan("p"))).cast("long").alias("v"))
+    t = a.join(F.broadcast(threshold if threshold is not None else angle_threshold(a)))  # one row
+    mid = exact_quantiles(t.where("phi <= threshold").select(F.lit(0).alias("g"), "phi"), "g", "phi", (0.5,)).select(F.col("q")[0].alias("mid"))
+    t = t.join(F.broadcast(mid), how="left").withColumn("p", F.when(F.col("phi") > F.col("threshold"), F.col("mid")).otherwise(F.col("phi")))  # one row
+    v = F.bround(F.greatest(F.lit(0.0), F.col("s") - F.col("b") * F.tan("p"))).cast("long")
+    if mask is not None:
+        t = t.join(mask.select(*AT).distinct().withColumn("_in", F.lit(True)), list(AT), "left")
+        v = F.when(F.col("_in"), v).otherwise(F.lit(0))
+    if similarity is not None:
+        t = t.join(similarity.select(*AT, F.col("v").alias("_same")), list(AT), "left")
+        v = F.when(F.coalesce(F.col("_same") >= most_similar, F.lit(False)), F.lit(0)).otherwise(v)
+    return t.select(*AT, v.cast("long").alias("v"))
 
 
 def features(px: DataFrame, labels: DataFrame) -> DataFrame:
@@ -152,7 +197,8 @@ def merge_versions(px: DataFrame) -> DataFrame:
 
 def background_medians(px: DataFrame, mask: DataFrame) -> DataFrame:
     """Median of positive pixels outside of the mask per image, the median of medians where there are none."""
-    m = px.join(mask.select(*AT).distinct(), list(AT), "left_anti").where("v > 0").groupBy("image_id").agg(F.percentile("v", F.lit(0.5)).alias("m"))
+    m = px.join(mask.select(*AT).distinct(), list(AT), "left_anti").where("v > 0")
+    m = exact_quantiles(m, "image_id", "v", (0.5,)).select("image_id", F.col("q")[0].alias("m"))
     every = px.select("image_id").distinct().join(m, "image_id", "left").join(F.broadcast(m.agg(F.percentile("m", F.lit(0.5)).alias("_all"))))  # one row
     return every.select("image_id", F.coalesce("m", "_all").alias("median"))
 
@@ -176,14 +222,21 @@ def keep_centres(windows: DataFrame, core: int, margin: int) -> DataFrame:
 
 
 def high_percentile(px: DataFrame, by: list[str], q: float = 0.99) -> DataFrame:
-    return px.groupBy(*by).agg(F.percentile("v", F.lit(q)).alias("p"))
+    """The percentile of all pixels of each group, zeros included."""
+    d = px.withColumn("_g", F.struct(*by))
+    return exact_quantiles(d, "_g", "v", (q,)).select("_g.*", F.col("q")[0].alias("p"))
 
 
-def minmax_stack(px: DataFrame) -> DataFrame:
-    """Each image to 0..1 by its least and largest value."""
+def minmax_stack(px: DataFrame, q: float | None = None) -> DataFrame:
+    """Each image to 0..1 by its least and largest value; then, with ``q``, all of the set by its common q and 1 - q quantiles, clipped to 0..1."""
     s = px.groupBy("image_id").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     scaled = F.when(F.col("hi") > F.col("lo"), (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.0)
-    return px.join(s, "image_id").select("image_id", *AT, scaled.alias("v"))
+    out = px.join(s, "image_id").select("image_id", *AT, scaled.alias("v"))
+    if q is None:
+        return out
+    common = exact_quantiles(out.withColumn("_g", F.lit(0)), "_g", "v", (q, 1 - q)).select(F.col("q")[0].alias("_lo"), F.col("q")[1].alias("_hi"))
+    v = (F.col("v") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
+    return out.join(F.broadcast(common)).select("image_id", *AT, F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), v)), F.lit(0.0)).alias("v"))  # one row
 
 
 def layer_priority(px: DataFrame, scores: DataFrame) -> DataFrame:
@@ -209,9 +262,9 @@ def window_means(px: DataFrame, radius: int = 3) -> DataFrame:
 def rescale_masked(px: DataFrame, mask: DataFrame, q: float = 0.99) -> DataFrame:
     """As :func:`rescale`, with the percentiles of pixels under the mask; where the high one is 0, those of positive pixels with 0 as low one."""
     under = px.join(mask.select(*AT).distinct(), list(AT), "left_semi")
-    both = lambda c: F.percentile(c, F.array(F.lit(1 - q), F.lit(q)))
-    positive = F.when(F.col("v") > 0, F.col("v"))
-    s = under.groupBy("image_id").agg(F.count("*").alias("n"), both("v").alias("a"), F.count(positive).alias("m"), both(positive).alias("b"))
+    s = exact_quantiles(under, "image_id", "v", (1 - q, q)).withColumnRenamed("q", "a")
+    positive = exact_quantiles(under.where("v > 0"), "image_id", "v", (1 - q, q)).select("image_id", F.col("n").alias("m"), F.col("q").alias("b"))
+    s = s.join(positive, "image_id", "left").fillna(0, ["m"])
     again = (F.col("a")[1] == 0) & (F.col("m") > 10)
     s = s.select("image_id", "n", F.when(again, 0.0).otherwise(F.col("a")[0]).alias("lo"), F.when(again, F.col("b")[1]).otherwise(F.col("a")[1]).alias("hi"))
     scaled = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("v") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))))
@@ -306,3 +359,125 @@ def paint(labels: DataFrame, colours: DataFrame) -> DataFrame:
     seen = grown.withColumn("o", F.explode(cross)).select((F.col("r") + F.col("o.i")).alias("r"), (F.col("c") + F.col("o.j")).alias("c"), "OID", (F.expr("o.i = 0 and o.j = 0")).alias("own"))
     edge = seen.groupBy(*AT).agg(F.max(F.when(F.col("own"), F.col("OID"))).alias("OID"), (F.min("OID") != F.max("OID")).alias("edge")).where("OID is not null")
     return edge.join(colours, "OID", "left").select(*AT, "OID", F.when(F.col("edge"), "black").otherwise(F.coalesce("colour", F.lit("grey"))).alias("colour"))
+
+
+def crop_or_pad(px: DataFrame, rows: int, columns: int) -> DataFrame:
+    """Each image centred on a canvas of a given size, cut or filled with zeros: (image_id, r, c, v, offset_r, offset_c).
+
+    The offsets are added to the old places; rows that a padded canvas lacks are not stored, zero being the value of what is not there.
+    """
+    size = px.groupBy("image_id").agg((F.max("r") + 1).alias("_r"), (F.max("c") + 1).alias("_c"))
+    half = lambda want, c: F.floor((F.lit(want) - F.col(c)) / 2).cast("int")
+    d = px.join(size.select("image_id", half(rows, "_r").alias("offset_r"), half(columns, "_c").alias("offset_c")), "image_id")
+    d = d.select("image_id", (F.col("r") + F.col("offset_r")).alias("r"), (F.col("c") + F.col("offset_c")).alias("c"), "v", "offset_r", "offset_c")
+    return d.where(F.col("r").between(0, rows - 1) & F.col("c").between(0, columns - 1))
+
+
+def middle_tile(px: DataFrame, rows: int, columns: int) -> DataFrame:
+    """The middle tile of a canvas of three by three tiles, counted from its corner."""
+    return crop(px, rows, columns, 2 * rows, 2 * columns)
+
+
+def two_pass_layers(px: DataFrame, scores: DataFrame, border: int = 20) -> DataFrame:
+    """Aligned layers in one, best score first, each without a frame of ``border`` pixels; a layer fills what is still zero: (r, c, v)."""
+    return layer_priority(frame_trimmed(px, border), scores)
+
+
+def frame_trimmed(px: DataFrame, border: int) -> DataFrame:
+    """Pixels that are not in a frame of ``border`` pixels around what is not zero of each image."""
+    box = px.where("v <> 0").groupBy("image_id").agg(*(f(c).alias(f"_{k}{c}") for c in AT for k, f in (("lo", F.min), ("hi", F.max))))
+    inside = [F.col(c).between(F.col(f"_lo{c}") + border, F.col(f"_hi{c}") - border) for c in AT]
+    return px.join(box, "image_id").where(inside[0] & inside[1]).select("image_id", *AT, "v")
+
+
+def offset_labels(labels: DataFrame) -> DataFrame:
+    """Labels of overlapping windows (window, r, c, OID) made unique: (r, c, OID), zeros left out.
+
+    A window's labels are raised by the largest labels of all windows before it; those that touch a place which an earlier window has labelled go.
+    One row per window takes part in the running sum.
+    """
+    from pyspark.sql import Window as W
+
+    most = labels.groupBy("window").agg(F.max("OID").alias("_m"))
+    before = most.select("window", (F.sum("_m").over(W.orderBy("window")) - F.col("_m")).alias("_b"))  # one row per window
+    d = labels.where("OID <> 0")
+    first = d.groupBy(*AT).agg(F.min("window").alias("_first"))
+    clash = d.join(first, list(AT)).where("window > _first").select("window", "OID").distinct()
+    kept = d.join(clash, ["window", "OID"], "left_anti").join(before, "window")
+    return kept.select(*AT, (F.col("OID") + F.col("_b")).alias("OID"))
+
+
+def field_method(images: DataFrame, methods: DataFrame) -> DataFrame:
+    """Flat-field method of each image by technology and channel; null where the table has none."""
+    return images.join(methods, ["technology", "channel"], "left")
+
+
+def patch_score_table(scores: DataFrame) -> DataFrame:
+    """Scores (pr, pc, score) that are not zero, in raster order."""
+    return scores.where("score <> 0").select(F.col("pr").alias("tmp_row"), F.col("pc").alias("tmp_column"), "score").orderBy("tmp_row", "tmp_column")
+
+
+def _nearest_within(places: DataFrame, targets: DataFrame, reach: int) -> DataFrame:
+    """(r, c, distance) of places that have a target within ``reach``: targets spread over the disc around them."""
+    disc = [(i, j, (i * i + j * j) ** 0.5) for i in range(-reach, reach + 1) for j in range(-reach, reach + 1) if i * i + j * j <= reach * reach]
+    o = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(d).alias("d")) for i, j, d in disc)))
+    spread = targets.select("r", "c", o.alias("o")).select((F.col("r") + F.col("o.i")).alias("r"), (F.col("c") + F.col("o.j")).alias("c"), F.col("o.d").alias("d"))
+    return places.select(*AT).join(spread.groupBy(*AT).agg(F.min("d").alias("distance")), list(AT))
+
+
+def _rim(places: DataFrame, others: DataFrame) -> DataFrame:
+    """Those of ``places`` with one of ``others`` beside them; the nearest of them to anything outside is one of these."""
+    o = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j)))
+    near = others.select("r", "c", o.alias("o")).select((F.col("r") + F.col("o.i")).alias("r"), (F.col("c") + F.col("o.j")).alias("c")).distinct()
+    return places.select(*AT).join(near, list(AT), "left_semi")
+
+
+def match_versions(reference: DataFrame, others: DataFrame, reach: int = 10, least: int = 200, most: float = 65535.0) -> DataFrame:
+    """Holes (zeros) of a reference (r, c, v) filled from other versions (image_id, r, c, v), fitted to it and feathered: (r, c, v).
+
+    The fit v = a * other + b, a not negative, is over the ring of up to ``reach`` pixels around the holes and all versions' non-zero pixels there, if these are
+    more than ``least``. A hole's pixel gets the mean of the non-zero others, fitted, clipped and weighted by its distance to the hole's rim, up to 1 at ``reach``.
+    """
+    hole, solid = reference.where("v = 0").select(*AT), reference.where("v <> 0")
+    ring = _nearest_within(solid, _rim(hole, solid), reach).select(*AT)
+    fit = others.where("v > 0").select(*AT, F.col("v").alias("x")).join(solid, list(AT)).join(ring, list(AT), "left_semi")
+    fit = fit.agg(F.regr_slope("v", "x").alias("a"), F.regr_intercept("v", "x").alias("b"), F.count("*").alias("n"))
+    enough = F.col("n") > least
+    fit = fit.select(F.when(enough, F.greatest(F.col("a"), F.lit(0.0))).otherwise(1.0).alias("a"), F.when(enough, F.col("b")).otherwise(0.0).alias("b"))
+    mean = others.where("v > 0").join(hole, list(AT), "left_semi").groupBy(*AT).agg(F.avg("v").alias("m"))
+    deep = _nearest_within(hole, _rim(solid, hole), reach)
+    filled = mean.join(deep, list(AT), "left").join(F.broadcast(fit))  # one row
+    alpha = F.least(F.coalesce(F.col("distance") / reach, F.lit(1.0)), F.lit(1.0))
+    filled = filled.select(*AT, (alpha * F.least(F.lit(most), F.greatest(F.lit(0.0), F.col("a") * F.col("m") + F.col("b")))).alias("f"))
+    return reference.join(filled, list(AT), "left").select(*AT, F.coalesce("f", "v").alias("v"))
+
+
+def nearest_medoid(histograms: DataFrame, medoids: DataFrame) -> DataFrame:
+    """For each image's histogram (image_id, bin, share) the class of the nearest medoid (class, bin, value) by dynamic time warping with absolute differences.
+
+    A group is one image's bins, a few hundred at most; medoids are a handful of rows per class, and go along with each task.
+    """
+    import numpy as np
+    import pandas as pd
+
+    rows = medoids.orderBy("class", "bin").collect()
+    known: dict[str, list[float]] = {}
+    for r in rows:
+        known.setdefault(r["class"], []).append(float(r["value"]))
+
+    def warp(a: np.ndarray, b: np.ndarray) -> float:
+        cost = np.full(len(b) + 1, np.inf)
+        cost[0] = 0.0
+        for x in a:
+            new = np.full(len(b) + 1, np.inf)
+            for j, y in enumerate(b, 1):
+                new[j] = abs(x - y) + min(cost[j], new[j - 1], cost[j - 1])
+            cost = new
+        return float(cost[-1])
+
+    def nearest(g: pd.DataFrame) -> pd.DataFrame:
+        own = g.sort_values("bin")["share"].to_numpy(float)
+        best = min((warp(own, np.array(v)), c) for c, v in known.items())
+        return pd.DataFrame({"image_id": [g.image_id.iloc[0]], "class": [best[1]], "distance": [best[0]]})
+
+    return histograms.select("image_id", "bin", "share").groupBy("image_id").applyInPandas(nearest, "image_id string, class string, distance double")

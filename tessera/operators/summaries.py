@@ -247,9 +247,11 @@ def plot_sample(df: DataFrame, most: int, by: str = "cluster", ids: Sequence[str
 
 
 def columns_by_mean(df: DataFrame, markers: Sequence[str]) -> DataFrame:
-    """Markers and their means, largest first."""
-    long = df.agg(*(F.avg(m).alias(m) for m in markers)).unpivot([], list(markers), "marker", "mean")
-    return long.orderBy(F.desc("mean"), "marker")
+    """Markers and their means, largest first. Values are summed as decimals, so that the order of rows does not enter."""
+    total = lambda m: F.sum(quoted(m).cast("decimal(28,9)")).cast("double") / F.count(quoted(m))
+    rows = df.agg(*(total(m).alias(f"m{i}") for i, m in enumerate(markers)))
+    pairs = F.array(*(F.struct(F.lit(m).alias("marker"), F.col(f"m{i}").alias("mean")) for i, m in enumerate(markers)))
+    return rows.select(F.explode(pairs).alias("x")).select("x.*").orderBy(F.desc("mean"), "marker")
 
 
 def smooth_density(density: DataFrame, bins: int, sigma: float = 1.0, reach: int = 3) -> DataFrame:

@@ -78,11 +78,12 @@ def _near_cells(tiles: DataFrame, by: str, x: str, y: str, size: float) -> tuple
     return cell, around
 
 
-def tile_overlaps(tiles: DataFrame, by: str = "slide", x: str = "stage_x", y: str = "stage_y", w: str = "width_px", h: str = "height_px", most: float = 2040.0) -> DataFrame:
+def tile_overlaps(tiles: DataFrame, by: str = "slide", x: str = "stage_x", y: str = "stage_y", w: str = "width_px", h: str = "height_px") -> DataFrame:
     """Pairs (a, b), a < b, of tiles of a slide whose rectangles meet, bounds included, with the shared box.
 
-    Tiles are at most ``most`` wide and high, so a tile's partners lie in the grid cells around its own.
+    Grid cells are as wide as the widest or highest tile of the table, so a tile's partners lie in the cells around its own.
     """
+    most = float(tiles.agg(F.max(F.greatest(F.col(w), F.col(h)))).first()[0] or 1.0)
     one, two = _near_cells(tiles, by, x, y, most + 1e-9)
     a = one.select(by, "gx", "gy", F.col("tile").alias("a"), F.col(x).alias("ax"), F.col(y).alias("ay"), F.col(w).alias("aw"), F.col(h).alias("ah"))
     b = two.select(by, "gx", "gy", F.col("tile").alias("b"), F.col(x).alias("bx"), F.col(y).alias("by_"), F.col(w).alias("bw"), F.col(h).alias("bh"))

@@ -21,19 +21,28 @@ def peek(spark: SparkSession, path: str) -> list[str]:
 
 
 def sniff_separator(lines: list[str]) -> str:
-    """The sign among comma, semicolon and tab that the first line has most of; a semicolon if it has none."""
-    head = lines[0] if lines else ""
-    best = max(",;\t", key=head.count)
-    return best if head.count(best) else ";"
+    """The sign among comma, semicolon and tab that stands on all of the first lines equally often (those within 4096 characters), the most frequent one
+    of several; else the one that the first line has most of; a semicolon if it has none."""
+    head, size = [], 0
+    for x in lines:
+        size += len(x) + 1
+        if head and size > 4096:
+            break
+        head.append(x)
+    if not head:
+        return ";"
+    steady = [s for s in ",;\t" if head[0].count(s) and len({x.count(s) for x in head if x}) == 1]
+    best = max(steady or ",;\t", key=head[0].count)
+    return best if head[0].count(best) else ";"
 
 
 def sniff_decimal(lines: list[str], separator: str) -> str:
     """Comma or point, by what more of the numbers on the lines after the first use."""
     import re
 
-    fields = [f.strip() for x in lines[1:] for f in x.split(separator)]
-    commas, points = (sum(bool(re.fullmatch(rf"-?\d+{s}\d+", f)) for f in fields) for s in (",", r"\."))
-    return "," if commas > points and separator != "," else "."
+    fields = [f.strip().strip("\"'") for x in lines[1:] for f in x.split(separator)]
+    commas, points = (sum(bool(re.fullmatch(rf"-?\d*{s}\d+|-?\d+{s}", f)) for f in fields) for s in (",", r"\."))
+    return "," if commas > points else "."
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -81,3 +90,18 @@ def read_acquisition_json(spark: SparkSession, path: str) -> DataFrame:
     d = spark.read.option("multiLine", True).json(path).select(F.input_file_name().alias("file"), F.posexplode("wells").alias("w", "well"))
     d = d.select("file", (F.col("w") + 1).alias("round_number"), F.explode("well.items").alias("item"))
     return d.select("file", "round_number", F.when(F.col("item.markerName") == "--", "AF").otherwise(F.col("item.markerName")).alias("marker_name"), F.col("item.channel").cast("string").alias("channel"))
+
+
+def read_job_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per cycle and channel of XML job files: tile_folder, cycle_number, channel_name, exposure_time, fluorescence_channel.
+
+    The cycle's number is what follows the last ``Cycle_`` of its tile folder. Missing elements give nulls.
+    """
+    schema = (
+        "_TileFolderPath string, ChannelMeta array<struct<Channel:struct<_Name:string>,Plane:struct<_ExposureTime:string>,ChannelPriv:struct<_FluorescenceChannel:string>>>")
+    d = spark.read.format("xml").option("rowTag", "CycleModels").schema(schema).load(path)
+    cycle = F.regexp_extract("_TileFolderPath", r"Cycle_(\d+)[/\\\\]*$", 1).try_cast("int")
+    d = d.select(F.col("_TileFolderPath").alias("tile_folder"), cycle.alias("cycle_number"), F.explode_outer("ChannelMeta").alias("m"))
+    return d.select(
+        "tile_folder", "cycle_number", F.col("m.Channel._Name").alias("channel_name"), F.col("m.Plane._ExposureTime").alias("exposure_time"),
+        F.col("m.ChannelPriv._FluorescenceChannel").alias("fluorescence_channel"))
