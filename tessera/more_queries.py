@@ -136,6 +136,52 @@ def join_three_inputs(v):
     return A.three_inputs(t.agg(F.count("*").alias("n_cells")), t.agg(F.sum((F.col("QTY") > 25).cast("long")).alias("n_masks")), t.agg(F.max("X").alias("width")))
 
 
+@query("SELECT count(*) AS n_rows, count(*) FILTER (DISC = 0 OR TAX = 0) AS n_dropped, CAST(sum(CASE WHEN DISC = 0 THEN 1 ELSE 0 END + CASE WHEN TAX = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_null_cells FROM cells")
+def null_report(v):
+    return C.null_report(v("cells").select("OID", F.nullif("DISC", F.lit(0.0)).alias("DISC"), F.nullif("TAX", F.lit(0.0)).alias("TAX")))
+
+
+@query("SELECT DISTINCT CellType FROM predictions WHERE CellType <> 'B'")
+def selected_celltypes(v):
+    return C.selected_celltypes(v("predictions").withColumn("include", (F.col("CellType") != "B").cast("int")))
+
+
+_ALL_PAIRS = f"""{_ANNOTATED}, u AS (SELECT DISTINCT cl_method, sample_id, OID, annotation FROM a),
+  n AS (SELECT x.cl_method AS method_x, y.cl_method AS method_y, x.annotation AS label_x, y.annotation AS label_y, count(*) AS n FROM u x JOIN u y ON x.sample_id = y.sample_id AND x.OID = y.OID AND x.cl_method < y.cl_method GROUP BY ALL),
+  l AS (SELECT method_x, method_y, label_x, sum(n) AS n_x FROM n GROUP BY ALL), r AS (SELECT method_x, method_y, label_y, sum(n) AS n_y FROM n GROUP BY ALL), t AS (SELECT method_x, method_y, sum(n) AS t FROM n GROUP BY ALL),
+  nm AS (SELECT method_x, method_y, label_x AS l FROM l UNION SELECT method_x, method_y, label_y FROM r),
+  g AS (SELECT p.method_x, p.method_y, p.l AS label_x, q.l AS label_y, coalesce(n, 0) AS n, coalesce(n_x, 0) AS n_x, coalesce(n_y, 0) AS n_y FROM nm p JOIN nm q ON p.method_x = q.method_x AND p.method_y = q.method_y
+    LEFT JOIN n ON n.method_x = p.method_x AND n.method_y = p.method_y AND n.label_x = p.l AND n.label_y = q.l LEFT JOIN l ON l.method_x = p.method_x AND l.method_y = p.method_y AND l.label_x = p.l
+    LEFT JOIN r ON r.method_x = p.method_x AND r.method_y = p.method_y AND r.label_y = q.l),
+  j AS (SELECT *, CASE WHEN n_x + n_y - n > 0 THEN n / (n_x + n_y - n) ELSE 0 END AS jaccard FROM g UNION ALL SELECT DISTINCT g.method_x, g.method_y, label_x, 'Total', n_x, n_x, t, 0 FROM g JOIN t USING (method_x, method_y)
+    UNION ALL SELECT DISTINCT g.method_x, g.method_y, 'Total', label_y, n_y, t, n_y, 0 FROM g JOIN t USING (method_x, method_y) UNION ALL SELECT method_x, method_y, 'Total', 'Total', t, t, t, 0 FROM t)"""
+
+
+@query(f"WITH {_ALL_PAIRS} SELECT method_x, method_y, label_x, label_y, CAST(n AS BIGINT) AS n, CAST(n_x AS BIGINT) AS n_x, CAST(n_y AS BIGINT) AS n_y, round(jaccard, 6) AS jaccard FROM j")
+def jaccard_table(v):
+    return S.jaccard_table(S.annotate(v("clusters"), v("annotation_dictionary")))
+
+
+_RANGES = {"QTY": (0.0, 50.0), "DISC": (0.0, 0.1), "TAX": (0.0, 0.08)}
+_BIN = lambda m: f"CASE WHEN {m} BETWEEN {_RANGES[m][0]} AND {_RANGES[m][1]} THEN CAST(least(floor(({m} - {_RANGES[m][0]}) / ({_RANGES[m][1]} - {_RANGES[m][0]}) * 12), 11) AS INT) END"
+
+
+@query(f"""WITH d AS (SELECT * FROM cells JOIN clusters USING (sample_id, OID)), m AS (SELECT cl_method, cluster, unnest(['QTY', 'DISC', 'TAX']) AS marker, unnest([avg(QTY), avg(DISC), avg(TAX)]) AS mean FROM d GROUP BY 1, 2),
+  b AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY cl_method, cluster ORDER BY mean DESC, marker) <= 2), p AS (SELECT x.cl_method, x.cluster, x.marker AS x_marker, y.marker AS y_marker FROM b x JOIN b y ON x.cl_method = y.cl_method AND x.cluster = y.cluster AND x.marker < y.marker),
+  k AS (SELECT cl_method, cluster, 'DISC' AS x_marker, 'QTY' AS y_marker, {_BIN('DISC')} AS ix, {_BIN('QTY')} AS iy FROM d UNION ALL SELECT cl_method, cluster, 'DISC', 'TAX', {_BIN('DISC')}, {_BIN('TAX')} FROM d UNION ALL SELECT cl_method, cluster, 'QTY', 'TAX', {_BIN('QTY')}, {_BIN('TAX')} FROM d),
+  n AS (SELECT cl_method, cluster, x_marker, y_marker, ix, iy, count(*) AS n FROM k WHERE ix IS NOT NULL AND iy IS NOT NULL GROUP BY ALL), e AS (SELECT cl_method, x_marker, y_marker, ix, iy, sum(n) AS t FROM n GROUP BY ALL),
+  o AS (SELECT p.*, e.ix, e.iy, coalesce(n, 0) AS n, t FROM p JOIN e USING (cl_method, x_marker, y_marker) LEFT JOIN n ON n.cl_method = p.cl_method AND n.cluster = p.cluster AND n.x_marker = p.x_marker AND n.y_marker = p.y_marker AND n.ix = e.ix AND n.iy = e.iy)
+  SELECT cl_method, cluster, x_marker, y_marker, ix, iy, round(ln(1 + n), 6) AS z, round(ln(1 + t - n), 6) AS z_other, round(ln(1 + t), 6) AS z_all, round(ln(1 + n) - ln(1 + t - n), 6) + 0.0 AS diff FROM o""")
+def density_pairs(v):
+    cells = v("cells").withColumns({m: F.col(m).cast("double") for m in _RANGES})
+    return S.density_pairs(cells, v("clusters"), _RANGES, 2, 12)
+
+
+@query()
+def plot_sample_rows(v):
+    return S.plot_sample(v("clusters"), 2500)
+
+
 # manifests --------------------------------------------------------------------------------------------------------
 
 _FILES = r"""f AS (SELECT *, split_part(folder, '_', 1) AS slide, CAST(regexp_extract(folder, '_R(\d+)', 1) AS INT) AS round, 'V' || regexp_extract(folder, '_V(\d+)', 1) AS version,
@@ -377,6 +423,20 @@ def fn_normalise_text(v):
     return v("tiles").select("slide").distinct().withColumn("folder", O.normalise_text(F.concat(F.lit(" 　"), "slide", F.lit("–x   y \t"))))
 
 
+@query("""WITH q AS (SELECT slide, region, x0 + 5000 AS x0, y0 - 2000 AS y0, x1 + 5000 AS x1, y1 - 2000 AS y1 FROM tile_boxes),
+  i AS (SELECT a.slide, a.region AS a, b.region AS b, greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) AS o FROM tile_boxes a JOIN q b ON a.slide = b.slide),
+  j AS (SELECT slide, a, b, o / (2 * 20000.0 * 20000 - o) AS iou FROM i) SELECT slide, a, b, round(iou, 6) AS iou FROM j QUALIFY iou = max(iou) OVER (PARTITION BY slide, a)""")
+def box_iou(v):
+    b = v("tile_boxes").select("slide", F.col("region").alias("name"), *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")))
+    moved = b.withColumns({"x0": F.col("x0") + 5000, "x1": F.col("x1") + 5000, "y0": F.col("y0") - 2000, "y1": F.col("y1") - 2000})
+    return T.best_ties(T.box_iou(b, moved), ["slide", "a"], "iou")
+
+
+@query("SELECT slide_id, channel_id, count(DISTINCT marker_id) AS n_names, count(DISTINCT round_n % 4) AS n_indexes FROM images GROUP BY 1, 2 HAVING count(DISTINCT marker_id) <> count(DISTINCT round_n % 4)")
+def qc_channel_names(v):
+    return Q.channel_counts(v("images").withColumn("i", F.col("round_n") % 4), ["slide_id", "channel_id"], "marker_id", "i")
+
+
 # pixels -----------------------------------------------------------------------------------------------------------
 
 @query("""WITH w AS (SELECT CAST(floor(r / 25) AS INT) AS k, r, c, CASE WHEN k2 % 7 = 0 THEN 0 ELSE k2 END AS OID FROM (SELECT r, c, CAST(floor(c / 10) AS INT) + 1 AS k2 FROM pixels WHERE image_id = 'MS') p),
@@ -419,6 +479,37 @@ def merge_versions_match(v):
     return P.match_versions(ref, v("pixels").where("image_id = 'AF'"), 4)
 
 
+@query("""WITH f AS (SELECT OID, count(*) AS area, avg(l.c) AS X, avg(l.r) AS Y, avg(v) FILTER (image_id = 'MS') AS signal FROM label_pixels l JOIN pixels p ON p.r = l.r AND p.c = l.c WHERE OID <> 0 AND image_id = 'MS' GROUP BY 1)
+  SELECT OID, area, round(X, 6) AS X, round(Y, 6) AS Y, round(signal, 6) AS signal, 'scene01' AS scene_id FROM f""")
+def feature_table(v):
+    return P.feature_table(v("pixels"), v("label_pixels"), {"MS": "signal", "AF": None}, "scene01")
+
+
+@query("""WITH s AS (SELECT image_id, max(r) + 1 AS rows, max(c) + 1 AS cols FROM pixels GROUP BY 1), d AS (SELECT p.*, CAST(floor((8 - rows) / 2.0) AS INT) AS offset_r, CAST(floor((160 - cols) / 2.0) AS INT) AS offset_c FROM pixels p JOIN s USING (image_id))
+  SELECT image_id, CAST(r + offset_r AS INT) AS r, CAST(c + offset_c AS INT) AS c, v, offset_r, offset_c FROM d WHERE r + offset_r BETWEEN 0 AND 7 AND c + offset_c BETWEEN 0 AND 159""")
+def px_crop_or_pad(v):
+    return P.crop_or_pad(v("pixels"), 8, 160)
+
+
+@query("SELECT image_id, CAST(r - 3 AS INT) AS r, CAST(c - 50 AS INT) AS c, v FROM pixels WHERE r BETWEEN 3 AND 5 AND c BETWEEN 50 AND 99")
+def px_middle_tile(v):
+    return P.middle_tile(v("pixels"), 3, 50)
+
+
+@query("""WITH b AS (SELECT image_id, min(r) + 2 AS r0, max(r) - 2 AS r1, min(c) + 2 AS c0, max(c) - 2 AS c1 FROM pixels WHERE v <> 0 GROUP BY 1), t AS (SELECT p.* FROM pixels p JOIN b USING (image_id) WHERE r BETWEEN r0 AND r1 AND c BETWEEN c0 AND c1 AND v <> 0)
+  SELECT r, c, arg_max(v, CASE WHEN image_id = 'AF' THEN 2 ELSE 1 END) AS v FROM t GROUP BY 1, 2""")
+def two_pass_layers(v):
+    px = v("pixels")
+    return P.two_pass_layers(px, px.select("image_id").distinct().withColumn("score", F.when(F.col("image_id") == "AF", 2.0).otherwise(1.0)), 2)
+
+
+@query()
+def paint_cells_rgb(v):
+    l = v("label_pixels")  # noqa: E741
+    colours = l.where("OID % 3 <> 2").select("OID", (F.col("OID") % 256).alias("red"), F.lit(100).alias("green"), F.lit(0).alias("blue")).distinct()
+    return P.paint_rgb(l, colours.union(colours.withColumn("red", F.lit(200))))
+
+
 @query()
 def afs_class(v):
     px = v("pixels").withColumn("part", F.floor(F.col("r") / 30).cast("string"))

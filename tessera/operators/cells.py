@@ -64,9 +64,24 @@ def cast_report(df: DataFrame, markers: Sequence[str]) -> DataFrame:
 
 
 def drop_null_rows(df: DataFrame) -> DataFrame:
+    """Rows without any null; :func:`null_report` says what goes."""
     return df.na.drop("any")
 
 
+def null_report(df: DataFrame) -> DataFrame:
+    """One row: all rows, rows with a null, and null cells."""
+    nulls = sum((quoted(c).isNull().cast("int") for c in df.columns), F.lit(0))
+    return df.select(nulls.alias("k")).agg(F.count("*").alias("n_rows"), F.count_if(F.col("k") > 0).alias("n_dropped"), F.coalesce(F.sum("k"), F.lit(0)).alias("n_null_cells"))
+
+
+def selected_celltypes(selection: DataFrame, label: str = "CellType") -> DataFrame:
+    """Labels with include = 1, not blank, distinct and sorted; none is an error."""
+    chosen = selection.where((F.col("include") == 1) & ~blank(label)).select(F.trim(quoted(label)).alias(label)).distinct()
+    if chosen.isEmpty():
+        raise ValueError("no type is included")
+    return chosen.orderBy(label)
+
+
 def filter_all_zero(df: DataFrame, markers: Sequence[str]) -> DataFrame:
     """Rows whose absolute marker values do not sum to zero."""
     return df.where(sum((F.abs(quoted(m)) for m in markers), F.lit(0.0)) != 0)
@@ -130,18 +145,33 @@ def sample_quotas(df: DataFrame, n: int, by: str = "sample_id") -> DataFrame:
     return counts.join(F.broadcast(total)).select(by, "n_group", k.alias("k"))  # one row
 
 
+def first_by_hash(df: DataFrame, quotas: DataFrame, by: str, ids: Sequence[str] = KEY, seed: int = 1234, ranges: int = 4096) -> DataFrame:
+    """The first k rows of each group in the order of a seeded hash of the ids, k from ``quotas`` (by, k); no repartitioning changes them.
+
+    Rows are counted in ranges of the hash; whole ranges are taken or left, and only the one at the limit is sorted, so that a group with a third of all
+    rows is never sorted in one task.
+    """
+    h = F.xxhash64(*(quoted(i) for i in ids), F.lit(seed))
+    d = df.withColumn("_h", h).withColumn("_r", F.shiftrightunsigned("_h", 52).cast("int") if ranges == 4096 else F.pmod("_h", F.lit(ranges)).cast("int"))
+    counts = d.groupBy(quoted(by).alias("_by"), "_r").agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(Window.partitionBy("_by").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # ``ranges`` rows a group
+    plan = counts.withColumn("_b", before).join(quotas.select(quoted(by).alias("_q"), "k"), F.col("_by").eqNullSafe(F.col("_q"))).where("_b < k")
+    d = d.join(plan.select("_by", F.col("_r").alias("_r2"), "_c", "_b", "k"), quoted(by).eqNullSafe(F.col("_by")) & (F.col("_r") == F.col("_r2")))
+    whole = F.col("_b") + F.col("_c") <= F.col("k")
+    edge = d.where(~whole).withColumn("_n", F.row_number().over(Window.partitionBy("_by", "_r").orderBy("_h", *(quoted(i) for i in ids)))).where("_b + _n <= k").drop("_n")
+    return d.where(whole).unionByName(edge).select(*(quoted(c) for c in df.columns))
+
+
 def stratified_sample(df: DataFrame, n: int = 25_000, by: str = "sample_id", seed: int = 1234) -> DataFrame:
-    """The first k rows of each group in the order of a seeded hash of the key, which no repartitioning changes."""
-    order = Window.partitionBy(by).orderBy(F.xxhash64(*KEY, F.lit(seed)), *KEY)
-    ranked = df.withColumn("_n", F.row_number().over(order))
-    return ranked.join(sample_quotas(df, n, by).select(by, "k"), by).where("_n <= k").drop("_n", "k")
+    """The rows of :func:`sample_quotas`, the first of each group in hash order."""
+    return first_by_hash(df, sample_quotas(df, n, by).select(by, "k"), by, KEY, seed)
 
 
 def balanced_sample(df: DataFrame, most: int = 500, by: str = "CellType", seed: int = 1234) -> DataFrame:
+    """At most so many rows of each group, the first in hash order; none or fewer switches it off."""
     if most <= 0:
         return df
-    order = Window.partitionBy(by).orderBy(F.xxhash64(*KEY, F.lit(seed)), *KEY)
-    return df.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).drop("_n")
+    return first_by_hash(df, df.select(by).distinct().withColumn("k", F.lit(most)), by, KEY, seed)
 
 
 def unpivot_markers(df: DataFrame, ids: Sequence[str], markers: Sequence[str]) -> DataFrame:

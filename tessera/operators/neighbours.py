@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 4096
+#: Queries that are compared with a block of references at a time.
+ROWS = 512
 
 
 def _nearest(group: pa.Table, k: int) -> pa.Table:
@@ -19,14 +21,23 @@ def _nearest(group: pa.Table, k: int) -> pa.Table:
     flat = group.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     x = flat.reshape(len(ids), -1) if len(ids) else flat.reshape(0, 0)
     q, r, q_ids, r_ids = x[~ref], x[ref], ids[~ref], ids[ref]
-    out: list[list] = [[], [], []]
-    for i in range(len(q)) if len(r) else ():
-        d = np.sqrt(np.square(r - q[i]).sum(axis=1))
-        near = np.flatnonzero(d <= np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1] + 1e-12)
-        for j in sorted(near, key=lambda j: (d[j], r_ids[j]))[:k]:
-            for column, value in zip(out, (q_ids[i], r_ids[j], d[j]), strict=True):
-                column.append(value)
-    return pa.table({"query": pa.array(out[0], pa.string()), "neighbour": pa.array(out[1], pa.string()), "distance": pa.array(out[2], pa.float64())})
+    if not len(q) or not len(r):
+        return pa.table({"query": pa.array([], pa.string()), "neighbour": pa.array([], pa.string()), "distance": pa.array([], pa.float64())})
+    order = np.argsort(r_ids.astype(str), kind="stable")  # ties go to the smaller id
+    r, r_ids, m, found = r[order], r_ids[order], min(k, len(r)), []
+    square = np.einsum("ij,ij->i", r, r)
+    for at in range(0, len(q), ROWS):
+        some = q[at : at + ROWS]
+        near = square[None] - 2 * some @ r.T + np.einsum("ij,ij->i", some, some)[:, None]
+        limit = np.partition(near, m - 1, axis=1)[:, m - 1]
+        i, j = np.nonzero(near <= limit[:, None] + 1e-9 * (1 + np.abs(limit[:, None])))
+        d = np.sqrt(np.square(r[j] - some[i]).sum(axis=1))  # exactly, for what is near enough
+        best = np.lexsort((j, d, i))
+        i, j, d = i[best], j[best], d[best]
+        first = np.arange(len(i)) - np.searchsorted(i, i) < m
+        found.append((i[first] + at, j[first], d[first]))
+    i, j, d = (np.concatenate(x) for x in zip(*found, strict=True))
+    return pa.table({"query": pa.array(q_ids[i].tolist(), pa.string()), "neighbour": pa.array(r_ids[j].tolist(), pa.string()), "distance": pa.array(d)})
 
 
 def knn(queries: DataFrame, references: DataFrame, k: int, id_col: str = "OID", vector_col: str = "embedding", skip_self: bool = False, block: int = BLOCK) -> DataFrame:

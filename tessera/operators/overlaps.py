@@ -119,7 +119,7 @@ def transform_consensus(estimates: DataFrame, most_angle: float = 10.0, within:
     """Per pair of tiles the offset on which enough methods agree: (pair, method, dx, dy, votes); null method without agreement.
 
     Estimates (pair, method, dx, dy, angle) turned by more than ``most_angle`` degrees go. In the order of their names methods join the cluster of
-    the smallest mean distance, if that is within ``within`` pixels, or open one; two methods have two votes. Of the clusters with most votes,
+    the smallest mean distance, if that is within ``within`` pixels, or open one; two methods have two votes where they join one. Of the clusters with most votes,
     three at least, the method of the highest priority speaks. A pair has one row per method, so a group is a handful of rows.
     """
 

@@ -74,6 +74,19 @@ def mark_references(images: DataFrame, resolved: DataFrame) -> DataFrame:
     return images.join(r, ["slide_id", "scene_id", "round_n", "version"], "left").withColumn("is_reference", F.coalesce("is_reference", F.lit(False)))
 
 
+def pair_with_reference(images: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Each image that is not of its scene's reference round and version with the scene's reference image of its channel: (file_name, ref_file).
+
+    Scenes whose reference is not resolved have no rows; a channel that the reference lacks gives a null. Several reference images of a channel are an error.
+    """
+    marked = mark_references(images, resolved)
+    ref = marked.where("is_reference").groupBy(*GROUP).agg(F.min("file_name").alias("ref_file"), F.count("*").alias("n"))
+    scenes = resolved.where("status = 'ok'").select("slide_id", "scene_id").distinct()
+    if several := ref.where("n > 1").limit(20).collect():
+        raise ValueError(f"several reference images: {[tuple(x[c] for c in GROUP) for x in several]}")
+    return marked.where("not is_reference").join(scenes, ["slide_id", "scene_id"], "left_semi").join(ref.drop("n"), list(GROUP), "left").select("file_name", "ref_file")
+
+
 def counterparts(images: DataFrame, resolved: DataFrame) -> DataFrame:
     """For each image the one of the reference round with its slide, scene and channel: file_name, ref_file, exact.
 
@@ -112,13 +125,14 @@ def first_agreement(estimates: DataFrame, order: Sequence[str], within: float =
     """Per pair the first method in ``order`` that agrees with a later one: neither component exceeds the other's by ``within``.
 
     The difference is signed, earlier less later. A pair has at most one row per method, so a few. Pairs without
-    agreement have a null method.
+    agreement go; the largest overlap ``area`` comes first.
     """
     rank = F.array_position(F.array(*map(F.lit, order)), F.col("method"))
-    e = estimates.withColumn("i", rank).where("i > 0").groupBy("pair").agg(F.array_sort(F.collect_list(F.struct("i", "method", "dx", "dy"))).alias("e"))
+    e = estimates.withColumn("i", rank).where("i > 0").groupBy("pair").agg(F.array_sort(F.collect_list(F.struct("i", "method", "dx", "dy", "area"))).alias("e"))
     agrees = lambda m: F.exists("e", lambda o: (o["i"] > m["i"]) & (F.greatest(m["dx"] - o["dx"], m["dy"] - o["dy"]) < within))
     first = F.get(F.filter("e", agrees), F.lit(0))
-    return e.select("pair", first["method"].alias("method"), first["dx"].alias("dx"), first["dy"].alias("dy"))
+    found = e.select("pair", first["method"].alias("method"), first["dx"].alias("dx"), first["dy"].alias("dy"), first["area"].alias("area"))
+    return found.where("method is not null").orderBy(F.desc("area"), "pair")
 
 
 def stage_coordinates(tiles: DataFrame, by: str = "channel", px: float = 1.0) -> DataFrame:
@@ -146,7 +160,7 @@ def tiles_in_boxes(tiles: DataFrame, boxes: DataFrame, by: str = "slide") -> Dat
     return j.select(by, "tile", "region", "channel")
 
 
-def extend_pairs(pairs: DataFrame, neighbours: DataFrame) -> DataFrame:
+def neighbours_of_best(pairs: DataFrame, neighbours: DataFrame) -> DataFrame:
     """For a tile's partner of largest overlap, that partner's neighbours which have no pair with the tile yet: (a, b, via)."""
     best = pairs.groupBy("a").agg(F.min_by("b", F.struct(-F.col("area"), "b")).alias("via"))
     more = best.join(neighbours.select(F.col("tile").alias("via"), F.col("other").alias("b")), "via").where("a <> b")

@@ -97,11 +97,17 @@ def tissue_grid(px: DataFrame, n: int, rows: int, columns: int) -> DataFrame:
     return px.groupBy("image_id", cell("r", rows).alias("gr"), cell("c", columns).alias("gc")).agg(F.avg((F.col("v") != 0).cast("double")).alias("share"))
 
 
-def coverage_check(px: DataFrame, reference: str, least: float = 0.5) -> DataFrame:
-    """Images whose share of non-zero pixels is below ``least`` of the reference's are failures."""
+def coverage_check(px: DataFrame, reference: str, least: float = 0.5, expected: DataFrame | None = None) -> DataFrame:
+    """Images whose share of non-zero pixels is below ``least`` of the reference's are failures, as are images of ``expected`` (image_id) that are not there.
+
+    Without the reference all images are failures.
+    """
     n = px.groupBy("image_id").agg(F.avg((F.col("v") != 0).cast("double")).alias("coverage"))
-    ref = n.where(F.col("image_id") == reference).select(F.col("coverage").alias("_ref"))
-    return n.join(F.broadcast(ref)).select("image_id", "coverage", (F.col("coverage") < least * F.col("_ref")).alias("failed"))  # one row
+    ref = n.agg(F.max(F.when(F.col("image_id") == reference, F.col("coverage"))).alias("_ref"))
+    if expected is not None:
+        n = n.join(expected.select("image_id").distinct(), "image_id", "full")
+    failed = F.coalesce(F.col("coverage") < least * F.col("_ref"), F.lit(True))
+    return n.join(F.broadcast(ref)).select("image_id", "coverage", failed.alias("failed"))  # one row
 
 
 def angles(px: DataFrame, signal: str = "MS", background: str = "AF") -> DataFrame:
@@ -150,19 +156,43 @@ def features(px: DataFrame, labels: DataFrame) -> DataFrame:
     return j.groupBy("OID", "image_id").agg(F.count("*").alias("area"), F.avg("c").alias("X"), F.avg("r").alias("Y"), F.avg("v").alias("mean_v"))
 
 
-def boxes(labels: DataFrame) -> DataFrame:
-    """Bounding box of each label, upper bounds exclusive, named S0, S1, ... in raster order."""
-    b = labels.where("OID <> 0").groupBy("OID").agg(F.min("r").alias("minr"), F.min("c").alias("minc"), (F.max("r") + 1).alias("maxr"), (F.max("c") + 1).alias("maxc"))
-    n = F.row_number().over(Window.orderBy("minr", "minc", "OID")) - 1  # one row per object
-    return b.withColumn("scan_region", F.concat(F.lit("S"), n.cast("string")))
+def _image(df: DataFrame) -> list[str]:
+    """The image's key, where a table holds several images."""
+    return [c for c in ("image_id",) if c in df.columns]
+
+
+def feature_table(px: DataFrame, labels: DataFrame, markers: dict[str, str | None], scene_id: str | None = None) -> DataFrame:
+    """One row per label (not 0): OID, area, X, Y[, scene_id] and the mean of each marker, ``markers`` naming the marker of each image; images of a null marker are left out."""
+    named = {i: m for i, m in markers.items() if m}
+    long = features(px.where(F.col("image_id").isin(*named)), labels)
+    means = [F.max(F.when(F.col("image_id") == i, F.col("mean_v"))).alias(m) for i, m in named.items()]
+    out = long.groupBy("OID").agg(F.max("area").alias("area"), F.max("X").alias("X"), F.max("Y").alias("Y"), *means)
+    return out.withColumn("scene_id", F.lit(scene_id)) if scene_id is not None else out
+
+
+def boxes(labels: DataFrame, band: int = 1024) -> DataFrame:
+    """Bounding box of each label of each image, upper bounds exclusive, named S0, S1, ... in raster order of the image.
+
+    Boxes are numbered within bands of ``band`` rows, and each band's numbers go on from the counts of those above it, so that no task sorts all objects.
+    """
+    by = _image(labels)
+    b = labels.where("OID <> 0").groupBy(*by, "OID").agg(F.min("r").alias("minr"), F.min("c").alias("minc"), (F.max("r") + 1).alias("maxr"), (F.max("c") + 1).alias("maxc"))
+    b = b.withColumn("_band", F.floor(F.col("minr") / band))
+    counts = b.groupBy(*by, "_band").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_band") if by else Window.orderBy("_band")) - F.col("_n")  # one row per band
+    first = counts.select(*by, "_band", before.alias("_before"))
+    n = F.col("_before") + F.row_number().over(Window.partitionBy(*by, "_band").orderBy("minr", "minc", "OID")) - 1
+    return b.join(first, [*by, "_band"]).withColumn("scan_region", F.concat(F.lit("S"), n.cast("string"))).drop("_band", "_before")
 
 
 def drop_border_labels(labels: DataFrame, border: int = 3) -> DataFrame:
-    """Labels that touch the outer pixels of the image go."""
-    size = labels.agg(F.max("r").alias("last_r"), F.max("c").alias("last_c"))
+    """Labels that touch the outer pixels of their image go."""
+    by = _image(labels)
+    size = labels.groupBy(*by).agg(F.max("r").alias("last_r"), F.max("c").alias("last_c"))
     edge = (F.col("r") < border) | (F.col("c") < border) | (F.col("r") > F.col("last_r") - border) | (F.col("c") > F.col("last_c") - border)
-    touching = labels.join(F.broadcast(size)).where(edge & (F.col("OID") != 0)).select("OID").distinct()  # one row
-    return labels.join(touching, "OID", "left_anti").where("OID <> 0")
+    sized = labels.join(size, by) if by else labels.join(F.broadcast(size))  # one row
+    touching = sized.where(edge & (F.col("OID") != 0)).select(*by, "OID").distinct()
+    return labels.join(touching, [*by, "OID"], "left_anti").where("OID <> 0")
 
 
 def label_components(mask: DataFrame, columns: int, eight: bool = True) -> DataFrame:
@@ -361,6 +391,14 @@ def paint(labels: DataFrame, colours: DataFrame) -> DataFrame:
     return edge.join(colours, "OID", "left").select(*AT, "OID", F.when(F.col("edge"), "black").otherwise(F.coalesce("colour", F.lit("grey"))).alias("colour"))
 
 
+def paint_rgb(labels: DataFrame, colours: DataFrame) -> DataFrame:
+    """As :func:`paint`, with colours (OID, red, green, blue): a label's colours are summed and clipped at 255; labels without one and pixels with another label beside them are black."""
+    summed = colours.groupBy("OID").agg(*(F.least(F.lit(255), F.sum(c)).cast("int").alias(c) for c in ("red", "green", "blue")))
+    flat = paint(labels, summed.select("OID", F.lit("own").alias("colour")))
+    shown = lambda c: F.when(F.col("colour") == "own", F.col(c)).otherwise(F.lit(0)).alias(c)
+    return flat.join(summed, "OID", "left").select(*AT, "OID", *map(shown, ("red", "green", "blue")))
+
+
 def crop_or_pad(px: DataFrame, rows: int, columns: int) -> DataFrame:
     """Each image centred on a canvas of a given size, cut or filled with zeros: (image_id, r, c, v, offset_r, offset_c).
 

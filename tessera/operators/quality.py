@@ -6,14 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def naming_report(df: DataFrame, stem: str, channels: tuple[str, ...]) -> DataFrame:
-    """Rows (check, n_failed): five fields, round and version patterns, allowed channels."""
+def naming_report(df: DataFrame, name: str, channels: tuple[str, ...], suffix: str = ".tif") -> DataFrame:
+    """Rows (check, n_failed): suffix, five fields, round and version patterns, allowed channels; each file counts at its first failure."""
+    stem = F.regexp_replace(F.col(name), r"\.[A-Za-z]+$", "")
     parts = F.split(stem, "_")
     get = lambda i: F.coalesce(F.get(parts, F.lit(i)), F.lit(""))
     rules: dict[str, Column] = {
-        "fields": F.size(parts) == 5, "round": get(1).rlike(r"^R\d{1,2}$"), "version": get(2).rlike(r"^V\d{1,2}$"), "channel": F.upper(get(4)).isin(*channels),
+        "suffix": F.col(name).endswith(suffix), "fields": F.size(parts) == 5, "round": get(1).rlike(r"^R\d{1,2}$"), "version": get(2).rlike(r"^V\d{1,2}$"), "channel": F.upper(get(4)).isin(*channels),
     }
-    counts = df.agg(*(F.count_if(~rule).alias(name) for name, rule in rules.items()))
+    first = F.array(*(F.when(~rule, F.lit(check)) for check, rule in rules.items()))
+    failed = df.select(F.get(F.array_compact(first), F.lit(0)).alias("f"))
+    counts = failed.agg(*(F.count_if(F.col("f") == check).alias(check) for check in rules))
     return counts.unpivot([], list(rules), "check", "n_failed")
 
 
@@ -51,3 +54,9 @@ def overshoot(boxes: DataFrame, rows: int, columns: int, tolerance: int = 25) ->
 
 def low_scores(df: DataFrame, score: str, least: float) -> DataFrame:
     return df.withColumn("flagged", F.coalesce(F.col(score) < least, F.lit(True)))
+
+
+def channel_counts(df: DataFrame, by: list[str], name: str, index: str) -> DataFrame:
+    """Groups with another number of channel names than of channel indexes."""
+    n = df.groupBy(*by).agg(F.countDistinct(name).alias("n_names"), F.countDistinct(index).alias("n_indexes"))
+    return n.where("n_names <> n_indexes")

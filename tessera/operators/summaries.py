@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.cells import KEY, quoted, unpivot_markers
+from tessera.operators.cells import KEY, first_by_hash, quoted, unpivot_markers
 
 
 
@@ -42,7 +42,9 @@ def cluster_sample_counts(mapped: DataFrame, source: str = "full") -> DataFrame:
 
 
 def mapped_summary(mapped: DataFrame) -> DataFrame:
-    return mapped.groupBy("cl_method", "cluster", "status").agg(F.count("*").alias("n"), F.avg("confidence").alias("mean_confidence"))
+    """Cells, mean confidence and, where there is one, mean margin per method, cluster and status."""
+    means = [F.avg(c).alias(f"mean_{c}") for c in ("confidence", "margin") if c in mapped.columns]
+    return mapped.groupBy("cl_method", "cluster", "status").agg(F.count("*").alias("n"), *means)
 
 
 def marker_summary(cells: DataFrame, clusters: DataFrame, markers: Sequence[str]) -> DataFrame:
@@ -150,6 +152,27 @@ def jaccard_methods(annotated: DataFrame, x: str, y: str) -> DataFrame:
     return grid.withColumn("jaccard", F.col("n") / (F.col("n_x") + F.col("n_y") - F.col("n")))
 
 
+def jaccard_table(annotated: DataFrame) -> DataFrame:
+    """For each pair of methods (the first by name as x) the Jaccard of their labels over cells that both have, on the union of their label names, with margins.
+
+    Rows and columns ``Total`` hold the counts of the other side's labels; their Jaccard is 0. One join of the annotations with themselves serves all pairs.
+    """
+    side = lambda x: annotated.select(*KEY, F.col("cl_method").alias(f"method_{x}"), F.col("annotation").alias(f"label_{x}")).distinct()
+    methods = ["method_x", "method_y"]
+    n = side("x").join(side("y"), list(KEY)).where("method_x < method_y").groupBy(*methods, "label_x", "label_y").agg(F.count("*").alias("n"))
+    left, right = n.groupBy(*methods, "label_x").agg(F.sum("n").alias("n_x")), n.groupBy(*methods, "label_y").agg(F.sum("n").alias("n_y"))
+    names = left.select(*methods, F.col("label_x").alias("l")).union(right.select(*methods, "label_y")).distinct()
+    grid = names.withColumnRenamed("l", "label_x").join(names.withColumnRenamed("l", "label_y"), methods)
+    grid = grid.join(n, [*methods, "label_x", "label_y"], "left").join(left, [*methods, "label_x"], "left").join(right, [*methods, "label_y"], "left").fillna(0, ["n", "n_x", "n_y"])
+    union = F.col("n_x") + F.col("n_y") - F.col("n")
+    grid = grid.select(*methods, "label_x", "label_y", "n", "n_x", "n_y", F.when(union > 0, F.col("n") / union).otherwise(0.0).alias("jaccard"))
+    zero, all_ = F.lit(0.0).alias("jaccard"), n.groupBy(*methods).agg(F.sum("n").alias("t"))
+    column = grid.select(*methods, "label_x", "n_x").distinct().join(all_, methods).select(*methods, "label_x", F.lit("Total").alias("label_y"), F.col("n_x").alias("n"), "n_x", F.col("t").alias("n_y"), zero)
+    row = grid.select(*methods, "label_y", "n_y").distinct().join(all_, methods).select(*methods, F.lit("Total").alias("label_x"), "label_y", F.col("n_y").alias("n"), F.col("t").alias("n_x"), "n_y", zero)
+    corner = all_.select(*methods, F.lit("Total").alias("label_x"), F.lit("Total").alias("label_y"), F.col("t").alias("n"), F.col("t").alias("n_x"), F.col("t").alias("n_y"), zero)
+    return grid.unionByName(column).unionByName(row).unionByName(corner)
+
+
 def jaccard_best(jaccard: DataFrame) -> DataFrame:
     w = Window.partitionBy("label_x").orderBy(F.desc("jaccard"), "label_y")
     return jaccard.where("jaccard > 0").withColumn("_n", F.row_number().over(w)).where("_n = 1").select("label_x", "label_y", "jaccard")
@@ -168,13 +191,23 @@ def fingerprints(cells: DataFrame, markers: Sequence[str], label: str = "CellTyp
 
 
 def medians(df: DataFrame, by: Sequence[str], values: Sequence[str]) -> DataFrame:
-    return df.groupBy(*by).agg(*(F.percentile(quoted(v).cast("double"), F.lit(0.5)).alias(v) for v in values))
+    """Exact medians per group; see :func:`tessera.operators.pixels.exact_quantiles`."""
+    from tessera.operators.pixels import exact_quantiles
+
+    d, out = df.withColumn("_g", F.struct(*by)), None
+    for v in values:
+        m = exact_quantiles(d.select("_g", quoted(v).alias("_v")), "_g", "_v", (0.5,)).select("_g", F.col("q")[0].alias(v))
+        out = m if out is None else out.join(m, "_g", "full")
+    return out.select("_g.*", *(quoted(v) for v in values))
 
 
 def marker_ranges(df: DataFrame, markers: Sequence[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Linear quantiles; min and max where they are equal; then a width of 1e-6; [0, 1] for no values."""
     long = unpivot_markers(df, (), markers)
-    q = long.groupBy("marker").agg(F.percentile("value", F.array(F.lit(low), F.lit(high))).alias("q"), F.min("value").alias("a"), F.max("value").alias("b"))
+    from tessera.operators.pixels import exact_quantiles
+
+    ends = long.groupBy("marker").agg(F.min("value").alias("a"), F.max("value").alias("b"))
+    q = ends.join(exact_quantiles(long, "marker", "value", (low, high)), "marker", "left")
     flat = F.col("q")[0] == F.col("q")[1]
     lo, hi = F.when(flat, F.col("a")).otherwise(F.col("q")[0]), F.when(flat, F.col("b")).otherwise(F.col("q")[1])
     return q.select("marker", F.coalesce(lo, F.lit(0.0)).alias("lo"), F.coalesce(F.when(lo == hi, hi + 1e-6).otherwise(hi), F.lit(1.0)).alias("hi"))
@@ -200,6 +233,41 @@ def density2d(df: DataFrame, x: str, y: str, x_range: tuple[float, float], y_ran
     return n.withColumn("z", F.log1p("n"))
 
 
+def density_pairs(cells: DataFrame, clusters: DataFrame, ranges: dict[str, tuple[float, float]], top: int = 10, bins: int = 96) -> DataFrame:
+    """For each cluster and pair of its top markers the densities of the cluster, of all other cells and of all, and their difference.
+
+    Rows (cl_method, cluster, x_marker, y_marker, ix, iy, z, z_other, z_all, diff = z - z_other) of the bins that any cell of the method is in. ``ranges`` gives each marker's
+    range. A cell is counted once for each pair of markers, whatever the number of clusters.
+    """
+    markers = sorted(ranges)
+    best = top_markers(cells, clusters, markers, top).select("cl_method", "cluster", "marker")
+    pairs = best.withColumnRenamed("marker", "x_marker").join(best.withColumnRenamed("marker", "y_marker"), ["cl_method", "cluster"]).where("x_marker < y_marker")
+    d = cells.join(clusters, list(KEY))
+
+    def bin_of(m: str) -> Column:
+        lo, hi = ranges[m]
+        at = F.least(F.floor((quoted(m) - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("int")
+        return F.when(quoted(m).between(lo, hi), at)
+
+    places = F.array(*(F.struct(F.lit(x).alias("x_marker"), F.lit(y).alias("y_marker"), bin_of(x).alias("ix"), bin_of(y).alias("iy")) for i, x in enumerate(markers) for y in markers[i + 1 :]))
+    n = d.select("cl_method", "cluster", F.explode(places).alias("p")).where("p.ix is not null and p.iy is not null").groupBy("cl_method", "cluster", "p").agg(F.count("*").alias("n"))
+    n = n.select("cl_method", "cluster", "p.*", "n")
+    at = ["cl_method", "x_marker", "y_marker", "ix", "iy"]
+    every = n.groupBy(*at).agg(F.sum("n").alias("all"))
+    out = pairs.join(every, ["cl_method", "x_marker", "y_marker"]).join(n, ["cluster", *at], "left").fillna(0, ["n"])
+    z, other = F.log1p("n"), F.log1p(F.col("all") - F.col("n"))
+    return out.select("cl_method", "cluster", "x_marker", "y_marker", "ix", "iy", z.alias("z"), other.alias("z_other"), F.log1p("all").alias("z_all"), (z - other).alias("diff"))
+
+
+def rank_markers(means: DataFrame, percentages: DataFrame, top: int = 15) -> DataFrame:
+    """The ``top`` markers of each cluster by mean (cl_method, cluster, marker, mean, rank), and its percentage as one row more, ``Percentage``, after the last rank."""
+    by = ["cl_method", "cluster"]
+    ranked = means.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc_nulls_last("mean"), "marker"))).where(F.col("rank") <= top)
+    last = ranked.groupBy(*by).agg((F.max("rank") + 1).alias("rank"))
+    share = percentages.join(last, by).select(*by, F.lit("Percentage").alias("marker"), F.col("percentage").alias("mean"), "rank")
+    return ranked.select(*by, "marker", "mean", "rank").unionByName(share)
+
+
 def conflicts(annotations: DataFrame, label: str = "CellType") -> DataFrame:
     """Cells with several annotations keep the globally rarest (all of them on ties), with all in ``conflict_id``."""
     n = annotations.groupBy(label).agg(F.count("*").alias("_global"))
@@ -241,9 +309,8 @@ def plot_quotas(df: DataFrame, most: int, by: str = "cluster") -> DataFrame:
 
 def plot_sample(df: DataFrame, most: int, by: str = "cluster", ids: Sequence[str] = ("sample_id", "OID"), seed: int = 1234) -> DataFrame:
     """The rows of :func:`plot_quotas` in hash order, trimmed to ``most``."""
-    d = df.join(F.broadcast(plot_quotas(df, most, by).select(by, "k")), by).withColumn("_h", F.xxhash64(F.lit(seed), *ids))
-    d = d.withColumn("_i", F.row_number().over(Window.partitionBy(by).orderBy("_h", *ids))).where("_i <= k")
-    return d.orderBy("_h", *ids).limit(most).drop("_h", "_i", "k")
+    d = first_by_hash(df, plot_quotas(df, most, by).select(by, "k"), by, ids, seed)
+    return d.orderBy(F.xxhash64(*ids, F.lit(seed)), *ids).limit(most)
 
 
 def columns_by_mean(df: DataFrame, markers: Sequence[str]) -> DataFrame:

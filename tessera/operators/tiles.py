@@ -24,12 +24,26 @@ def scene_of_region(region: Column) -> Column:
     return F.concat(F.lit("scene"), F.when(F.length(n) < 2, F.lpad(n, 2, "0")).otherwise(n))
 
 
-def split_stem(df: DataFrame, stem: str, fields: tuple[str, ...]) -> DataFrame:
-    """Columns of a file stem's fields between underscores; only stems with exactly those fields stay."""
-    parts = F.split(F.regexp_replace(F.col(stem), "AF_FITC|FITC_AF", "AF"), "_")
+def split_stem(df: DataFrame, stem: str, fields: tuple[str, ...], folds: dict[str, str] | None = None) -> DataFrame:
+    """Columns of a file stem's fields between underscores; only stems with exactly those fields stay, :func:`other_stems` are the others.
+
+    ``folds`` says what names with an underscore of their own become, by default ``AF`` for those of combined background channels.
+    """
+    name = F.col(stem)
+    for old, new in (folds if folds is not None else {"AF_FITC": "AF", "FITC_AF": "AF"}).items():
+        name = F.replace(name, F.lit(old), F.lit(new))
+    parts = F.split(name, "_")
     return df.where(F.size(parts) == len(fields)).select("*", *(F.trim(parts[i]).alias(f) for i, f in enumerate(fields)))
 
 
+def other_stems(df: DataFrame, stem: str, fields: int, folds: dict[str, str] | None = None) -> DataFrame:
+    """Rows whose stems do not have that many fields, to be reported."""
+    name = F.col(stem)
+    for old, new in (folds if folds is not None else {"AF_FITC": "AF", "FITC_AF": "AF"}).items():
+        name = F.replace(name, F.lit(old), F.lit(new))
+    return df.where(F.coalesce(F.size(F.split(name, "_")) != fields, F.lit(True)))
+
+
 def nearest_round(df: DataFrame, ties_to_larger: bool, is_reference: Column, by: str = "slide_id", order: str = "round_n") -> DataFrame:
     """For each other row the nearest reference round of its group: the last before it and the first after it.
 
@@ -119,3 +133,16 @@ def canvas_positions(tiles: DataFrame, by: str = "slide", px: float = 1.0, facto
     w = Window.partitionBy(by)
     at = lambda c, size: F.bround((F.col(c) / px - F.min(F.col(c) / px).over(w) + F.col(size) / 2) / factor).cast("long")
     return tiles.select(by, "tile", at("stage_x", "width_px").alias("cx"), at("stage_y", "height_px").alias("cy"))
+
+
+def box_iou(reference: DataFrame, query: DataFrame, by: str = "slide") -> DataFrame:
+    """Intersection over union of each reference box (a) with each query box (b) of its slide, 0 where they do not meet: (by, a, b, iou).
+
+    Both sides have (name, x0, y0, x1, y1). A slide has a few boxes, and only boxes of one slide meet.
+    """
+    one = lambda t, n: t.select(by, F.col("name").alias(n), *(F.col(c).alias(f"{n}{c}") for c in ("x0", "y0", "x1", "y1")))
+    j = one(reference, "a").join(one(query, "b"), by)
+    size = lambda n: (F.col(f"{n}x1") - F.col(f"{n}x0")) * (F.col(f"{n}y1") - F.col(f"{n}y0"))
+    wide = lambda c: F.greatest(F.lit(0.0), F.least(f"a{c}1", f"b{c}1") - F.greatest(f"a{c}0", f"b{c}0"))
+    both = wide("x") * wide("y")
+    return j.select(by, "a", "b", F.coalesce(both / F.nullif(size("a") + size("b") - both, F.lit(0.0)), F.lit(0.0)).alias("iou"))

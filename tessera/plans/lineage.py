@@ -13,9 +13,11 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared scratch folder: ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
+    """The shared scratch folder: ``spark.checkpoint.dir``, or, on one machine only (tests), a temporary one where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

@@ -131,10 +131,12 @@ def unpivot(v):
     return C.unpivot_markers(v("cells"), ("sample_id", "OID"), ("QTY", "TAX"))
 
 
-@query("""SELECT cl_method, coalesce(sum(n) FILTER (sample_id = 'A_F'), 0)::BIGINT AS A_F, coalesce(sum(n) FILTER (sample_id = 'N_O'), 0)::BIGINT AS N_O, cluster
-  FROM (SELECT cl_method, cluster, sample_id, count(*) AS n FROM clusters GROUP BY ALL) GROUP BY cl_method, cluster""")
+SAMPLES = ("A_F", "A_O", "N_F", "N_O", "R_F", "R_O")
+
+
+@query(f"""SELECT cl_method, {', '.join(f"count(*) FILTER (sample_id = '{s}') AS {s}" for s in SAMPLES)}, cluster FROM clusters GROUP BY cl_method, cluster""")
 def pivot(v):
-    return v("clusters").groupBy("cl_method", "cluster").pivot("sample_id", ["A_F", "N_O"]).count().fillna(0)
+    return v("clusters").groupBy("cl_method", "cluster").pivot("sample_id", list(SAMPLES)).count().fillna(0)
 
 
 @query("SELECT slide_id, arg_min(OID, OID) AS OID FROM cells GROUP BY 1")
@@ -175,9 +177,9 @@ def cluster_sample_counts(v):
     return S.cluster_sample_counts(_mapped(v))
 
 
-@query(f"WITH {_MAPPED} SELECT cl_method, cluster, status, count(*) AS n, round(avg(confidence), 6) AS mean_confidence FROM m GROUP BY 1, 2, 3")
+@query(f"WITH {_MAPPED} SELECT cl_method, cluster, status, count(*) AS n, round(avg(confidence), 6) AS mean_confidence, round(avg(confidence / 2), 6) AS mean_margin FROM m GROUP BY 1, 2, 3")
 def mapped_summary(v):
-    return S.mapped_summary(_mapped(v))
+    return S.mapped_summary(_mapped(v).withColumn("margin", F.col("confidence") / 2))
 
 
 _LONG = "u AS (" + " UNION ALL ".join(f"SELECT sample_id, OID, '{m}' AS marker, CAST({m} AS DOUBLE) AS value FROM cells" for m in MARKERS) + ")"
@@ -521,9 +523,10 @@ def tissue_grid(v):
 
 
 @query("""WITH n AS (SELECT image_id, avg(CASE WHEN v <> 0 THEN 1.0 ELSE 0 END) AS coverage FROM pixels GROUP BY 1)
-  SELECT image_id, round(coverage, 6) AS coverage, coverage < 0.5 * (SELECT coverage FROM n WHERE image_id = 'MS') AS failed FROM n""")
+  SELECT image_id, round(coverage, 6) AS coverage, coverage < 0.5 * (SELECT coverage FROM n WHERE image_id = 'MS') AS failed FROM n UNION ALL SELECT 'XX', NULL, true""")
 def coverage_check(v):
-    return P.coverage_check(v("pixels"), "MS")
+    px = v("pixels")
+    return P.coverage_check(px, "MS", expected=px.select("image_id").distinct().union(px.select(F.lit("XX")).distinct()))
 
 
 _ANGLES = "a AS (SELECT s.r, s.c, s.v AS s, b.v AS b, atan2(s.v, b.v) AS phi FROM pixels s JOIN pixels b ON s.r = b.r AND s.c = b.c WHERE s.image_id = 'MS' AND b.image_id = 'AF' AND s.v > 0 AND b.v > 0)"
@@ -635,13 +638,11 @@ def clusters_k(v):
     return v("clusters").groupBy("cl_method").agg(F.countDistinct("cluster").alias("k"))
 
 
-@query("""WITH m AS (SELECT slide_id, avg(QTY) AS QTY, avg(DISC) AS DISC, avg(TAX) AS TAX FROM cells GROUP BY 1), u AS (SELECT slide_id, 'QTY' AS marker, QTY AS mean FROM m UNION ALL SELECT slide_id, 'DISC', DISC FROM m UNION ALL SELECT slide_id, 'TAX', TAX FROM m)
-  SELECT slide_id, marker, round(mean, 6) AS mean, CAST(row_number() OVER (PARTITION BY slide_id ORDER BY mean DESC, marker) AS INT) AS rank FROM u QUALIFY rank <= 2""")
+@query(f"""WITH {_MARKERS}, k AS (SELECT cl_method, cluster, marker, mean, row_number() OVER (PARTITION BY cl_method, cluster ORDER BY mean DESC, marker) AS rank FROM ms QUALIFY rank <= 2),
+  s AS (SELECT cl_method, cluster, 100 * count(*) / sum(count(*)) OVER (PARTITION BY cl_method) AS share FROM clusters GROUP BY 1, 2)
+  SELECT cl_method, cluster, marker, round(mean, 6) AS mean, CAST(rank AS INT) AS rank FROM k UNION ALL SELECT cl_method, cluster, 'Percentage', round(share, 6), CAST(3 AS INT) FROM s""")
 def rank_top_n_per_group(v):
-    from pyspark.sql import Window
-
-    long = C.unpivot_markers(v("cells"), ("slide_id",), ("QTY", "DISC", "TAX")).groupBy("slide_id", "marker").agg(F.avg("value").alias("mean"))
-    return long.withColumn("rank", F.row_number().over(Window.partitionBy("slide_id").orderBy(F.desc("mean"), "marker"))).where("rank <= 2")
+    return S.rank_markers(S.marker_summary(v("cells"), v("clusters"), MARKERS), S.cluster_percentages(v("clusters")), 2)
 
 
 @query("""SELECT OID, round(asinh(PRICE), 6) AS a, round(log2(1 + PRICE), 6) AS b, round(ln(1 + QTY), 6) AS c, round(atan2(X, Y), 6) AS d, upper(sample_id) AS e, sha1(OID) AS f,
@@ -667,12 +668,12 @@ def qc_coverage_gaps(v):
     return Q.coverage_gaps(v("acquisitions"), "slide_id", "round_n")
 
 
-@query("""WITH s AS (SELECT string_split(replace(slide, '#', '') || '_R' || tile || '_V1_p_' || split_part(channel, ' ', 1), '_') AS p FROM tiles)
-  SELECT 'fields' AS "check", count(*) FILTER (len(p) <> 5) AS n_failed FROM s UNION ALL SELECT 'round', count(*) FILTER (NOT regexp_matches(p[2], '^R\\d{1,2}$')) FROM s
-  UNION ALL SELECT 'version', count(*) FILTER (NOT regexp_matches(p[3], '^V\\d{1,2}$')) FROM s UNION ALL SELECT 'channel', count(*) FILTER (upper(p[5]) NOT IN ('PROMO', 'SMALL', 'LARGE')) FROM s""")
+@query("""WITH s AS (SELECT string_split(replace(slide, '#', '') || '_R' || tile || '_V1_p_' || split_part(channel, ' ', 1), '_') AS p, tile % 9 = 0 AS png FROM tiles),
+  f AS (SELECT CASE WHEN png THEN 'suffix' WHEN len(p) <> 5 THEN 'fields' WHEN NOT regexp_matches(p[2], '^R\\d{1,2}$') THEN 'round' WHEN NOT regexp_matches(p[3], '^V\\d{1,2}$') THEN 'version' WHEN upper(p[5]) NOT IN ('PROMO', 'SMALL', 'LARGE') THEN 'channel' END AS f FROM s)
+  SELECT c."check", count(*) FILTER (f = c."check") AS n_failed FROM (SELECT unnest(['suffix', 'fields', 'round', 'version', 'channel']) AS "check") c, f GROUP BY 1""")
 def qc_naming(v):
-    stem = F.concat(F.translate("slide", "#", ""), F.lit("_R"), F.col("tile").cast("string"), F.lit("_V1_p_"), F.split("channel", " ")[0])
-    return Q.naming_report(v("tiles").select(stem.alias("stem")), "stem", ("PROMO", "SMALL", "LARGE"))
+    stem = F.concat(F.translate("slide", "#", ""), F.lit("_R"), F.col("tile").cast("string"), F.lit("_V1_p_"), F.split("channel", " ")[0], F.when(F.col("tile") % 9 == 0, ".png").otherwise(".tif"))
+    return Q.naming_report(v("tiles").select(stem.alias("name")), "name", ("PROMO", "SMALL", "LARGE"))
 
 
 @query("SELECT slide, channel, count(*) AS n FROM tiles GROUP BY 1, 2 HAVING count(*) <> 1")
@@ -812,7 +813,7 @@ def best_transform(v):
 
 @query("""WITH m AS (SELECT *, CASE method WHEN 'features' THEN 1 WHEN 'phase' THEN 2 WHEN 'template' THEN 3 ELSE 4 END AS i FROM estimates),
   g AS (SELECT a.* FROM m a JOIN m b ON a.pair = b.pair AND a.i < b.i AND greatest(a.dx - b.dx, a.dy - b.dy) < 5 QUALIFY row_number() OVER (PARTITION BY a.pair ORDER BY a.i) = 1)
-  SELECT p.pair, g.method, g.dx, round(g.dy, 6) AS dy FROM (SELECT DISTINCT pair FROM estimates) p LEFT JOIN g USING (pair)""")
+  SELECT pair, method, dx, round(dy, 6) AS dy, area FROM g""")
 def priority_agreement(v):
     return R.first_agreement(v("estimates"), ("features", "phase", "template", "grid"))
 

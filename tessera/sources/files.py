@@ -85,11 +85,25 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.tif*") -> DataF
     return found.select("path", "length")
 
 
-def read_acquisition_json(spark: SparkSession, path: str) -> DataFrame:
-    """One row per (well, item) of acquisition files: file, round_number, marker_name, channel. ``--`` means AF."""
-    d = spark.read.option("multiLine", True).json(path).select(F.input_file_name().alias("file"), F.posexplode("wells").alias("w", "well"))
-    d = d.select("file", (F.col("w") + 1).alias("round_number"), F.explode("well.items").alias("item"))
-    return d.select("file", "round_number", F.when(F.col("item.markerName") == "--", "AF").otherwise(F.col("item.markerName")).alias("marker_name"), F.col("item.channel").cast("string").alias("channel"))
+def read_acquisition_json(spark: SparkSession, path: str, channel_numbers: dict[str, int] | None = None) -> DataFrame:
+    """One row per (well, item) of acquisition files: folder, well_name, marker_name, channel_id, channel_number, round_number, pixel_size.
+
+    The round is the place of the well's name among its folder's names, in the order in which they first stand in the file. ``--`` means AF. A channel
+    that ``channel_numbers`` does not name keeps its item's place.
+    """
+    from pyspark.sql import Window
+
+    d = spark.read.option("multiLine", True).json(path).select(F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1).alias("folder"), "resolution", F.posexplode("wells").alias("w", "well"))
+    first = F.min("w").over(Window.partitionBy("folder", "well_name"))  # a folder has some dozens of wells
+    d = d.select("folder", "resolution", "w", F.col("well.wellName").alias("well_name"), F.col("well.items").alias("items")).withColumn("first", first)
+    d = d.withColumn("n", F.dense_rank().over(Window.partitionBy("folder").orderBy("first"))).select("*", F.posexplode("items").alias("k", "item"))
+    number = F.col("k")
+    if channel_numbers:
+        number = F.coalesce(F.create_map(*(F.lit(v) for kv in channel_numbers.items() for v in kv))[F.col("item.channel").cast("string")], F.col("k"))
+    n = F.col("n").cast("string")
+    return d.select(
+        "folder", "well_name", F.when(F.col("item.markerName") == "--", "AF").otherwise(F.col("item.markerName")).alias("marker_name"), F.col("item.channel").cast("string").alias("channel_id"),
+        number.cast("int").alias("channel_number"), F.concat(F.lit("R"), F.when(F.length(n) < 2, F.lpad(n, 2, "0")).otherwise(n)).alias("round_number"), F.col("resolution").cast("double").alias("pixel_size"))
 
 
 def read_job_files(spark: SparkSession, path: str) -> DataFrame:
