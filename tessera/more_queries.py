@@ -234,17 +234,19 @@ def ref_broadcast(v):
     return M.broadcast_reference(f.join(least, "folder").withColumn("is_reference", F.col("M") == F.col("_m")), "folder").select("folder", "tile_filename", "ref_path")
 
 
-_STRUCTURE = f"""{_FILES}, h AS (SELECT DISTINCT slide, scene, round FROM man),
+_STRUCTURE = f"""{_FILES}, sub AS (SELECT * FROM man WHERE NOT (slide = 'SL2' AND round = 3) AND NOT (slide = 'SL1' AND scene = '2' AND round = 2) AND NOT (slide = 'SL0' AND version = 'V01' AND channel = 'DAPI') AND NOT (slide = 'SL2' AND scene = '1' AND round = 2)),
+  h AS (SELECT DISTINCT slide, scene, round FROM sub),
   gaps AS (SELECT s.slide, s.scene, r.round FROM (SELECT DISTINCT slide, scene FROM h) s JOIN (SELECT DISTINCT slide, round FROM h) r USING (slide) WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.slide = s.slide AND h.scene = s.scene AND h.round = r.round)),
-  n AS (SELECT slide, count(DISTINCT round) AS n FROM man GROUP BY 1)"""
+  n AS (SELECT slide, count(DISTINCT round) AS n FROM sub GROUP BY 1)"""
 
 
 @query(f"""WITH {_STRUCTURE} SELECT 'round_gap' AS "check", 'warning' AS level, slide || '/' || scene || '/' || round AS detail FROM gaps
   UNION ALL SELECT 'round_count', 'warning', slide || '/' || n FROM n WHERE n < (SELECT max(n) FROM n)
-  UNION ALL SELECT 'no_register_channel', 'warning', slide || '/' || scene || '/' || round || '/' || version FROM man WHERE tile % 2 = 1 OR channel <> 'DAPI' GROUP BY slide, scene, round, version HAVING count(*) FILTER (channel = 'DAPI') = 0
-  UNION ALL SELECT 'single_round', 'warning', slide || '/' || scene FROM man WHERE tile % 2 = 1 OR channel <> 'DAPI' GROUP BY slide, scene HAVING count(DISTINCT (round, version)) <= 1""".replace("FROM tile_files)", "FROM tile_files WHERE NOT (tile_filename LIKE '%DAPI%' AND CAST(M AS INT) % 2 = 0))"))
+  UNION ALL SELECT 'no_register_channel', 'warning', slide || '/' || scene || '/' || round || '/' || version FROM sub GROUP BY slide, scene, round, version HAVING count(*) FILTER (channel = 'DAPI') = 0
+  UNION ALL SELECT 'single_round', 'warning', slide || '/' || scene FROM sub GROUP BY slide, scene HAVING count(DISTINCT (round, version)) <= 1""")
 def qc_structure(v):
-    return M.qc_structure(_manifest(v).where("tile % 2 = 1 or channel <> 'DAPI'"))
+    m = _manifest(v).where("not (slide = 'SL2' and round = 3) and not (slide = 'SL1' and scene = '2' and round = 2)")
+    return M.qc_structure(m.where("not (slide = 'SL0' and version = 'V01' and channel = 'DAPI') and not (slide = 'SL2' and scene = '1' and round = 2)"))
 
 
 @query(f"""WITH {_FILES}, need AS (SELECT count(*) FILTER (width_px IS NULL) AS w, count(*) FILTER (height_px IS NULL) AS h, count(*) FILTER (stage_x_um IS NULL OR stage_y_um IS NULL OR pixel_size_um IS NULL) AS s,

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.graph import connected_components
+from tessera.operators.graph import connected_components, least_reachable
+from tessera.plans.lineage import cut
 
 AT = ("r", "c")
 
 
+def _image(df: DataFrame) -> list[str]:
+    """The image's key, where a table holds several images."""
+    return [c for c in ("image_id",) if c in df.columns]
+
+
 def rescale(px: DataFrame, q: float = 0.01, without_median: bool = False) -> DataFrame:
     """(v - lo) / (hi - lo), clipped to 0..1, by the q and 1 - q percentiles of positive pixels of each image.
 
@@ -156,11 +164,6 @@ def features(px: DataFrame, labels: DataFrame) -> DataFrame:
     return j.groupBy("OID", "image_id").agg(F.count("*").alias("area"), F.avg("c").alias("X"), F.avg("r").alias("Y"), F.avg("v").alias("mean_v"))
 
 
-def _image(df: DataFrame) -> list[str]:
-    """The image's key, where a table holds several images."""
-    return [c for c in ("image_id",) if c in df.columns]
-
-
 def feature_table(px: DataFrame, labels: DataFrame, markers: dict[str, str | None], scene_id: str | None = None) -> DataFrame:
     """One row per label (not 0): OID, area, X, Y[, scene_id] and the mean of each marker, ``markers`` naming the marker of each image; images of a null marker are left out."""
     named = {i: m for i, m in markers.items() if m}
@@ -195,24 +198,66 @@ def drop_border_labels(labels: DataFrame, border: int = 3) -> DataFrame:
     return labels.join(touching, [*by, "OID"], "left_anti").where("OID <> 0")
 
 
-def label_components(mask: DataFrame, columns: int, eight: bool = True) -> DataFrame:
-    """Rows (r, c, component) of (r, c): connected pixels share the smallest raster number among them.
+def label_components(mask: DataFrame, columns: int, eight: bool = True, tile: int = 256) -> DataFrame:
+    """Rows ([image_id,] r, c, component) of (r, c): connected pixels of an image share the smallest raster number among them.
 
-    Only half of the neighbours are joined, as links have no direction.
+    Tiles are labelled by themselves, each within one task of ``tile`` x ``tile`` places at most; only links across their borders become edges of a graph, whose nodes are the tiles' parts.
     """
+    by = _image(mask)
     steps = [(0, 1), (1, 0)] + [(1, 1), (1, -1)] * eight
-    number = lambda r, c: (r.cast("long") * columns + c.cast("long"))
-    m = mask.select(*AT).distinct()
-    to = m.select(number(F.col("r"), F.col("c")).alias("a"), F.explode(F.array(*(F.struct((F.col("r") + i).alias("r"), (F.col("c") + j).alias("c")) for i, j in steps))).alias("n")).select("a", "n.r", "n.c")
-    edges = to.join(m, list(AT)).select("a", number(F.col("r"), F.col("c")).alias("b"))
-    parts = connected_components(edges)
-    out = m.withColumn("node", number(F.col("r"), F.col("c"))).join(parts, "node", "left")
-    return out.select(*AT, F.coalesce("component", "node").alias("component"))
+    m = mask.select(*by, F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c")).distinct()
+    m = m.withColumn("tr", F.floor(F.col("r") / tile)).withColumn("tc", F.floor(F.col("c") / tile))
+
+    def label(group: pa.Table) -> pa.Table:
+        r, c = (group.column(k).to_numpy() for k in AT)
+        order = np.lexsort((c, r))
+        group, r, c = group.take(pa.array(order)), r[order], c[order]
+        grid = np.full((tile + 2, tile + 2), -1, np.int64)
+        y, x = r % tile + 1, c % tile + 1
+        grid[y, x] = np.arange(len(r))
+        ends = [(np.flatnonzero(there >= 0), there[there >= 0]) for there in (grid[y + i, x + j] for i, j in steps)]
+        root = least_reachable(len(r), np.concatenate([a for a, _ in ends]), np.concatenate([b for _, b in ends]))
+        return group.append_column("part", pa.array((r * columns + c)[root]))
+
+    kinds = dict(m.dtypes)
+    parts = cut(m.groupBy(*by, "tr", "tc").applyInArrow(label, ", ".join(f"{c} {kinds[c]}" for c in m.columns) + ", part long"), "parts")
+    near = F.least(F.pmod("r", F.lit(tile)), F.pmod("c", F.lit(tile)), tile - 1 - F.pmod("r", F.lit(tile)), tile - 1 - F.pmod("c", F.lit(tile))) == 0
+    edge = parts.where(near)
+    to = edge.select(*by, F.col("part").alias("a"), F.col("tr").alias("ar"), F.col("tc").alias("ac"), F.explode(F.array(*(F.struct((F.col("r") + i).alias("r"), (F.col("c") + j).alias("c")) for i, j in steps))).alias("n"))
+    across = to.select(*by, "a", "ar", "ac", "n.r", "n.c").join(edge.select(*by, *AT, "tr", "tc", F.col("part").alias("b")), [*by, *AT]).where("ar <> tr or ac <> tc")
+    node = lambda x: F.struct(*by, F.col(x).alias("n")) if by else F.col(x)
+    found = connected_components(across.select(node("a").alias("a"), node("b").alias("b")))
+    out = parts.join(found, node("part") == F.col("node"), "left")
+    least = F.col("component.n") if by else F.col("component")
+    return out.select(*by, *(F.col(c).cast("int").alias(c) for c in AT), F.coalesce(least, F.col("part")).alias("component"))
 
 
 def drop_small_components(parts: DataFrame, least: Column | int) -> DataFrame:
-    big = parts.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    return parts.join(big.select("component"), "component", "left_semi")
+    """Components of at least so many pixels, of each image."""
+    by = [*_image(parts), "component"]
+    big = parts.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return parts.join(big.select(*by), by, "left_semi")
+
+
+def significant_components(parts: DataFrame, rows: int, columns: int, of_image: float = 0.001, of_foreground: float = 0.0) -> DataFrame:
+    """Components of at least a share of the image's area, and of more than a share of its foreground."""
+    by = _image(parts)
+    n = parts.groupBy(*by, "component").agg(F.count("*").alias("n"))
+    all_ = n.groupBy(*by).agg(F.sum("n").alias("all"))
+    big = (n.join(all_, by) if by else n.join(F.broadcast(all_))).where((F.col("n") >= of_image * rows * columns) & (F.col("n") > of_foreground * F.col("all")))  # one row
+    return parts.join(big.select(*by, "component"), [*by, "component"], "left_semi")
+
+
+def fill_holes(parts: DataFrame, rows: int, columns: int) -> DataFrame:
+    """Pixels (r, c) of one mask with its holes: places of its box that no path outside of the mask, along rows and columns, joins to the box's border."""
+    box = parts.agg(F.min("r").alias("r0"), F.max("r").alias("r1"), F.min("c").alias("c0"), F.max("c").alias("c1")).first()
+    if box is None or box["r0"] is None:
+        return parts.select(*AT)
+    spark = parts.sparkSession
+    every = spark.range(box["r0"], box["r1"] + 1).select(F.col("id").cast("int").alias("r")).withColumn("c", F.explode(F.sequence(F.lit(box["c0"]), F.lit(box["c1"]))))
+    outside = label_components(every.join(parts.select(*AT), list(AT), "left_anti"), columns, eight=False)
+    border = outside.where(F.col("r").isin(box["r0"], box["r1"]) | F.col("c").isin(box["c0"], box["c1"])).select("component").distinct()
+    return parts.select(*AT).union(outside.join(border, "component", "left_anti").select(*AT))
 
 
 def merge_versions(px: DataFrame) -> DataFrame:
@@ -375,9 +420,10 @@ def recode_classes(best: DataFrame, codes: dict[int, int], least: float = 0.5) -
 
 
 def largest_component(parts: DataFrame) -> DataFrame:
-    """Pixels of the component with most pixels; the smaller label wins ties."""
-    best = parts.groupBy("component").agg(F.count("*").alias("n")).agg(F.min_by("component", F.struct(-F.col("n"), "component")).alias("component"))
-    return parts.join(F.broadcast(best), "component", "left_semi")  # one row
+    """Pixels of each image's component with most pixels; the smaller label wins ties. :func:`fill_holes` closes it."""
+    by = _image(parts)
+    best = parts.groupBy(*by, "component").agg(F.count("*").alias("n")).groupBy(*by).agg(F.min_by("component", F.struct(-F.col("n"), "component")).alias("component"))
+    return parts.join(best, [*by, "component"], "left_semi")
 
 
 def paint(labels: DataFrame, colours: DataFrame) -> DataFrame:

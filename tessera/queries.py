@@ -413,9 +413,11 @@ def group_size_max(v):
     return T.largest_subgroup(v("acquisitions").select("slide_id", "marker_id", "round_n"), "slide_id", "marker_id")
 
 
-@query("""WITH s AS (SELECT DISTINCT slide FROM tiles), c AS (SELECT DISTINCT channel FROM tiles) SELECT slide, channel FROM s CROSS JOIN c EXCEPT SELECT slide, channel FROM tiles""")
+@query("""WITH t AS (SELECT slide, channel FROM tiles WHERE tile % 3 <> 0 OR slide NOT LIKE '%1'), s AS (SELECT DISTINCT slide FROM t), c AS (SELECT DISTINCT channel FROM t) SELECT slide, channel FROM s CROSS JOIN c EXCEPT SELECT slide, channel FROM t WHERE slide NOT LIKE '%2' OR channel NOT LIKE 'P%'""")
 def anti_missing(v):
-    return T.missing_combinations(v("tiles"), "slide", "channel")
+    t = v("tiles").where("tile % 3 <> 0 or slide not like '%1'").select("slide", "channel")
+    lost = t.where("slide like '%2' and channel like 'P%'")
+    return T.missing_combinations(t, "slide", "channel").union(lost.distinct())
 
 
 _OVERLAPS = """p AS (SELECT a.slide, a.tile AS a, b.tile AS b, greatest(a.stage_x, b.stage_x) AS x0, greatest(a.stage_y, b.stage_y) AS y0, least(a.stage_x, b.stage_x) + 2040 AS x1, least(a.stage_y, b.stage_y) + 2040 AS y1
@@ -537,14 +539,14 @@ def afs_angle(v):
     return P.angles(v("pixels"))
 
 
-_WEAK = """weak AS (SELECT image_id, r, c, CASE WHEN image_id = 'MS' THEN floor(v / 40) + CASE WHEN (r * 7 + c) % 29 = 0 THEN 9000 ELSE 0 END ELSE v END AS v FROM pixels),
+_WEAK = """weak AS (SELECT image_id, r, c, CASE WHEN image_id = 'MS' THEN floor(v / 40) + 0.1414 + CASE WHEN (r * 7 + c) % 29 = 0 THEN 9000 ELSE 0 END ELSE v END AS v FROM pixels),
   a AS (SELECT s.r, s.c, s.v AS s, b.v AS b, atan2(s.v, b.v) AS phi FROM weak s JOIN weak b ON s.r = b.r AND s.c = b.c WHERE s.image_id = 'MS' AND b.image_id = 'AF' AND s.v > 0 AND b.v > 0 AND s.v <= b.v * 20)"""
 
 
 def _weak(v) -> DataFrame:
     px = v("pixels")
     strong = F.when((F.col("r") * 7 + F.col("c")) % 29 == 0, 9000.0).otherwise(0.0)
-    px = px.withColumn("v", F.when(F.col("image_id") == "MS", F.floor(F.col("v") / 40) + strong).otherwise(F.col("v")).cast("double"))
+    px = px.withColumn("v", F.when(F.col("image_id") == "MS", F.floor(F.col("v") / 40) + 0.1414 + strong).otherwise(F.col("v")).cast("double"))
     wide = px.groupBy("r", "c").agg(F.max(F.when(F.col("image_id") == "MS", F.col("v"))).alias("s"), F.max(F.when(F.col("image_id") == "AF", F.col("v"))).alias("b")).where("s <= b * 20")
     return px.join(wide.select("r", "c"), ["r", "c"], "left_semi")
 
@@ -658,9 +660,9 @@ def manifest_summary(v):
     return Q.manifest_summary(v("tiles"), ("slide", "channel", "tile"))
 
 
-@query("WITH s AS (SELECT DISTINCT slide_id FROM acquisitions), m AS (SELECT DISTINCT marker_id FROM acquisitions) SELECT slide_id, marker_id FROM s CROSS JOIN m EXCEPT SELECT slide_id, marker_id FROM acquisitions")
+@query("WITH a AS (SELECT slide_id, marker_id FROM acquisitions WHERE round_n % 7 <> 0 AND NOT (slide_id LIKE '%3' AND marker_id = 'CLICK')), s AS (SELECT DISTINCT slide_id FROM a), m AS (SELECT DISTINCT marker_id FROM a) SELECT slide_id, marker_id FROM s CROSS JOIN m EXCEPT SELECT slide_id, marker_id FROM a")
 def qc_same_channels(v):
-    return Q.set_differences(v("acquisitions"), "slide_id", "marker_id")
+    return Q.set_differences(v("acquisitions").where("round_n % 7 <> 0 and not (slide_id like '%3' and marker_id = 'CLICK')"), "slide_id", "marker_id")
 
 
 @query("WITH n AS (SELECT slide_id, count(DISTINCT round_n) AS n FROM acquisitions GROUP BY 1) SELECT slide_id, n, (SELECT max(n) FROM n) AS most FROM n WHERE n < (SELECT max(n) FROM n)")

@@ -38,4 +38,4 @@ def test_annotation_state_and_extended_pairs(spark):
     assert state["mapping"] == {"k|0": "T", "k|1": "B"} and [r["cluster"] for r in state["clusters"]] == ["0", "1"]
     pairs = spark.createDataFrame([(1, 2, 9.0), (1, 3, 4.0)], "a int, b int, area double")
     near = spark.createDataFrame([(2, 1), (2, 3), (2, 5)], "tile int, other int")
-    assert [tuple(r) for r in R.extend_pairs(pairs, near).collect()] == [(1, 5, 2)]
+    assert [tuple(r) for r in R.neighbours_of_best(pairs, near).collect()] == [(1, 5, 2)]

@@ -67,12 +67,12 @@ def brute_components(mask):
     return {p: r * 30 + c for p, (r, c) in label.items()}
 
 
-@pytest.mark.parametrize("share", [0.2, 0.6])
-def test_components_against_brute_force(spark, share):
+@pytest.mark.parametrize("share,tile", [(0.2, 256), (0.6, 256), (0.2, 7), (0.42, 4)])
+def test_components_against_brute_force(spark, share, tile):
     rng = np.random.default_rng(4)
     mask = {(r, c) for r in range(25) for c in range(30) if rng.random() < share}
     d = spark.createDataFrame([(r, c) for r, c in mask], "r int, c int")
-    parts = P.label_components(d, 30)
+    parts = P.label_components(d, 30, tile=tile)
     want = brute_components(mask)
     assert {(x.r, x.c): x.component for x in parts.collect()} == want
     sizes = {k: list(want.values()).count(k) for k in set(want.values())}
@@ -81,6 +81,19 @@ def test_components_against_brute_force(spark, share):
     assert {x.component for x in P.drop_small_components(parts, 4).collect()} == {k for k, n in sizes.items() if n >= 4}
 
 
+def test_components_of_several_images_and_holes(spark):
+    ring = [(r, c) for r in range(5) for c in range(5) if not (1 <= r <= 3 and 1 <= c <= 3)]
+    d = spark.createDataFrame([("a", r, c) for r, c in ring] + [("b", 0, 0), ("b", 2, 2)], "image_id string, r int, c int")
+    parts = P.label_components(d, 30, tile=3)
+    assert sorted({(x.image_id, x.component) for x in parts.collect()}) == [("a", 0), ("b", 0), ("b", 62)]
+    assert {x.image_id for x in P.drop_small_components(parts, 2).collect()} == {"a"}
+    assert P.significant_components(parts, 10, 10, 0.05).count() == 16 and P.significant_components(parts, 10, 10, 0.0, 0.4).count() == 18
+    whole = P.fill_holes(P.largest_component(parts.where("image_id = 'a'").drop("image_id")), 30, 30)
+    assert whole.count() == 25
+    open_ = spark.createDataFrame([(r, c) for r, c in ring if (r, c) != (0, 2)], "r int, c int")
+    assert P.fill_holes(open_, 30, 30).count() == 15
+
+
 def test_boxes_go_on_over_bands_and_images(spark):
     d = spark.createDataFrame([(i, r, c, o) for i, r, c, o in [("a", 0, 5, 9), ("a", 0, 2, 4), ("a", 7, 0, 2), ("a", 8, 0, 2), ("b", 3, 3, 1)]], "image_id string, r int, c int, OID int")
     got = sorted((r.image_id, r.OID, r.scan_region, r.maxr) for r in P.boxes(d, 4).collect())

@@ -26,8 +26,23 @@ def test_unknown_suffix_and_round_trips(spark, tmp_path):
 
 
 def test_acquisition_json(spark, tmp_path):
-    p = tmp_path / "x.json"
-    p.write_text(json.dumps({"resolution": 1, "wells": [{"wellName": "A", "items": [{"markerName": "--", "channel": 1}, {"markerName": "CD3", "channel": 2}]}, {"wellName": "B", "items": [{"markerName": "CD4", "channel": 1}]}]}))
-    got = sorted((r.round_number, r.marker_name, r.channel) for r in files.read_acquisition_json(spark, str(p)).collect())
-    assert got == [(1, "AF", "1"), (1, "CD3", "2"), (2, "CD4", "1")]
-    assert files.list_files(spark, str(tmp_path), "*.json").count() == 1
+    wells = lambda *names: [{"wellName": n, "items": [{"markerName": "--", "channel": "DAPI"}, {"markerName": "CD3", "channel": "CY5"}]} for n in names]
+    for folder, names in (("s1", "BAB"), ("s2", "A")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.xpd").write_text(json.dumps({"resolution": 0.5, "wells": wells(*names)}))
+    got = sorted((r.folder, r.well_name, r.round_number, r.marker_name, r.channel_id, r.channel_number, r.pixel_size) for r in files.read_acquisition_json(spark, f"{tmp_path}/*/x.xpd", {"CY5": 7}).collect())
+    row = lambda f, w, r: [(f, w, r, "AF", "DAPI", 0, 0.5), (f, w, r, "CD3", "CY5", 7, 0.5)]
+    assert got == sorted([*row("s1", "B", "R01"), *row("s1", "B", "R01"), *row("s1", "A", "R02"), *row("s2", "A", "R01")])
+    assert files.list_files(spark, str(tmp_path), "*.xpd").count() == 2
+
+
+def test_separators_and_decimal_signs():
+    assert files.sniff_separator(["a;b", "1,5;2,5"]) == ";" and files.sniff_separator(["a,b;c", "1;2"]) in ",;" and files.sniff_separator(["word"]) == ";"
+    assert files.sniff_separator(["x,y,z", "1,2,3"]) == "," and files.sniff_decimal(["h", "'1,5';-2,5;3.5"], ";") == "," and files.sniff_decimal(["h", "1;2"], ";") == "."
+
+
+def test_job_files(spark, tmp_path):
+    (tmp_path / "j.xml").write_text('''<Job><CycleModels TileFolderPath="d:\\Cycle_9\\s1\\Cycle_003\\"><ChannelMeta><Channel Name="C1"/><Plane ExposureTime="20"/><ChannelPriv FluorescenceChannel="CY5"/></ChannelMeta>
+      <ChannelMeta><Channel Name="C2"/></ChannelMeta></CycleModels><CycleModels TileFolderPath="x/none"/></Job>''')
+    got = sorted((r.cycle_number or -1, r.channel_name or "", r.exposure_time, r.fluorescence_channel) for r in files.read_job_files(spark, str(tmp_path)).collect())
+    assert got == [(-1, "", None, None), (3, "C1", "20", "CY5"), (3, "C2", None, None)]
