@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
-#: Bytes hashed at a time.
-CHUNK = 1 << 20
+#: Bytes hashed at a time: what the caches of a core hold.
+CHUNK = 1 << 17
 _PRIME = 0x9E3779B97F4A7C13
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: A value for each byte; in the second table A-Z count as a-z.
@@ -74,3 +76,17 @@ def split(texts: list[bytes], space: np.ndarray = SPACE, letters: np.ndarray = F
         at = stop
     starts, ends, h = (np.concatenate(x) for x in zip(*found, strict=True))
     return data, starts, ends, h, np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+
+
+def blocks(texts, size: int) -> Iterator[list[bytes]]:
+    """Texts (null: empty) by about ``size`` bytes; a longer one is a block of its own. What Arrow has freed goes back to the system at the end."""
+    out, n = [], 0
+    for t in texts:
+        out.append(t or b"")
+        n += len(out[-1])
+        if n >= size:
+            yield out
+            out, n = [], 0
+    if out:
+        yield out
+    pa.default_memory_pool().release_unused()

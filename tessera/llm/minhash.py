@@ -10,13 +10,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.hashes import blocks, split
 from tessera.operators.graph import connected_components
 from tessera.plans.lineage import cut, discard
 
 #: Two collections of 8 keys of 2 minima each make 64 tables from 32 minima. At similarity 0.8 a pair
 #: meets in none of them with a probability of 2 * (1 - 0.8^2)^8 = 0.0006.
 ROWS, KEYS = 2, 8
-CACHE_WORDS = 500_000
+#: Bytes of text that are hashed together.
+TOGETHER = 1 << 20
 #: Sets in the sample that orders shingles by frequency (the order decides speed only), and shingles kept from it.
 ORDER_SETS, ORDER_SHINGLES = 4096, 200_000
 FILTER_BITS = 1 << 25
@@ -29,28 +31,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def shingles(texts, size: int) -> Iterator[np.ndarray]:
+    """For each text (bytes) its sorted distinct 64-bit hashes of shingles of ``size`` words; a shorter text is one shingle.
 
-
-def shingle_hashes(text: bytes, size: int, known: dict) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of ``size`` words; a shorter text is one shingle.
-
-    Byte strings lower-case A-Z only and split at exactly the white space that counts.
+    Hashes of words come from all bytes of a block at once; they lower-case A-Z only and split at exactly the white space that counts.
     """
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    width = min(size, len(words))
-    acc = np.full(len(words) - width + 1, width, np.uint64)
-    for k in range(width):
-        acc = _mix(acc * _ODD + h[k : len(h) - width + 1 + k])
-    return np.unique(acc)
+    for block in blocks(texts, TOGETHER):
+        *_, h, stand = split(block)
+        acc = np.full(max(len(h) - size + 1, 0), size, np.uint64)
+        for k in range(size):
+            acc = _mix(acc * _ODD + h[k : k + len(acc)])
+        for first, last in zip([0, *stand[:-1].tolist()], stand.tolist(), strict=True):
+            n = last - first
+            if n >= size:
+                yield np.unique(acc[first : last - size + 1])
+            elif n:
+                one = np.full(1, n, np.uint64)
+                for k in range(first, last):
+                    one = _mix(one * _ODD + h[k : k + 1])
+                yield one
+            else:
+                yield np.empty(0, np.uint64)
 
 
 def _minima(seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,12 +65,11 @@ def sketch(docs: DataFrame, size: int, seed: int = 17) -> DataFrame:
     schema = "doc_id long, n long, h1 long, h2 long, a array<long>, b array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, (mul, add) = _WordHash(), _minima(seed)
+        mul, add = _minima(seed)
         salt = np.arange(2 * KEYS, dtype=np.uint64) + np.uint64(1)
         for batch in batches:
             ns, digests, keys = [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingle_hashes(text or b"", size, known)
+            for s in shingles(batch.column(1).to_pylist(), size):
                 ns.append(len(s))
                 digests.append(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64))
                 if not len(s):
@@ -105,11 +105,11 @@ def shingle_sets(docs: DataFrame, met: DataFrame, size: int) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, words = _WordHash(), held.value
+        words = held.value
         for batch in batches:
             at = batch.column(2).to_numpy(zero_copy_only=False)
             batch = batch.filter(pa.array((words[at >> 6] >> (at & 63)) & 1 == 1))
-            sets = [shingle_hashes(t or b"", size, known).view(np.int64) for t in batch.column(1).to_pylist()]
+            sets = [s.view(np.int64) for s in shingles(batch.column(1).to_pylist(), size)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "n", "s"])
 
@@ -186,11 +186,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     p = prefixes.join(apart, "shingle", "left_semi")
     side = lambda x: p.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "comp", "n", "position")))
     rest = "least(n_a - position_a, n_b - position_b)"
-    # components first, then their members: members of one component never meet
-    comps = p.select("shingle", "comp").distinct()
-    meet = comps.withColumnRenamed("comp", "comp_a").join(comps.withColumnRenamed("comp", "comp_b"), "shingle").where("comp_a < comp_b")
-    pairs = meet.join(side("a"), ["shingle", "comp_a"]).join(side("b"), ["shingle", "comp_b"]).where(
-        f"least(n_a, n_b) * 100 >= {percent} * greatest(n_a, n_b) and {rest} * {100 + percent} >= {percent} * (n_a + n_b)")
+    pairs = side("a").join(side("b"), "shingle").where(
+        f"rep_a < rep_b and comp_a <> comp_b and least(n_a, n_b) * 100 >= {percent} * greatest(n_a, n_b)"
+        f" and {rest} * {100 + percent} >= {percent} * (n_a + n_b)")
     pairs = pairs.select("rep_a", "rep_b").distinct().toDF("a", "b")
     more = verify(pairs, sets, percent)
     comp = lambda x: first.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.hashes import FOLDED, byte_set, split
+from tessera.llm.hashes import FOLDED, blocks, byte_set, split
 
 MAX_TOKENS = 4096
 END_ID = 2
@@ -22,9 +22,9 @@ SPACES = byte_set(b" \t\n\r")
 MARK = "\x01"
 TAIL = byte_set(b".,;:!?%$#&*|")
 LETTER = byte_set(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 1_000_000
 #: Bytes of text that are encoded together.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 21
 
 
 def binary_pieces(n: int, limit: int = MAX_TOKENS) -> list[int]:
@@ -156,19 +156,6 @@ class WordEncoder:
         return np.split(ids, np.append(0, stop)[words[:-1]])
 
 
-def _encoded(encode: WordEncoder, column: pa.Array) -> Iterator[np.ndarray]:
-    """Ids of each of a column's texts, some TOGETHER bytes at a time."""
-    texts, size = [], 0
-    for t in column.to_pylist():
-        texts.append(t or b"")
-        size += len(texts[-1])
-        if size >= TOGETHER:
-            yield from encode(texts)
-            texts, size = [], 0
-    if texts:
-        yield from encode(texts)
-
-
 def pack(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_TOKENS,
     end_id: int = END_ID, with_ids: bool = True,
@@ -192,7 +179,7 @@ def pack(
         encode = encoder(tokenizer_path)
         for batch in batches:
             pieces, totals, lengths, sums, ids = [], [], [], [], []
-            for raw in _encoded(encode, batch.column(1)):
+            for raw in (ids for texts in blocks(batch.column(1).to_pylist(), TOGETHER) for ids in encode(texts)):
                 raw = raw.tobytes() + end
                 some, first = binary_pieces(len(raw) // 4, limit), 0
                 pieces.append(len(some))

@@ -11,16 +11,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.hashes import CHUNK, FOLDED, LETTERS, byte_set, mix, powers, split
+from tessera.llm.hashes import CHUNK, FOLDED, LETTERS, blocks, byte_set, mix, powers, split
 
 #: Labelled rows that the classifier is fitted on, at most: those with the smallest digests of their ids. The character
 #: model is counted over all texts.
 FIT_ROWS = 30_000
 THRESHOLD = 0.3
 BUCKETS = 1 << 18
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 1_000_000
 #: Bytes of text, and restored words, that are worked on together.
-TOGETHER, WORDS = 1 << 22, 50_000
+TOGETHER, WORDS = 1 << 20, 50_000
 
 #: What a sign may stand for, and signs that are put between letters.
 STANDS_FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
@@ -156,19 +156,6 @@ class Words:
         return [restore(self.raw[a:b].decode("utf-8", "replace").lower(), model) for a, b in zip(self.starts[which].tolist(), self.ends[which].tolist(), strict=True)]
 
 
-def blocks(texts) -> Iterator[list[bytes]]:
-    """Texts by TOGETHER bytes; a longer one is a block of its own."""
-    out, size = [], 0
-    for t in texts:
-        out.append(t or b"")
-        size += len(out[-1])
-        if size >= TOGETHER:
-            yield out
-            out, size = [], 0
-    if out:
-        yield out
-
-
 def char_counts(texts: DataFrame) -> np.ndarray:
     """Trigram counts over all of (text): 32^3 numbers."""
 
@@ -202,7 +189,7 @@ def _bucket_counts(fit: DataFrame, model: CharModel) -> np.ndarray:
         counts = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
             toxic, at = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), 0
-            for texts in blocks(batch.column(0).to_pylist()):
+            for texts in blocks(batch.column(0).to_pylist(), TOGETHER):
                 words = Words(texts, model)
                 every = words.restored(np.arange(len(words.keys)), model) + [w for _, w in words.spelled]
                 owner, bucket = features(every)
@@ -295,7 +282,7 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Score
 
     def run(batches):
         for batch in batches:
-            x = [row for texts in blocks(batch.column(0).to_pylist()) for row in scorer.summaries(texts).tolist()]
+            x = [row for texts in blocks(batch.column(0).to_pylist(), TOGETHER) for row in scorer.summaries(texts).tolist()]
             yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int64()), pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
 
     rows = fit.where("not first").select("text", "toxic").mapInArrow(run, "y long, x array<double>").toPandas()
@@ -310,7 +297,7 @@ def score_column(scorer: Scorer, text: Column) -> Column:
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            x = np.concatenate([np.zeros((0, 7)), *map(scorer.summaries, blocks(texts))])
+            x = np.concatenate([np.zeros((0, 7)), *map(scorer.summaries, blocks(texts, TOGETHER))])
             yield pd.Series(1 / (1 + np.exp(-np.clip(x @ scorer.beta, -30, 30))))
 
     return score(text.cast("binary"))
