@@ -585,7 +585,7 @@ def seg_border_removal(v):
 
 
 def _parts(v) -> DataFrame:
-    return P.label_components(v("pixels").where("image_id = 'MS' and v > 18000").select("r", "c"), 150)
+    return P.label_components(v("pixels").where("image_id = 'MS' and v > 33000").select("r", "c"), 150)
 
 
 @query()
