@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import collision_search, conversations, licenses, minhash, mixing, near_vectors, packing, pii, suffix_arrays, suffix_tree, toxicity, warc
+from tessera.llm import collision_search, conversations, licenses, minhash, mixing, near_vectors, packing, phrases, pii, suffix_arrays, suffix_tree, toxicity, warc
 from tessera.plans.lineage import new_path
 
 
@@ -71,12 +71,16 @@ def op11_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_arrays.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_pii, op3_packing, op4_warc, op5_mixing, op6_suffix_tree, op7_toxicity, op8_licenses, op9_minhash, op10_collision_search, op11_suffix_arrays, op13_prefix_trie)}
+QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_pii, op3_packing, op4_warc, op5_mixing, op6_suffix_tree, op7_toxicity, op8_licenses, op9_minhash, op10_collision_search, op11_suffix_arrays, op12_phrases, op13_prefix_trie)}
 ORACLE_SQL = {
     "op1_near_vectors": near_vectors.NEAR_VECTORS_SQL, "op9_minhash": minhash.NEAR_SQL,
     "op2_pii": pii.PII_SQL, "op4_warc": warc.WARC_SQL, "op5_mixing": mixing.MIX_SQL, "op8_licenses": licenses.LICENSE_SQL,
-    "op11_suffix_arrays": suffix_arrays.REPEATS_SQL, "op13_prefix_trie": conversations.TRIE_SQL}
+    "op11_suffix_arrays": suffix_arrays.REPEATS_SQL, "op12_phrases": phrases.PHRASES_SQL, "op13_prefix_trie": conversations.TRIE_SQL}
