@@ -28,9 +28,12 @@ BETWEEN = "._*~^#-"
 #: Costs in nats: of reading a sign as a letter, of dropping a sign or a space, of each way to read a run.
 SIGN_COST, DROP_COST, RUN_COST = 1.0, 1.0, 0.7
 
-EDGE = re.compile(r"^[^\w@$!|+]+|[^\w@$]+$|[^\w]{2,}$|^[^\w]{2,}")
-ODD = re.compile(r"[^\W\d_](?:.*[0-9@$!|+._*~^#-])|[0-9@$!|+].*[^\W\d_]|(.)\1\1")
-SPACED = re.compile(r"(?<!\S)(?:\S[ ._*-]{1,2}){2,}\S(?=[^\w\s]*(?!\S))")
+#: All are searched for once in a token or text, without nested repeats: time is in proportion to its length, whatever it holds.
+LEAD, LEAD_SIGNS = re.compile(r"[^\w@$!|+]+"), re.compile(r"\W{2,}")
+LETTER, TRIPLE = re.compile(r"[^\W\d_]"), re.compile(r"(.)\1\1")
+SIGN_AFTER, SIGN_BEFORE = re.compile(r"[0-9@$!|+._*~^#-]"), re.compile(r"[0-9@$!|+]")
+RUN = re.compile(r" +|(.)\1+|[\W\d_]", re.DOTALL)
+SPACED = re.compile(r"(?<!\S)(?:[^\s._*-][ ._*-]{1,2}){2,}[^\s._*-](?=[^\w\s]*(?!\S))")
 _SEPARATOR = byte_set(b"._*-")
 _WIDTH = np.array([1] * 192 + [2] * 32 + [3] * 16 + [4] * 16, np.int64)  # bytes of a character, by its first
 _CODE = np.array([k - 96 if 97 <= k <= 122 else k - 64 if 65 <= k <= 90 else 0 if k in b" \t\r\n" else 27 + k % 5 for k in range(256)], np.int32)
@@ -43,10 +46,14 @@ class CharModel:
         n = counts.reshape(32, 32, 32).astype(float)
         self.cost = (-np.log((n + 0.1) / (n.sum(axis=2, keepdims=True) + 3.2))).tolist()
 
+    @staticmethod
+    def symbol(x: str) -> int:
+        return ord(x) - 96 if "a" <= x <= "z" else 0 if x == " " else 27 + ord(x) % 5
+
     def step(self, state: tuple[int, int], letters: str) -> tuple[float, tuple[int, int]]:
         cost, (a, b) = 0.0, state
         for x in letters:
-            c = ord(x) - 96 if "a" <= x <= "z" else 0 if x == " " else 27 + ord(x) % 5
+            c = self.symbol(x)
             cost += self.cost[a][b][c]
             a, b = b, c
         return cost, (a, b)
@@ -55,11 +62,21 @@ class CharModel:
         """The likeliest words behind a token or a row of spelled letters: Viterbi over its runs, each with all its readings.
 
         A space may stand or go, as words are likelier with it or without; states are the last two symbols, all of which
-        are followed, so time is in proportion to the runs.
+        are followed, so time is in proportion to the runs. Letters that can be read in one way only go by together: after two of
+        them a single state is left.
         """
         paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}  # words as links to what stands before
-        for run in re.finditer(r" +|(.)\1*", token, re.DOTALL):
-            sign, long = run[0][0], len(run[0]) > 1
+        at = 0
+        for run in [*RUN.finditer(token), None]:
+            plain = token[at : run.start() if run else len(token)]
+            if plain:
+                paths = self.follow(paths, [(plain[:2], 0.0)])
+                if len(plain) > 2:
+                    (cost, word), = paths.values()
+                    paths = {(self.symbol(plain[-2]), self.symbol(plain[-1])): (cost, (word, plain[2:]))}
+            if run is None:
+                break
+            at, sign, long = run.end(), run[0][0], len(run[0]) > 1
             if sign == " ":
                 ways = [(" ", 0.0), ("", DROP_COST)]
             else:
@@ -72,14 +89,7 @@ class CharModel:
                     ways.append(("", DROP_COST))
                 if not sign.isalpha():
                     ways.append((run[0], 3 * SIGN_COST))
-            new: dict[tuple[int, int], tuple[float, tuple]] = {}
-            for state, (sofar, word) in paths.items():
-                for letters_, price in ways:
-                    step, to = self.step(state, letters_)
-                    total = sofar + step + price
-                    if to not in new or total < new[to][0]:
-                        new[to] = total, (word, letters_)
-            paths = new
+            paths = self.follow(paths, ways)
         word = min(((c + self.cost[s[0]][s[1]][0], w) for s, (c, w) in paths.items()), key=lambda x: x[0])[1]
         letters = []
         while word:
@@ -87,11 +97,38 @@ class CharModel:
             letters.append(last)
         return "".join(reversed(letters))
 
+    def follow(self, paths: dict, ways: list[tuple[str, float]]) -> dict:
+        """The best path to each state that the ways lead to."""
+        new: dict[tuple[int, int], tuple[float, tuple]] = {}
+        for state, (sofar, word) in paths.items():
+            for letters, price in ways:
+                step, to = self.step(state, letters)
+                total = sofar + step + price
+                if to not in new or total < new[to][0]:
+                    new[to] = total, (word, letters)
+        return new
+
+
+def trimmed(token: str) -> str:
+    """Without the signs at its edges: all in front that stand for no letter or come in twos, all behind that come in twos or are no @ or $."""
+    lead = LEAD.match(token) or LEAD_SIGNS.match(token)
+    start, stop = lead.end() if lead else 0, len(token)
+    last = stop
+    while last > start and not (token[last - 1].isalnum() or token[last - 1] == "_"):
+        last -= 1
+    return token[start : last if stop - last > 1 or (stop > last and token[last] not in "@$") else stop]
+
+
+def is_odd(word: str) -> bool:
+    """Whether a word has a letter before a sign, a sign that stands for one before a letter, or a letter thrice."""
+    letter, sign = LETTER.search(word), SIGN_BEFORE.search(word)
+    return bool(letter and SIGN_AFTER.search(word, letter.end()) or sign and LETTER.search(word, sign.end()) or TRIPLE.search(word))
+
 
 def restore(token: str, model: CharModel) -> str:
     """A lower-case token without its edges, decoded if it mixes letters with signs or repeats a letter thrice."""
-    word = token if token.isalpha() else EDGE.sub("", EDGE.sub("", token))
-    return model.decode(word) if len(word) > 1 and ODD.search(word) else word
+    word = token if token.isalpha() else trimmed(trimmed(token))
+    return model.decode(word) if len(word) > 1 and is_odd(word) else word
 
 
 def spelled(text: str, model: CharModel) -> list[str]:
@@ -311,7 +348,9 @@ def score_toxicity(
 
     A text's tokens are restored (see :class:`CharModel`) and scored; only the text enters a score. Null and empty texts
     are scored as texts without words. Repeated rows get equal scores; of repeated labels the highest counts; rows with a
-    null id are scored but not learned from. Without labels of both kinds every score is low. Whole texts are read.
+    null id are scored but not learned from. Without labels of both kinds every score is low. Whole texts are read, and time is
+    in proportion to them, whatever tokens they hold. An empty table gives no rows. Columns of other names are not read, and
+    those of ``keep`` may bear any name but the four of the result.
     """
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"keep_{c}") for c in keep))
     scorer = learn(named, labels.select("doc_id", "toxic"), fit_rows)

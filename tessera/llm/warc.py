@@ -46,14 +46,14 @@ def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def _bit(digest: str, salt: int = 0) -> int:
-    return (zlib.crc32(digest.encode(), salt) ^ salt) & ((1 << MAP_BITS) - 1)
+def _bit(digest: str, map_bits: int, salt: int = 0) -> int:
+    return (zlib.crc32(digest.encode(), salt) ^ salt) & ((1 << map_bits) - 1)
 
 
-def _bit_map(bits: DataFrame) -> np.ndarray:
-    """2^MAP_BITS bits, set at each (bit)."""
+def _bit_map(bits: DataFrame, map_bits: int) -> np.ndarray:
+    """2^map_bits bits, set at each (bit)."""
     rows = bits.groupBy(F.shiftright("bit", 6).alias("i")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 AS int)))").alias("x")).toArrow()
-    out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
+    out = np.zeros(1 << (map_bits - 6), np.uint64)
     out[rows.column("i").to_numpy()] = rows.column("x").to_numpy().view(np.uint64)
     return out
 
@@ -62,7 +62,10 @@ def _is_set(bits: np.ndarray, bit: int) -> bool:
     return bool((int(bits[bit >> 6]) >> (bit & 63)) & 1)
 
 
-def to_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date_col: str | None = None, least_bytes: int = 0) -> DataFrame:
+def to_records(
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date_col: str | None = None, least_bytes: int = 0,
+    map_bits: int = MAP_BITS,
+) -> DataFrame:
     """One row per page: page_id, record_type, target_uri, date, refers_to, payload_bytes, payload_digest, payload.
 
     Of pages with equal payloads of at least ``least_bytes`` bytes the one with the largest id becomes a response and
@@ -72,7 +75,8 @@ def to_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     Digests alone are grouped. Two bitmaps of one size whatever the input, over the digests that occur more than once
     and over those with their largest ids, let the scan send all other payloads straight on; only the payload that each
-    group keeps goes through the join that decides it, and a page that must be a revisit goes without its payload.
+    group keeps goes through the join that decides it, and a page that seems to be a revisit goes without its payload.
+    Bits may be shared by digests that occur once: the join tells such pages, and their payloads are read again.
     """
     date = F.lit("2000-01-01T00:00:00Z") if date_col is None else F.date_format(F.col(date_col).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     p = pages.select(
@@ -92,29 +96,33 @@ def to_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digest, latest = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            one, two = [_bit(d) for d in digest], [_bit(d, 1 + (i & 0x7FFFFFFF)) for d, i in zip(digest, latest, strict=True)]
+            one, two = [_bit(d, map_bits) for d in digest], [_bit(d, map_bits, 1 + (i & 0x7FFFFFFF)) for d, i in zip(digest, latest, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["digest", "latest", "one", "two"])
 
     again = cut(again.select("digest", "latest").mapInArrow(bits, "digest string, latest long, one long, two long"), "again")
-    maps = [_bit_map(again.select(F.col(c).alias("bit"))) for c in ("one", "two")]
+    maps = [_bit_map(again.select(F.col(c).alias("bit")), map_bits) for c in ("one", "two")]
     held = pages.sparkSession.sparkContext.broadcast(maps)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some, most = held.value
         for batch in batches:
             ids, html = batch.column(0).to_pylist(), batch.column(3).to_pylist()
-            digest, size, maybe = [base32_sha1(x) for x in html], [len(x) for x in html], []
+            digest, size, maybe, left_out = [base32_sha1(x) for x in html], [len(x) for x in html], [], []
             for k, (i, d) in enumerate(zip(ids, digest, strict=True)):
-                maybe.append(i is not None and size[k] >= least_bytes and _is_set(some, _bit(d)))
-                if maybe[-1] and not _is_set(most, _bit(d, 1 + (i & 0x7FFFFFFF))):
-                    html[k] = None  # not its group's largest id
+                maybe.append(i is not None and size[k] >= least_bytes and _is_set(some, _bit(d, map_bits)))
+                left_out.append(maybe[-1] and not _is_set(most, _bit(d, map_bits, 1 + (i & 0x7FFFFFFF))))  # seems not to be its group's largest id
+                if left_out[-1]:
+                    html[k] = None
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(digest), pa.array(size, pa.int64()), pa.array(maybe), pa.array(html, pa.binary())], names=names)
+                [*batch.columns[:3], pa.array(digest), pa.array(size, pa.int64()), pa.array(maybe), pa.array(left_out), pa.array(html, pa.binary())], names=names)
 
-    schema = "page_id long, url string, date string, digest string, bytes long, maybe boolean, html binary"
+    schema = "page_id long, url string, date string, digest string, bytes long, maybe boolean, left_out boolean, html binary"
     names = [x.split()[0] for x in schema.split(", ")]
     placed = p.mapInArrow(place, schema)
     joined = placed.where("maybe").join(again.select("digest", "latest"), "digest", "left")
+    lost = cut(placed.drop("html").where("left_out").join(again, "digest", "left_anti").select("digest").distinct(), "lost")
+    if not lost.isEmpty():
+        joined = _read_again(p, joined, lost, map_bits)
     rows = placed.where("not maybe").withColumn("latest", F.lit(None).cast("long")).unionByName(joined)
     revisit = F.coalesce(F.col("page_id") < F.col("latest"), F.lit(False))
     return rows.select(
@@ -123,6 +131,24 @@ def to_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.when(~revisit, F.col("html")).alias("payload"))
 
 
+def _read_again(p: DataFrame, joined: DataFrame, lost: DataFrame, map_bits: int) -> DataFrame:
+    """``joined`` with the payloads of the digests in ``lost``, which the scan has left out though they occur once."""
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_bit(d, map_bits) for d in batch.column(0).to_pylist()], pa.int64())], names=["bit"])
+
+    held = p.sparkSession.sparkContext.broadcast(_bit_map(lost.mapInArrow(bits, "bit long"), map_bits))
+
+    def payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = [(d, x) for x in batch.column(0).to_pylist() if _is_set(held.value, _bit(d := base32_sha1(x), map_bits))]
+            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in some], pa.string()), pa.array([x for _, x in some], pa.binary())], names=["digest", "found"])
+
+    found = p.select("html").mapInArrow(payloads, "digest string, found binary").join(lost, "digest", "left_semi").dropDuplicates(["digest"])
+    return joined.join(found, "digest", "left").withColumn("html", F.coalesce("html", "found")).drop("found")
+
+
 def member(record: bytes, level: int = 4) -> bytes:
     """A gzip member whose extra field ``sl`` tells its compressed and plain length, so that readers can skip it."""
     deflate = zlib.compressobj(level, zlib.DEFLATED, -15)
@@ -143,6 +169,8 @@ def record_bytes(headers: list[tuple[str, str | None]], block: bytes) -> bytes:
 def page_record(row: dict) -> bytes:
     urn = lambda i: f"<{PAGE_URN}{'' if i is None else i}>"
     revisit, payload = row["record_type"] == "revisit", row["payload"] or b""
+    if not revisit and len(payload) != row["payload_bytes"]:
+        raise ValueError(f"page {row['page_id']}: the payload has {len(payload)} bytes, not {row['payload_bytes']}")
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {row['payload_bytes']}\r\n\r\n".encode()
     return record_bytes([
         ("WARC-Type", row["record_type"]), ("WARC-Record-ID", urn(row["page_id"])), ("WARC-Date", row["date"]),

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -166,6 +167,19 @@ def test_warc_repeated_and_null_ids(spark):
     assert {k for _, k, _ in kinds(5)} == {"response"}
 
 
+def test_warc_keeps_payloads_whose_digests_share_bits(spark):
+    rows = [(i, f"twice {i // 2}") for i in range(400)] + [(1000 + i, f"once {i}") for i in range(300)] + [(2000, None), (None, "once 1"), (None, "null id")]
+    pages = spark.createDataFrame([(i, "http://a", h) for i, h in rows], "page_id long, url string, html string")
+    for bits in (6, 9):
+        path = new_path(spark, "test")
+        warc.write_warc(warc.to_records(pages, map_bits=bits), path)
+        got = warc.read_warc(spark, path, verify=True).where("record_type in ('response', 'revisit')").collect()
+        assert len(got) == len(rows) and {r.page_id: r.payload for r in got if r.page_id and r.page_id >= 1000} == {i: (h or "").encode() for i, h in rows if i and i >= 1000}
+        assert all((r.record_type, r.refers_to) == (("revisit", r.page_id + 1) if r.page_id % 2 == 0 else ("response", None)) for r in got if r.page_id is not None and r.page_id < 400)
+    with pytest.raises(ValueError):
+        warc.page_record({"record_type": "response", "payload": None, "payload_bytes": 3, "page_id": 1, "refers_to": None, "date": "", "target_uri": "", "payload_digest": ""})
+
+
 def test_warc_archives_of_others(spark, tmp_path):
     http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<html>"
     def record(version, headers, block):
@@ -405,6 +419,54 @@ def test_restoring_long_runs_hyphens_and_spelling_before_punctuation(spark):
     assert "idiot" in toxicity.spelled("i-d-i-o-t,", m) and "idiot" in toxicity.spelled("you i d i o t.", m)
 
 
+def test_no_token_takes_more_than_time_in_proportion(spark):
+    import time
+
+    rng = np.random.default_rng(1)
+    m = toxicity.CharModel(np.ones(32768))
+    for token in ("".join(map(chr, rng.integers(97, 123, 1_000_000))), "a" + "." * 1_000_000 + "b", "-" * 1_000_000, "-" * 200 + "word", "- " * 100 + "word"):
+        start = time.process_time()
+        words = toxicity.Words([f"a b {token} c d word".encode()], m)
+        assert len(words.restored(np.arange(len(words.keys)), m)) == len(words.keys) and time.process_time() - start < 4
+
+
+def test_toxicity_scores_against_plain_features(spark):
+    rng = np.random.default_rng(2)
+    bad, good = ["idiot", "moron"], ["the", "house", "stands", "on", "hill", "green"]
+    texts = [" ".join(rng.choice(good, 9)) + (" " + str(rng.choice(bad)) if i % 3 == 0 else "") for i in range(400)] + ODD
+    d, labels = docs(spark, texts), spark.createDataFrame([(i, int(i < 400 and i % 3 == 0)) for i in range(len(texts))], "doc_id long, toxic int")
+    scorer = toxicity.learn(d.select("doc_id", "text"), labels)
+    got = {r.doc_id: (r.score, r.predicted) for r in toxicity.score_toxicity(d, labels).collect()}
+    for i, text in enumerate(texts):
+        words = {w.translate(toxicity_lower) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")}
+        every = [toxicity.restore(w.lower(), scorer.model) for w in words] + toxicity.spelled(text or "", scorer.model)
+        z = sorted((max([0.0, *(float(scorer.weights[b]) for b in plain_buckets(w))]) for w in every), reverse=True)
+        top = [x for x in z[:8] if x > 0] + [0.0] * 8
+        x = [1, top[0], sum(top[:3]) / 3, sum(top[:8]) / 8, math.log1p(sum(v > 3 for v in z)), math.log1p(sum(v > 4.5 for v in z)), sum(v > 3 for v in z) / max(len(z), 1)]
+        want = 1 / (1 + math.exp(-min(30, max(-30, float(np.dot(x, scorer.beta))))))
+        assert abs(got[i][0] - want) < 1e-6 and got[i][1] == (want >= 0.3)
+    assert sum(got[i][1] for i in range(400)) == 134
+
+
+toxicity_lower = {65 + k: 97 + k for k in range(26)}
+
+
+def plain_buckets(word):
+    """Buckets of a word whole, of its beginnings of 3 to 6 bytes and of its inner pieces of 5, with the hash of bytes spelled out."""
+    b, full = word.encode(), (1 << 64) - 1
+    pieces = [(b, 1)] * bool(b) + [(b[:k], 2) for k in (3, 4, 5, 6) if len(b) > k] + [(b[k : k + 5], 3) for k in range(1, len(b) - 4)]
+    for piece, kind in pieces:
+        h = (sum(int(hashes.LETTERS[x]) * pow(0x9E3779B97F4A7C13, k, 1 << 64) for k, x in enumerate(piece)) + kind) * 0x9E3779B97F4A7C15 & full
+        yield int(hashes.mix(np.array([h], np.uint64))[0]) % toxicity.BUCKETS
+
+
+def test_toxicity_of_an_empty_table_and_of_kept_columns(spark):
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert toxicity.score_toxicity(docs(spark, []), labels).count() == 0
+    kept = toxicity.score_toxicity(docs(spark, ["a b"]), labels, keep=("lang", "n", "rep"))
+    assert kept.columns[-3:] == ["lang", "n", "rep"] and kept.first().rep == 9
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     r = queries.op7_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").select("predicted", "toxic").collect()
