@@ -45,8 +45,13 @@ VIEWS = {
         (p_partkey % 40) * 900.0 AS x0, (p_partkey % 40) * 900.0 + 1000 + p_size AS x1, floor(p_partkey / 200) * 900.0 AS y0, floor(p_partkey / 200) * 900.0 + 1000 + p_size AS y1 FROM part""",
     "class_scores": """SELECT r, c, CAST(r % 16 AS INT) AS lr, CAST(c % 16 AS INT) AS lc, CAST(CASE WHEN image_id = 'AF' THEN 1 ELSE 2 END AS INT) AS class, v / (v + 500) AS p FROM pixels
         UNION ALL SELECT r, c, CAST((r + 8) % 16 AS INT), CAST((c + 8) % 16 AS INT), CAST(CASE WHEN image_id = 'AF' THEN 1 ELSE 2 END AS INT), v / (v + 700) FROM pixels""",
+    "scene_pixels": """SELECT 'SL' || CAST(o_orderkey % 2 AS VARCHAR(20)) AS slide_id, 'S' || CAST(o_orderkey % 3 AS VARCHAR(20)) AS scan_region, 'I' || CAST(k AS VARCHAR(20)) AS image_id,
+        CAST(floor(o_orderkey / 240) AS INT) AS r, CAST(floor(o_orderkey / 6) % 40 AS INT) AS c, CAST(CASE k WHEN 1 THEN floor(o_totalprice / 8) WHEN 2 THEN o_custkey % 997 ELSE o_custkey % 31 END AS DOUBLE) AS v
+        FROM orders, (SELECT 1 AS k UNION ALL SELECT 2 UNION ALL SELECT 3) i WHERE k < 3 OR o_orderkey % 3 = 0""",
+    "scene_labels": """SELECT slide_id, scan_region, r, c, CAST(CASE WHEN (r + c) % 9 = 0 THEN 0 ELSE 1 + floor(r / 8) * 5 + floor(c / 8) END AS DOUBLE) AS v FROM scene_pixels WHERE image_id = 'I1'""",
+    "scene_images": """SELECT DISTINCT slide_id, scan_region, image_id, CASE image_id WHEN 'I1' THEN 'CD3' ELSE 'CD8' END AS marker_id FROM scene_pixels WHERE image_id <> 'I2' OR scan_region <> 'S2'""",
 }
-NEEDS = {"clusters": ("cells",), "annotation_dictionary": ("clusters",), "label_pixels": ("pixels",), "predictions": ("cells",), "class_scores": ("pixels",)}
+NEEDS = {"scene_labels": ("scene_pixels",), "scene_images": ("scene_pixels",), "clusters": ("cells",), "annotation_dictionary": ("clusters",), "label_pixels": ("pixels",), "predictions": ("cells",), "class_scores": ("pixels",)}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
@@ -9,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 4096
+from tessera.plans.lineage import cut
+
+BLOCK, PIVOTS = 4096, 1024
 #: Queries that are compared with a block of references at a time.
 ROWS = 512
 
@@ -40,22 +43,130 @@ def _nearest(group: pa.Table, k: int) -> pa.Table:
     return pa.table({"query": pa.array(q_ids[i].tolist(), pa.string()), "neighbour": pa.array(r_ids[j].tolist(), pa.string()), "distance": pa.array(d)})
 
 
-def knn(queries: DataFrame, references: DataFrame, k: int, id_col: str = "OID", vector_col: str = "embedding", skip_self: bool = False, block: int = BLOCK) -> DataFrame:
+def _to_pivots(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Distances of vectors to pivots; with cancellation, so bounds made of them need :func:`_slack`."""
+    square = np.einsum("ij,ij->i", v, v)[:, None] - 2 * v @ pivots.T + np.einsum("ij,ij->i", pivots, pivots)[None]
+    return np.sqrt(np.maximum(square, 0.0))
+
+
+def _slack(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """What rounding may add to a bound: far above the error of :func:`_to_pivots`, far below distances that matter."""
+    return 1e-6 * (1e-9 + np.sqrt(np.einsum("ij,ij->i", v, v)) + np.sqrt(np.einsum("ij,ij->i", pivots, pivots)).max())
+
+
+def _vectors(column: pa.Array, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), dim)
+
+
+class Cells:
+    """References dealt to their nearest pivot: rows (id, h, v, cell), and per cell its number, least and largest distance from the pivot."""
+
+    def __init__(self, references: DataFrame, block: int, most: int):
+        n = references.count()
+        picked = references.orderBy("h", "id").limit(min(most, max(1, ceil(4 * n / block)))).select("v").collect()  # at most ``most``
+        self.pivots = np.array([r["v"] for r in picked], np.float64)
+        pivots = self.pivots
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                d = _to_pivots(_vectors(batch.column(2), pivots.shape[1]), pivots)
+                cell = d.argmin(axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(d)), cell])], names=["id", "h", "v", "cell", "d"])
+
+        kind = dict(references.dtypes)["v"]
+        self.rows = cut(references.select("id", "h", "v").mapInArrow(deal, f"id string, h long, v {kind}, cell int, d double"), "cells")
+        self.n, self.near, self.far = np.zeros(len(pivots), np.int64), np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
+        for r in self.rows.groupBy("cell").agg(F.count("*").alias("n"), F.min("d").alias("a"), F.max("d").alias("b")).collect():  # one row per pivot
+            self.n[r["cell"]], self.near[r["cell"]], self.far[r["cell"]] = r["n"], r["a"], r["b"]
+
+    def __getstate__(self) -> dict:
+        """Tasks get the arrays alone."""
+        return {k: x for k, x in self.__dict__.items() if k != "rows"}
+
+    def first(self, d: np.ndarray, k: int) -> np.ndarray:
+        """The nearest cells of each query that hold k references together."""
+        order = np.argsort(d, axis=1, kind="stable")
+        before = np.cumsum(self.n[order], axis=1) - self.n[order]
+        out = np.zeros(d.shape, bool)
+        np.put_along_axis(out, order, before < k, axis=1)
+        return out & (self.n > 0)
+
+    def possible(self, d: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """Cells in which a reference may lie within ``limit``: by the ring around the pivot, and by the plane between it and the query's own one."""
+        own = d[:, self.n > 0].min(axis=1)[:, None]
+        least = np.maximum(np.maximum(d - self.far, self.near - d), (d - own) / 2)
+        return (least <= limit[:, None]) & (self.n > 0)
+
+
+def _routed(queries: DataFrame, cells: Cells, k: int, further: bool) -> DataFrame:
+    """Rows (id, h, v, cell): queries for the cells that they meet first, or, with their ``limit``, for all others that may hold nearer references."""
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = _vectors(batch.column(2), cells.pivots.shape[1])
+            for at in range(0, len(v), ROWS):
+                d = _to_pivots(v[at : at + ROWS], cells.pivots)
+                to = cells.first(d, k)
+                if further:
+                    limit = batch.column(3).slice(at, ROWS).to_numpy() + _slack(v[at : at + ROWS], cells.pivots)
+                    to = cells.possible(d, limit) & ~to
+                i, cell = np.nonzero(to)
+                yield pa.RecordBatch.from_arrays([*batch.select([0, 1, 2]).take(pa.array(i + at)).columns, pa.array(cell.astype(np.int32))], names=["id", "h", "v", "cell"])
+
+    kind = dict(queries.dtypes)["v"]
+    columns = ["id", "h", "v"] + ["limit"] * further
+    return queries.select(*columns).mapInArrow(route, f"id string, h long, v {kind}, cell int")
+
+
+def _compared(routed: DataFrame, cells: Cells, k: int, block: int) -> DataFrame:
+    """Rows (query, neighbour, distance): in each cell the k nearest of each of its queries. Cells with more rows on a side than ``block`` are split on it."""
+    here = {r["cell"]: r["count"] for r in routed.groupBy("cell").count().collect()}  # one row per pivot
+    parts = [(int(c), int(ceil(n / block)), int(max(1, ceil(cells.n[c] / block)))) for c, n in here.items()]
+    sizes = F.broadcast(routed.sparkSession.createDataFrame(parts, "cell int, nq int, nr int"))  # one row per pivot
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    q = routed.join(sizes, "cell").withColumn("bq", F.pmod("h", F.col("nq")).cast("int")).withColumn("br", every("nr"))
+    r = cells.rows.join(sizes, "cell").withColumn("br", F.pmod("h", F.col("nr")).cast("int")).withColumn("bq", every("nq"))
+    side = lambda t, is_ref: t.select("id", "v", F.lit(is_ref).alias("is_ref"), "cell", "bq", "br")
+    both = side(q, False).unionByName(side(r, True))
+    return both.groupBy("cell", "bq", "br").applyInArrow(lambda t: _nearest(t, k), "query string, neighbour string, distance double")
+
+
+def knn(
+    queries: DataFrame, references: DataFrame, k: int, id_col: str = "OID", vector_col: str = "embedding", skip_self: bool = False, block: int = BLOCK, most_pivots: int = PIVOTS,
+) -> DataFrame:
     """Rows (query, neighbour, distance, rank): the exact k nearest by Euclidean distance, ties to the smaller id.
 
-    Both sides are dealt into blocks, a task compares two, and the best of the blocks are merged; nothing is broadcast, so
-    either side may be of any size.
+    1. References are dealt to their nearest of at most ``most_pivots`` pivots, four for each ``block`` of them.
+    2. A query meets the nearest cells that hold k references. Its k-th distance there is a limit.
+    3. It goes on to the cells that the limit cannot exclude, by distances to pivots; the best of all are merged.
+
+    Clustered vectors meet a few cells each; where the bounds exclude nothing every query meets every cell, as exactness asks for. Nothing is
+    broadcast but the pivots and a row for each, so either side may be of any size, as may a cell, which is split into blocks. Without references there are no rows.
     """
-    n_q, n_r = (max(1, ceil(t.count() / block)) for t in (queries, references))
-    rows = lambda t, is_ref, own, m, other: t.select(
-        F.col(id_col).cast("string").alias("id"), F.col(vector_col).alias("v"), F.lit(is_ref).alias("is_ref"),
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(m)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit((n_q if is_ref else n_r) - 1))).alias(other))
-    both = rows(queries, False, "bq", n_q, "br").unionByName(rows(references, True, "br", n_r, "bq"))
-    found = both.groupBy("bq", "br").applyInArrow(lambda t: _nearest(t, k + skip_self), "query string, neighbour string, distance double")
+    rows = lambda t: t.select(F.col(id_col).cast("string").alias("id"), F.xxhash64(id_col).alias("h"), F.col(vector_col).alias("v"))
+    q, want = rows(queries), k + skip_self
+    if references.isEmpty():
+        return queries.sparkSession.createDataFrame([], "query string, neighbour string, distance double, rank int")
+    cells = Cells(rows(references), block, most_pivots)
+    best = lambda t, n: t.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("distance", "neighbour"))).where(F.col("rank") <= n)
+    found = cut(best(_compared(_routed(q, cells, want, False), cells, want, block), want), "near")
+    limit = found.groupBy(F.col("query").alias("id")).agg(F.max("distance").alias("limit"))
+    further = cut(_routed(q.join(limit, "id"), cells, want, True), "further")
+    if not further.isEmpty():
+        found = found.drop("rank").unionByName(_compared(further, cells, want, block))
     if skip_self:
         found = found.where("query <> neighbour")
-    w = Window.partitionBy("query").orderBy("distance", "neighbour")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return best(found.drop("rank"), k)
+
+
+def cells_met(queries: DataFrame, references: DataFrame, k: int, id_col: str = "OID", vector_col: str = "embedding", block: int = BLOCK, most_pivots: int = PIVOTS) -> tuple[int, float]:
+    """Cells that hold references, and how many of them a query of :func:`knn` meets on average."""
+    rows = lambda t: t.select(F.col(id_col).cast("string").alias("id"), F.xxhash64(id_col).alias("h"), F.col(vector_col).alias("v"))
+    cells, q = Cells(rows(references), block, most_pivots), rows(queries)
+    first = cut(_routed(q, cells, k, False), "first")
+    limit = _compared(first, cells, k, block).withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("distance", "neighbour"))).where(F.col("rank") <= k)
+    further = _routed(q.join(limit.groupBy(F.col("query").alias("id")).agg(F.max("distance").alias("limit")), "id"), cells, k, True)
+    return int((cells.n > 0).sum()), (first.count() + further.count()) / max(q.count(), 1)
 
 
 def vote(neighbours: DataFrame, labels: DataFrame, largest_wins: bool = False) -> DataFrame:

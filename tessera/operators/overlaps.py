@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.rectangles import CORNERS, meeting
 from tessera.plans.lineage import cut, discard
 
 #: Methods in order of priority, those whose vote counts twice, and the least votes.
@@ -20,18 +21,10 @@ LEAST_AREA = 0.00005
 def pair_boxes(reference: DataFrame, query: DataFrame, by: Sequence[str] = ("slide", "scene")) -> DataFrame:
     """Every reference tile with every query tile of its slide and scene that it overlaps: (by.., a, b, x0, x1, y0, y1), bounds included.
 
-    Both sides have (tile, x0, x1, y0, y1). Tiles meet in cells of a grid as wide as the largest tile, so that overlap is an equi-join.
+    Both sides have (tile, x0, x1, y0, y1), of any sizes side by side; see :func:`tessera.operators.rectangles.meeting`.
     """
-    size = lambda t: t.agg(F.max(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))).alias("s"))
-    most = size(reference).union(size(query)).agg(F.greatest(F.coalesce(F.max("s"), F.lit(1.0)), F.lit(1e-9)).alias("s"))
-    cell = lambda c: F.floor(F.col(c) / F.col("s")).cast("long")
-    corners = ("x0", "x1", "y0", "y1")
-    a = reference.join(F.broadcast(most)).select(*by, F.col("tile").alias("a"), *(F.col(c).alias(f"a_{c}") for c in corners), cell("x0").alias("gx"), cell("y0").alias("gy"))  # one row
-    around = lambda c: F.explode(F.array(*(F.col(c) + k for k in (-1, 0, 1))))
-    b = query.join(F.broadcast(most)).select(*by, F.col("tile").alias("b"), *(F.col(c).alias(f"b_{c}") for c in corners), cell("x0").alias("gx"), cell("y0").alias("gy"))  # one row
-    b = b.withColumn("gx", around("gx")).withColumn("gy", around("gy"))
-    box = [F.greatest("a_x0", "b_x0").alias("x0"), F.least("a_x1", "b_x1").alias("x1"), F.greatest("a_y0", "b_y0").alias("y0"), F.least("a_y1", "b_y1").alias("y1")]
-    return a.join(b, [*by, "gx", "gy"]).select(*by, "a", "b", *box).where("x0 <= x1 and y0 <= y1")
+    named = lambda t: t.select(*by, F.col("tile").alias("id"), *CORNERS)
+    return meeting(named(reference), named(query), by)
 
 
 def area() -> Column:
@@ -58,18 +51,20 @@ def extend_pairs(pairs: DataFrame, neighbours: DataFrame, coordinates: DataFrame
     return j.join(good, ["a", "b"], "left_anti").select("a", "b", "via", *moved)
 
 
-def overlap_groups(tiles: DataFrame, by: Sequence[str] = ("scene",), most_rounds: int = 12) -> DataFrame:
+def overlap_groups(tiles: DataFrame, by: Sequence[str] = ("scene",), most_members: int = 16) -> DataFrame:
     """Regions that two, three, .. tiles of a scene share: (by.., members, size, x0, x1, y0, y1), members sorted.
 
     Pairs are closed under union: two groups whose boxes meet make the group of all their members, until nothing new comes up. Of several boxes of
-    one group that of the smallest corner counts. Tiles that overlap lie side by side, so groups stay small and rounds few.
+    one group that of the smallest corner counts. Each round can double the members of the largest group, and rounds go on until none is new.
+    Tiles that overlap lie side by side, so groups stay small; n tiles that all share one place have 2^n groups, so a group of more than
+    ``most_members`` raises an error instead.
     """
     own = lambda c: F.col(c)
     pairs = pair_boxes(tiles, tiles, by).where("a < b")
     box = ["x0", "x1", "y0", "y1"]
     groups = cut(pairs.select(*by, F.array_sort(F.array("a", "b")).alias("members"), *box), "groups")
     new = groups
-    for _ in range(most_rounds):
+    while True:
         # each new group with all groups that share a member: boxes that meet in one place have members in common through it
         key = lambda t, x: t.withColumn("m", F.explode("members")).select(*by, "m", *(F.col(c).alias(f"{x}_{c}") for c in ("members", *box)))
         j = key(new, "p").join(key(groups, "q"), [*by, "m"]).where("p_members <> q_members").select(
@@ -80,6 +75,8 @@ def overlap_groups(tiles: DataFrame, by: Sequence[str] = ("scene",), most_rounds
         if found.isEmpty():
             discard(found)
             break
+        if not found.where(F.size("members") > most_members).isEmpty():
+            raise ValueError(f"more than {most_members} tiles share one place")
         groups, new = cut(groups.unionByName(found), "groups"), found
     return groups.withColumn("size", F.size("members"))
 

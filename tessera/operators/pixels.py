@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.graph import connected_components, least_reachable
-from tessera.plans.lineage import cut
+from tessera.plans.lineage import cut, remove
 
 AT = ("r", "c")
 
@@ -34,28 +36,45 @@ def rescale(px: DataFrame, q: float = 0.01, without_median: bool = False) -> Dat
     return j.select("image_id", *AT, F.when(F.coalesce("n", F.lit(0)) <= 10, F.col("v")).otherwise(scaled).alias("v"))
 
 
-def exact_quantiles(df: DataFrame, by: str, value: str, qs: tuple[float, ...], bins: int = 4096) -> DataFrame:
-    """Rows (by, n, q): exact quantiles with linear interpolation, without gathering a group's values in one place.
+def exact_quantiles(df: DataFrame, by: str, value: str, qs: tuple[float, ...]) -> DataFrame:
+    """Rows (by, n, q): exact quantiles with linear interpolation (numpy's), from counts alone.
+
+    A selection by digits, the highest first. The first digit is a double's sign and size on a logarithmic scale (64 steps to an octave), so
+    that no outlier stretches the others' steps. Values are counted by digit, with the least and largest of each; the digit that holds a
+    wanted rank is entered, and its range is cut into 4,096 equal steps, which are the next digit, until least and largest
+    are one value. That is the case after at most six digits, after one or two where few values are distinct. Only counts are gathered, so
+    neither a group with most of the rows nor a value that half of them have meets in one place.
 
-    Values are counted in ``bins`` equal ranges of each group; only the ranges that hold a wanted rank are looked into, where a percentile of
-    their few values gives the order statistics. Nulls do not count; a group without values has no row.
+    Nulls and NaN do not count; a group without values has no row. An empty table gives no rows.
     """
-    d = df.select(F.col(by).alias("g"), F.col(value).cast("double").alias("x")).where("x is not null")
-    ends = d.groupBy("g").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-    width = F.nullif((F.col("hi") - F.col("lo")) / bins, F.lit(0.0))
-    binned = d.join(ends, "g").withColumn("b", F.coalesce(F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1)), F.lit(0)).cast("int"))
-    counts = binned.groupBy("g", "n", "b").agg(F.count("*").alias("k"))
-    before = F.sum("k").over(Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))  # at most ``bins`` rows a group
-    counts = counts.withColumn("before", F.coalesce(before, F.lit(0)))
-    ranks = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(k).alias("upper"), (r(F.lit(q) * (F.col("n") - 1))).cast("long").alias("rank")) for i, q in enumerate(qs) for k, r in ((False, F.floor), (True, F.ceil))))
-    wanted = counts.withColumn("w", F.explode(ranks)).where("w.rank >= before and w.rank < before + k").select("g", "b", "before", "w.i", "w.upper", "w.rank")
-    place = wanted.groupBy("g", "b", "before").agg(F.collect_list(F.struct("i", "upper", "rank")).alias("w"))
-    inside = binned.select("g", "b", "x", "n").join(place, ["g", "b"]).groupBy("g", "b", "before", "n", "w").agg(F.count("*").alias("k"), F.sort_array(F.collect_list("x")).alias("xs"))
-    found = inside.select("g", "n", "before", "xs", F.explode("w").alias("w"))
-    found = found.select("g", "n", "w.i", "w.upper", F.get("xs", (F.col("w.rank") - F.col("before")).cast("int")).alias("x"))
-    flat = found.groupBy("g", "n", "i").agg(F.max(F.when(~F.col("upper"), F.col("x"))).alias("a"), F.max(F.when(F.col("upper"), F.col("x"))).alias("z"))
+    d = df.select(F.col(by).alias("g"), F.col(value).cast("double").alias("x")).where("x is not null and not isnan(x)")
+    size = F.when(F.abs("x") == float("inf"), 200_000).otherwise(F.floor(64 * F.log2(F.abs("x"))) + 70_400)
+    first = F.when(F.col("x") == 0, 0).otherwise(F.signum("x") * size).cast("long")
+    counts = d.withColumn("digit", first).groupBy("g", "digit").agg(F.count("*").alias("k"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    own = Window.partitionBy("g")  # at most some thousand digits a group
+    before = F.coalesce(F.sum("k").over(own.orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.withColumns({"n": F.sum("k").over(own), "before": before})
+    ranks = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(up).alias("upper"), r(F.lit(float(q)) * (F.col("n") - 1)).cast("long").alias("rank"))
+                      for i, q in enumerate(qs) for up, r in ((False, F.floor), (True, F.ceil))))
+    held = "rank >= before and rank < before + k"
+    keep = ("g", "n", "i", "upper", "rank", "before", "lo", "hi")
+    place = cut(counts.withColumn("w", F.explode(ranks)).select("g", "n", "k", "before", "lo", "hi", "w.*").where(held).select(*keep), "ranks")
+    done, rows = [place.where("lo = hi")], d
+    while not (open_ := place.where("lo < hi")).isEmpty():
+        ranges = open_.select("g", "lo", "hi", "before").distinct()  # of a group at most two for each of qs, which do not meet
+        outer, rows = rows, cut(rows.select("g", "x").join(ranges, "g").where("x between lo and hi"), "inside")
+        if outer is not d:
+            remove(df.sparkSession, outer._tessera_path)
+        step = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * 4096), F.lit(4095)).cast("int")
+        counts = rows.withColumn("digit", step).groupBy("g", F.col("lo").alias("a"), "before", "digit").agg(F.count("*").alias("k"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        inner = F.sum("k").over(Window.partitionBy("g", "a").orderBy("digit").rowsBetween(Window.unboundedPreceding, -1))
+        counts = counts.withColumn("before", F.col("before") + F.coalesce(inner, F.lit(0)))
+        wanted = open_.select("g", "n", "i", "upper", "rank", F.col("lo").alias("a"))
+        place = cut(wanted.join(counts, ["g", "a"]).where(held).select(*keep), "ranks")
+        done.append(place.where("lo = hi"))
+    flat = reduce(DataFrame.unionByName, done).groupBy("g", "n", "i").agg(F.max(F.when(~F.col("upper"), F.col("lo"))).alias("a"), F.max(F.when(F.col("upper"), F.col("lo"))).alias("z"))
     share = F.element_at(F.array(*(F.lit(float(q)) for q in qs)), F.col("i") + 1) * (F.col("n") - 1)
-    flat = flat.withColumn("v", F.col("a") + (share - F.floor(share)) * (F.col("z") - F.col("a")))
+    flat = flat.withColumn("v", F.when(F.col("a") == F.col("z"), F.col("a")).otherwise(F.col("a") + (share - F.floor(share)) * (F.col("z") - F.col("a"))))
     return flat.groupBy(F.col("g").alias(by), "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("q"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.rectangles import meeting
+
 
 def round_number(x: Column) -> Column:
     """R01, r1 or 1 -> 1; null for anything else."""
@@ -95,16 +97,11 @@ def _near_cells(tiles: DataFrame, by: str, x: str, y: str, size: float) -> tuple
 def tile_overlaps(tiles: DataFrame, by: str = "slide", x: str = "stage_x", y: str = "stage_y", w: str = "width_px", h: str = "height_px") -> DataFrame:
     """Pairs (a, b), a < b, of tiles of a slide whose rectangles meet, bounds included, with the shared box.
 
-    Grid cells are as wide as the widest or highest tile of the table, so a tile's partners lie in the cells around its own.
+    Tiles of any sizes may lie side by side; see :func:`tessera.operators.rectangles.meeting`.
     """
-    most = float(tiles.agg(F.max(F.greatest(F.col(w), F.col(h)))).first()[0] or 1.0)
-    one, two = _near_cells(tiles, by, x, y, most + 1e-9)
-    a = one.select(by, "gx", "gy", F.col("tile").alias("a"), F.col(x).alias("ax"), F.col(y).alias("ay"), F.col(w).alias("aw"), F.col(h).alias("ah"))
-    b = two.select(by, "gx", "gy", F.col("tile").alias("b"), F.col(x).alias("bx"), F.col(y).alias("by_"), F.col(w).alias("bw"), F.col(h).alias("bh"))
-    j = a.join(b, [by, "gx", "gy"]).where("a < b").select(
-        by, "a", "b", F.greatest("ax", "bx").alias("x0"), F.greatest("ay", "by_").alias("y0"),
-        F.least(F.col("ax") + F.col("aw"), F.col("bx") + F.col("bw")).alias("x1"), F.least(F.col("ay") + F.col("ah"), F.col("by_") + F.col("bh")).alias("y1"))
-    return j.where("x0 <= x1 and y0 <= y1")
+    ends = {"x0": F.col(x), "x1": F.col(x) + F.col(w), "y0": F.col(y), "y1": F.col(y) + F.col(h)}
+    boxes = tiles.select(by, F.col("tile").alias("id"), *(e.alias(c) for c, e in ends.items()))
+    return meeting(boxes, boxes, [by]).where("a < b").select(by, "a", "b", "x0", "y0", "x1", "y1")
 
 
 def tile_neighbours(tiles: DataFrame, by: str = "slide", size: float = 2040.0) -> DataFrame:

@@ -961,4 +961,4 @@ def gmm_threshold(v):
     return L.mixture_threshold(P.angles(v("pixels")), "phi")
 
 
-from tessera import more_queries  # noqa: E402, F401  the rest of the queries, in the same tables
+from tessera import block_queries, more_queries  # noqa: E402, F401  the rest of the queries, in the same tables

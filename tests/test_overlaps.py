@@ -48,8 +48,8 @@ def test_exact_quantiles_against_numpy(spark):
     rng = np.random.default_rng(3)
     groups = {"many": rng.lognormal(0, 3, 5000), "one": [7.0], "same": [2.0] * 50, "two": [1.0, 4.0], "ties": rng.integers(0, 4, 999).astype(float)}
     d = spark.createDataFrame([(g, float(x)) for g, v in groups.items() for x in v] + [("none", None)], "g string, v double")
-    for bins in (1, 7, 4096):
-        got = {r.g: r.q for r in P.exact_quantiles(d, "g", "v", (0.0, 0.01, 0.5, 0.99, 1.0), bins).collect()}
+    for partitions in (1, 7):
+        got = {r.g: r.q for r in P.exact_quantiles(d.repartition(partitions), "g", "v", (0.0, 0.01, 0.5, 0.99, 1.0)).collect()}
         assert set(got) == set(groups)
         for g, v in groups.items():
             assert np.allclose(got[g], np.quantile(np.array(v), (0.0, 0.01, 0.5, 0.99, 1.0)), rtol=1e-12)
@@ -147,3 +147,39 @@ def test_nearest_medoid_by_warping(spark):
     h = spark.createDataFrame([("i", b, v) for b, v in enumerate([0.0, 0.0, 9.0, 0.0])] + [("j", b, v) for b, v in enumerate([5.0, 5.0, 5.0, 5.0])], "image_id string, bin int, share double")
     m = spark.createDataFrame([("peak", b, v) for b, v in enumerate([0.0, 9.0, 0.0, 0.0])] + [("flat", b, 5.0) for b in range(4)], "class string, bin int, value double")
     assert {r.image_id: (r["class"], r.distance) for r in P.nearest_medoid(h, m).collect()} == {"i": ("peak", 0.0), "j": ("flat", 0.0)}
+
+
+def test_rectangles_of_very_different_sizes(spark):
+    import random
+
+    from tessera.operators.rectangles import meeting
+
+    rng = random.Random(4)
+    rows = [("s", k, x, x + w, y, y + h) for k in range(300) for x, y in [(rng.randrange(-300, 300), rng.randrange(-300, 300))] for w, h in [rng.choice([(0, 0), (3, 2), (16, 16), (17, 5), (100, 1), (1000, 1000)] if k % 20 == 0 else [(0, 0), (3, 2), (4, 4)])]]
+    rows += [("t", 1, 0, 4, 0, 4), ("t", 2, 4, 8, 4, 8), ("t", 3, 9, 9, 9, 9), ("t", 4, 5, 2, 5, 2), ("t", None, 0, 9, 0, 9), (None, 6, 0, 9, 0, 9), ("t", 7, None, 9, 0, 9)]
+    t = spark.createDataFrame(rows, "slide string, id long, x0 double, x1 double, y0 double, y1 double")
+    got = [tuple(r) for r in meeting(t, t, ["slide"]).collect()]
+    good = [r for r in rows if r[0] and None not in r[2:] and r[2] <= r[3] and r[4] <= r[5]]
+    want = [(a[0], a[1], b[1], max(a[2], b[2]), min(a[3], b[3]), max(a[4], b[4]), min(a[5], b[5])) for a in good for b in good
+            if a[0] == b[0] and max(a[2], b[2]) <= min(a[3], b[3]) and max(a[4], b[4]) <= min(a[5], b[5])]
+    assert sorted(got, key=repr) == sorted(((s, a, b, *map(float, box)) for s, a, b, *box in want), key=repr)
+
+
+def test_one_large_tile_does_not_bring_all_others_together(spark):
+    small = [("s", k, 10.0 * (k % 40), 10.0 * (k % 40) + 9, 10.0 * (k // 40), 10.0 * (k // 40) + 9) for k in range(1600)]
+    t = spark.createDataFrame([*small, ("s", 9999, 0.0, 9000.0, 0.0, 9000.0)], "slide string, tile long, x0 double, x1 double, y0 double, y1 double")
+    pairs = O.pair_boxes(t, t, ("slide",))
+    assert pairs.count() == 1600 + 1 + 2 * 1600
+    graph = pairs._jdf.queryExecution().executedPlan()
+    assert "CartesianProduct" not in graph.toString() and "BroadcastNestedLoopJoin" not in graph.toString()
+
+
+def test_overlap_groups_run_to_their_end_or_refuse(spark):
+    chain = [("s", k, 10.0 * k, 10.0 * k + 15, 0.0, 10.0) for k in range(15)]  # each meets the next one
+    t = spark.createDataFrame(chain, "scene string, tile long, x0 double, x1 double, y0 double, y1 double")
+    got = {tuple(r.members) for r in O.overlap_groups(t).collect()}
+    assert got == {(k, k + 1) for k in range(14)}
+    six = spark.createDataFrame([("s", k, 0.0 + k, 20.0 + k, 0.0, 9.0) for k in range(6)], "scene string, tile long, x0 double, x1 double, y0 double, y1 double")
+    assert O.overlap_groups(six).count() == 2**6 - 6 - 1
+    with pytest.raises(ValueError):
+        O.overlap_groups(six, most_members=5)
