@@ -15,10 +15,13 @@ from tessera.plans.lineage import cut, discard
 #: One document in so many is sampled, and a phrase seen so often in the sample is proposed. Both decide speed only.
 SAMPLE, PROPOSED = 8, 2
 #: Bytes of text that are counted together.
-TOGETHER = 1 << 23
+TOGETHER = 1 << 21
 #: Bits of the maps of proposed and frequent words and pairs, of one size for any input. What a full map lets through is counted in vain, exactly.
 MAP_BITS = 26
 
+#: Parts of a language's candidates that are ranked by themselves before the best of each meet.
+DEALS = 64
+
 #: What ends a piece, and what ends a word within it.
 ENDS_PIECE, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 _ENDS, _CUT = byte_set(ENDS_PIECE), byte_set(ENDS_PIECE + SPACES)
@@ -213,8 +216,10 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, part: int =
     first = F.col("s1") <= F.col("s2")
     pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
     triples = triples.select("lang", F.concat_ws(" ", "t_a", "t_b", "t_c").alias("phrase"), "n", pick("n_a", "n_ab").alias("l"), pick("n_bc", "n_c").alias("r"), pick("s1", "s2").alias("score"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("n"), "phrase"))
-    best = pairs.unionByName(triples).withColumn("rank", place).where(F.col("rank") <= top)  # Spark limits each partition before it ranks
+    place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("n"), "phrase"))
+    every = pairs.unionByName(triples).withColumn("deal", F.pmod(F.xxhash64("phrase"), F.lit(DEALS)))
+    dealt = every.withColumn("rank", place("lang", "deal")).where(F.col("rank") <= top)  # what is further down among so many cannot be among the first of all
+    best = dealt.withColumn("rank", place("lang")).where(F.col("rank") <= top)  # of a language DEALS * top at most
     return best.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", F.col("n").alias("a"), "l", "r", F.col("n_words").alias("n"), "score")
 
 
