@@ -8,6 +8,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Lengths of IBANs by country. A match of a known country has just its length, so that the search goes on right behind it.
+IBAN_LENGTH = {
+    "AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HU": 28, "IE": 22,
+    "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "TR": 26,
+}
+
+def _iban(others: str) -> str:
+    """Countries of one length together, then all others with 15 to 34 characters; ``others`` stands before those."""
+    by_length: dict[int, list[str]] = {}
+    for country, n in IBAN_LENGTH.items():
+        by_length.setdefault(n, []).append(country)
+    known = [rf"(?:{'|'.join(c)})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in by_length.items()]
+    return f"(?:{'|'.join(known)}|{others}[A-Z]{{2}}[0-9]{{2}}(?:\\x20?[A-Z0-9]){{11,30}})"
+
+
 #: The patterns of the kinds, in the order of the result. Starts within a run that has failed cannot
 #: match either, so a look-behind and possessive repeats skip them: long runs take time in proportion, and no stack.
 LOCAL = "A-Za-z0-9._%+-"
@@ -16,7 +31,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9]){_iban(f'(?!{"|".join(IBAN_LENGTH)})')}(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "secret": r"(?<![A-Za-z0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])",
 }
@@ -35,11 +50,6 @@ CONTEXT = {
 CONTEXT_CHARS = 40
 BONUS = 0.4
 ACCEPT = 0.6
-#: Lengths of IBANs by country. A match goes on over words in capitals; it is cut to its country's length.
-IBAN_LENGTH = {
-    "AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HU": 28, "IE": 22,
-    "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "TR": 26,
-}
 #: Matches that are put together at a time: work per match stays the same however many a text has.
 GROUP = 128
 #: Matches of context kinds have 11 characters or more, so that four on each side cover CONTEXT_CHARS.
@@ -78,15 +88,6 @@ def holds(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def iban_cut(m: Column) -> Column:
-    """The part of a match that has its country's length, or all of it; null where an IBAN would end inside a word."""
-    lengths = F.create_map(*(F.lit(x) for pair in IBAN_LENGTH.items() for x in pair))
-    n = F.element_at(lengths, F.substr(m, F.lit(1), F.lit(2)))
-    part = F.call_function("regexp_extract", m, F.concat(F.lit(r"^(?:[A-Z0-9]\x20?){"), (n - 1).cast("string"), F.lit("}[A-Z0-9]")), F.lit(0))
-    ends = ~F.substr(m, F.length(part) + 1, F.lit(1)).rlike("[A-Z0-9]")
-    return F.when(n.isNull(), m).when((part != "") & ends, part)
-
-
 ITEM = "struct<skip:int,size:int,ok:boolean,score:double,value:string>"
 SPAN = "struct<kind:string,start:int,end:int,score:double,value:string>"
 
@@ -103,18 +104,16 @@ def items_of(kind: str, text: Column) -> Column:
 
     def item(p: Column) -> Column:
         m = p["m"]
-        value = iban_cut(m) if kind == "iban" else m
-        ok, score = value.isNotNull() & holds(kind, value), F.lit(1.0)
+        ok, score = holds(kind, m), F.lit(1.0)
         if kind in CONTEXT:
             base, words, _ = CONTEXT[kind]
             n = F.lit(CONTEXT_CHARS)
             before = F.right(F.concat_ws("", *(x for k in range(SIDE, 0, -1) for x in (F.right(p[f"gb{k}"], n), p[f"mb{k}"])), F.right(p["gap"], n)), n)
-            rest = F.substr(m, F.length(value) + 1)
-            after = F.left(F.concat_ws("", rest, *(x for k in range(1, SIDE + 1) for x in (F.left(p[f"ga{k}"], n), p[f"ma{k}"]))), n)
-            near = F.concat_ws("", before, value, after).rlike(f"(?i)(?<![a-z])(?:{words})(?![a-z])")
+            after = F.left(F.concat_ws("", *(x for k in range(1, SIDE + 1) for x in (F.left(p[f"ga{k}"], n), p[f"ma{k}"]))), n)
+            near = F.concat_ws("", before, m, after).rlike(f"(?i)(?<![a-z])(?:{words})(?![a-z])")
             score = F.least(F.lit(base) + F.when(near, F.lit(BONUS)).otherwise(F.lit(0.0)), F.lit(1.0))
             ok = ok & (score >= ACCEPT)
-        return F.struct(F.length(p["gap"]).alias("skip"), F.length(m).alias("size"), F.coalesce(ok, F.lit(False)).alias("ok"), score.alias("score"), value.alias("value")).cast(ITEM)
+        return F.struct(F.length(p["gap"]).alias("skip"), F.length(m).alias("size"), F.coalesce(ok, F.lit(False)).alias("ok"), score.alias("score"), m.alias("value")).cast(ITEM)
 
     found = F.transform(F.filter(F.arrays_zip(*columns), lambda p: p["m"].isNotNull()), item)
     return F.when(text.rlike(HINTS[kind]), found).otherwise(F.array().cast(f"array<{ITEM}>"))
@@ -207,13 +206,12 @@ PII_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 k(kind, o, pat) AS (VALUES ('email', 0, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'), ('ip', 1, '[0-9]+(?:\.[0-9]+){3}'),
   ('card', 2, '[0-9](?:[\x20-]?[0-9])+'), ('phone', 3, '\+[0-9][\x20().0-9-]+[0-9]'),
-  ('iban', 4, '[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}'), ('ssn', 5, '[0-9]{3}-[0-9]{2}-[0-9]{4}'), ('secret', 6, '[0-9a-f]{32,64}')),
+  ('iban', 4, 'IBAN'), ('ssn', 5, '[0-9]{3}-[0-9]{2}-[0-9]{4}'), ('secret', 6, '[0-9a-f]{32,64}')),
 m AS (SELECT doc_id, t, kind, o, regexp_extract_all(t, pat) AS ms, regexp_split_to_array(t, pat) AS gs FROM d CROSS JOIN k WHERE regexp_matches(t, pat)),
 e AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM m),
 p AS (SELECT doc_id, t, kind, o, ms[i] AS v,
   CAST(list_sum(list_transform(gs[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i-1], lambda x: length(x))), 0) AS BIGINT) AS s FROM e),
-c AS (SELECT * REPLACE (CASE WHEN kind = 'iban' AND n IS NOT NULL THEN regexp_extract(v, '^(?:[A-Z0-9]\x20?){' || (n - 1) || '}[A-Z0-9]') ELSE v END AS v) FROM (
-  SELECT *, CASE WHEN kind = 'iban' THEN MAP LENGTHS[substr(v, 1, 2)] END AS n FROM p) WHERE true),
+c AS (SELECT *, CASE WHEN kind = 'iban' THEN MAP LENGTHS[substr(v, 1, 2)] END AS n FROM p),
 q AS (SELECT *, s + length(v) AS f, regexp_replace(v, '[^0-9]', '', 'g') AS dig, substr(t, CAST(s AS BIGINT), 1) AS pre,
   substr(t, s + length(v) + 1, 1) AS post, regexp_replace(v, ' ', '', 'g') AS bare,
   substr(t, greatest(1, s + 1 - 40), s + length(v) + 40 - greatest(1, s + 1 - 40) + 1) AS around FROM c WHERE v <> ''),
@@ -223,7 +221,7 @@ ok AS (SELECT *, CASE kind WHEN 'email' THEN true
      CASE WHEN (length(dig) - j) % 2 = 0 THEN CAST(substr(dig, j, 1) AS INT)
           ELSE (CAST(substr(dig, j, 1) AS INT) * 2) % 10 + (CAST(substr(dig, j, 1) AS INT) * 2) // 10 END)) AS BIGINT) % 10 = 0
   WHEN 'phone' THEN length(dig) BETWEEN 8 AND 15
-  WHEN 'iban' THEN NOT regexp_matches(pre, '[A-Za-z0-9]') AND NOT regexp_matches(post, '[A-Za-z0-9]') AND length(bare) BETWEEN 15 AND 34 AND
+  WHEN 'iban' THEN coalesce(length(bare) = n, true) AND NOT regexp_matches(pre, '[A-Za-z0-9]') AND NOT regexp_matches(post, '[A-Za-z0-9]') AND length(bare) BETWEEN 15 AND 34 AND
      list_reduce(list_prepend(0, list_transform(string_split(substr(bare, 5) || substr(bare, 1, 4), ''), lambda c: CAST(strpos('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', c) - 1 AS BIGINT))),
        lambda a, c: (a * (CASE WHEN c > 9 THEN 100 ELSE 10 END) + c) % 97) = 1
   WHEN 'ssn' THEN s >= 0 AND NOT regexp_matches(pre, '[0-9-]') AND NOT regexp_matches(post, '[0-9-]') AND NOT regexp_matches(v, '^(000|666|9..)|-00-|-0000$')
@@ -235,4 +233,4 @@ g AS (SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTE
   string_agg(kind || ':' || s || ':' || f, ',' ORDER BY o, s) AS spans FROM ok WHERE good GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)
-""".replace("LENGTHS", str(IBAN_LENGTH))
+""".replace("LENGTHS", str(IBAN_LENGTH)).replace("'IBAN'", f"'{_iban('')}'")

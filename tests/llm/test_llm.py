@@ -81,6 +81,8 @@ def spans(spark, text):
     ("4111 1111 1111 1111 4111", ""), ("4111-1111-1111-1111", "card:0:19"), ("+1 (499) 555-6503 +12 3", "phone:0:17"),
     ("iban GB82 WEST 1234 5698 7654 32.", "iban:5:32"), ("ssn 123-45-6789", "ssn:4:15"), ("123-45-6789", ""), (None, ""), ("", ""),
     ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "iban:5:32"), ("DE89370400440532013000 A new", "iban:0:22"), ("DE893704004405320130001", ""),
+    ("DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32", "iban:0:27,iban:28:55"), ("GB82WEST12345698765432,DE89370400440532013000", "iban:0:22,iban:23:45"),
+    ("DE89 3704 0044 0532 0130 0 GB82 WEST 1234 5698 7654 32", "iban:27:54"), ("XX89370400440532", ""),
     ("ssn " + "1" * 60 + " 123-45-6789", ""), ("123-45-6789 " + "x" * 27 + " tax", "ssn:0:11"), ("123-45-6789 " + "x" * 37 + " tax", ""),
 ])
 def test_spans(spark, text, want):
