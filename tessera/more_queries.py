@@ -192,12 +192,12 @@ _FILES = r"""f AS (SELECT *, split_part(folder, '_', 1) AS slide, CAST(regexp_ex
     CASE WHEN slide = 'SL0' THEN 2040 END::INT AS height_px, round = 1 AND version = 'V02' AND slide = 'SL0' AS is_reference FROM f)"""
 
 
-def _manifest(v) -> DataFrame:
+def _manifest(v, listed: DataFrame | None = None) -> DataFrame:
     f = v("tile_files")
     mosaic = f.where("folder like 'SL0%'")
     table = f.where("folder like 'SL1%'").select("folder", F.col("tile_filename").alias("file"), F.col("StageXPosition").alias("pos_x"), F.col("StageYPosition").alias("pos_y"), F.split("Frame", ",")[2].alias("w"))
     resolved = _session(f).createDataFrame([("SL0", s, 1, "V02") for s in "12"], "slide string, scene string, round int, version string")
-    return M.build_manifest(mosaic, table, {"tile_filename": "file", "stage_x": "pos_x", "stage_y": "pos_y", "width": "w"}, f.select("folder", "tile_filename"), resolved)
+    return M.build_manifest(mosaic, table, {"tile_filename": "file", "stage_x": "pos_x", "stage_y": "pos_y", "width": "w"}, f.select("folder", "tile_filename") if listed is None else listed, resolved)
 
 
 @query(f"WITH {_FILES} SELECT * FROM man")
@@ -544,7 +544,7 @@ def _sample(v) -> DataFrame:
 @query("SELECT sample_id, OID, X, TAX FROM cells")
 def src_table(v):
     df = _sample(v)
-    path = new_path(_session(df), "table") + ".csv"
+    path = new_path(_session(df), "table") + "/t.csv"
     files.write_table(df, path)
     return files.read_table(_session(df), path)
 
@@ -552,7 +552,7 @@ def src_table(v):
 @query("SELECT sample_id, OID, X, TAX FROM cells")
 def src_sniff_decimal(v):
     df = _sample(v)
-    path = new_path(_session(df), "table") + ".csv"
+    path = new_path(_session(df), "table") + "/t.csv"
     comma = lambda c: F.replace(F.col(c).cast("string"), F.lit("."), F.lit(","))
     files.write_table(df.withColumns({c: comma(c) for c in ("X", "TAX")}), path)
     return files.read_table(_session(df), path)
@@ -563,7 +563,7 @@ def src_folder_union(v):
     df = _sample(v)
     paths = []
     for i, part in enumerate((df.where("X < 100"), df.where("X >= 100"))):
-        paths.append(f"{new_path(_session(df), 'table')}-{i}.parquet")
+        paths.append(f"{new_path(_session(df), 'table')}/{i}.parquet")
         files.write_table(part, paths[-1])
     return files.read_folder(_session(df), paths)
 

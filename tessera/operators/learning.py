@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.graph import connected_components
 from tessera.plans.lineage import cut, discard
 
 
@@ -38,23 +39,63 @@ def kmeans(df: DataFrame, markers: Sequence[str], ids: Sequence[str], k: int, re
     return best.transform(d).select(*ids, F.lit("kmeans").alias("cl_method"), F.col("_c").cast("string").alias("cluster"))
 
 
-def mixture_threshold(df: DataFrame, value: str, most: int = 100_000, points: int = 1000, seed: int = 1234) -> DataFrame:
-    """Where two Gaussian components of ``value`` are most alike above the smaller mean: one row ``threshold``.
+def fit_two_normals(counts: DataFrame, least_gain: float = 1e-5, most_rounds: int = 2000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights, means and deviations of two normal components of (x, n), n the rows with a value x: expectation-maximisation over all of them.
 
-    The fit reads at most about ``most`` rows, drawn by hash; the grid of ``points`` spans their range.
+    The components start as the two clusters of values that Lloyd's rounds from the least and the largest value end in. A round is one aggregate of seven sums, so that
+    no sample is drawn and reruns agree but for the last bits of sums. It ends where the mean log-likelihood gains less than ``least_gain``, and raises
+    an error if ``most_rounds`` do not get there. Variances are at least a millionth, as one value may hold a whole component.
     """
-    n = max(df.count(), 1)
-    some = df.where(F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1_000_000)) < int(1_000_000 * min(1.0, most / n)))
-    d = _vectors(some.select(value), [value])
-    model = GaussianMixture(k=2, seed=seed, featuresCol="_v").fit(d)
-    (m1, s1), (m2, s2) = ((g.mean[0], g.cov.toArray()[0, 0] ** 0.5) for g in model.gaussians)
-    ends = some.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    x = F.col("lo") + F.col("id") * (F.col("hi") - F.col("lo")) / (points - 1)
-    density = lambda w, m, s: w / s * F.exp(-((F.col("x") - m) ** 2) / (2 * s * s))
-    grid = df.sparkSession.range(points).crossJoin(ends).select(x.alias("x"))  # one row of ends
-    a, b = density(model.weights[0], m1, s1), density(model.weights[1], m2, s2)
-    ratio = F.when(a != b, (a + b) / F.abs(a - b)).otherwise(0.0)
-    return grid.where(F.col("x") > min(m1, m2)).agg(F.max_by("x", F.struct(ratio, -F.col("x"))).alias("threshold"))
+    n = F.col("n")
+    total, centre, lo, hi = counts.agg(F.sum("n"), F.sum(n * F.col("x")) / F.sum("n"), F.min("x"), F.max("x")).first()
+    x = F.col("x") - F.lit(centre)
+    mean = np.array([lo - centre, hi - centre])
+    while True:
+        low = x <= float(mean.mean())
+        s = counts.agg(*(F.coalesce(F.sum(F.when(side, w)), F.lit(0.0)).cast("double") for side in (low, ~low) for w in (n, n * x, n * x * x))).first()
+        k = np.array(s, float).reshape(2, 3)
+        new = np.where(k[:, 0] > 0, k[:, 1] / np.maximum(k[:, 0], 1), mean)
+        if np.allclose(new, mean, rtol=1e-12, atol=1e-12):
+            break
+        mean = new
+    weight = np.maximum(k[:, 0] / total, 1e-9)
+    variance = np.maximum(np.where(k[:, 0] > 0, k[:, 2] / np.maximum(k[:, 0], 1) - mean**2, 0.0), 1e-6)
+    before = -np.inf
+    for _ in range(most_rounds):
+        log_p = [F.lit(float(np.log(w / np.sqrt(2 * np.pi * v)))) - (x - float(m)) ** 2 / (2 * float(v)) for w, m, v in zip(weight, mean, variance, strict=True)]
+        top = F.greatest(*log_p)
+        both = top + F.log(F.exp(log_p[0] - top) + F.exp(log_p[1] - top))
+        share = [F.exp(p - both) for p in log_p]
+        s = counts.agg(F.sum(n * both), *(F.sum(n * r * w) for r in share for w in (F.lit(1.0), x, x * x))).first()
+        k = np.array(s[1:], float).reshape(2, 3)
+        k[:, 0] = np.maximum(k[:, 0], 1e-300)
+        weight, mean = k[:, 0] / total, k[:, 1] / k[:, 0]
+        variance = np.maximum(k[:, 2] / k[:, 0] - mean**2, 1e-6)
+        if s[0] / total - before < least_gain:
+            return weight, mean + centre, np.sqrt(variance)
+        before = s[0] / total
+    raise ValueError(f"the mixture has not settled within {most_rounds} rounds")
+
+
+def mixture_threshold(df: DataFrame, value: str, points: int = 1000) -> DataFrame:
+    """Where two normal components of ``value`` are most alike above the smaller mean: one row ``threshold``, of ``points`` between its least and largest value.
+
+    All rows count: values are first counted, then :func:`fit_two_normals` reads the counts. Null and NaN do not count; without a value the threshold is null.
+    """
+    spark = df.sparkSession
+    d = df.select(F.col(value).cast("double").alias("x")).where("x is not null and not isnan(x)")
+    counts = cut(d.groupBy("x").agg(F.count("*").alias("n")), "counts")
+    lo, hi = counts.agg(F.min("x"), F.max("x")).first()
+    if lo is None:
+        return spark.createDataFrame([(None,)], "threshold double")
+    weight, mean, spread = fit_two_normals(counts)
+    x = lo + np.arange(points) * (hi - lo) / (points - 1)
+    a, b = (w / s * np.exp(-((x - m) ** 2) / (2 * s * s)) for w, m, s in zip(weight, mean, spread, strict=True))
+    with np.errstate(all="ignore"):
+        alike = np.where(a != b, (a + b) / np.abs(a - b), 0.0)
+    above = np.flatnonzero(x > mean.min())
+    best = float(x[above[np.argmax(alike[above])]]) if len(above) else None
+    return spark.createDataFrame([(best,)], "threshold double")
 
 
 def som(df: DataFrame, markers: Sequence[str], ids: Sequence[str], k: int, side: int = 10, sigma: float = 1.0, epochs: int = 20, seed: int = 1234) -> DataFrame:
@@ -126,46 +167,79 @@ def ward(points: np.ndarray, k: int) -> np.ndarray:
     return label
 
 
-def communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 8, levels: int = 3, seed: int = 1234) -> DataFrame:
-    """Rows (node, community) of an undirected weighted graph (a, b, weight): local moving and contraction by modularity.
+def communities(edges: DataFrame, resolution: float = 1.0, least_gain: float = 1e-6, seed: int = 1234) -> DataFrame:
+    """Rows (node, community) of an undirected weighted graph (a, b, weight): local moving, splitting and contraction by modularity, to the end.
 
-    In a round a seeded half of the nodes may move to the neighbouring community of the largest gain (the smallest name on ties), so that two do not swap for ever. Then
-    communities become nodes. All steps are joins and sums; each round's table is written, so that a lost executor costs a re-read.
+    In a round half of the nodes (the other half in the next) may move to the neighbouring community of the largest gain (the smallest name on ties), so that two do
+    not swap for ever. Rounds end when two of them gain less than ``least_gain``, and the best labels stay. Then each community is split into its
+    connected parts, which can only gain, and these become nodes of a smaller graph; levels end when one gains less than that. All
+    steps are joins and sums; each round's table is written, so that a lost executor costs a re-read. Communities are connected; each has the name of a node.
     """
     e = edges.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), F.col("weight").cast("double").alias("w")).where("w > 0")
-    member = None
-    for level in range(levels):
-        both = cut(e.where("a <> b").select("a", "b", "w").union(e.where("a <> b").select("b", "a", "w")).union(e.where("a = b").select("a", "b", 2 * F.col("w"))), "links")
+    member, level = None, 0
+    while True:
+        loops = e.where("a = b").select("a", "b", 2 * F.col("w"))
+        both = cut(e.where("a <> b").select("a", "b", "w").union(e.where("a <> b").select("b", "a", "w")).union(loops), "links")
         total = both.agg(F.sum("w")).first()[0]
         if not total:
             break
         degree = both.groupBy("a").agg(F.sum("w").alias("k"))
         label = cut(degree.select(F.col("a").alias("node"), F.col("a").alias("community"), "k"), "communities")
-        moved_any = False
-        for r in range(rounds):
-            mass = label.groupBy("community").agg(F.sum("k").alias("mass"))
-            near = both.where("a <> b").join(label.select(F.col("node").alias("b"), F.col("community").alias("to")), "b").groupBy("a", "to").agg(F.sum("w").alias("w"))
-            own = label.select(F.col("node").alias("a"), "community", "k")
-            stay = own.select("a", F.col("community").alias("to"), F.lit(0.0).alias("w"))
-            j = near.union(stay).groupBy("a", "to").agg(F.sum("w").alias("w")).join(own, "a").join(mass.withColumnRenamed("community", "to"), "to")
-            rest = F.col("mass") - F.when(F.col("to") == F.col("community"), F.col("k")).otherwise(0.0)
-            j = j.withColumn("gain", F.col("w") - resolution * F.col("k") * rest / total)
-            best = j.groupBy("a", "community", "k").agg(
-                F.min_by(F.struct("to", "gain"), F.struct(-F.round("gain", 9), "to")).alias("x"), F.max(F.when(F.col("to") == F.col("community"), F.col("gain"))).alias("now"))
-            half = F.pmod(F.xxhash64("a", F.lit(seed + 31 * r + 977 * level)), F.lit(2)) == 0
-            go = half & (F.col("x.gain") > F.col("now") + 1e-9)
-            new = cut(best.select(F.col("a").alias("node"), F.when(go, F.col("x.to")).otherwise(F.col("community")).alias("community"), "k", go.alias("moved")), "communities")
-            moved = new.where("moved").isEmpty()
-            moved_any = moved_any or not moved
+        best = start = _modularity(both, label, total, resolution)
+        kept, last, turn, idle = label, best, 0, 0
+        while idle < 2:
+            new = cut(_moved(both, label, total, resolution, seed + 977 * level, turn), "communities")
+            if label is not kept:
+                discard(label)
+            label, turn, q = new, turn + 1, _modularity(both, new, total, resolution)
+            idle = 0 if q > last + least_gain else idle + 1
+            last = max(q, last)
+            if q > best:
+                if kept is not label:
+                    discard(kept)
+                kept, best = label, q
+        if label is not kept:
             discard(label)
-            label = new
-            if moved and r:
-                break
-        step = label.select("node", "community")
-        member = step if member is None else cut(member.select("node", F.col("community").alias("mid")).join(step.select(F.col("node").alias("mid"), "community"), "mid").select("node", "community"), "members")
-        if not moved_any:
+        step = _connected_parts(both, kept)
+        member_now = step if member is None else cut(member.select("node", F.col("community").alias("mid")).join(step.select(F.col("node").alias("mid"), "community"), "mid").select("node", "community"), "members")
+        if member is not None and best <= start + least_gain:
             break
+        member, level = member_now, level + 1
         named = lambda x, y: step.select(F.col("node").alias(x), F.col("community").alias(y))
         c = e.join(named("a", "ca"), "a").join(named("b", "cb"), "b")
         e = cut(c.groupBy(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).agg(F.sum("w").alias("w")), "contracted")
+        if best <= start + least_gain:
+            break
     return member if member is not None else e.select(F.col("a").alias("node"), F.col("a").alias("community")).limit(0)
+
+
+def _modularity(both: DataFrame, label: DataFrame, total: float, resolution: float) -> float:
+    """Of labels (node, community, k) over links in both directions (a, b, w) whose weights sum up to ``total``."""
+    mass = label.groupBy("community").agg(F.sum("k").alias("m")).agg(F.sum(F.col("m") * F.col("m"))).first()[0]
+    named = lambda x: label.select(F.col("node").alias(x), F.col("community").alias(f"c{x}"))
+    inside = both.join(named("a"), "a").join(named("b"), "b").where("ca = cb").agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
+    return inside / total - resolution * mass / total**2
+
+
+def _moved(both: DataFrame, label: DataFrame, total: float, resolution: float, seed: int, turn: int) -> DataFrame:
+    """Labels after one round; in turns one half of the nodes or the other may move."""
+    mass = label.groupBy("community").agg(F.sum("k").alias("mass"))
+    near = both.where("a <> b").join(label.select(F.col("node").alias("b"), F.col("community").alias("to")), "b").groupBy("a", "to").agg(F.sum("w").alias("w"))
+    own = label.select(F.col("node").alias("a"), "community", "k")
+    stay = own.select("a", F.col("community").alias("to"), F.lit(0.0).alias("w"))
+    j = near.union(stay).groupBy("a", "to").agg(F.sum("w").alias("w")).join(own, "a").join(mass.withColumnRenamed("community", "to"), "to")
+    rest = F.col("mass") - F.when(F.col("to") == F.col("community"), F.col("k")).otherwise(0.0)
+    j = j.withColumn("gain", F.col("w") - resolution * F.col("k") * rest / total)
+    best = j.groupBy("a", "community", "k").agg(
+        F.min_by(F.struct("to", "gain"), F.struct(-F.round("gain", 9), "to")).alias("x"), F.max(F.when(F.col("to") == F.col("community"), F.col("gain"))).alias("now"))
+    half = F.pmod(F.xxhash64("a", F.lit(seed + 31 * (turn // 2))) + turn % 2, F.lit(2)) == 0
+    go = half & (F.col("x.gain") > F.col("now") + 1e-9)
+    return best.select(F.col("a").alias("node"), F.when(go, F.col("x.to")).otherwise(F.col("community")).alias("community"), "k")
+
+
+def _connected_parts(both: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows (node, community): each community's connected parts, named by their smallest nodes."""
+    named = lambda x: label.select(F.col("node").alias(x), F.col("community").alias(f"c{x}"))
+    inside = both.where("a < b").join(named("a"), "a").join(named("b"), "b").where("ca = cb")
+    found = connected_components(inside.select("a", "b"))
+    return cut(label.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("community")), "parts")

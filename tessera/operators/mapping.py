@@ -39,9 +39,18 @@ def stack_tables(tables: Sequence[DataFrame | None], columns: Sequence[str], bla
     return C.validate_ids(out, blanks)
 
 
-def is_included(value: str | None, absent: Sequence[str] = ("", "none", "null", "na", "nan", "not_included", "false", "0")) -> bool:
-    """Whether an optional input is given: some words stand for its absence."""
-    return value is not None and value.strip().lower() not in absent
+#: Words that stand for the absence of an optional input.
+ABSENT = ("", "not included", "none", "null", "na")
+
+
+def is_included(value: str | None) -> bool:
+    """Whether an optional input is given: some words, in any case and with space around them, stand for its absence."""
+    return value is not None and value.strip().lower() not in ABSENT
+
+
+def included(value: Column) -> Column:
+    """:func:`is_included` of a column."""
+    return value.isNotNull() & ~F.lower(F.trim(value)).isin(*ABSENT)
 
 
 def embedding_clusters(embedding: DataFrame, clusters: DataFrame) -> DataFrame:

@@ -117,24 +117,30 @@ def transform_consensus(estimates: DataFrame, most_angle: float = 10.0, within:
 
     Estimates (pair, method, dx, dy, angle) turned by more than ``most_angle`` degrees go. In the order of their names methods join the cluster of
     the smallest mean distance, if that is within ``within`` pixels, or open one; two methods have two votes where they join one. Of the clusters with most votes,
-    three at least, the method of the highest priority speaks. A pair has one row per method, so a group is a handful of rows.
+    three at least, the method of the highest priority speaks. A pair has one row per method, seven at most; the clusters are a fold over them
+    in Spark's own columns. Null angles and offsets count as turned too far.
     """
-
-    def agree(g: pd.DataFrame) -> pd.DataFrame:
-        clusters: list[list] = []
-        for e in g[g.angle.abs() <= most_angle].sort_values("method").itertuples():
-            far = [sum(((e.dx - o.dx) ** 2 + (e.dy - o.dy) ** 2) ** 0.5 for o in c) / len(c) for c in clusters]
-            if far and min(far) <= within:
-                clusters[far.index(min(far))] += [e] * (2 if e.method in DOUBLE else 1)
-            else:
-                clusters.append([e])
-        votes = max(map(len, clusters), default=0)
-        best = [e for c in clusters if len(c) == votes for e in c if votes >= LEAST_VOTES and e.method in PRIORITY]
-        first = min(best, key=lambda e: PRIORITY.index(e.method), default=None)
-        row = (first.method, first.dx, first.dy) if first else (None, None, None)
-        return pd.DataFrame([(g.pair.iloc[0], *row, votes)], columns=["pair", "method", "dx", "dy", "votes"])
-
-    return estimates.select("pair", "method", "dx", "dy", "angle").groupBy("pair").applyInPandas(agree, "pair long, method string, dx double, dy double, votes int")
+    item = "struct<method: string, dx: double, dy: double>"
+    e = F.struct(F.col("method").cast("string").alias("method"), F.col("dx").cast("double").alias("dx"), F.col("dy").cast("double").alias("dy"))
+    good = (F.abs("angle") <= most_angle) & F.expr("method is not null and dx is not null and dy is not null")
+    rows = estimates.groupBy("pair").agg(F.array_sort(F.array_compact(F.collect_list(F.when(good, e)))).alias("rows"))
+
+    def join(clusters: Column, x: Column) -> Column:
+        apart = lambda o: F.sqrt((x["dx"] - o["dx"]) * (x["dx"] - o["dx"]) + (x["dy"] - o["dy"]) * (x["dy"] - o["dy"]))
+        far = F.transform(clusters, lambda c: F.aggregate(c, F.lit(0.0), lambda s, o: s + apart(o)) / F.size(c))
+        near = F.array_min(far)
+        twice = F.when(x["method"].isin(*DOUBLE), F.array(x, x)).otherwise(F.array(x))
+        at = F.array_position(far, near) - 1
+        grown = F.transform(clusters, lambda c, i: F.when(i == at, F.concat(c, twice)).otherwise(c))
+        return F.when(F.coalesce(near <= within, F.lit(False)), grown).otherwise(F.concat(clusters, F.array(F.array(x))))
+
+    clusters = F.aggregate("rows", F.array().cast(f"array<array<{item}>>"), join)
+    d = rows.withColumn("c", clusters).withColumn("votes", F.coalesce(F.array_max(F.transform("c", F.size)), F.lit(0)))
+    most = F.flatten(F.filter("c", lambda c: (F.size(c) == F.col("votes")) & (F.col("votes") >= LEAST_VOTES)))
+    rank = lambda x: F.array_position(F.array(*map(F.lit, PRIORITY)), x["method"])
+    known = F.transform(F.filter(most, lambda x: x["method"].isin(*PRIORITY)), lambda x: F.struct(rank(x).alias("rank"), x.alias("e")))
+    first = F.array_min(F.transform(known, lambda k: F.struct(k["rank"].alias("rank"), k["e"]["method"].alias("method"), k["e"]["dx"].alias("dx"), k["e"]["dy"].alias("dy"))))
+    return d.withColumn("first", first).select(F.col("pair").cast("long").alias("pair"), "first.method", "first.dx", "first.dy", F.col("votes").cast("int").alias("votes"))
 
 
 def pixel_scale(tiles: DataFrame, out_px: float) -> DataFrame:

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.plans.lineage import cut
+
 from tessera.operators.cells import KEY, first_by_hash, quoted, unpivot_markers
 
 
@@ -134,12 +136,28 @@ def hypergeometric_tail(a: str, label: str, sample: str, total: str) -> Column:
 
 
 def bh_adjust(df: DataFrame, p: str, by: Sequence[str], ties: Sequence[str]) -> DataFrame:
-    """Adds q_value: min over larger p of p * n / rank, at most 1; NaN and null p count as 1."""
+    """Adds q_value: min over larger p of p * n / rank, at most 1; NaN and null p count as 1.
+
+    Rows are sorted by range, so that one group may fill any number of tasks: a range's ranks go on from the counts of those before it, and its
+    least value takes in those of the ranges behind it. Only counts and minima of ranges, one row for each group and range, meet in one place.
+    """
+    by, columns = list(by), df.columns
     value = F.coalesce(F.nanvl(F.col(p), F.lit(1.0)), F.lit(1.0))
-    ranked = df.withColumn("_p", value).withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_p", *ties)))
-    ranked = ranked.withColumn("_n", F.count("*").over(Window.partitionBy(*by)))
-    down = Window.partitionBy(*by).orderBy(F.desc("_r")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return ranked.withColumn("q_value", F.least(F.lit(1.0), F.min(F.col("_p") * F.col("_n") / F.col("_r")).over(down))).drop("_p", "_r", "_n")
+    order = [*by, "_p", *ties]
+    d = df.withColumn("_p", value).repartitionByRange(*order).sortWithinPartitions(*order)
+    d = cut(d.withColumn("_range", F.spark_partition_id()), "ranges")
+    ranges = d.groupBy(*by, "_range").agg(F.count("*").alias("_k"))
+    whole, earlier = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumns({"_n": F.sum("_k").over(whole), "_before": F.coalesce(F.sum("_k").over(earlier), F.lit(0))}).drop("_k")
+    here = Window.partitionBy(*by, "_range").orderBy("_p", *ties)
+    met = lambda t, u: t.alias("x").join(u.alias("y"), [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in [*by, "_range"]])
+    ranked = met(d, ranges).select(*(F.col(f"x.`{c}`") for c in [*columns, "_p", "_range"]), "_n", "_before")
+    ranked = ranked.withColumn("_r", F.col("_before") + F.row_number().over(here)).withColumn("_v", F.col("_p") * F.col("_n") / F.col("_r"))
+    ranked = ranked.withColumn("_v", F.min("_v").over(here.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    least = ranked.groupBy(*by, "_range").agg(F.min("_v").alias("_least"))
+    behind = Window.partitionBy(*by).orderBy("_range").rowsBetween(1, Window.unboundedFollowing)
+    least = least.select(*by, "_range", F.min("_least").over(behind).alias("_behind"))
+    return met(ranked, least).select(*(F.col(f"x.`{c}`") for c in columns), F.least(F.lit(1.0), "_v", "_behind").alias("q_value"))
 
 
 def jaccard_methods(annotated: DataFrame, x: str, y: str) -> DataFrame:

@@ -15,6 +15,7 @@ from tessera.operators import pairing as R
 from tessera.operators import pixels as P
 from tessera.operators import quality as Q
 from tessera.operators import summaries as S
+from tessera.operators import tables as W
 from tessera.operators import tiles as T
 
 MARKERS = ("QTY", "PRICE", "DISC", "TAX")
@@ -608,36 +609,36 @@ def merge_versions_pick(v):
 
 @query("SELECT DISTINCT sample_id, cl_method, cluster FROM clusters")
 def distinct(v):
-    return v("clusters").select("sample_id", "cl_method", "cluster").distinct()
+    return W.distinct_rows(v("clusters"), ["sample_id", "cl_method", "cluster"])
 
 
 @query("SELECT OID, CAST(QTY AS DOUBLE) AS x FROM cells UNION ALL SELECT OID, CAST(X AS DOUBLE) FROM cells")
 def union_relaxed(v):
     c = v("cells")
-    return c.select("OID", F.col("QTY").alias("x")).unionByName(c.select("OID", F.col("X").cast("int").alias("x")))
+    return W.union_relaxed([c.select("OID", F.col("QTY").alias("x")), c.select("OID", F.col("X").cast("int").alias("x"))])
 
 
 @query("SELECT OID FROM cells WHERE QTY > 25 INTERSECT SELECT OID FROM cells WHERE TAX > 0.04")
 def intersect_keys(v):
     c = v("cells")
-    return c.where("QTY > 25").select("OID").intersect(c.where("TAX > 0.04").select("OID"))
+    return W.intersect_keys(c.where("QTY > 25"), c.where("TAX > 0.04"), ["OID"])
 
 
 @query("SELECT OID FROM cells WHERE QTY > 25 EXCEPT SELECT OID FROM cells WHERE TAX > 0.04")
 def except_sets(v):
     c = v("cells")
-    return c.where("QTY > 25").select("OID").exceptAll(c.where("TAX > 0.04").select("OID")).distinct()
+    return W.except_keys(c.where("QTY > 25"), c.where("TAX > 0.04"), ["OID"])
 
 
 @query("""SELECT sample_id, OID, max(cluster) FILTER (cl_method = 'kmeans') AS kmeans, max(cluster) FILTER (cl_method = 'phenograph') AS phenograph, max(cluster) FILTER (cl_method = 'som') AS som
   FROM clusters GROUP BY 1, 2""")
 def join_multi_method_wide(v):
-    return v("clusters").groupBy("sample_id", "OID").pivot("cl_method", ["kmeans", "phenograph", "som"]).agg(F.max("cluster")).na.drop("any")
+    return W.methods_wide(v("clusters"), ["kmeans", "phenograph", "som"])
 
 
 @query("SELECT count(DISTINCT cluster) AS k, cl_method FROM clusters GROUP BY 2")
 def clusters_k(v):
-    return v("clusters").groupBy("cl_method").agg(F.countDistinct("cluster").alias("k"))
+    return W.clusters_k(v("clusters"))
 
 
 @query(f"""WITH {_MARKERS}, k AS (SELECT cl_method, cluster, marker, mean, row_number() OVER (PARTITION BY cl_method, cluster ORDER BY mean DESC, marker) AS rank FROM ms QUALIFY rank <= 2),
@@ -961,4 +962,4 @@ def gmm_threshold(v):
     return L.mixture_threshold(P.angles(v("pixels")), "phi")
 
 
-from tessera import block_queries, more_queries  # noqa: E402, F401  the rest of the queries, in the same tables
+from tessera import block_queries, more_queries, table_queries  # noqa: E402, F401  the rest of the queries, in the same tables

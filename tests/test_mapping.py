@@ -66,7 +66,7 @@ def test_guards(spark):
         A.stack_tables([d], ("sample_id", "nothing"))
     with pytest.raises(ValueError, match="blank"):
         A.stack_tables([d.withColumn("OID", F.lit(" "))], ("sample_id", "OID"))
-    assert not A.is_included("None") and not A.is_included(None) and not A.is_included(" not_included ") and A.is_included("x.csv")
+    assert not A.is_included("None") and not A.is_included(None) and not A.is_included(" Not included ") and not A.is_included("") and A.is_included("x.csv") and A.is_included("nan") and A.is_included("0")
     with pytest.raises(ValueError, match="no type"):
         C.selected_celltypes(d.select(F.lit("").alias("CellType"), F.lit(1).alias("include")))
 

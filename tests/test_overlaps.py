@@ -157,6 +157,7 @@ def test_rectangles_of_very_different_sizes(spark):
     rng = random.Random(4)
     rows = [("s", k, x, x + w, y, y + h) for k in range(300) for x, y in [(rng.randrange(-300, 300), rng.randrange(-300, 300))] for w, h in [rng.choice([(0, 0), (3, 2), (16, 16), (17, 5), (100, 1), (1000, 1000)] if k % 20 == 0 else [(0, 0), (3, 2), (4, 4)])]]
     rows += [("t", 1, 0, 4, 0, 4), ("t", 2, 4, 8, 4, 8), ("t", 3, 9, 9, 9, 9), ("t", 4, 5, 2, 5, 2), ("t", None, 0, 9, 0, 9), (None, 6, 0, 9, 0, 9), ("t", 7, None, 9, 0, 9)]
+    rows = [(s, k, *(None if x is None else float(x) for x in box)) for s, k, *box in rows]
     t = spark.createDataFrame(rows, "slide string, id long, x0 double, x1 double, y0 double, y1 double")
     got = [tuple(r) for r in meeting(t, t, ["slide"]).collect()]
     good = [r for r in rows if r[0] and None not in r[2:] and r[2] <= r[3] and r[4] <= r[5]]
