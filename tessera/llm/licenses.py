@@ -2,33 +2,59 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.plans.lineage import cut
 
+
+
+class Notice(NamedTuple):
+    """A template: its words; those of them that tell it from related licenses, each of which a block must hold; and words of
+    related licenses, none of which it may hold."""
+
+    words: str
+    must: str = ""
+    without: str = ""
+
+
 #: The phrases that count as base, and notices in common use by label.
 PHRASES = {"mit": "mit license", "apache": "apache license", "gpl": "general public license"}
 TEMPLATES = {
     "mit": (
-        "released under the mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
+        Notice("released under the mit license", must="mit"),
+        Notice("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+        Notice("the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ),
     "apache": (
-        "licensed under the apache license version 2 0",
-        "you may not use this file except in compliance with the license you may obtain a copy of the license at",
+        Notice("licensed under the apache license version 2 0", must="apache"),
+        Notice("you may not use this file except in compliance with the license you may obtain a copy of the license at", must="compliance obtain"),
     ),
     "gpl": (
-        "this work is licensed under the gnu general public license version 3",
-        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
+        Notice("this work is licensed under the gnu general public license version 3", must="gnu general", without="lesser affero"),
+        Notice("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", must="gnu general", without="lesser affero"),
+    ),
+    "bsd": (Notice("redistribution and use in source and binary forms with or without modification are permitted", must="redistribution binary"),),
+    "mpl": (Notice("this source code form is subject to the terms of the mozilla public license v 2 0", must="mozilla"),),
+    "cc-by": (
+        Notice("licensed under cc by 4 0", must="cc by", without="sa nc nd"),
+        Notice("this work is licensed under a creative commons attribution 4 0 international license", must="creative attribution", without="sharealike noncommercial noderivatives"),
+    ),
+    "cc-by-sa": (
+        Notice("licensed under cc by sa 4 0", must="cc by sa", without="nc nd"),
+        Notice("this work is licensed under a creative commons attribution sharealike 4 0 international license", must="creative attribution sharealike", without="noncommercial"),
     ),
-    "bsd": ("redistribution and use in source and binary forms with or without modification are permitted",),
-    "mpl": ("this source code form is subject to the terms of the mozilla public license",),
-    "cc-by": ("licensed under cc by 4 0", "this work is licensed under a creative commons attribution 4 0 international license"),
-    "cc-by-sa": ("licensed under cc by sa 4 0",),
-    "cc-by-nc": ("licensed under cc by nc 4 0",),
-    "cc0": ("licensed under cc0 1 0", "to the extent possible under law the author has waived all copyright and related rights"),
-    "proprietary": ("all rights reserved",),
+    "cc-by-nc": (
+        Notice("licensed under cc by nc 4 0", must="cc by nc", without="sa nd"),
+        Notice("this work is licensed under a creative commons attribution noncommercial 4 0 international license", must="creative attribution noncommercial", without="sharealike"),
+    ),
+    "cc0": (
+        Notice("licensed under cc0 1 0", must="cc0"),
+        Notice("to the extent possible under law the author has waived all copyright and related rights", must="waived"),
+    ),
+    "proprietary": (Notice("all rights reserved no part of this work may be reproduced or transmitted in any form or by any means without the prior written permission", must="reserved reproduced permission"),),
 }
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of lower-cased text, and the same of text as it stands.
@@ -57,17 +83,26 @@ def needed(size: int, threshold: float) -> int:
     return -(-round(threshold * 100) * size // 100)
 
 
-def prefix_index(templates: dict[str, tuple[str, ...]], rank: dict[str, int], threshold: float) -> list[tuple]:
-    """Rows (token, position, label, ranks, need): each template as ranks of its words, rarest first, under each of its prefix.
+def notices(templates: dict) -> list[tuple[str, Notice]]:
+    """(label, notice) of all templates; plain strings are notices without further conditions."""
+    return [(label, t if isinstance(t, Notice) else Notice(t)) for label, texts in templates.items() for t in texts]
+
+
+def window_of(templates: dict) -> int:
+    return max(WINDOW, 2 * max((len(n.words.split()) for _, n in notices(templates)), default=0))
+
+
+def prefix_index(templates: dict, rank: dict[str, int], threshold: float) -> list[tuple]:
+    """Rows (token, position, label, ranks, need, must, without): each template as ranks of its words, rarest first, under each of its prefix.
 
     A block with ``need`` of a template's n words holds one of the n - need + 1 rarest.
     """
     rows = []
-    for label, texts in templates.items():
-        for text in texts:
-            ranks = sorted(rank[w] for w in set(text.split()))
-            need = needed(len(ranks), threshold)
-            rows += [(r, i, label, ranks, need) for i, r in enumerate(ranks[: len(ranks) - need + 1])]
+    for label, notice in notices(templates):
+        ranks = sorted(rank[w] for w in set(notice.words.split()))
+        need = needed(len(ranks), threshold)
+        more = [sorted(rank[w] for w in set(x.split())) for x in (notice.must, notice.without)]
+        rows += [(r, i, label, ranks, need, *more) for i, r in enumerate(ranks[: len(ranks) - need + 1])]
     return rows
 
 
@@ -81,22 +116,22 @@ def scan_licenses(
     joins the templates whose prefix holds one of its words. The length filter (a block needs as many template words
     as the template asks for) and the positional filter (what stands after the matched word, in the template and in the
     block, must suffice with it; so must what stands before it and after it) leave the blocks whose containment is
-    computed. ``score`` is the largest containment met, 1 for a base place, else 0.
+    computed. A block that meets a template must hold its distinguishing words and none of its relatives' (:class:`Notice`). ``score`` is the largest containment met, 1 for a base place, else 0.
 
     The texts' words are found once and written, as ranks, for texts with a prefix word only. Null and empty texts have
     no words. Repeated rows give equal rows, rows with a null id are scanned, too. Other columns are not read. An empty
     table gives no rows.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    window = max(WINDOW, 2 * max((len(t.split()) for texts in templates.values() for t in texts), default=0))
-    vocabulary = sorted({w for texts in templates.values() for t in texts for w in t.split()})
+    window = window_of(templates)
+    vocabulary = sorted({w for _, notice in notices(templates) for x in notice for w in x.split()})
     counts = token_counts(F.col("text"), d, vocabulary) if vocabulary else {}
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
     index = prefix_index(templates, rank, threshold)
     first = sorted({r[0] for r in index})
     named = {i: w for w, i in rank.items()}
     spark = d.sparkSession
-    rows = spark.createDataFrame(index, "rank int, position int, label string, words array<int>, need int")
+    rows = spark.createDataFrame(index, "rank int, position int, label string, words array<int>, need int, must array<int>, without array<int>")
 
     folded = lambda w: F.translate(w, UPPER, LOWER)
     w = d.select("doc_id", words_of(F.col("text")).alias("w"))
@@ -132,7 +167,8 @@ def scan_licenses(
     found = found.where(F.col("need") <= F.size("b"))
     found = found.where(F.least(F.col("position"), F.col("at")) + F.least(after("words", F.col("position")), after("b", F.col("at"))) >= F.col("need"))
     overlap = F.size(F.array_intersect("words", "b"))
-    found = found.where(overlap >= F.col("need")).select("row", "label", (overlap / F.size("words")).alias("containment"))
+    told = (F.size(F.array_except("must", "b")) == 0) & ~F.arrays_overlap("without", "b")
+    found = found.where((overlap >= F.col("need")) & told).select("row", "label", (overlap / F.size("words")).alias("containment"))
     found = found.groupBy("row").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
 
     columns = ["doc_id", "n_words", "p"]
@@ -148,16 +184,17 @@ def scan_licenses(
 
 
 def _values() -> str:
+    as_list = lambda x: f"CAST([{', '.join(repr(w) for w in sorted(set(x.split())))}] AS VARCHAR[])"
     rows = []
-    for label, texts in TEMPLATES.items():
-        for t in texts:
-            words = sorted(set(t.split()))
-            rows.append(f"('{label}', [{', '.join(repr(w) for w in words)}], {needed(len(words), THRESHOLD)})")
+    for label, notice in notices(TEMPLATES):
+        rows.append(f"('{label}', {', '.join(map(as_list, notice))}, {needed(len(set(notice.words.split())), THRESHOLD)})")
     return ", ".join(rows)
 
 
+_SPAN = window_of(TEMPLATES)
+
 LICENSE_SQL = rf"""
-WITH t(label, words, need) AS (VALUES {_values()}),
+WITH t(label, words, must, without, need) AS (VALUES {_values()}),
 d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM d),
 p AS (SELECT doc_id, unnest(list_filter(list_transform(range(1, len(w) + 1), lambda i: struct_pack(i := i - 1, label :=
@@ -165,9 +202,9 @@ p AS (SELECT doc_id, unnest(list_filter(list_transform(range(1, len(w) + 1), lam
          WHEN w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license' THEN 'gpl' END)), lambda x: x.label IS NOT NULL)) AS p FROM w),
 b AS (SELECT doc_id, count(*) AS n_base, CAST(min(p.i) AS BIGINT) AS first_word, CAST(max(p.i) AS BIGINT) AS last_word,
   string_agg(DISTINCT p.label, ',' ORDER BY p.label) AS base_labels FROM p GROUP BY doc_id),
-bl AS (SELECT doc_id, w[s : s + {WINDOW - 1}] AS b FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {WINDOW // 2}, 1) + 1, {WINDOW // 2})) AS s FROM w)),
+bl AS (SELECT doc_id, w[s : s + {_SPAN - 1}] AS b FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {_SPAN // 2}, 1) + 1, {_SPAN // 2})) AS s FROM w)),
 f AS (SELECT doc_id, label, len(list_distinct(list_intersect(words, b))) / len(words) AS c
-      FROM bl JOIN t ON len(list_distinct(list_intersect(words, b))) >= need),
+      FROM bl JOIN t ON len(list_distinct(list_intersect(words, b))) >= need AND list_has_all(b, must) AND NOT list_has_any(b, without)),
 a AS (SELECT doc_id, label, c FROM f UNION ALL SELECT doc_id, p.label, 1.0 FROM p),
 g AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(c) AS score FROM a GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
