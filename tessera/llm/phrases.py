@@ -15,9 +15,9 @@ from tessera.plans.lineage import cut, discard
 #: One document in so many is sampled, and a phrase seen so often in the sample is proposed. Both decide speed only.
 SAMPLE, PROPOSED = 8, 2
 #: Bytes of text that are counted together.
-TOGETHER = 1 << 21
+TOGETHER = 1 << 20
 #: Bits of the maps of proposed and frequent words and pairs, of one size for any input. What a full map lets through is counted in vain, exactly.
-MAP_BITS = 26
+MAP_BITS = 25
 
 #: Parts of a language's candidates that are ranked by themselves before the best of each meet.
 DEALS = 64
@@ -157,14 +157,17 @@ def mine(docs: DataFrame, least: int = 10, sample: int = SAMPLE, seed: int = 1)
     d = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), F.xxhash64("doc_id").alias("_h"))
     context = docs.sparkSession.sparkContext
 
-    def counted(of: DataFrame, now: tuple, before: list, first: bool) -> DataFrame:
+    def counted(of: DataFrame, now: tuple, before: list, first: bool, which: str) -> DataFrame:
         held = context.broadcast((now, before))
-        return of.select("lang", "text").mapInArrow(_counts(held, first, seed), _ROWS).groupBy("a", "b", "c", "word").agg(F.sum("n").alias("n"))
+        rows = of.select("lang", "text").mapInArrow(_counts(held, first, seed), _ROWS).groupBy("a", "b", "c", "word").agg(F.sum("n").alias("n"))
+        out = cut(rows.where(which), "counted")
+        held.unpersist()  # workers let go of a pass's maps before the next one's come
+        return out
 
-    proposed = cut(counted(d.where(F.pmod("_h", F.lit(sample)) == 0), (None, None), [], True).where(F.col("n") >= PROPOSED), "proposed")
+    proposed = counted(d.where(F.pmod("_h", F.lit(sample)) == 0), (None, None), [], True, f"n >= {PROPOSED}")
     now, before = _maps(proposed, PROPOSED), []
     discard(proposed)
-    found = cut(counted(d, now, before, True).where(F.col("word").isNotNull() | (F.col("n") >= least)), "counted")
+    found = counted(d, now, before, True, f"word is not null or n >= {least}")
     twice = found.where("b = 0").groupBy("a").count().where("count > 1")
     if not twice.isEmpty():
         raise ValueError("two words have the same key: take another seed")
@@ -175,7 +178,7 @@ def mine(docs: DataFrame, least: int = 10, sample: int = SAMPLE, seed: int = 1)
         if not ((words & ~_any(m[0] for m in before)).any() or (pairs & ~_any(m[1] for m in before)).any()):
             return out
         now = words, pairs
-        out = out.unionByName(cut(counted(d, now, before, False).where(F.col("n") >= least), "counted"))
+        out = out.unionByName(counted(d, now, before, False, f"n >= {least}"))
 
 
 def _any(maps) -> np.ndarray:
