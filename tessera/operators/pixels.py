@@ -555,32 +555,59 @@ def match_versions(reference: DataFrame, others: DataFrame, reach: int = 10, lea
     return reference.join(filled, list(AT), "left").select(*AT, F.coalesce("f", "v").alias("v"))
 
 
+def warp_all(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Dynamic time warping distances, with absolute differences, of many series of one length (k, n) to one series: a step takes an anti-diagonal of all of them."""
+    k, n, m = *a.shape, len(b)
+    one, two = np.full((k, n + 1), np.inf), np.full((k, n + 1), np.inf)  # the last two diagonals, by place in a plus one
+    for d in range(n + m - 1):
+        i = np.arange(max(0, d - m + 1), min(n - 1, d) + 1)
+        least = np.minimum(np.minimum(one[:, i + 1], one[:, i]), two[:, i]) if d else 0.0
+        new = np.full((k, n + 1), np.inf)
+        new[:, i + 1] = np.abs(a[:, i] - b[d - i]) + least
+        one, two = new, one
+    return one[:, n]
+
+
+def least_warp(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A lower bound of :func:`warp_all`: each value of one series is met by some value of the other, the nearest at best."""
+
+    def nearest(x: np.ndarray, values: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(values, x)
+        return np.minimum(np.abs(x - values[np.minimum(at, len(values) - 1)]), np.abs(x - values[np.maximum(at - 1, 0)]))
+
+    there = nearest(a.ravel(), np.sort(b)).reshape(a.shape).sum(axis=1)
+    back = np.array([nearest(b, np.sort(x)).sum() for x in a])
+    return np.maximum(there, back)
+
+
 def nearest_medoid(histograms: DataFrame, medoids: DataFrame) -> DataFrame:
     """For each image's histogram (image_id, bin, share) the class of the nearest medoid (class, bin, value) by dynamic time warping with absolute differences.
 
-    A group is one image's bins, a few hundred at most; medoids are a handful of rows per class, and go along with each task.
+    The first class by name wins ties. Images of as many bins are warped together, and only against medoids that a lower bound does not put beyond the nearest so far. An
+    image has a few hundred bins at most; medoids are a handful of rows per class, and go along with each task. Null shares and a null image count as no bin. Without medoids there are no rows.
     """
-    import numpy as np
-    import pandas as pd
-
-    rows = medoids.orderBy("class", "bin").collect()
     known: dict[str, list[float]] = {}
-    for r in rows:
+    for r in medoids.where("value is not null").orderBy("class", "bin").collect():
         known.setdefault(r["class"], []).append(float(r["value"]))
-
-    def warp(a: np.ndarray, b: np.ndarray) -> float:
-        cost = np.full(len(b) + 1, np.inf)
-        cost[0] = 0.0
-        for x in a:
-            new = np.full(len(b) + 1, np.inf)
-            for j, y in enumerate(b, 1):
-                new[j] = abs(x - y) + min(cost[j], new[j - 1], cost[j - 1])
-            cost = new
-        return float(cost[-1])
-
-    def nearest(g: pd.DataFrame) -> pd.DataFrame:
-        own = g.sort_values("bin")["share"].to_numpy(float)
-        best = min((warp(own, np.array(v)), c) for c, v in known.items())
-        return pd.DataFrame({"image_id": [g.image_id.iloc[0]], "class": [best[1]], "distance": [best[0]]})
-
-    return histograms.select("image_id", "bin", "share").groupBy("image_id").applyInPandas(nearest, "image_id string, class string, distance double")
+    series = [(c, np.array(v)) for c, v in sorted(known.items())]
+
+    def nearest(batches):
+        for batch in batches:
+            ids, shares = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            found: list[tuple] = [(None, np.inf)] * len(ids)
+            for n in {len(x) for x in shares}:
+                own = [k for k, x in enumerate(shares) if len(x) == n]
+                a, best, which = np.array([shares[k] for k in own], float), np.full(len(own), np.inf), np.zeros(len(own), int)
+                for c, (_, v) in enumerate(series):
+                    open_ = np.flatnonzero(least_warp(a, v) <= best + 1e-9)
+                    if len(open_):
+                        d = warp_all(a[open_], v)
+                        nearer = open_[d < best[open_]]
+                        best[nearer], which[nearer] = d[d < best[open_]], c
+                for k, c, d in zip(own, which.tolist(), best.tolist(), strict=True):
+                    found[k] = series[c][0], d
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c for c, _ in found], pa.string()), pa.array([d for _, d in found], pa.float64())], names=["image_id", "class", "distance"])
+
+    bins = F.sort_array(F.collect_list(F.struct("bin", F.col("share").cast("double").alias("share"))))  # a few hundred
+    rows = histograms.where("share is not null and image_id is not null").groupBy("image_id").agg(bins.alias("b")).select(F.col("image_id").cast("string").alias("image_id"), F.transform("b", lambda x: x["share"]).alias("v"))
+    return (rows if series else rows.limit(0)).mapInArrow(nearest, "image_id string, class string, distance double")

@@ -149,6 +149,32 @@ def test_nearest_medoid_by_warping(spark):
     assert {r.image_id: (r["class"], r.distance) for r in P.nearest_medoid(h, m).collect()} == {"i": ("peak", 0.0), "j": ("flat", 0.0)}
 
 
+def test_warping_together_equals_cell_by_cell(spark):
+    rng = np.random.default_rng(5)
+
+    def plain(a, b):
+        cost = [0.0] + [np.inf] * len(b)
+        for x in a:
+            new = [np.inf] * (len(b) + 1)
+            for j, y in enumerate(b, 1):
+                new[j] = abs(x - y) + min(cost[j], new[j - 1], cost[j - 1])
+            cost = new
+        return cost[-1]
+
+    known = {"c": rng.random(9), "a": rng.random(12), "b": rng.random(1), "far": 50 + rng.random(7)}
+    images = {f"i{k}": rng.random(int(rng.choice([1, 5, 9, 20]))) for k in range(40)} | {"same": known["c"].copy()}
+    for n in (1, 5, 9, 20):
+        a = np.array([x for x in images.values() if len(x) == n]).reshape(-1, n)
+        for v in known.values():
+            want = np.array([plain(x, v) for x in a])
+            assert np.array_equal(P.warp_all(a, v), want) and (P.least_warp(a, v) <= want + 1e-12).all()
+    h = spark.createDataFrame([(i, b, float(x)) for i, v in images.items() for b, x in enumerate(v)], "image_id string, bin int, share double")
+    m = spark.createDataFrame([(c, b, float(x)) for c, v in known.items() for b, x in enumerate(v)], "class string, bin int, value double")
+    got = {r.image_id: (r["class"], r.distance) for r in P.nearest_medoid(h, m).collect()}
+    assert got == {i: min(((plain(x, v), c) for c, v in known.items()))[::-1] for i, x in images.items()}
+    assert P.nearest_medoid(h, m.limit(0)).count() == 0 and P.nearest_medoid(h.limit(0), m).count() == 0
+
+
 def test_rectangles_of_very_different_sizes(spark):
     import random
 
