@@ -19,6 +19,8 @@ from tessera.plans.lineage import cut, discard
 LENGTH, GRAM = 100, 24
 #: Bytes of text that are scanned together, and places parsed at a time.
 TOGETHER, CHUNK = 1 << 22, 1 << 17
+#: Sample substrings that leave a task together: a run of one letter has one for each byte.
+TOGETHER_ROWS = 1 << 18
 #: Different substrings around one gram that a task sorts together; above it the bucket is dealt anew by longer keys.
 BUCKET = 2000
 #: Substrings that a task sorts in one go (whole buckets).
@@ -51,8 +53,8 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
 
 
-def parse(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Parse:
-    """Cut texts into sample substrings.
+def parse(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterator[Parse]:
+    """Cut texts into sample substrings, some TOGETHER_ROWS at a time.
 
     Each string of ``length`` bytes has an anchor: the gram in it with the smallest hash, the first of equals. Neighbouring
     strings with the same anchor are one sample substring. Anchors depend on the strings alone, so that equal strings
@@ -61,7 +63,7 @@ def parse(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Parse:
     size = np.array([len(t) for t in texts], np.int64)
     first = np.cumsum(size + 1) - size - 1
     raw = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
-    width, found = length - gram + 1, [[np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)]]
+    width, found, rows = length - gram + 1, [], 0
     up, down = powers(1 << (CHUNK + length).bit_length())
     for at in range(0, max(len(raw) - length + 1, 0), CHUNK):
         b = raw[at : at + CHUNK + length - 1]
@@ -77,7 +79,12 @@ def parse(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Parse:
         head, many = head[whole[head]], many[whole[head]]
         if len(head):
             found.append([text[head], begin[head] - first[text[head]], many, anchor[head] - head, grams[anchor[head]]])
-    return Parse(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            rows += len(head)
+        if rows >= TOGETHER_ROWS:
+            yield Parse(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            found, rows = [], 0
+    if found:
+        yield Parse(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
 def _bits(keys: DataFrame) -> np.ndarray:
@@ -108,8 +115,9 @@ def _anchors(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, block in _texts(batch):
-                keys, n = np.unique(parse(block, length, gram).key.view(np.int64), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int32))], names=["key", "n"])
+                for p in parse(block, length, gram):
+                    keys, n = np.unique(p.key.view(np.int64), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int32))], names=["key", "n"])
 
     return run
 
@@ -121,26 +129,27 @@ def _substrings(held, length: int, gram: int, with_text: bool):
     """Rows of sample substrings whose key (or, with their texts, whose own digest) is in the map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some, named = held.value
         for batch in batches:
             for ids, block in _texts(batch):
-                p, some, named = parse(block, length, gram), *held.value
-                kept = np.flatnonzero(_is_set(some, p.key.view(np.int64) & ((1 << MAP_BITS) - 1)))
-                stop = p.start[kept] + p.many[kept] + length - 1
-                pieces = [block[t][a:b] for t, a, b in zip(p.text[kept].tolist(), p.start[kept].tolist(), stop.tolist(), strict=True)]
-                names = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in pieces), np.int64).reshape(-1, 2)
-                if with_text:
-                    chosen = np.flatnonzero(_is_set(named, names[:, 0] & ((1 << MAP_BITS) - 1)))
-                    kept, names, pieces = kept[chosen], names[chosen], [pieces[k] for k in chosen.tolist()]
-                if not len(kept):
-                    continue
                 own = np.array([xxhash.xxh3_64_intdigest(t) for t in block], np.uint64).view(np.int64)
-                of = p.text[kept]
-                columns = [p.key[kept].view(np.int64), names[:, 0], names[:, 1], ids[of], own[of], p.start[kept], p.many[kept], p.anchor[kept]]
-                arrays = [pa.array(c) for c in columns]
-                if with_text:
-                    yield pa.RecordBatch.from_arrays([*arrays, pa.array(pieces, pa.binary())], names=[*_NAMED, "text"])
-                else:
-                    yield pa.RecordBatch.from_arrays(arrays, names=_NAMED)
+                for p in parse(block, length, gram):
+                    kept = np.flatnonzero(_is_set(some, p.key.view(np.int64) & ((1 << MAP_BITS) - 1)))
+                    stop = p.start[kept] + p.many[kept] + length - 1
+                    pieces = [block[t][a:b] for t, a, b in zip(p.text[kept].tolist(), p.start[kept].tolist(), stop.tolist(), strict=True)]
+                    names = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in pieces), np.int64).reshape(-1, 2)
+                    if with_text:
+                        chosen = np.flatnonzero(_is_set(named, names[:, 0] & ((1 << MAP_BITS) - 1)))
+                        kept, names, pieces = kept[chosen], names[chosen], [pieces[k] for k in chosen.tolist()]
+                    if not len(kept):
+                        continue
+                    of = p.text[kept]
+                    columns = [p.key[kept].view(np.int64), names[:, 0], names[:, 1], ids[of], own[of], p.start[kept], p.many[kept], p.anchor[kept]]
+                    arrays = [pa.array(c) for c in columns]
+                    if with_text:
+                        yield pa.RecordBatch.from_arrays([*arrays, pa.array(pieces, pa.binary())], names=[*_NAMED, "text"])
+                    else:
+                        yield pa.RecordBatch.from_arrays(arrays, names=_NAMED)
 
     return run
 

@@ -85,6 +85,19 @@ def test_a_text_over_several_pieces_of_the_parse(spark):
     assert [r[1:4] for r in got] == [(259_000, 0, 0), (300_000, 259_000, 1), (150, 150, 1)]
 
 
+def test_parts_of_the_parse_hold_all_strings(monkeypatch):
+    rng = random.Random(2)
+    texts = ["a" * 3000, "".join(rng.choice("ab") for _ in range(5000)), "", "x" * 99]
+    texts = [t.encode() for t in texts]
+    whole = list(suffix_arrays.parse(texts))
+    monkeypatch.setattr(suffix_arrays, "TOGETHER_ROWS", 500)
+    monkeypatch.setattr(suffix_arrays, "CHUNK", 1000)
+    for parts in (whole, list(suffix_arrays.parse(texts))):
+        got = [(t, s + k) for p in parts for t, s, m in zip(p.text.tolist(), p.start.tolist(), p.many.tolist(), strict=True) for k in range(m)]
+        assert sorted(got) == [(t, s) for t, b in enumerate(texts) for s in range(len(b) - 99)]
+    assert len(parts) > 3 and len(whole) == 1
+
+
 def test_many_texts_share_a_passage_between_texts_of_their_own(spark):
     rng = random.Random(9)
     passage = "".join(rng.choice("abcdefghij") for _ in range(140))
