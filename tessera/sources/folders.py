@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -92,7 +93,7 @@ def read_folder_tree(spark: SparkSession, path: str) -> DataFrame:
     """
     spark.dataSource.register(FolderSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("tessera_folder").load(path if "://" in path else f"file://{path}")
+    return spark.read.format("tessera_folder").load(path if "://" in path else f"file://{quote(path)}")
 
 
 def write_files(df: DataFrame, root: str) -> int:
@@ -107,7 +108,7 @@ def write_files(df: DataFrame, root: str) -> int:
                 if folder not in made:
                     store.create_dir(folder, recursive=True)
                     made.add(folder)
-                with store.open_output_stream(f"{base}/{path}") as out:
+                with store.open_output_stream(f"{base}/{path}", compression=None) as out:
                     out.write(content or b"")
                 n += 1
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
