@@ -107,16 +107,17 @@ def tile_overlaps(tiles: DataFrame, by: str = "slide", x: str = "stage_x", y: st
 def tile_neighbours(tiles: DataFrame, by: str = "slide", size: float = 2040.0) -> DataFrame:
     """Left, right, upper and lower neighbour: aligned within 10 % of the size, gap up to 1.3 sizes; the largest tile number wins.
 
-    ``l_n`` has the larger x and ``r_n`` the smaller one, ``u_n`` the larger y and ``d_n`` the smaller one.
+    ``l_n`` has the larger x and ``r_n`` the smaller one, ``u_n`` the larger y and ``d_n`` the smaller one. The join is a merge, as compressed
+    files of tiles look small enough to broadcast.
     """
     one, two = _near_cells(tiles, by, "stage_x", "stage_y", size * 1.3 + 1e-9)
     a = one.select(by, "gx", "gy", "tile", F.col("stage_x").alias("ax"), F.col("stage_y").alias("ay"))
     b = two.select(by, "gx", "gy", F.col("tile").alias("other"), (F.col("stage_x")).alias("bx"), F.col("stage_y").alias("by_"))
-    j = a.join(b, [by, "gx", "gy"]).where("tile <> other").withColumn("dx", F.col("bx") - F.col("ax")).withColumn("dy", F.col("by_") - F.col("ay"))
+    j = a.join(b.hint("merge"), [by, "gx", "gy"]).where("tile <> other").withColumn("dx", F.col("bx") - F.col("ax")).withColumn("dy", F.col("by_") - F.col("ay"))
     near = lambda along, across, sign: F.max(F.when((F.abs(across) < 0.1 * size) & (sign * F.col(along) > 0) & (sign * F.col(along) <= 1.3 * size), F.col("other")))
     found = j.groupBy(by, "tile").agg(
         near("dx", F.col("dy"), 1).alias("l_n"), near("dx", F.col("dy"), -1).alias("r_n"), near("dy", F.col("dx"), 1).alias("u_n"), near("dy", F.col("dx"), -1).alias("d_n"))
-    return tiles.select(by, "tile").join(found, [by, "tile"], "left")
+    return tiles.select(by, "tile").join(found.hint("merge"), [by, "tile"], "left")
 
 
 def iou(overlaps: DataFrame, area: float) -> DataFrame:
