@@ -21,3 +21,10 @@ def test_tile_neighbours_broadcast_no_table(spark):
     got = T.tile_neighbours(_tiles(spark))
     assert "BroadcastHashJoin" not in _plan(got)
     assert {r["tile"]: tuple(r)[2:] for r in got.where("tile in (0, 41)").collect()} == {0: (1, None, 40, None), 41: (42, 40, 81, 1)}
+
+
+def test_meeting_rectangles_are_merged(spark):
+    t = _tiles(spark).select("slide", F.col("tile").alias("id"), F.col("stage_x").alias("x0"), (F.col("stage_x") + 2040).alias("x1"), F.col("stage_y").alias("y0"), (F.col("stage_y") + 2040).alias("y1"))
+    got = meeting(t, t, ["slide"]).where("a < b")
+    assert _plan(got).count("SortMergeJoin") >= 2
+    assert got.where("a = 41").count() == 4
