@@ -23,6 +23,15 @@ def test_tile_neighbours_broadcast_no_table(spark):
     assert {r["tile"]: tuple(r)[2:] for r in got.where("tile in (0, 41)").collect()} == {0: (1, None, 40, None), 41: (42, 40, 81, 1)}
 
 
+def test_pairs_and_their_extension_broadcast_no_table(spark):
+    t = _tiles(spark)
+    near = t.select("tile", (F.col("tile") + 1).alias("other"))
+    pairs = cut(t.select(F.col("tile").alias("a"), (F.col("tile") + 40).alias("b"), *(F.lit(x).alias(c) for c, x in (("x0", 0.0), ("x1", 9.0), ("y0", 0.0), ("y1", 9.0)))), "pairs")
+    got = O.extend_pairs(pairs, near, t.select("tile", F.col("stage_x").alias("x"), F.col("stage_y").alias("y")), 100.0)
+    assert "BroadcastHashJoin" not in _plan(got)
+    assert tuple(got.where("a = 0").first()) == (0, 41, 40, 1836.0, 1845.0, 0.0, 9.0)
+
+
 def test_meeting_rectangles_are_merged(spark):
     t = _tiles(spark).select("slide", F.col("tile").alias("id"), F.col("stage_x").alias("x0"), (F.col("stage_x") + 2040).alias("x1"), F.col("stage_y").alias("y0"), (F.col("stage_y") + 2040).alias("y1"))
     got = meeting(t, t, ["slide"]).where("a < b")
