@@ -37,3 +37,10 @@ def test_meeting_rectangles_are_merged(spark):
     got = meeting(t, t, ["slide"]).where("a < b")
     assert _plan(got).count("SortMergeJoin") >= 2
     assert got.where("a = 41").count() == 4
+
+
+def test_winners_merge_their_scores(spark):
+    g = cut(spark.range(300).select(F.array(F.col("id"), F.col("id") + 1).alias("members")), "groups")
+    scores = cut(g.select("members", F.explode("members").alias("tile")).withColumn("score", F.col("tile") % 7 / 1.0), "scores")
+    got = O.overlap_winners(g, scores)
+    assert "BroadcastHashJoin" not in _plan(got) and got.where("rank = 1").count() == 300
