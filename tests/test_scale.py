@@ -44,3 +44,15 @@ def test_winners_merge_their_scores(spark):
     scores = cut(g.select("members", F.explode("members").alias("tile")).withColumn("score", F.col("tile") % 7 / 1.0), "scores")
     got = O.overlap_winners(g, scores)
     assert "BroadcastHashJoin" not in _plan(got) and got.where("rank = 1").count() == 300
+
+
+def test_rounds_of_three_digits_are_named_as_in_the_sql(spark, tmp_path):
+    import duckdb
+
+    from tessera import queries
+
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("user_id", F.lit(1).cast("long")).limit(120).write.parquet(f"{tmp_path}/events.parquet")
+    got = sorted(map(tuple, queries.QUERIES["fn_round_version_norm"](spark, str(tmp_path)).collect()))
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert len(got) > 100 and got == sorted(c.execute(queries.ORACLE_SQL["fn_round_version_norm"]).fetchall())
