@@ -85,15 +85,25 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.tif*") -> DataF
     return found.select("path", "length")
 
 
-def read_acquisition_json(spark: SparkSession, path: str, channel_numbers: dict[str, int] | None = None) -> DataFrame:
+def read_acquisition_json(spark: SparkSession, path: str, channel_numbers: dict[str, int] | None = None, pattern: str = "*") -> DataFrame:
     """One row per (well, item) of acquisition files: folder, well_name, marker_name, channel_id, channel_number, round_number, pixel_size.
 
-    The round is the place of the well's name among its folder's names, in the order in which they first stand in the file. ``--`` means AF. A channel
-    that ``channel_numbers`` does not name keeps its item's place.
+    ``path`` names files or a folder, whose files of names like ``pattern`` are read at any depth: executors list its folders, where a
+    pattern over them makes the driver do so one by one. The fields are known, so each file is opened once. The round is the place of the well's name among its folder's names, in the order in
+    which they first stand in the file. ``--`` means AF. A channel that ``channel_numbers`` does not name keeps its item's place.
     """
     from pyspark.sql import Window
 
-    d = spark.read.option("multiLine", True).json(path).select(F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1).alias("folder"), "resolution", F.posexplode("wells").alias("w", "well"))
+    schema = "resolution string, wells array<struct<wellName:string,items:array<struct<markerName:string,channel:string>>>>"
+    read = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"  # else a task for each folder
+    before = spark.conf.get(listing)
+    spark.conf.set(listing, 4 * spark.sparkContext.defaultParallelism)
+    try:
+        d = read.json(path)
+    finally:
+        spark.conf.set(listing, before)
+    d = d.select(F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1).alias("folder"), "resolution", F.posexplode("wells").alias("w", "well"))
     first = F.min("w").over(Window.partitionBy("folder", "well_name"))  # a folder has some dozens of wells
     d = d.select("folder", "resolution", "w", F.col("well.wellName").alias("well_name"), F.col("well.items").alias("items")).withColumn("first", first)
     d = d.withColumn("n", F.dense_rank().over(Window.partitionBy("folder").orderBy("first"))).select("*", F.posexplode("items").alias("k", "item"))

@@ -97,7 +97,10 @@ def read_folder_tree(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_files(df: DataFrame, root: str) -> int:
-    """A file below ``root`` for each row of (path, content binary); how many. Files of one path overwrite each other."""
+    """A file below ``root`` for each row of (path, content binary); how many. Files of one path overwrite each other.
+
+    Rows are dealt to as many tasks as shuffles have partitions, as a file costs the same time however short it is.
+    """
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(root)
@@ -113,4 +116,5 @@ def write_files(df: DataFrame, root: str) -> int:
                 n += 1
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
-    return df.select("path", F.col("content").cast("binary")).mapInArrow(put, "n long").agg(F.sum("n")).first()[0] or 0
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select("path", F.col("content").cast("binary")).repartition(tasks, "path").mapInArrow(put, "n long").agg(F.sum("n")).first()[0] or 0

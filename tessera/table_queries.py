@@ -54,7 +54,7 @@ def src_xpd_json(v):
     jobs = wells.groupBy("slide_id").agg(F.to_json(F.struct(F.lit(0.5).alias("resolution"), well.alias("wells"))).alias("content"))
     root = new_path(a.sparkSession, "xpd")
     folders.write_files(jobs.select(F.concat("slide_id", F.lit("/design.xpd.json")).alias("path"), "content"), root)
-    return files.read_acquisition_json(a.sparkSession, f"{root}/*/*.json")
+    return files.read_acquisition_json(a.sparkSession, root, pattern="*.json")
 
 
 def _written(v):

@@ -46,6 +46,14 @@ def test_winners_merge_their_scores(spark):
     assert "BroadcastHashJoin" not in _plan(got) and got.where("rank = 1").count() == 300
 
 
+def test_acquisition_files_without_items(spark, tmp_path):
+    from tessera.sources import files
+
+    (tmp_path / "s1").mkdir()
+    (tmp_path / "s1" / "x.json").write_text('{"resolution": 0.5, "wells": []}')
+    assert files.read_acquisition_json(spark, str(tmp_path), pattern="*.json").count() == 0
+
+
 def test_rounds_of_three_digits_are_named_as_in_the_sql(spark, tmp_path):
     import duckdb
 
