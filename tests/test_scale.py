@@ -54,6 +54,16 @@ def test_acquisition_files_without_items(spark, tmp_path):
     assert files.read_acquisition_json(spark, str(tmp_path), pattern="*.json").count() == 0
 
 
+def test_job_files_are_written_without_a_committer(spark, tmp_path, monkeypatch):
+    from tessera import queries  # first: it imports the others
+    from tessera import more_queries
+
+    monkeypatch.setattr(more_queries, "new_path", lambda s, n: f"file://{tmp_path}/jobs")
+    got = queries.QUERIES["src_jobfile_xml"](spark, "/root/testdata/sf0.001")
+    assert got.count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    assert not (tmp_path / "jobs" / "_SUCCESS").exists() and len(list((tmp_path / "jobs").glob("u*.xml"))) > 1
+
+
 def test_rounds_of_three_digits_are_named_as_in_the_sql(spark, tmp_path):
     import duckdb
 
