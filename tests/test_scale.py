@@ -46,6 +46,21 @@ def test_winners_merge_their_scores(spark):
     assert "BroadcastHashJoin" not in _plan(got) and got.where("rank = 1").count() == 300
 
 
+def test_kmeans_reads_its_rows_once_for_all_restarts(spark):
+    from tessera.operators import learning as L
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(60).select(F.col("id").cast("string").alias("OID"), F.udf(count, "double")((F.col("id") % 6 * 10).cast("double")).alias("a"), F.lit(1.0).alias("b"))
+    got = L.kmeans(df, ("a", "b"), ("OID",), 3, restarts=4).collect()
+    assert len(got) == 60 and len({(int(r["OID"]) % 6, r["cluster"]) for r in got}) == 6
+    assert seen.value < 4 * 60  # once to count, and once or twice to assign
+
+
 def test_acquisition_files_without_items(spark, tmp_path):
     from tessera.sources import files
 
