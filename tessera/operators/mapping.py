@@ -14,6 +14,7 @@ from tessera.operators import cells as C
 from tessera.operators import neighbours as N
 from tessera.operators.cells import KEY, quoted
 from tessera.operators.summaries import density2d, fill_dictionary, fingerprints
+from tessera.plans.lineage import cut
 
 
 def cell_id() -> Column:
@@ -69,7 +70,7 @@ def cluster_reference(embedding: DataFrame, clusters: DataFrame) -> DataFrame:
 def consensus_reference(cells: DataFrame, consensus: DataFrame, noise: str = "NOISE") -> DataFrame:
     """Inner join of cells with their agreed type; blank types and noise go, no cell left is an error."""
     named = consensus.where(~C.blank("CellType") & (F.col("CellType") != noise)).select(*KEY, F.trim("CellType").alias("CellType"))
-    out = cells.join(named, list(KEY))
+    out = cut(cells.join(named, list(KEY)), "agreed")  # once: the guard would shuffle all cells a second time
     if out.isEmpty():
         raise ValueError("no cell has an agreed type")
     return out
