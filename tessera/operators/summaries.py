@@ -14,16 +14,16 @@ from tessera.operators.cells import KEY, first_by_hash, quoted, unpivot_markers
 
 
 
-def _cells() -> Column:
-    return F.struct(*KEY)
-
-
 def confusion_matrix(clusters: DataFrame) -> DataFrame:
     """Dense label x sample grid per method: N distinct cells, Jaccard and Dice (0 where nothing is there)."""
-    n = clusters.groupBy("cl_method", "cluster", "sample_id").agg(F.countDistinct(_cells()).alias("N"))
+    # each cell's labels meet once; the first of them counts the cell for its sample
+    cells = clusters.groupBy("cl_method", *KEY).agg(F.collect_set(F.struct("cluster")).alias("l"))
+    each = cells.select("cl_method", "sample_id", F.posexplode("l").alias("i", "x")).select("cl_method", "x.cluster", "sample_id", "i")
+    counts = cut(each.groupBy("cl_method", "cluster", "sample_id").agg(F.count("*").alias("N"), F.count_if(F.col("i") == 0).alias("first")), "counts")
+    n = counts.drop("first")
     # a cell's key holds its sample, so a label's distinct cells add up over samples
     labels = n.groupBy("cl_method", "cluster").agg(F.sum("N").alias("n_label"))
-    samples = clusters.groupBy("cl_method", "sample_id").agg(F.countDistinct(_cells()).alias("n_sample"))
+    samples = counts.groupBy("cl_method", "sample_id").agg(F.sum("first").alias("n_sample"))
     grid = labels.join(samples, "cl_method").join(n, ["cl_method", "cluster", "sample_id"], "left").fillna(0, ["N"])
     union, both = F.col("n_label") + F.col("n_sample") - F.col("N"), F.col("n_label") + F.col("n_sample")
     return grid.select(
@@ -173,11 +173,15 @@ def jaccard_methods(annotated: DataFrame, x: str, y: str) -> DataFrame:
 def jaccard_table(annotated: DataFrame) -> DataFrame:
     """For each pair of methods (the first by name as x) the Jaccard of their labels over cells that both have, on the union of their label names, with margins.
 
-    Rows and columns ``Total`` hold the counts of the other side's labels; their Jaccard is 0. One join of the annotations with themselves serves all pairs.
+    Rows and columns ``Total`` hold the counts of the other side's labels; their Jaccard is 0. Each cell's labels, a few for each method, meet once, and pairs are made of them there.
     """
-    side = lambda x: annotated.select(*KEY, F.col("cl_method").alias(f"method_{x}"), F.col("annotation").alias(f"label_{x}")).distinct()
+    side = lambda x: F.explode("l").alias(x)
     methods = ["method_x", "method_y"]
-    n = side("x").join(side("y"), list(KEY)).where("method_x < method_y").groupBy(*methods, "label_x", "label_y").agg(F.count("*").alias("n"))
+    # a null key or method pairs with nothing
+    cells = annotated.dropna("any", subset=[*KEY, "cl_method"]).groupBy(*KEY).agg(F.collect_set(F.struct("cl_method", "annotation")).alias("l"))
+    both = cells.select("l", side("x")).select("x", side("y")).where("x.cl_method < y.cl_method")
+    both = both.select(F.col("x.cl_method").alias("method_x"), F.col("y.cl_method").alias("method_y"), F.col("x.annotation").alias("label_x"), F.col("y.annotation").alias("label_y"))
+    n = both.groupBy(*methods, "label_x", "label_y").agg(F.count("*").alias("n"))
     left, right = n.groupBy(*methods, "label_x").agg(F.sum("n").alias("n_x")), n.groupBy(*methods, "label_y").agg(F.sum("n").alias("n_y"))
     names = left.select(*methods, F.col("label_x").alias("l")).union(right.select(*methods, "label_y")).distinct()
     grid = names.withColumnRenamed("l", "label_x").join(names.withColumnRenamed("l", "label_y"), methods)
@@ -200,7 +204,7 @@ def consensus(annotated: DataFrame) -> DataFrame:
     """Cells whose label (text before the first _) more than half of all methods share."""
     votes = annotated.withColumn("label", F.split("annotation", "_")[0])
     methods = annotated.agg(F.countDistinct("cl_method").alias("methods"))
-    n = votes.groupBy(*KEY, "label").agg(F.countDistinct("cl_method").alias("votes"))
+    n = votes.groupBy(*KEY, "label").agg(F.size(F.collect_set("cl_method")).cast("long").alias("votes"))  # a few names: one shuffle instead of two
     return n.join(F.broadcast(methods)).where("2 * votes > methods").select(*KEY, F.col("label").alias("CellType"), "votes")  # one row
 
 
@@ -212,7 +216,7 @@ def medians(df: DataFrame, by: Sequence[str], values: Sequence[str]) -> DataFram
     """Exact medians per group; see :func:`tessera.operators.pixels.exact_quantiles`."""
     from tessera.operators.pixels import exact_quantiles
 
-    d, out = df.withColumn("_g", F.struct(*by)), None
+    d, out = cut(df.select(F.struct(*by).alias("_g"), *map(quoted, values)), "values"), None  # read several times by each value
     for v in values:
         m = exact_quantiles(d.select("_g", quoted(v).alias("_v")), "_g", "_v", (0.5,)).select("_g", F.col("q")[0].alias(v))
         out = m if out is None else out.join(m, "_g", "full")
@@ -233,8 +237,10 @@ def marker_ranges(df: DataFrame, markers: Sequence[str], low: float = 0.01, high
 
 def top_markers(cells: DataFrame, clusters: DataFrame, markers: Sequence[str], top: int = 10) -> DataFrame:
     """Mean inside and outside of each cluster; the ``top`` markers by mean inside."""
-    joined = unpivot_markers(cells.join(clusters, list(KEY)), ("cl_method", "cluster"), markers)
-    part = joined.groupBy("cl_method", "cluster", "marker").agg(F.sum("value").alias("s"), F.count("value").alias("n"))
+    value = lambda m: quoted(m).cast("double")
+    sums = cells.join(clusters, list(KEY)).groupBy("cl_method", "cluster").agg(*(f(value(m)).alias(f"{x}{i}") for i, m in enumerate(markers) for x, f in (("s", F.sum), ("n", F.count))))
+    rows = F.array(*(F.struct(F.lit(m).alias("marker"), F.col(f"s{i}").alias("s"), F.col(f"n{i}").alias("n")) for i, m in enumerate(markers)))  # sums, not cells, by marker
+    part = sums.select("cl_method", "cluster", F.inline(rows))
     whole = Window.partitionBy("cl_method", "marker")
     part = part.withColumn("_s", F.sum("s").over(whole)).withColumn("_n", F.sum("n").over(whole))
     out = part.select("cl_method", "cluster", "marker", (F.col("s") / F.col("n")).alias("mean_in"), ((F.col("_s") - F.col("s")) / F.nullif(F.col("_n") - F.col("n"), F.lit(0))).alias("mean_out"))
@@ -287,10 +293,10 @@ def rank_markers(means: DataFrame, percentages: DataFrame, top: int = 15) -> Dat
 
 
 def conflicts(annotations: DataFrame, label: str = "CellType") -> DataFrame:
-    """Cells with several annotations keep the globally rarest (all of them on ties), with all in ``conflict_id``."""
+    """Cells with several annotations keep the globally rarest (all of them on ties), with all in ``conflict_id``. Labels are names of cell types: few, and not dealt by them, as cells would meet in as few tasks."""
     n = annotations.groupBy(label).agg(F.count("*").alias("_global"))
     w = Window.partitionBy(*KEY)
-    a = annotations.join(n, label).withColumn("_k", F.count("*").over(w)).where("_k > 1")
+    a = annotations.join(F.broadcast(n), label).withColumn("_k", F.count("*").over(w)).where("_k > 1")
     a = a.withColumn("conflict_id", F.array_join(F.array_sort(F.collect_list(label).over(w)), "___")).withColumn("_least", F.min("_global").over(w))
     return a.where("_global = _least").select(*KEY, label, "conflict_id")
 
