@@ -89,3 +89,32 @@ def test_rounds_of_three_digits_are_named_as_in_the_sql(spark, tmp_path):
     c = duckdb.connect()
     c.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
     assert len(got) > 100 and got == sorted(c.execute(queries.ORACLE_SQL["fn_round_version_norm"]).fetchall())
+
+
+def test_labels_are_not_what_rows_are_dealt_by(spark):
+    from tessera.operators import cells as C
+    from tessera.operators import pixels as P
+    from tessera.operators import summaries as S
+
+    a = cut(spark.range(300).select(F.lit("s").alias("sample_id"), (F.col("id") % 200).cast("string").alias("OID"), F.when(F.col("id") < 200, "T").otherwise("B").alias("CellType")), "cells")
+    chosen = cut(spark.createDataFrame([("B", 1)], "CellType string, include int"), "chosen")
+    px = cut(spark.range(50).select(F.lit("AF").alias("image_id"), F.col("id").cast("int").alias("r"), F.lit(0).alias("c"), F.lit(1.0).alias("v")), "px")
+    scores = px.groupBy("image_id").agg(F.lit(1.0).alias("score"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # tables too large for Spark to broadcast by itself
+    try:
+        plans = [_plan(x) for x in (S.conflicts(a), C.join_selected(a, chosen), P.layer_priority(px, scores))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert all("SortMergeJoin" not in p for p in plans)
+    assert S.conflicts(a).count() == 100 and C.join_selected(a, chosen).count() == 100
+
+
+def test_cells_are_shuffled_once_for_their_labels(spark):
+    from tessera.operators import summaries as S
+
+    rows = [("s", "1", "a", "T_x"), ("s", "1", "b", "T_y"), ("s", "2", "a", "B_x"), ("s", "2", "b", "T_y")]
+    a = cut(spark.createDataFrame(rows, "sample_id string, OID string, cl_method string, annotation string"), "annotated")
+    assert _plan(S.consensus(a)).count("Exchange hashpartitioning(sample_id") == 1
+    assert _plan(S.jaccard_table(a)).count("SortMergeJoin [sample_id") == 0
+    assert [tuple(r) for r in S.consensus(a).collect()] == [("s", "1", "T", 2)]
