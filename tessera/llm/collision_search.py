@@ -15,9 +15,13 @@ from tessera.plans.lineage import cut
 PROJECTIONS = 96
 #: Share of the projections in which a vector must lie in the query's window to be verified.
 SHARE = 0.88
-#: Window half-widths: the first, and the factor of each rehashing. A search ends when the window is WIDE times the
-#: distance of the k-th found: a nearer vector would miss the threshold with a probability of a few percent.
+#: Window half-widths: the first where fewer than k rows are known, and the factor of each rehashing. A search ends when the window
+#: is WIDE times the distance of the k-th found: a nearer vector would miss the threshold with a probability of a few percent.
 FIRST, FACTOR, WIDE = 0.5, 1.5, 1.75
+#: Rows on either side of a query in each projection that are verified first, for a distance that the first window starts from.
+BESIDE = 2
+#: Ranks are counted in so many steps, so that a rank is a byte.
+STEPS = 255
 QUERY_BLOCK, DATA_BLOCK = 1024, 8192
 BATCH = 32
 
@@ -30,25 +34,33 @@ def _augment(x: np.ndarray, most: float) -> np.ndarray:
 
 
 class _Index:
-    """Projections of a block, each as a sorted array and the rank of every row in it."""
+    """Projections of a block, each as a sorted array, its order and the step of every row's rank in it."""
 
     def __init__(self, points: np.ndarray, axes: np.ndarray):
         h = points @ axes
         order = np.argsort(h, axis=0, kind="stable")
         self.sorted = np.take_along_axis(h, order, axis=0).T.copy()
-        rank = np.empty_like(order)
-        np.put_along_axis(rank, order, np.arange(len(points))[:, None], axis=0)
-        self.rank = rank.T.astype(np.uint16 if len(points) < 1 << 16 else np.uint32).copy()
-
-    def collisions(self, h: np.ndarray, width: float) -> np.ndarray:
-        """For each query (rows of h) and row the number of windows [h - width, h + width] that hold the row."""
+        self.order = order.T.astype(np.int32)
+        self.step = (np.arange(len(points)) * STEPS // len(points)).astype(np.uint8)
+        self.rank = np.empty((h.shape[1], len(points)), np.uint8)
+        np.put_along_axis(self.rank, order.T, self.step[None], axis=1)
+
+    def beside(self, h: np.ndarray) -> np.ndarray:
+        """For each query (rows of h) the rows next to it in the projections, several times where they are in several."""
+        n, at = self.order.shape[1], np.arange(-BESIDE, BESIDE)
+        places = [np.clip(np.searchsorted(self.sorted[j], h[:, j])[:, None] + at, 0, n - 1) for j in range(len(self.order))]
+        return np.hstack([self.order[j][x] for j, x in enumerate(places)])
+
+    def collisions(self, h: np.ndarray, width: np.ndarray) -> np.ndarray:
+        """For each query (rows of h) and row the number of windows [h - width, h + width] that hold the row; a window is widened to whole steps."""
         m, n = self.rank.shape
-        kind = self.rank.dtype
-        counts, inside, shifted = np.zeros((len(h), n), np.uint8), np.empty((len(h), n), np.uint8), np.empty((len(h), n), kind)
+        counts, inside, shifted = (np.zeros((len(h), n), np.uint8) for _ in range(3))
         for j in range(m):
             low = np.searchsorted(self.sorted[j], h[:, j] - width)
-            size = np.searchsorted(self.sorted[j], h[:, j] + width, "right") - low
-            np.subtract(self.rank[j][None, :], low.astype(kind)[:, None], out=shifted)  # below the window it wraps round
+            end = np.searchsorted(self.sorted[j], h[:, j] + width, "right")
+            first = self.step[np.minimum(low, n - 1)]
+            size = np.where(end > low, self.step[np.maximum(end, 1) - 1] - first + np.uint8(1), np.uint8(0))
+            np.subtract(self.rank[j][None, :], first[:, None], out=shifted)  # below the window it wraps round
             np.less(shifted, size[:, None], out=inside.view(bool))
             counts += inside
         return counts
@@ -78,29 +90,35 @@ def _search(group: pa.Table, k: int, most: float, seed: int) -> pa.Table:
 def _batch(index: _Index, q, q_ids, h, o, o_ids, k: int, most: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """The k best rows of the block for each query of a batch, and their inner products."""
     best: list = [(np.empty(0, int), np.empty(0))] * len(q)
-    seen, todo, width = np.zeros((len(q), len(o)), bool), np.arange(len(q)), FIRST
+    seen, todo, width = np.zeros((len(q), len(o)), bool), np.arange(len(q)), np.full(len(q), FIRST)
     length = np.sqrt(np.einsum("ij,ij->i", q, q))
     need = ceil(SHARE * PROJECTIONS)
+
+    def verify(i: int, new: np.ndarray) -> float:
+        """Keep the best k; the window that their k-th asks for, from its distance on the sphere of the augmented vectors."""
+        new = new[o_ids[new] != q_ids[i]]
+        if len(new):
+            rows = np.concatenate((best[i][0], new))
+            scores = np.concatenate((best[i][1], o[new] @ q[i]))
+            if len(rows) > k:
+                few = np.argpartition(-scores, k - 1)
+                rows, scores = (z[scores >= scores[few[k - 1]]] for z in (rows, scores))
+            best[i] = rows, scores
+        return WIDE * sqrt(max(0.0, 2 - 2 * best[i][1].min() / (length[i] * most))) if len(best[i][0]) >= k else np.inf
+
+    near = index.beside(h)
+    for i in todo:
+        new = np.unique(near[i])
+        seen[i, new] = True
+        if (asked := verify(i, new)) < np.inf:
+            width[i] = asked
     while len(todo):
-        hit = index.collisions(h[todo], width) >= need
+        hit = index.collisions(h[todo], width[todo]) >= need
         hit &= ~seen[todo]
         seen[todo] |= hit
-        rest = []
-        for t, i in enumerate(todo):
-            new = np.flatnonzero(hit[t])
-            new = new[o_ids[new] != q_ids[i]]
-            if len(new):
-                rows = np.concatenate((best[i][0], new))
-                scores = np.concatenate((best[i][1], o[new] @ q[i]))
-                if len(rows) > k:
-                    few = np.argpartition(-scores, k - 1)
-                    rows, scores = (z[scores >= scores[few[k - 1]]] for z in (rows, scores))
-                best[i] = rows, scores
-            # distance on the sphere of the augmented vectors, from the k-th inner product
-            far = sqrt(max(0.0, 2 - 2 * best[i][1].min() / (length[i] * most))) if len(best[i][0]) >= k else 2.0
-            if width < WIDE * far and not seen[i].all():
-                rest.append(i)
-        todo, width = np.array(rest, int), width * FACTOR
+        asked = np.array([verify(i, np.flatnonzero(hit[t])) for t, i in enumerate(todo)])
+        todo = todo[(width[todo] < asked) & ~seen[todo].all(axis=1)]
+        width[todo] *= FACTOR
     done = []
     for i, (rows, _) in enumerate(best):
         scores = np.einsum("ij,j->i", o[rows], q[i])
@@ -117,8 +135,9 @@ def search(
 
     All rows are dealt into blocks of about ``data_block``, the queries into blocks of about ``query_block``, and a task searches one with
     the other: it sorts the block by each of ``PROJECTIONS`` random projections, counts for each query the windows around
-    its own projections that hold a row, and verifies the rows that reach the threshold; windows widen until the k-th
-    found is near enough (or all rows are verified, so small tables give all candidates). The best of the blocks are merged.
+    its own projections that hold a row, and verifies the rows that reach the threshold. The rows next to a query in the projections
+    give the first window; windows widen until the k-th found is near enough (or all rows are verified, so small tables give all
+    candidates). The best of the blocks are merged.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null id, take no part; neither do pairs of
     different lengths. Ties go to the smaller id. Rows that repeat an id and its vector count once, as candidates and as queries; of several

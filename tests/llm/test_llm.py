@@ -588,6 +588,26 @@ def test_search_repeated_rows_ties_and_empty_tables(spark):
     assert collision_search.search(rows.where("false"), rows.where("false")).count() == 0
 
 
+def test_search_counts_each_window_once_and_misses_little(monkeypatch):
+    rng, calls = np.random.default_rng(7), []
+    x = rng.standard_normal((2000, 64))
+    x[300:340] = x[0]  # copies, all at one place of every projection
+    x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    most, ids, axes = 1 + 1e-12, np.arange(2000), rng.standard_normal((65, collision_search.PROJECTIONS))
+    count = collision_search._Index.collisions
+    monkeypatch.setattr(collision_search._Index, "collisions", lambda self, h, width: calls.append(len(h)) or count(self, h, width))
+    q = x[:256]
+    h = np.hstack((q, np.zeros((256, 1)))) @ axes
+    s = q @ x.T
+    s[np.arange(256), np.arange(256)] = -np.inf
+
+    index = collision_search._Index(collision_search._augment(x, most), axes)
+    got = collision_search._batch(index, q, ids[:256], h, x, ids, 20, most)
+    assert sum(len(set(r) & set(np.lexsort((ids, -s[i]))[:20])) for i, (r, _) in enumerate(got)) > 0.98 * 256 * 20 and calls == [256]
+    index = collision_search._Index(collision_search._augment(x[:260], most), axes)
+    assert {len(r) for r, _ in collision_search._batch(index, q, ids[:256], h, x[:260], ids[:260], 300, most)} == {259}  # fewer rows than asked for: all of them
+
+
 # pipeline ---------------------------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark):
