@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.hashes import LETTERS, blocks, byte_set, mix, split
-from tessera.plans.lineage import cut, discard
+from tessera.plans.lineage import collect, cut, discard
 
 #: One document in so many is sampled, and a phrase seen so often in the sample is proposed. Both decide speed only.
 SAMPLE, PROPOSED = 8, 2
+#: The pass over all texts counts keys in so many parts, one after the other, so that the sums of a task and the shuffle hold a part of them.
+PARTS = 2
 #: Bytes of text that are counted together.
 TOGETHER = 1 << 21
 #: Bits of the maps of proposed and frequent words and pairs, of one size for any input. What a full map lets through is counted in vain, exactly.
@@ -44,8 +46,10 @@ class _Block:
         self.follows = ends[self.starts[1:]] == ends[self.ends[:-1] - 1]
         self.pair = mix(self.key[:-1] * _ODD + self.key[1:])
 
-    def words(self) -> tuple[list, ...]:
-        keys, place, n = np.unique(self.key, return_index=True, return_counts=True)
+    def words(self, some: np.ndarray) -> tuple[list, ...]:
+        at = np.flatnonzero(some)
+        keys, place, n = np.unique(self.key[at], return_index=True, return_counts=True)
+        place = at[place]
         first = zip(self.text[place].tolist(), self.starts[place].tolist(), self.ends[place].tolist(), strict=True)
         return keys, [f"{self.langs[t]}\0{self.data[a:b].decode()}" for t, a, b in first], n
 
@@ -81,24 +85,25 @@ def _summed(keys: list[np.ndarray], by: np.ndarray) -> tuple[np.ndarray, ...]:
     return *(k[at[:-1]] for k in keys), np.diff(at)
 
 
-def _counts(held, first: bool, seed: int):
-    """Of each block: words (in the first pass), and the pairs and triples that this pass's maps enable and no earlier ones did."""
+def _counts(held, first: bool, seed: int, part: int = 0, parts: int = 1):
+    """Of each block: words (in the first pass), and the pairs and triples that this pass's maps enable and no earlier ones did; of all keys one of ``parts``."""
 
     def rows(kind: int, keys: tuple, n: np.ndarray, words=None) -> pa.RecordBatch:
         columns = [pa.array(k.view(np.int64)) for k in keys] + [pa.array(np.zeros(len(n), np.int64))] * (3 - kind)
         return pa.RecordBatch.from_arrays([*columns, pa.array(words if words else [None] * len(n), pa.string()), pa.array(n.astype(np.int64))], names=names)
 
     names = [x.split()[0] for x in _ROWS.split(", ")]
+    mine = lambda key: (key >> np.uint64(32)) % np.uint64(parts) == part if parts > 1 else np.ones(len(key), bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, before = held.value
         for batch in batches:
             langs, at = batch.column(0).to_pylist(), 0
-            for texts in blocks(batch.column(1).to_pylist(), TOGETHER):
+            for texts in blocks((t.as_py() for t in batch.column(1)), TOGETHER):
                 b = _Block(langs[at : at + len(texts)], texts, seed)
                 at += len(texts)
                 if first and len(b.key):
-                    keys, words, n = b.words()
+                    keys, words, n = b.words(mine(b.key))
                     yield rows(1, (keys,), n, words)
                 if len(b.key) < 2:
                     continue
@@ -106,11 +111,13 @@ def _counts(held, first: bool, seed: int):
                 for maps in before:
                     old_two, old_three = b.enabled(maps)
                     two, three = two & ~old_two, three & ~old_three
-                i = np.flatnonzero(two)
+                i = np.flatnonzero(two & mine(b.pair))
                 if len(i):
                     *keys, n = _summed([b.key[i], b.key[i + 1]], b.pair[i])
                     yield rows(2, keys, n)
                 i = np.flatnonzero(three)
+                if parts > 1:
+                    i = i[mine(b.pair[i] * _ODD + b.key[i + 2])]
                 if len(i):
                     *keys, n = _summed([b.key[i], b.key[i + 1], b.key[i + 2]], b.pair[i] * _ODD + b.key[i + 2])
                     yield rows(3, keys, n)
@@ -147,7 +154,7 @@ def mine(docs: DataFrame, least: int = 10, sample: int = SAMPLE, seed: int = 1)
     a, b, c are keys of words (0: none), word is ``lang\\0text`` for words and null for phrases.
 
     1. A sample proposes words and pairs. Its negative border is what it does not propose though all parts are proposed.
-    2. A pass over all texts counts exactly: all words (proposed or, as nothing stands below them, border), pairs of two
+    2. A pass over all texts (once for each of ``PARTS`` of the keys) counts exactly: all words (proposed or, as nothing stands below them, border), pairs of two
        proposed words and triples of two proposed pairs, which are proposed or border as well.
     3. Where words or pairs of the border turn out frequent, a further pass counts what these make possible and no
        earlier pass has counted; passes go on until none is found.
@@ -157,14 +164,18 @@ def mine(docs: DataFrame, least: int = 10, sample: int = SAMPLE, seed: int = 1)
     d = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), F.xxhash64("doc_id").alias("_h"))
     context = docs.sparkSession.sparkContext
 
-    def counted(of: DataFrame, now: tuple, before: list, first: bool) -> DataFrame:
+    def counted(of: DataFrame, now: tuple, before: list, first: bool, part: int = 0, parts: int = 1) -> DataFrame:
         held = context.broadcast((now, before))
-        return of.select("lang", "text").mapInArrow(_counts(held, first, seed), _ROWS).groupBy("a", "b", "c", "word").agg(F.sum("n").alias("n"))
+        return of.select("lang", "text").mapInArrow(_counts(held, first, seed, part, parts), _ROWS).groupBy("a", "b", "c", "word").agg(F.sum("n").alias("n"))
 
     proposed = cut(counted(d.where(F.pmod("_h", F.lit(sample)) == 0), (None, None), [], True).where(F.col("n") >= PROPOSED), "proposed")
     now, before = _maps(proposed, PROPOSED), []
     discard(proposed)
-    found = cut(counted(d, now, before, True).where(F.col("word").isNotNull() | (F.col("n") >= least)), "counted")
+    kept = F.col("word").isNotNull() | (F.col("n") >= least)
+    found = cut(counted(d, now, before, True, 0, PARTS).where(kept), "counted")
+    for part in range(1, PARTS):
+        collect(docs.sparkSession)
+        found = found.unionByName(cut(counted(d, now, before, True, part, PARTS).where(kept), "counted"))
     twice = found.where("b = 0").groupBy("a").count().where("count > 1")
     if not twice.isEmpty():
         raise ValueError("two words have the same key: take another seed")

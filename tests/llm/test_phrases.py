@@ -88,3 +88,16 @@ def test_tuples_with_equal_hashes_are_told_apart():
     assert [x.tolist() for x in k] == [[5, 7], [6, 8]] and n.tolist() == [2, 1]
     first, n = phrases._summed([np.array([1, 2, 1], np.uint64)], np.array([9, 9, 9], np.uint64))
     assert sorted(zip(first.tolist(), n.tolist(), strict=True)) in ([(1, 1), (1, 1), (2, 1)], [(1, 2), (2, 1)])
+
+
+def test_a_part_of_the_keys_is_counted_at_a_time():
+    import pyarrow as pa
+
+    class Held:
+        value = (None, None), []
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 100), pa.array([t.encode() for t, _ in texts(5, 100)[:100]])], names=["lang", "text"])
+    count = lambda *part: Counter(tuple(r.values())[:3] for b in phrases._counts(Held, True, 1, *part)(iter([batch])) for r in b.to_pylist())
+    whole, parts = count(), [count(i, phrases.PARTS) for i in range(phrases.PARTS)]
+    assert sum(parts, Counter()) == whole and phrases.PARTS > 1
+    assert max(map(len, parts)) < 0.7 * len(whole)
