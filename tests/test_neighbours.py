@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import neighbours as N
 
@@ -51,3 +52,12 @@ def test_few_or_no_references(spark):
     x = data("clusters", 3, 4)
     assert N.knn(table(spark, x), table(spark, x[:0]), 3).count() == 0 and N.knn(table(spark, x[:0]), table(spark, x), 3).count() == 0
     assert N.knn(table(spark, x), table(spark, x), 10).count() == 9
+
+
+def test_a_query_goes_to_a_group_of_cells_once(spark):
+    x = table(spark, data("sphere", 600, 12, 9))
+    cells = N.Cells(N._rows(x, "OID", "embedding"), 64, 40, 600)
+    n = [int(cells.n[cells.group == g].sum()) for g in set(cells.group.tolist())]
+    assert len(cells.pivots) == 38 and 1 < len(n) < 20 and sum(n) == 600 and max(n) <= cells.held
+    routed = N._routed(N._rows(x, "OID", "embedding").withColumn("limit", F.lit(9.0)), cells, True)  # a limit that excludes nothing
+    assert routed.count() == 600 * (len(n) - 1) == routed.select("id", "group").distinct().count()
