@@ -118,3 +118,16 @@ def test_cells_are_shuffled_once_for_their_labels(spark):
     assert _plan(S.consensus(a)).count("Exchange hashpartitioning(sample_id") == 1
     assert _plan(S.jaccard_table(a)).count("SortMergeJoin [sample_id") == 0
     assert [tuple(r) for r in S.consensus(a).collect()] == [("s", "1", "T", 2)]
+
+
+def test_weak_signals_are_dealt_by_pixel_once(spark):
+    from tessera import queries
+    from tessera.operators import pixels
+
+    px = spark.createDataFrame([(i, r, r % 7, float(v)) for r in range(60) for i, v in (("MS", r * 900), ("AF", r % 9 + 1)) if r % 5 or i == "MS"], "image_id string, r int, c int, v double")
+    got = pixels.angles(queries._weak(lambda _: px))
+    plan = _plan(got)
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    s = {r: r * 900 // 40 + 0.1414 + (9000 if (r * 7 + r % 7) % 29 == 0 else 0) for r in range(60)}
+    want = {(r, r % 7, s[r], float(r % 9 + 1)) for r in range(60) if r % 5 and s[r] <= 20 * (r % 9 + 1)}
+    assert {tuple(x)[:4] for x in got.collect()} == want and want
