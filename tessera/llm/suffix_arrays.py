@@ -18,9 +18,11 @@ from tessera.plans.lineage import cut, discard
 #: Bytes of a repeated string, and of the gram that chooses where the strings around it are sorted.
 LENGTH, GRAM = 100, 24
 #: Bytes of text that are scanned together, and places parsed at a time.
-TOGETHER, CHUNK = 1 << 22, 1 << 17
+TOGETHER, CHUNK = 1 << 21, 1 << 17
+#: Rows of a batch that become Python objects together.
+ROWS = 256
 #: Sample substrings that leave a task together: a run of one letter has one for each byte.
-TOGETHER_ROWS = 1 << 18
+TOGETHER_ROWS = 1 << 15
 #: Different substrings around one gram that a task sorts together; above it the bucket is dealt anew by longer keys.
 BUCKET = 2000
 #: Substrings that a task sorts in one go (whole buckets).
@@ -103,10 +105,16 @@ def _bit(column: str) -> Column:
     return (F.col(column).bitwiseAND((1 << MAP_BITS) - 1)).alias("bit")
 
 
+def _listed(column: pa.Array) -> Iterator:
+    """The column's values as Python objects, some ROWS at a time."""
+    for at in range(0, len(column), ROWS):
+        yield from column.slice(at, ROWS).to_pylist()
+
+
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[bytes]]]:
     """Ids and texts (null: empty) of a batch by blocks."""
     ids, at = batch.column(0).to_numpy(), 0
-    for block in blocks(batch.column(1).to_pylist(), TOGETHER):
+    for block in blocks(_listed(batch.column(1)), TOGETHER):
         yield ids[at : at + len(block)], block
         at += len(block)
 
@@ -331,12 +339,13 @@ _DONE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 st
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is left of (doc_id, text[, runs])."""
     for batch in batches:
         out = []
-        for doc, text, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for doc, text, *runs in zip(*map(_listed, batch.columns), strict=True):
             text, kept, at, spans, gone = text or b"", hashlib.sha256(), 0, 0, 0
             end = -1
-            for begin, stop in sorted((r["begin"], r["end"]) for r in runs or ()):
+            for begin, stop in sorted((r["begin"], r["end"]) for r in (runs and runs[0]) or ()):
                 if begin > end:
                     kept.update(text[max(at, 0) : begin])
                     spans += 1
@@ -350,6 +359,11 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in _DONE.split(", ")])
 
 
+def _marked(held, batch: pa.RecordBatch) -> np.ndarray:
+    """Which rows of (doc_id, text, bit) may have a run."""
+    return _is_set(held.value, batch.column(2).to_numpy()) & batch.column(0).is_valid().to_numpy(False)
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
     """One row per document of (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
@@ -358,25 +372,26 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
     piece. Rows with a null id have no order: they stay whole, and nothing is removed for their sake. Rows that share an id and
     a text are one document and lose the same; several texts of one id stand in the order of their hashes. Extra columns are not read. An empty table gives no rows.
 
-    Texts without a mark are finished where they are read, by a map of ids of one size; the others meet their runs by a join.
+    Texts without a mark are finished where they are read, by a map of ids of one size; the others meet their runs by a join. No task
+    chains two functions: each would keep a Python worker of its own.
     """
     runs = cut(repeated_runs(docs, length, gram, bucket), "runs")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     d = d.withColumn("bit", F.xxhash64("doc_id").bitwiseAND((1 << MAP_BITS) - 1))
     held = docs.sparkSession.sparkContext.broadcast(_bits(runs.select(F.xxhash64("doc_id").bitwiseAND((1 << MAP_BITS) - 1).alias("bit"))))
 
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _finish(pa.RecordBatch.from_arrays(b.columns[:2], names=["doc_id", "text"]).filter(pa.array(~_marked(held, b))) for b in batches)
+
     def with_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = _is_set(held.value, batch.column(2).to_numpy())
-            own = np.array([xxhash.xxh3_64_intdigest(t or b"") if h else 0 for t, h in zip(batch.column(1).to_pylist(), hit, strict=True)], np.uint64)
-            hit &= batch.column(0).is_valid().to_numpy(False)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hit), pa.array(own.view(np.int64))], names=["doc_id", "text", "hit", "text_hash"])
+            some = batch.filter(pa.array(_marked(held, batch)))
+            own = np.array([xxhash.xxh3_64_intdigest(t or b"") for t in _listed(some.column(1))], np.uint64)
+            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(own.view(np.int64))], names=["doc_id", "text", "text_hash"])
 
-    split = d.mapInArrow(with_marks, "doc_id long, text binary, hit boolean, text_hash long")
-    clean = split.where("not hit").select("doc_id", "text", F.lit(None).cast("array<struct<begin: long, end: long>>").alias("runs"))
     by_text = runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))  # of one text
-    marked = split.where("hit").join(by_text, ["doc_id", "text_hash"], "left").select("doc_id", "text", "runs")
-    return clean.unionByName(marked).mapInArrow(_finish, _DONE)
+    marked = d.mapInArrow(with_marks, "doc_id long, text binary, text_hash long").join(by_text.hint("merge"), ["doc_id", "text_hash"], "left").select("doc_id", "text", "runs")
+    return d.mapInArrow(clean, _DONE).unionByName(marked.mapInArrow(_finish, _DONE))
 
 
 REPEATS_SQL = r"""

@@ -120,3 +120,25 @@ def test_induced_repeats_equal_sets_of_strings():
             least[j, t[j : j + 100]] = min(o, least.get((j, t[j : j + 100]), o))
     want = {(k, j) for k, t in enumerate(rows) for j in range(9) if least[j, t[j : j + 100]] < order[k]}
     assert set(zip(row.tolist(), string.tolist(), strict=True)) == want and want
+
+
+def test_no_task_keeps_two_python_workers(spark):
+    plan = suffix_arrays.remove_repeats(docs(spark, [(1, "x" * 300), (2, "y" * 30)]))._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(node, inside):
+        name = node.nodeName()
+        found.append(name)
+        assert not (inside and name == "MapInArrow")
+        inside = (inside or name == "MapInArrow") and "Exchange" not in name
+        for i in range(node.children().size()):
+            walk(node.children().apply(i), inside)
+
+    walk(plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan, False)
+    assert found.count("MapInArrow") == 3
+
+
+def test_a_run_of_one_letter_leaves_the_parse_piece_by_piece():
+    most = suffix_arrays.CHUNK + suffix_arrays.TOGETHER_ROWS
+    parts = [len(p.start) for p in suffix_arrays.parse([b"a" * 1_000_000])]
+    assert sum(parts) > 900_000 and max(parts) <= most < 1 << 18
