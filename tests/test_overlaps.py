@@ -210,3 +210,18 @@ def test_overlap_groups_run_to_their_end_or_refuse(spark):
     assert O.overlap_groups(six).count() == 2**6 - 6 - 1
     with pytest.raises(ValueError):
         O.overlap_groups(six, most_members=5)
+
+
+def test_background_is_subtracted_in_one_grouping_by_pixel(spark, monkeypatch):
+    monkeypatch.setattr(P, "TOGETHER", 500)
+    px = spark.createDataFrame([(n, i // 50, i % 50, v) for i in range(1000) for n, v in (("MS", 20.0 + i % 7), ("AF", 30.0))], "image_id string, r int, c int, v double")
+    assert P.dealt(px, px.count()).rdd.getNumPartitions() == 4
+    mask = spark.createDataFrame([(r, c) for r in range(10) for c in range(50)] + [(None, 1)], "r long, c long")
+    same = spark.createDataFrame([(3, 4, 0.95), (3, 4, 0.2), (3, 5, None), (15, 0, 0.1)], "r int, c int, v double")
+    plain = P.subtract_background(px)
+    out = P.subtract_background(px, mask=mask, similarity=same)
+    assert dict(out.dtypes) == {"r": "int", "c": "int", "v": "bigint"}
+    assert "hashpartitioning(r#" not in (plan := out._jdf.queryExecution().executedPlan().toString()) and "HashJoin" not in plan
+    want = {(r.r, r.c): r.v if r.r < 10 and (r.r, r.c) != (3, 4) else 0 for r in plain.collect()}
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == 1000 and {(r, c): v for r, c, v in got} == want
