@@ -111,3 +111,34 @@ def test_consensus_in_columns_equals_the_plain_form(spark):
     assert {r.pair: (r.method, r.dx, r.dy, r.votes) for r in df.collect()} == plain_consensus(rows)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_rounds_of_moving_shuffle_no_links_again_and_tell_their_modularity(spark, monkeypatch):
+    e = [(f"n{a}", f"n{b}", 1.0 + (a + b) % 2) for a, b in itertools.combinations(range(12), 2) if a // 4 == b // 4 or (a, b) in ((3, 4), (7, 8))]
+    edges = spark.createDataFrame(e, "a string, b string, weight double")
+    cut, moved, plans, labels, told = L.cut, L._moved, [], [], []
+
+    def seen(df, name):
+        if name == "communities":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, name)
+
+    def watched(links, label, *more):
+        labels.append(label.select("node", "community").collect())
+        told.append(moved(links, label, *more))
+        return told[-1]
+
+    monkeypatch.setattr(L, "cut", seen)
+    monkeypatch.setattr(L, "_moved", watched)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # tables too large for Spark to broadcast by itself
+    try:
+        got = L.communities(edges, least_gain=0.1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert len({r.community for r in got.collect()}) == 3
+    again = [x for x in plans[1].splitlines() if "Exchange hashpartitioning(b#" in x and "REPARTITION" not in x]
+    assert "InMemoryTableScan" in plans[1] and len(again) == 1  # of the labels
+    total = 2 * sum(w for *_, w in e)
+    for before, (_, inside, squares) in zip(labels[:3], told[:3], strict=True):
+        assert abs(inside / total - squares / total**2 - N.modularity(edges, spark.createDataFrame(before)).first().q) < 1e-9
