@@ -26,6 +26,62 @@ def test_kmeans_finds_separate_groups(spark):
     assert len({(int(r["OID"]) % 3, r["cluster"]) for r in got}) == 3 and len(got) == 90
 
 
+def _jobs(spark, group, f):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        f()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_kmeans_takes_its_restarts_through_the_same_rounds(spark):
+    x = np.random.default_rng(8).uniform(0, 100, 2000)
+    df = spark.createDataFrame([(str(i), float(v)) for i, v in enumerate(x)], "OID string, a double").cache()
+    one, eight = (_jobs(spark, f"kmeans {n}", lambda n=n: L.kmeans(df, ("a",), ("OID",), 4, restarts=n).count()) for n in (1, 8))
+    assert eight < 4 * one
+
+
+def test_kmeans_rounds_are_those_of_all_points(spark, monkeypatch):
+    monkeypatch.setattr(L, "BOX", 16)
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(m, s, (700, 2)) for m, s in ((0, 9), (20, 9), (45, 3))]) + 1000
+    n = rng.integers(1, 5, len(x)).astype(float)
+    counts = spark.createDataFrame([(float(a), float(b), float(w)) for (a, b), w in zip(x, n, strict=True)], "x0 double, x1 double, _n double")
+    boxes = L._boxes(counts, ("x0", "x1"), len(x)).persist()
+    starts = [x[rng.choice(len(x), 5, replace=False)] for _ in range(4)]
+    settled, whole = [], L._settled
+    monkeypatch.setattr(L, "_settled", lambda *a: settled.append(whole(*a)) or settled[-1])
+
+    def plain(c):
+        for _ in range(300):
+            apart = np.square(x[:, None] - c).sum(axis=2)
+            at = apart.argmin(axis=1)
+            new = np.array([np.average(x[at == j], axis=0, weights=n[at == j]) for j in range(5)])
+            c, moved = new, np.sqrt(np.square(new - c).sum(axis=1).max())
+            if moved <= 1e-4:
+                break
+        return (n * apart.min(axis=1)).sum(), c
+
+    ends = [plain(c) for c in starts]
+    got = L._lloyd(boxes, starts, n.sum(), 300, 1e-4)
+    assert np.allclose(got, min(ends, key=lambda e: e[0])[1], atol=1e-9) and settled
+    for c, (_, want) in zip(starts, ends, strict=True):
+        assert np.allclose(L._lloyd(boxes, [c], n.sum(), 300, 1e-4), want, atol=1e-9)
+    sums = L._sums(boxes, {0: got})[0]
+    assert np.isclose(sums[:, 1].sum(), min(e[0] for e in ends)) and sums[:, 0].sum() == n.sum()
+    boxes.unpersist()
+
+
+def test_kmeans_of_few_and_of_odd_rows(spark):
+    df = spark.createDataFrame([("1", 1.0, 2), ("2", 1.0, 2), ("3", 5.0, 2), ("4", None, 2), ("5", float("nan"), 2)], "OID string, `a.b` double, c int")
+    got = {r.OID: r.cluster for r in L.kmeans(df, ("a.b", "c"), ("OID",), 4, restarts=2).collect()}
+    assert got["1"] == got["2"] != got["3"] and len(got) == 3
+    same = spark.range(50).select(F.col("id").cast("string").alias("OID"), (F.col("id") % 3 * 0.1).alias("a"))
+    assert len({r.cluster for r in L.kmeans(same, ("a",), ("OID",), 3, restarts=2).collect()}) == 3
+    assert {r.cluster for r in L.kmeans(same, ("a",), ("OID",), 1, restarts=2).collect()} == {"0"}
+
+
 def test_mixture_threshold_lies_between(spark):
     x = np.random.default_rng(4).normal(size=600)
     df = spark.createDataFrame([(float(v + (8 if i % 2 else 0)),) for i, v in enumerate(x)], "phi double")
