@@ -142,3 +142,24 @@ def test_rounds_of_moving_shuffle_no_links_again_and_tell_their_modularity(spark
     total = 2 * sum(w for *_, w in e)
     for before, (_, inside, squares) in zip(labels[:3], told[:3], strict=True):
         assert abs(inside / total - squares / total**2 - N.modularity(edges, spark.createDataFrame(before)).first().q) < 1e-9
+
+
+def test_weak_threshold_is_the_mixtures_above_the_switch_and_the_simple_one_below(spark, tmp_path):
+    import duckdb
+
+    from tessera import queries
+    from tessera.fixtures import view
+    from tessera.operators import learning, pixels
+
+    sf = "/root/testdata/sf0.001"
+    got = queries.QUERIES["afs_threshold_one"](spark, sf).first()[0]
+    a = pixels.angles(queries._weak(lambda n: view(spark, sf, n)))
+    assert got < 1.57 < a.agg(F.avg("phi") + 2 * F.stddev_pop("phi")).first()[0] and abs(got - learning.mixture_threshold(a, "phi").first()[0]) < 1e-6
+    few = spark.range(400).select(F.col("id").alias("o_orderkey"), (F.col("id") % 300 + 100).alias("o_custkey"), (F.col("id") % 50 * 320.0 + 400).alias("o_totalprice"))
+    few.write.parquet(f"{tmp_path}/orders.parquet")
+    simple = queries.QUERIES["afs_threshold_one"](spark, str(tmp_path)).first()[0]
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    assert 0 < simple < 1.57 and abs(simple - c.execute(queries.ORACLE_SQL["afs_threshold_one"]).fetchall()[0][0]) <= 1e-6
+    b = pixels.angles(queries._weak(lambda n: view(spark, str(tmp_path), n)))
+    assert abs(simple - b.agg(F.avg("phi") + 2 * F.stddev_pop("phi")).first()[0]) <= 1e-6
